@@ -19,9 +19,9 @@ DEFAULT_MAX_BYTES = 256 * 1024 * 1024
 
 
 def side_size(df: DataFrame, byte_measure: Column | None = None,
-              max_rows: int = DEFAULT_MAX_ROWS) -> tuple[int, int]:
-    """(rows, bytes) of ``df``, counting at most ``max_rows + 1`` rows."""
-    probe = df.limit(max_rows + 1)
+              max_rows: int | None = DEFAULT_MAX_ROWS) -> tuple[int, int]:
+    """(rows, bytes) of ``df``, counting at most ``max_rows + 1`` rows (all if None)."""
+    probe = df if max_rows is None else df.limit(max_rows + 1)
     measure = byte_measure if byte_measure is not None else F.lit(0)
     row = probe.agg(F.count(F.lit(1)).alias("n"),
                     F.coalesce(F.sum(measure), F.lit(0)).alias("b")).first()

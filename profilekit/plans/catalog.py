@@ -11,11 +11,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profilekit.functions.columns import code_list, json_field, has_text
+from profilekit.functions.columns import code_list, has_text, id_length, json_field, md5_id
+from profilekit.operators.extract import extract_payloads, trailing_range
+from profilekit.operators.joins import bounded_broadcast
+from profilekit.operators.matching import (
+    id_coverage as _id_coverage,
+    mapped_users,
+    match_ids,
+    match_titles as _match_titles,
+)
+from profilekit.operators.profile import flag_pivot as _flag_pivot
 from profilekit.operators.profile import flag_profile
-from profilekit.operators.tagging import code_tags
+from profilekit.operators.profile import score_profile as _score_profile
+from profilekit.operators.tagging import code_tags, dict_tags, last_value_per_key
 from profilekit.plans import standins as S
-from profilekit.sources.tables import event_log, table
+from profilekit.sources.tables import event_log, in_days, table
+from profilekit.vocab import INTERESTS
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -64,3 +75,156 @@ def code_profile_day(spark: SparkSession, base: str) -> DataFrame:
     tagged = _event_codes_tagged(spark, base, ["userid", "etl_dt"])
     return flag_profile(tagged, "userid", by=["etl_dt"], source="events",
                         update_dt=S.AS_OF_TEXT)
+
+
+def _app_dictionary(spark: SparkSession, base: str) -> DataFrame:
+    # A repeated app name keeps the tag of its last dictionary line.
+    return last_value_per_key(S.app_dictionary(spark, base), "appname", "tag", ["line"])
+
+
+@register("dict_profile")
+def dict_profile(spark: SparkSession, base: str) -> DataFrame:
+    """X4 + P9 + J5 + P10: dictionary-tag flag profile (supplier = user, part name = app)."""
+    tagged = dict_tags(S.app_log(spark, base), "appname", _app_dictionary(spark, base),
+                       keep=["userid"], dict_key="appname")
+    return flag_profile(tagged, "userid", source="app", update_dt=S.AS_OF_TEXT)
+
+
+@register("dict_profile_day")
+def dict_profile_day(spark: SparkSession, base: str) -> DataFrame:
+    """X5 + D6: the dictionary-tag profile per (user, day) in one pass."""
+    tagged = dict_tags(S.app_log(spark, base), "appname", _app_dictionary(spark, base),
+                       keep=["userid", "etl_dt"], dict_key="appname")
+    return flag_profile(tagged, "userid", by=["etl_dt"], source="app", update_dt=S.AS_OF_TEXT)
+
+
+EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+
+
+@register("flag_pivot")
+def flag_pivot(spark: SparkSession, base: str) -> DataFrame:
+    """A1 as pivot + fillna(0): which event types each user has."""
+    ev = table(spark, base, "events").select("user_id", "event_type")
+    return _flag_pivot(ev, "user_id", "event_type", EVENT_TYPES, user_alias="user_id")
+
+
+def _device_rule():
+    # Id-shape rule of the stand-in: ids of at least two digits.
+    return id_length("userid", ">=", 2)
+
+
+@register("extract_payloads")
+def extract_payloads_q(spark: SparkSession, base: str) -> DataFrame:
+    """X1 + A3 + P7 + P8 + S4: distinct (user, payload, day) of one channel and day range."""
+    return extract_payloads(event_log(spark, base), channel=S.SOCIAL_CHANNEL,
+                            id_rule=_device_rule(), first="2024-01-10", last="2024-01-20")
+
+
+@register("trailing_days")
+def trailing_days(spark: SparkSession, base: str) -> DataFrame:
+    """D1 + D2: rows and users per day over the days 13..30 before the run date."""
+    first, last = trailing_range(S.AS_OF, 13, 31)
+    log = in_days(event_log(spark, base), first, last)
+    return log.groupBy("etl_dt").agg(F.count(F.lit(1)).alias("n_rows"),
+                                    F.count_distinct("userid").alias("n_users"))
+
+
+def _payload_scores(spark: SparkSession, base: str) -> DataFrame:
+    """Scored payload table (yktag, iqytag, 21 scores): distinct payloads, code, scores."""
+    payloads = table(spark, base, "events").select(F.col("props").alias("yktag")).distinct()
+    coded = payloads.select("yktag", json_field("yktag", S.EVENT_JSON_KEY).alias("iqytag"))
+    scores, _ = bounded_broadcast(S.code_scores(spark))
+    return coded.join(scores, "iqytag", "inner").select("yktag", "iqytag", *INTERESTS)
+
+
+@register("payload_scores")
+def payload_scores(spark: SparkSession, base: str) -> DataFrame:
+    """J2: distinct payloads joined with the scored code dictionary."""
+    return _payload_scores(spark, base)
+
+
+@register("match_titles")
+def match_titles(spark: SparkSession, base: str) -> DataFrame:
+    """X6 + J6 + J2: first passage (file order) contained in each distinct document text."""
+    docs = table(spark, base, "documents")
+    return _match_titles(docs, S.passage_dictionary(spark, base), text_col="text")
+
+
+@register("match_titles_short")
+def match_titles_short(spark: SparkSession, base: str) -> DataFrame:
+    """J6 by substring equi join: first name token (file order) in each part name."""
+    part = table(spark, base, "part")
+    return _match_titles(part, S.token_dictionary(spark, base), text_col="p_name", method="ngram")
+
+
+@register("score_profile")
+def score_profile(spark: SparkSession, base: str) -> DataFrame:
+    """X7 + J1 + A2: averaged scores per user over the month's distinct payloads."""
+    pairs = extract_payloads(event_log(spark, base), channel=S.VIDEO_CHANNEL, id_rule=_device_rule(),
+                             first="2024-01-01", last="2024-01-31", keep_day=False)
+    return _score_profile(pairs, _payload_scores(spark, base), "mediadata", "yktag",
+                          source="events", update_dt=S.AS_OF_TEXT)
+
+
+@register("score_profile_day")
+def score_profile_day(spark: SparkSession, base: str) -> DataFrame:
+    """X8 + D6: averaged scores per (user, day) for the days 2..30 before the run date."""
+    first, last = trailing_range(S.AS_OF, 2, 31)
+    pairs = extract_payloads(event_log(spark, base), channel=S.VIDEO_CHANNEL, id_rule=_device_rule(),
+                             first=first, last=last)
+    return _score_profile(pairs, _payload_scores(spark, base), "mediadata", "yktag", by=["etl_dt"],
+                          source="events", update_dt=S.AS_OF_TEXT)
+
+
+def _customer_ids(spark: SparkSession, base: str) -> DataFrame:
+    # Device ids are text.
+    return table(spark, base, "customer").select(F.col("c_custkey").cast("string").alias("imei_match"))
+
+
+def _matched(spark: SparkSession, base: str, width: int) -> DataFrame:
+    if width == 1:
+        nearest, count = 1, 10
+    else:
+        nearest, count = 2, 8
+    return match_ids(_customer_ids(spark, base), event_log(spark, base), S.AS_OF, nearest, width,
+                     count, channel=S.VIDEO_CHANNEL, id_rule=_device_rule())
+
+
+@register("match_ids_1d")
+def match_ids_1d(spark: SparkSession, base: str) -> DataFrame:
+    """X9 + D4 + J3: listed ids in the log, one-day windows 1..10 days back."""
+    return _matched(spark, base, 1)
+
+
+@register("match_ids_2d")
+def match_ids_2d(spark: SparkSession, base: str) -> DataFrame:
+    """X9 + D3 + J3: listed ids in the log, two-day windows 2..17 days back."""
+    return _matched(spark, base, 2)
+
+
+@register("matched_score_profile")
+def matched_score_profile(spark: SparkSession, base: str) -> DataFrame:
+    """X10 + J4 + P2 + A2: averaged scores of the matched ids over all windows."""
+    matched = _matched(spark, base, 1)
+    return _score_profile(matched, _payload_scores(spark, base), "mediadata", "yktag",
+                          user_col="imei", source="events", update_dt=S.AS_OF_TEXT)
+
+
+def _id_mapping(spark: SparkSession, base: str) -> DataFrame:
+    o = table(spark, base, "orders")
+    return o.select(F.col("o_custkey").cast("string").alias("idfa_imei"),
+                    F.when(F.col("o_orderstatus") == "F", F.lit("imei")).otherwise(F.lit("idfa"))
+                    .alias("app_flag"))
+
+
+@register("id_coverage")
+def id_coverage(spark: SparkSession, base: str) -> DataFrame:
+    """X11 + J7 + A5: every listed id with its (distinct) mapping id or NULL."""
+    return _id_coverage(_customer_ids(spark, base), _id_mapping(spark, base))
+
+
+@register("id_coverage_md5")
+def id_coverage_md5(spark: SparkSession, base: str) -> DataFrame:
+    """X11 + J8 + P11 + P12 + F7: md5 profile ids found in the mapping."""
+    users = (table(spark, base, "events").select(md5_id("user_id").alias("userid")).distinct())
+    return mapped_users(users, _id_mapping(spark, base), hashed=True)

@@ -59,3 +59,195 @@ SELECT userid, etl_dt,
   'events' AS source, '{S.AS_OF_TEXT}' AS update_dt
 FROM tagged GROUP BY userid, etl_dt
 """
+
+
+def _tag_case(expr: str, tags: tuple[str, ...]) -> str:
+    whens = " ".join(f"WHEN {i} THEN '{t}'" for i, t in enumerate(tags))
+    return f"CASE {expr} {whens} END"
+
+
+APP_TAGGED = f"""
+dict_lines AS (
+  SELECT p_name AS appname, {_tag_case(f"p_size % {S.APP_TAG_MODULUS}", S.APP_TAGS)} AS tag, p_partkey AS line
+  FROM part
+),
+dict AS (SELECT appname, arg_max(tag, line) AS tag FROM dict_lines GROUP BY appname),
+app_log AS (
+  SELECT l.l_suppkey AS userid, p.p_name AS appname, strftime(l.l_shipdate, '%Y-%m-%d') AS etl_dt
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+),
+tagged AS (
+  SELECT a.userid, a.etl_dt, d.tag FROM app_log a JOIN dict d ON a.appname = d.appname
+  WHERE d.tag IS NOT NULL AND d.tag <> '' AND d.tag <> 'null'
+)"""
+
+SQL["dict_profile"] = f"""
+WITH {APP_TAGGED}
+SELECT userid,
+  {_flags()},
+  'app' AS source, '{S.AS_OF_TEXT}' AS update_dt
+FROM tagged GROUP BY userid
+"""
+
+SQL["dict_profile_day"] = f"""
+WITH {APP_TAGGED}
+SELECT userid, etl_dt,
+  {_flags()},
+  'app' AS source, '{S.AS_OF_TEXT}' AS update_dt
+FROM tagged GROUP BY userid, etl_dt
+"""
+
+SQL["flag_pivot"] = """
+SELECT user_id,
+  max(CASE WHEN event_type = 'click' THEN 1 ELSE 0 END) AS click,
+  max(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) AS error,
+  max(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END) AS purchase,
+  max(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) AS signup,
+  max(CASE WHEN event_type = 'view' THEN 1 ELSE 0 END) AS view
+FROM events GROUP BY user_id
+"""
+
+DEVICE_RULE = "length(cast(user_id AS VARCHAR)) >= 2"
+
+SQL["extract_payloads"] = f"""
+SELECT DISTINCT user_id AS userid, props AS mediadata, strftime(ts, '%Y-%m-%d') AS etl_dt
+FROM events
+WHERE event_type = '{S.SOCIAL_CHANNEL}' AND {DEVICE_RULE}
+  AND cast(ts AS DATE) BETWEEN DATE '2024-01-10' AND DATE '2024-01-20'
+"""
+
+SQL["trailing_days"] = f"""
+SELECT strftime(ts, '%Y-%m-%d') AS etl_dt, count(*) AS n_rows, count(DISTINCT user_id) AS n_users
+FROM events
+WHERE cast(ts AS DATE) BETWEEN DATE '{S.AS_OF_TEXT}' - 30 AND DATE '{S.AS_OF_TEXT}' - 13
+GROUP BY 1
+"""
+
+
+def _score_cols(priority: str) -> str:
+    cols = [f"cast(({priority} * {j + 1}) % {S.SCORE_MODULUS} AS DOUBLE) AS {name}"
+            for j, name in enumerate(SCORED_INTERESTS)]
+    cols += [f"cast(0 AS DOUBLE) AS {name}" for name in ZERO_INTERESTS]
+    return ", ".join(cols)
+
+
+def _avg_cols(alias: str = "") -> str:
+    return ",\n  ".join(f"avg({alias}{c}) / 120.0 AS {c}" for c in INTERESTS)
+
+
+PAYLOAD_SCORES = f"""
+code_scores AS (
+  SELECT cast(range AS VARCHAR) AS iqytag, {_score_cols('range')} FROM range({S.SCORE_CODES})
+),
+payload_scores AS (
+  SELECT p.yktag, s.* FROM (SELECT DISTINCT props AS yktag, props->>'$.{S.EVENT_JSON_KEY}' AS iqytag FROM events) p
+  JOIN code_scores s ON p.iqytag = s.iqytag
+)"""
+
+SQL["payload_scores"] = f"""
+WITH {PAYLOAD_SCORES}
+SELECT yktag, iqytag, {', '.join(INTERESTS)} FROM payload_scores
+"""
+
+
+def _title_match(texts: str, dictionary: str) -> str:
+    return f"""
+dict AS ({dictionary}),
+keys AS (SELECT iqytag AS key, min(priority) AS priority FROM dict
+         WHERE iqytag IS NOT NULL AND length(iqytag) > 0 GROUP BY iqytag),
+texts AS (SELECT DISTINCT t AS text FROM ({texts}) WHERE t IS NOT NULL),
+m AS (SELECT t.text, arg_min(k.key, k.priority) AS key
+      FROM texts t JOIN keys k ON contains(t.text, k.key) GROUP BY t.text)
+SELECT m.text AS yktag, d.iqytag, {', '.join('d.' + c for c in INTERESTS)}
+FROM m JOIN dict d ON d.iqytag = m.key
+"""
+
+
+SQL["match_titles"] = "WITH " + _title_match(
+    "SELECT text AS t FROM documents",
+    f"SELECT text AS iqytag, item_id AS priority, {_score_cols('item_id')} FROM benchmark")
+
+SQL["match_titles_short"] = "WITH " + _title_match(
+    "SELECT p_name AS t FROM part",
+    f"""SELECT tok AS iqytag, priority, {_score_cols('priority')} FROM (
+      SELECT tok, min(p_partkey * 10 + pos) AS priority FROM (
+        SELECT p_partkey, unnest(string_split(p_name, ' ')) AS tok,
+               generate_subscripts(string_split(p_name, ' '), 1) - 1 AS pos FROM part)
+      WHERE length(tok) = 5 GROUP BY tok)""")
+
+SQL["score_profile"] = f"""
+WITH {PAYLOAD_SCORES},
+pairs AS (
+  SELECT DISTINCT user_id AS userid, props AS mediadata FROM events
+  WHERE event_type = '{S.VIDEO_CHANNEL}' AND {DEVICE_RULE}
+    AND cast(ts AS DATE) BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'
+)
+SELECT userid,
+  {_avg_cols('s.')},
+  'events' AS source, '{S.AS_OF_TEXT}' AS update_dt
+FROM pairs JOIN payload_scores s ON pairs.mediadata = s.yktag GROUP BY userid
+"""
+
+SQL["score_profile_day"] = f"""
+WITH {PAYLOAD_SCORES},
+pairs AS (
+  SELECT DISTINCT user_id AS userid, props AS mediadata, strftime(ts, '%Y-%m-%d') AS etl_dt FROM events
+  WHERE event_type = '{S.VIDEO_CHANNEL}' AND {DEVICE_RULE}
+    AND cast(ts AS DATE) BETWEEN DATE '{S.AS_OF_TEXT}' - 30 AND DATE '{S.AS_OF_TEXT}' - 2
+)
+SELECT userid, etl_dt,
+  {_avg_cols('s.')},
+  'events' AS source, '{S.AS_OF_TEXT}' AS update_dt
+FROM pairs JOIN payload_scores s ON pairs.mediadata = s.yktag GROUP BY userid, etl_dt
+"""
+
+
+def _matched_sql(nearest: int, width: int, count: int) -> str:
+    ago = f"date_diff('day', cast(ts AS DATE), DATE '{S.AS_OF_TEXT}')"
+    b = f"floor(({ago} - {nearest}) / {width})"
+    end = f"DATE '{S.AS_OF_TEXT}' - cast({nearest} + {b} * {width} AS INTEGER)"
+    return f"""
+matched AS (
+  SELECT cast(c.c_custkey AS VARCHAR) AS imei_match, e.imei, e.mediadata, e.window_start, e.window_end
+  FROM customer c JOIN (
+    SELECT DISTINCT cast(user_id AS VARCHAR) AS imei, props AS mediadata,
+      strftime({end} - {width - 1}, '%Y-%m-%d') AS window_start,
+      strftime({end}, '%Y-%m-%d') AS window_end
+    FROM events
+    WHERE event_type = '{S.VIDEO_CHANNEL}' AND {DEVICE_RULE}
+      AND {ago} >= {nearest} AND {ago} < {nearest + width * count}
+  ) e ON cast(c.c_custkey AS VARCHAR) = e.imei
+)"""
+
+
+SQL["match_ids_1d"] = f"WITH {_matched_sql(1, 1, 10)} SELECT * FROM matched"
+SQL["match_ids_2d"] = f"WITH {_matched_sql(2, 2, 8)} SELECT * FROM matched"
+
+SQL["matched_score_profile"] = f"""
+WITH {PAYLOAD_SCORES}, {_matched_sql(1, 1, 10)}
+SELECT imei,
+  {_avg_cols('s.')},
+  'events' AS source, '{S.AS_OF_TEXT}' AS update_dt
+FROM matched JOIN payload_scores s ON matched.mediadata = s.yktag GROUP BY imei
+"""
+
+ID_MAPPING = """
+mapping AS (
+  SELECT cast(o_custkey AS VARCHAR) AS idfa_imei, CASE WHEN o_orderstatus = 'F' THEN 'imei' ELSE 'idfa' END AS app_flag
+  FROM orders
+)"""
+
+SQL["id_coverage"] = f"""
+WITH {ID_MAPPING}
+SELECT cast(c.c_custkey AS VARCHAR) AS imei_match, m.idfa_imei
+FROM customer c LEFT JOIN (SELECT DISTINCT idfa_imei FROM mapping WHERE app_flag = 'imei') m
+  ON cast(c.c_custkey AS VARCHAR) = m.idfa_imei
+"""
+
+SQL["id_coverage_md5"] = f"""
+WITH {ID_MAPPING},
+users AS (SELECT DISTINCT md5(cast(user_id AS VARCHAR)) AS userid FROM events),
+app AS (SELECT idfa_imei, md5(cast(idfa_imei AS VARCHAR)) AS imeimd5 FROM mapping WHERE app_flag = 'imei')
+SELECT u.userid, a.idfa_imei, a.imeimd5 FROM users u LEFT JOIN app a ON u.userid = a.imeimd5
+WHERE length(a.imeimd5) = 32
+"""

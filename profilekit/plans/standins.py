@@ -10,9 +10,11 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from profilekit.functions.columns import day_string
+from profilekit.sources.tables import table
 from profilekit.vocab import INTERESTS, SCORED_INTERESTS, ZERO_INTERESTS
 
 # Run date of every stand-in job (the original used the wall clock).
@@ -59,3 +61,54 @@ def code_scores(spark: SparkSession) -> DataFrame:
              for j, name in enumerate(SCORED_INTERESTS)]
     cols += [F.lit(0).cast("double").alias(name) for name in ZERO_INTERESTS]
     return spark.range(SCORE_CODES).select(*cols)
+
+
+# Dictionary tags of the app stand-in: tag of a part = entry p_size % 23 of the
+# 21 interests followed by '' and 'null' (two unusable tags that are dropped).
+APP_TAG_MODULUS = 23
+APP_TAGS = (*INTERESTS, "", "null")
+
+
+def app_log(spark: SparkSession, base: str) -> DataFrame:
+    """lineitem as an app log: supplier = user, part name = app name, ship day = day."""
+    li = table(spark, base, "lineitem")
+    part = table(spark, base, "part")
+    return (li.join(part, li["l_partkey"] == part["p_partkey"], "inner")
+            .select(F.col("l_suppkey").alias("userid"), F.col("p_name").alias("appname"),
+                    day_string("l_shipdate").alias("etl_dt")))
+
+
+def app_dictionary(spark: SparkSession, base: str) -> DataFrame:
+    """Raw dictionary lines ``(appname, tag, line)``; a name repeats with other tags."""
+    part = table(spark, base, "part")
+    tags = F.array(*[F.lit(t) for t in APP_TAGS])
+    return part.select(F.col("p_name").alias("appname"),
+                       F.element_at(tags, (F.col("p_size") % APP_TAG_MODULUS + 1).cast("int")).alias("tag"),
+                       F.col("p_partkey").alias("line"))
+
+
+def item_scores(priority: Column) -> list[Column]:
+    """13 scores by the score rule on a priority column, then 8 zero columns."""
+    cols = [((priority * (j + 1)) % SCORE_MODULUS).cast("double").alias(name)
+            for j, name in enumerate(SCORED_INTERESTS)]
+    cols += [F.lit(0).cast("double").alias(name) for name in ZERO_INTERESTS]
+    return cols
+
+
+def passage_dictionary(spark: SparkSession, base: str) -> DataFrame:
+    """Scored title dictionary from ``benchmark``: key = passage text, file order = item_id."""
+    b = table(spark, base, "benchmark")
+    return b.select(F.col("text").alias("iqytag"), F.col("item_id").alias("priority"),
+                    *item_scores(F.col("item_id")))
+
+
+def token_dictionary(spark: SparkSession, base: str) -> DataFrame:
+    """Scored dictionary of the five-letter name tokens of ``part``.
+
+    File order of a token = its first appearance: ``10 * p_partkey + position``.
+    """
+    part = table(spark, base, "part")
+    toks = (part.select("p_partkey", F.posexplode(F.split("p_name", " ")).alias("pos", "tok"))
+            .filter(F.length("tok") == 5)
+            .groupBy("tok").agg(F.min(F.col("p_partkey") * 10 + F.col("pos")).alias("priority")))
+    return toks.select(F.col("tok").alias("iqytag"), "priority", *item_scores(F.col("priority")))
