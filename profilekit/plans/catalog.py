@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from profilekit.functions.columns import code_list, has_text, id_length, json_field, md5_id
 from profilekit.operators.extract import extract_payloads, trailing_range
+from profilekit.operators import evaluate as E
 from profilekit.operators.joins import bounded_broadcast
 from profilekit.operators.matching import (
     id_coverage as _id_coverage,
@@ -25,6 +26,7 @@ from profilekit.operators.profile import flag_profile
 from profilekit.operators.profile import score_profile as _score_profile
 from profilekit.operators.tagging import code_tags, dict_tags, last_value_per_key
 from profilekit.plans import standins as S
+from profilekit.session import shared_path
 from profilekit.sources.tables import event_log, in_days, table
 from profilekit.vocab import INTERESTS
 
@@ -228,3 +230,64 @@ def id_coverage_md5(spark: SparkSession, base: str) -> DataFrame:
     """X11 + J8 + P11 + P12 + F7: md5 profile ids found in the mapping."""
     users = (table(spark, base, "events").select(md5_id("user_id").alias("userid")).distinct())
     return mapped_users(users, _id_mapping(spark, base), hashed=True)
+
+
+def _labels_pred(spark: SparkSession, base: str) -> DataFrame:
+    lab = table(spark, base, "labels")
+    return lab.select("doc_id", F.col("quality").alias("y"), (F.lit(1) - F.col("toxic")).alias("pred"))
+
+
+@register("class_report")
+def class_report_q(spark: SparkSession, base: str) -> DataFrame:
+    """M3-M6: per-class and averaged precision/recall/F1/support of labels."""
+    pred = _labels_pred(spark, base).withColumn("field", F.lit(0))
+    return E.class_report(pred, "field", "y", "pred")
+
+
+@register("segment_report")
+def segment_report(spark: SparkSession, base: str) -> DataFrame:
+    """M10: the same report per segment (document language)."""
+    docs = table(spark, base, "documents").select("doc_id", F.col("lang").alias("segment"))
+    pred = _labels_pred(spark, base).join(docs, "doc_id", "inner")
+    return E.class_report(pred, "segment", "y", "pred")
+
+
+@register("run_report")
+def run_report(spark: SparkSession, base: str) -> DataFrame:
+    """M3-M6 per run of the scored events (one run per left-out feature, plus the full run)."""
+    return E.class_report(S.scored_runs(spark, base), "field", "y", "pred")
+
+
+def _run_metrics(spark: SparkSession, base: str) -> DataFrame:
+    scored = S.scored_runs(spark, base)
+    a = E.auc(scored, "field", "y", "p")
+    ll = E.log_loss(scored, "field", "y", "p")
+    return a.join(ll, "field", "inner").select(
+        "field", "auc", F.round("logloss", 9).alias("logloss"), "n_pos", "n_neg")
+
+
+@register("auc_logloss")
+def auc_logloss(spark: SparkSession, base: str) -> DataFrame:
+    """M7 + M8: exact AUC (distributed prefix sums) and log-loss per run."""
+    return _run_metrics(spark, base)
+
+
+@register("ablation_compare")
+def ablation_compare(spark: SparkSession, base: str) -> DataFrame:
+    """M9: AUC and log-loss of each left-out-feature run against the full run."""
+    return E.ablation_compare(_run_metrics(spark, base), "field", S.FULL_RUN, ["auc", "logloss"])
+
+
+@register("report_reshape")
+def report_reshape(spark: SparkSession, base: str) -> DataFrame:
+    """M1 + M2 + S11: run reports written as 12-line text blocks, read back to the long form."""
+    path = shared_path(spark, "reports")
+    blocks = E.format_reports(run_report(spark, base), _run_metrics(spark, base), "field")
+    E.write_reports(blocks, "field", path)
+    return E.order_long(E.read_reports(spark, path).drop("file"))
+
+
+@register("vocab_count")
+def vocab_count(spark: SparkSession, base: str) -> DataFrame:
+    """M11 + S12: distinct feature tokens per namespace from the feature lines."""
+    return E.vocabulary(S.feature_lines(spark, base), "line")

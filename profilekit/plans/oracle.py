@@ -251,3 +251,122 @@ app AS (SELECT idfa_imei, md5(cast(idfa_imei AS VARCHAR)) AS imeimd5 FROM mappin
 SELECT u.userid, a.idfa_imei, a.imeimd5 FROM users u LEFT JOIN app a ON u.userid = a.imeimd5
 WHERE length(a.imeimd5) = 32
 """
+
+
+# --- evaluation ---
+
+CLASSES = (("exposure", 0), ("click", 1))
+
+
+def _ratio(num: str, den: str) -> str:
+    return f"CASE WHEN ({den}) = 0 THEN 0.0 ELSE cast({num} AS DOUBLE) / cast({den} AS DOUBLE) END"
+
+
+def _f1(p: str, r: str) -> str:
+    return f"CASE WHEN (({p}) + ({r})) = 0 THEN 0.0 ELSE 2.0 * ({p}) * ({r}) / (({p}) + ({r})) END"
+
+
+def _report(pred: str, key: str) -> str:
+    counts = ", ".join(
+        f"sum(CASE WHEN y = {v} AND pred = {v} THEN 1 ELSE 0 END) AS tp_{n}, "
+        f"sum(CASE WHEN pred = {v} THEN 1 ELSE 0 END) AS pp_{n}, "
+        f"sum(CASE WHEN y = {v} THEN 1 ELSE 0 END) AS sup_{n}"
+        for n, v in CLASSES)
+    per_cols = []
+    for n, _ in CLASSES:
+        per_cols += [f"{_ratio(f'tp_{n}', f'pp_{n}')} AS p_{n}", f"{_ratio(f'tp_{n}', f'sup_{n}')} AS r_{n}"]
+    names = [n for n, _ in CLASSES]
+    rows = [f"SELECT {key}, '{n}' AS label, p_{n} AS precision, r_{n} AS recall, "
+            f"{_f1(f'p_{n}', f'r_{n}')} AS f1_score, cast(sup_{n} AS BIGINT) AS support FROM per"
+            for n in names]
+    micro = _ratio(" + ".join(["0"] + [f"tp_{n}" for n in names]), "n")
+    rows.append(f"SELECT {key}, 'microavg', {micro}, {micro}, {micro}, cast(n AS BIGINT) FROM per")
+
+    def mean(kind: str) -> str:
+        terms = [f"{kind}_{n}" if kind != "f" else _f1(f"p_{n}", f"r_{n}") for n in names]
+        return "(" + " + ".join(["0.0"] + [f"({t})" for t in terms]) + f") / {float(len(names))}"
+
+    def weighted(kind: str) -> str:
+        terms = [(f"{kind}_{n}" if kind != "f" else _f1(f"p_{n}", f"r_{n}")) for n in names]
+        total = " + ".join(["0.0"] + [f"({t}) * sup_{n}" for t, n in zip(terms, names)])
+        return _ratio(total, "n")
+
+    rows.append(f"SELECT {key}, 'macroavg', {mean('p')}, {mean('r')}, {mean('f')}, cast(n AS BIGINT) FROM per")
+    rows.append(f"SELECT {key}, 'weightedavg', {weighted('p')}, {weighted('r')}, {weighted('f')}, "
+                f"cast(n AS BIGINT) FROM per")
+    return f"""
+WITH pred AS ({pred}),
+g AS (SELECT {key}, count(*) AS n, {counts} FROM pred GROUP BY {key}),
+per AS (SELECT *, {', '.join(per_cols)} FROM g)
+{' UNION ALL '.join(rows)}
+"""
+
+
+LABELS_PRED = "SELECT doc_id, quality AS y, 1 - toxic AS pred FROM labels"
+
+SQL["class_report"] = _report(f"SELECT 0 AS field, y, pred FROM ({LABELS_PRED})", "field")
+SQL["segment_report"] = _report(
+    f"SELECT d.lang AS segment, l.y, l.pred FROM ({LABELS_PRED}) l JOIN documents d ON l.doc_id = d.doc_id",
+    "segment")
+
+_FEATURES = f"""
+SELECT CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS y,
+       cast(floor(value / 10.0) AS BIGINT) AS value, cast(hour(ts) AS BIGINT) AS hour,
+       cast(props->>'$.{S.EVENT_JSON_KEY}' AS BIGINT) AS code, cast(isodow(ts) - 1 AS BIGINT) AS weekday,
+       event_type
+FROM events"""
+
+
+def _scored() -> str:
+    runs = []
+    for r in range(S.FULL_RUN + 1):
+        s = " + ".join(["0"] + [f"coalesce({f}, 0)" for i, f in enumerate(S.FEATURES) if i != r])
+        runs.append(f"SELECT {r} AS field, y, ({s}) AS s FROM feats")
+    return f"""
+feats AS ({_FEATURES}),
+runs AS ({' UNION ALL '.join(runs)}),
+scored AS (
+  SELECT field, y, (cast(s AS DOUBLE) + 0.5) / (cast(s AS DOUBLE) + 100.5) AS p,
+         CASE WHEN (cast(s AS DOUBLE) + 0.5) / (cast(s AS DOUBLE) + 100.5) >= 0.5 THEN 1 ELSE 0 END AS pred
+  FROM runs
+)"""
+
+
+RUN_METRICS = f"""
+{_scored()},
+g AS (SELECT field, p, sum(y) AS pos, sum(1 - y) AS neg FROM scored GROUP BY field, p),
+w AS (SELECT field, pos, neg,
+        coalesce(sum(neg) OVER (PARTITION BY field ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+          AS below FROM g),
+a AS (SELECT field, sum(cast(pos AS DOUBLE) * (cast(below AS DOUBLE) + neg / 2.0)) AS area,
+        cast(sum(pos) AS BIGINT) AS n_pos, cast(sum(neg) AS BIGINT) AS n_neg FROM w GROUP BY field),
+ll AS (SELECT field, avg(-(cast(y AS DOUBLE) * ln(least(greatest(p, 1e-15), 1.0 - 1e-15))
+                        + (1.0 - cast(y AS DOUBLE)) * ln(1.0 - least(greatest(p, 1e-15), 1.0 - 1e-15))))
+          AS logloss FROM scored GROUP BY field),
+metrics AS (
+  SELECT a.field, CASE WHEN n_pos = 0 OR n_neg = 0 THEN NULL
+                       ELSE area / (cast(n_pos AS DOUBLE) * cast(n_neg AS DOUBLE)) END AS auc,
+         round(ll.logloss, 9) AS logloss, n_pos, n_neg
+  FROM a JOIN ll ON a.field = ll.field
+)"""
+
+SQL["run_report"] = "WITH " + _scored().strip() + "\n" + _report(
+    "SELECT field, y, pred FROM scored", "field").replace("WITH pred", ", pred", 1)
+SQL["auc_logloss"] = f"WITH {RUN_METRICS} SELECT * FROM metrics"
+SQL["ablation_compare"] = f"""
+WITH {RUN_METRICS}
+SELECT m.field, m.auc, m.logloss, m.auc - b.auc AS delta_auc, m.logloss - b.logloss AS delta_logloss
+FROM metrics m, (SELECT auc, logloss FROM metrics WHERE field = {S.FULL_RUN}) b
+"""
+SQL["report_reshape"] = SQL["run_report"]
+
+SQL["vocab_count"] = f"""
+WITH feats AS ({_FEATURES}),
+toks AS (
+  SELECT DISTINCT tok FROM (
+    SELECT unnest([{', '.join(f"'{f}:' || cast({f} AS VARCHAR)" for f in S.FEATURES)}, 'type:' || event_type]) AS tok
+    FROM feats)
+  WHERE tok IS NOT NULL AND length(tok) > 0
+)
+SELECT split_part(tok, ':', 1) AS namespace, count(*) AS n_values FROM toks GROUP BY 1
+"""

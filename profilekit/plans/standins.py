@@ -112,3 +112,41 @@ def token_dictionary(spark: SparkSession, base: str) -> DataFrame:
             .filter(F.length("tok") == 5)
             .groupBy("tok").agg(F.min(F.col("p_partkey") * 10 + F.col("pos")).alias("priority")))
     return toks.select(F.col("tok").alias("iqytag"), "priority", *item_scores(F.col("priority")))
+
+
+# Click-model stand-in: integer features of an event, a score per run that
+# leaves one feature out (run 4 keeps all), probability (s + 0.5) / (s + 100.5).
+FEATURES = ("value", "hour", "code", "weekday")
+FULL_RUN = len(FEATURES)
+
+
+def event_features(spark: SparkSession, base: str) -> DataFrame:
+    ev = table(spark, base, "events")
+    return ev.select(
+        (F.col("event_type") == "click").cast("int").alias("y"),
+        F.floor(F.col("value") / F.lit(10.0)).cast("long").alias("value"),
+        F.hour("ts").cast("long").alias("hour"),
+        F.get_json_object("props", f"$.{EVENT_JSON_KEY}").cast("long").alias("code"),
+        F.weekday("ts").cast("long").alias("weekday"),
+        F.col("event_type"),
+    )
+
+
+def scored_runs(spark: SparkSession, base: str) -> DataFrame:
+    """``(field, y, p, pred)``: one row per event and run."""
+    feats = event_features(spark, base)
+    runs = []
+    for r in range(FULL_RUN + 1):
+        s = sum((F.coalesce(F.col(f), F.lit(0)) for i, f in enumerate(FEATURES) if i != r), F.lit(0))
+        runs.append(F.struct(F.lit(r).alias("field"), s.alias("s")))
+    p = (F.col("s").cast("double") + F.lit(0.5)) / (F.col("s").cast("double") + F.lit(100.5))
+    return (feats.select("y", F.inline(F.array(*runs)))
+            .select("field", "y", p.alias("p"), (p >= F.lit(0.5)).cast("int").alias("pred")))
+
+
+def feature_lines(spark: SparkSession, base: str) -> DataFrame:
+    """One vocabulary line per event: head token, then ``namespace:value`` tokens."""
+    feats = event_features(spark, base)
+    toks = [F.concat(F.lit(f"{f}:"), F.col(f).cast("string")) for f in FEATURES]
+    toks.append(F.concat(F.lit("type:"), F.col("event_type")))
+    return feats.select(F.concat_ws(",", F.lit(str(len(FEATURES))), *toks).alias("line"))
