@@ -27,7 +27,9 @@ from profilekit.operators.profile import score_profile as _score_profile
 from profilekit.operators.tagging import code_tags, dict_tags, last_value_per_key
 from profilekit.plans import standins as S
 from profilekit.session import shared_path
-from profilekit.sources.tables import event_log, in_days, table
+from profilekit.sources.publish import publish, read_published, with_partition_schema
+from profilekit.sources.tables import as_event_log, event_log, in_days, table
+from profilekit.streaming.daily import refresh_day_profiles
 from profilekit.vocab import INTERESTS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,7 +44,10 @@ def register(name: str) -> Callable[[Query], Query]:
 
 
 def _event_codes_tagged(spark: SparkSession, base: str, keep: list[str]) -> DataFrame:
-    log = event_log(spark, base)
+    return _codes_tagged(event_log(spark, base), keep)
+
+
+def _codes_tagged(log: DataFrame, keep: list[str]) -> DataFrame:
     return code_tags(log, "mediadata", S.EVENT_JSON_KEY, S.event_code_map(),
                      S.EVENT_CODE_LEN, keep=keep)
 
@@ -291,3 +296,49 @@ def report_reshape(spark: SparkSession, base: str) -> DataFrame:
 def vocab_count(spark: SparkSession, base: str) -> DataFrame:
     """M11 + S12: distinct feature tokens per namespace from the feature lines."""
     return E.vocabulary(S.feature_lines(spark, base), "line")
+
+
+@register("month_publish")
+def month_publish(spark: SparkSession, base: str) -> DataFrame:
+    """X12 + K1 + K5 + P4 + D5: month profile written twice (re-run safe), read back."""
+    path = shared_path(spark, "profile_month")
+    profile = code_profile(spark, base)
+    for _ in range(2):
+        publish(profile, path, "overwrite", partition_col="etl_month", partition_value="2024-01")
+    schema = with_partition_schema(profile, "etl_month")
+    return read_published(spark, path, schema, "etl_month", ["2024-01"])
+
+
+@register("day_publish")
+def day_publish(spark: SparkSession, base: str) -> DataFrame:
+    """X12 + K2 + D6: every day partition of the day profile in one write, twice, read back."""
+    path = shared_path(spark, "profile_day")
+    profile = code_profile_day(spark, base)
+    for _ in range(2):
+        publish(profile, path, "overwrite", partition_col="etl_dt")
+    return read_published(spark, path, with_partition_schema(profile, "etl_dt"))
+
+
+@register("append_publish")
+def append_publish(spark: SparkSession, base: str) -> DataFrame:
+    """K3 + K4 + K6: create with the first day, append the other days, read back."""
+    path = shared_path(spark, "extract")
+    extract = extract_payloads_q(spark, base)
+    publish(extract.filter(F.col("etl_dt") == "2024-01-10"), path, "create")
+    publish(extract.filter(F.col("etl_dt") != "2024-01-10"), path, "append")
+    return read_published(spark, path, extract.schema)
+
+
+@register("stream_day_profile")
+def stream_day_profile(spark: SparkSession, base: str) -> DataFrame:
+    """Streaming refresh of the per-day coded-tag profile (new log files -> changed days)."""
+    schema = table(spark, base, "events").schema
+    sink = shared_path(spark, "stream_profile_day")
+    ckpt = shared_path(spark, "stream_checkpoint")
+
+    def build(log: DataFrame) -> DataFrame:
+        tagged = _codes_tagged(as_event_log(log), ["userid", "etl_dt"])
+        return flag_profile(tagged, "userid", by=["etl_dt"], source="events", update_dt=S.AS_OF_TEXT)
+
+    refresh_day_profiles(spark, base, schema, build, sink, ckpt, glob="events.parquet")
+    return read_published(spark, sink, with_partition_schema(code_profile_day(spark, base), "etl_dt"))

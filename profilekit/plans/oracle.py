@@ -370,3 +370,11 @@ toks AS (
 )
 SELECT split_part(tok, ':', 1) AS namespace, count(*) AS n_values FROM toks GROUP BY 1
 """
+
+
+SQL["month_publish"] = SQL["code_profile"].rstrip().replace(
+    "'events' AS source, '" + S.AS_OF_TEXT + "' AS update_dt",
+    "'events' AS source, '" + S.AS_OF_TEXT + "' AS update_dt, '2024-01' AS etl_month") + "\n"
+SQL["day_publish"] = SQL["code_profile_day"]
+SQL["append_publish"] = SQL["extract_payloads"]
+SQL["stream_day_profile"] = SQL["code_profile_day"]

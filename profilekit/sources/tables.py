@@ -33,12 +33,16 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def event_log(spark: SparkSession, base: str) -> DataFrame:
-    """The driver's ``events`` table seen as an ad log.
+    """The driver's ``events`` table seen as an ad log (see ``as_event_log``)."""
+    return as_event_log(table(spark, base, "events"))
+
+
+def as_event_log(ev: DataFrame) -> DataFrame:
+    """``events`` rows as log columns.
 
     ``userid`` = user_id, ``mediadata`` = props (JSON payload), ``channel`` =
     event_type, ``etl_dt`` = day of ``ts`` as text, ``ts`` kept for pushable day filters.
     """
-    ev = table(spark, base, "events")
     return ev.select(
         F.col("user_id").alias("userid"),
         F.col("props").alias("mediadata"),
