@@ -58,7 +58,7 @@ def code_tags(df: DataFrame, payload_col: str, json_key: str, code_map: CodeMap,
         side, _ = bounded_broadcast(code_map.select("code", "tag"),
                                     byte_measure=string_bytes("code", "tag"))
         return (codes.join(side, on="code", how="left")
-                .withColumn("tag", F.coalesce(F.col("tag"), F.lit(""))))
+                .select(*keep, "code", F.coalesce(F.col("tag"), F.lit("")).alias("tag")))
     lookup = map_literal(code_map)
     return codes.withColumn("tag", F.coalesce(F.try_element_at(lookup, F.col("code")), F.lit("")))
 

@@ -49,7 +49,7 @@ def read_scored_dictionary(spark: SparkSession, path: str | Sequence[str],
     """``(key, priority, scores..., zeros...)`` from comma lines; empty keys dropped."""
     lines = _lines(spark, path)
     cols = [list_item("value", 0).alias(key), F.col("_file"), F.col("_pos")]
-    cols += [F.try_cast(list_item("value", i + 1), "double").alias(name) for i, name in enumerate(scores)]
+    cols += [list_item("value", i + 1).try_cast("double").alias(name) for i, name in enumerate(scores)]
     cols += [F.lit(0.0).alias(name) for name in zeros]
     df = lines.select(*cols).filter(F.col(key).isNotNull() & (F.length(key) > 0))
     # priority = position of the line in file order (files by name, then lines).
