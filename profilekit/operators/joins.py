@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from profilekit.session import shared_path
+
 # Dictionaries up to this many rows are broadcast.
 DEFAULT_MAX_ROWS = 2_000_000
 # ... and up to this many bytes of key/value text.
@@ -31,10 +33,21 @@ def side_size(df: DataFrame, byte_measure: Column | None = None,
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
                       byte_measure: Column | None = None,
                       max_bytes: int = DEFAULT_MAX_BYTES) -> tuple[DataFrame, bool]:
-    """``(broadcast(df), True)`` if the size check passes, else ``(df, False)``."""
-    rows, nbytes = side_size(df, byte_measure, max_rows)
+    """``(broadcast(small), True)`` if the size check passes, else ``(df, False)``.
+
+    At most ``max_rows + 1`` rows of the side are written once to the shared
+    checkpoint folder; the check reads that small table, and when it passes
+    the broadcast ships the written copy, so the side is computed only once
+    and its lineage is cut. Beyond the bound the original side is returned for
+    a shuffle join.
+    """
+    spark = df.sparkSession
+    path = shared_path(spark, "small-side")
+    df.limit(max_rows + 1).write.mode("errorifexists").parquet(path)
+    small = spark.read.parquet(path)
+    rows, nbytes = side_size(small, byte_measure, max_rows=None)
     if rows <= max_rows and nbytes <= max_bytes:
-        return F.broadcast(df), True
+        return F.broadcast(small), True
     return df, False
 
 

@@ -8,10 +8,11 @@ that occurs in the text as a substring; texts without any key are dropped.
 - ``automaton`` (default): the key list is compiled once per task into an
   Aho-Corasick automaton and every text is scanned once, in time linear in the
   text length plus matches, independent of the number of keys. Spark
-  distributes the distinct texts; the key list is shipped only after its size
-  is checked, and a larger list is cut into shards that each pass the check
+  scans the texts where they lie and only the matches are deduplicated (no
+  shuffle of whole texts); the key list is shipped only after its size is
+  checked, and a larger list is cut into shards that each pass the check
   (texts are then scanned once per shard and the best match per text is taken
-  with a grouped ``min_by``; no pair of text and key is ever materialised).
+  with a grouped ``min``; no pair of text and key is ever materialised).
 - ``ngram``: for title-sized texts only; every substring whose length is a key
   length is exploded and equi-joined with the keys (hash join). Spark's
   substring walks the text from its start, so cost grows with the square of
@@ -31,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from profilekit.operators.joins import bounded_broadcast, side_size, string_bytes
+from profilekit.session import shared_path
 
 MAX_KEYS_PER_SHARD = 1_000_000
 MAX_KEY_BYTES_PER_SHARD = 128 * 1024 * 1024
@@ -81,20 +83,28 @@ def _scan_with_automaton(texts: DataFrame, keys: list[tuple[str, int]]) -> DataF
                     out_t.append(text)
                     out_k.append(best[1])
                     out_p.append(best[0])
-            yield pd.DataFrame({"text": out_t, "key": out_k,
-                                "priority": pd.array(out_p, dtype="int64")})
+            if out_t:
+                yield pd.DataFrame({"text": pd.Series(out_t, dtype=object),
+                                    "key": pd.Series(out_k, dtype=object),
+                                    "priority": pd.Series(out_p, dtype="int64")})
 
     return texts.select("text").mapInPandas(scan, _MATCH_SCHEMA)
 
 
 def _automaton(texts: DataFrame, keys: DataFrame) -> DataFrame:
-    rows, nbytes = side_size(keys, string_bytes("key"), max_rows=None)
+    # The key list is written once to the shared folder; its size is read from
+    # there and each shard is gathered from there (bounded by the shard limits).
+    spark = texts.sparkSession
+    path = shared_path(spark, "match-keys")
+    keys.write.mode("errorifexists").parquet(path)
+    stored = spark.read.parquet(path)
+    rows, nbytes = side_size(stored, string_bytes("key"), max_rows=None)
     shards = max(1, math.ceil(rows / MAX_KEYS_PER_SHARD), math.ceil(nbytes / MAX_KEY_BYTES_PER_SHARD))
     if shards == 1:
-        return _scan_with_automaton(texts, [(r["key"], r["priority"]) for r in keys.collect()])
-    # Texts are scanned once per shard: cut their lineage first.
-    texts = texts.checkpoint(eager=True)
-    keyed = keys.withColumn("_shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
+        found = _scan_with_automaton(texts, [(r["key"], r["priority"]) for r in stored.collect()])
+        # texts were scanned where they lie; repeated texts give repeated rows
+        return found.distinct()
+    keyed = stored.withColumn("_shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
     parts = []
     for s in range(shards):
         shard = [(r["key"], r["priority"]) for r in keyed.filter(F.col("_shard") == s).collect()]
@@ -147,10 +157,15 @@ METHODS = {"automaton": _automaton, "ngram": _ngram, "contains": _contains}
 
 def first_key_match(texts: DataFrame, text_col: str, dictionary: DataFrame, key_col: str,
                     priority_col: str, method: str = "automaton") -> DataFrame:
-    """``(text, key, priority)`` for every distinct text that contains a key."""
+    """``(text, key, priority)`` for every distinct text that contains a key.
+
+    The automaton scans texts where they lie (no shuffle of the texts) and
+    deduplicates only the matches; the other forms deduplicate texts first.
+    """
     if method not in METHODS:
         raise ValueError(f"unknown method {method!r}; one of {sorted(METHODS)}")
-    distinct_texts = (texts.select(F.col(text_col).alias("text"))
-                      .filter(F.col("text").isNotNull()).distinct())
+    present = texts.select(F.col(text_col).alias("text")).filter(F.col("text").isNotNull())
+    if method != "automaton":
+        present = present.distinct()
     keys = clean_keys(dictionary, key_col, priority_col)
-    return METHODS[method](distinct_texts, keys)
+    return METHODS[method](present, keys)
