@@ -54,3 +54,56 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
 def string_bytes(*cols: str) -> Column:
     """Byte measure of string columns for ``bounded_broadcast``."""
     return sum((F.coalesce(F.octet_length(F.col(c)), F.lit(0)) for c in cols), F.lit(0))
+
+
+def hot_keys(df: DataFrame, key: str, fraction: float = 0.01, share: float | None = None,
+             seed: int = 17) -> list:
+    """Keys that alone hold at least ``share`` of the rows, estimated on a sample.
+
+    ``share`` defaults to one shuffle partition's worth (1 / shuffle partitions),
+    so at most that many keys can qualify: the list is bounded by construction.
+    The estimate only decides where to salt; results do not depend on it.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    share = share if share is not None else 1.0 / max(parts, 1)
+    sample = df.select(key).sample(fraction=fraction, seed=seed)
+    counts = sample.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n").alias("t")).first()["t"] or 0
+    if total == 0:
+        return []
+    return [r[key] for r in counts.filter(F.col("_n") >= F.lit(share * total)).collect()]
+
+
+def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, how: str = "inner",
+                buckets: int | None = None, hot: list | None = None) -> DataFrame:
+    """Shuffle join where each hot key of ``big`` is spread over ``buckets`` salts.
+
+    Rows of ``big`` with a hot key get a deterministic salt (hash of the row, so
+    a retried task sends every row to the same place); the ``small`` rows of
+    those keys are replicated once per salt; all other keys use salt 0. For a
+    left join ``big`` must be the preserved side. Exact: every ``big`` row meets
+    each matching ``small`` row exactly once.
+    """
+    spark = big.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_keys(big, big_key) if hot is None else hot
+    if not hot or buckets <= 1:
+        return big.join(small, big[big_key] == small[small_key], how)
+    is_hot_big = F.col(big_key).isin(hot)
+    row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
+    big_s = big.withColumn("_salt", F.when(is_hot_big, F.pmod(row_hash, F.lit(buckets))).otherwise(F.lit(0)))
+    salts = F.when(F.col(small_key).isin(hot), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
+    small_s = small.withColumn("_salt", F.explode(salts)).withColumnRenamed("_salt", "_salt_s")
+    cond = (big_s[big_key] == small_s[small_key]) & (big_s["_salt"] == small_s["_salt_s"])
+    return big_s.join(small_s, cond, how).drop("_salt", "_salt_s")
+
+
+def checked_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, how: str = "inner",
+                 max_rows: int = DEFAULT_MAX_ROWS, byte_measure: Column | None = None,
+                 max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
+    """Broadcast join when ``small`` passes the size check, else a hot-key-salted shuffle join."""
+    side, ok = bounded_broadcast(small, max_rows, byte_measure, max_bytes)
+    if ok:
+        return big.join(side, big[big_key] == side[small_key], how)
+    return salted_join(big, small, big_key, small_key, how)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from profilekit.functions.columns import md5_id
 from profilekit.operators.extract import day_windows, window_range
-from profilekit.operators.joins import bounded_broadcast
+from profilekit.operators.joins import checked_join
 from profilekit.operators.substring import first_key_match
 from profilekit.sources.tables import in_days
 from profilekit.vocab import INTERESTS
@@ -26,8 +26,7 @@ def match_titles(payloads: DataFrame, dictionary: DataFrame, text_col: str = "me
     """
     matched = first_key_match(payloads, text_col, dictionary, key_col, priority_col, method)
     scored = dictionary.select(F.col(key_col).alias("_key"), *score_cols)
-    side, _ = bounded_broadcast(scored)
-    return (matched.join(side, matched["key"] == side["_key"], "inner")
+    return (checked_join(matched, scored, "key", "_key", "inner")
             .select(F.col("text").alias("yktag"), F.col("key").alias("iqytag"), *score_cols))
 
 
@@ -52,8 +51,7 @@ def match_ids(ids: DataFrame, log: DataFrame, as_of: str | _dt.date, nearest: in
     windows = day_windows(df, as_of, nearest, width, count)
     dist = windows.select(F.col(id_col).cast("string").alias("imei"), F.col(payload_col).alias("mediadata"),
                           "window_start", "window_end").distinct()
-    id_side, _ = bounded_broadcast(ids.select(list_col))
-    return (id_side.join(dist, id_side[list_col] == dist["imei"], "inner")
+    return (checked_join(dist, ids.select(list_col), "imei", list_col, "inner")
             .select(list_col, "imei", "mediadata", "window_start", "window_end"))
 
 
@@ -66,8 +64,7 @@ def id_coverage(ids: DataFrame, mapping: DataFrame, flag: str = "imei",
     """
     mapped = (mapping.filter(F.col("app_flag") == flag)
               .select("idfa_imei").distinct())
-    side, _ = bounded_broadcast(mapped)
-    return ids.join(side, ids[list_col] == side["idfa_imei"], "left").select(list_col, "idfa_imei")
+    return checked_join(ids, mapped, list_col, "idfa_imei", "left").select(list_col, "idfa_imei")
 
 
 def mapped_users(users: DataFrame, mapping: DataFrame, flag: str = "imei", hashed: bool = True,
@@ -82,8 +79,8 @@ def mapped_users(users: DataFrame, mapping: DataFrame, flag: str = "imei", hashe
     app = (mapping.filter(F.col("app_flag") == flag)
            .select("idfa_imei", md5_id("idfa_imei").alias("imeimd5")))
     key = "imeimd5" if hashed else "idfa_imei"
-    joined = users.join(app, users[user_col] == app[key], "left")
-    kept = joined.filter(F.length(app[key]) == 32) if hashed else joined.filter(app[key].isNotNull())
+    joined = checked_join(users, app, user_col, key, "left")
+    kept = joined.filter(F.length(F.col(key)) == 32) if hashed else joined.filter(F.col(key).isNotNull())
     return kept.select(user_col, "idfa_imei", "imeimd5")
 
 

@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from profilekit.operators.joins import bounded_broadcast
+from profilekit.operators.joins import checked_join
 from profilekit.vocab import INTERESTS, SCORE_DIVISOR
 
 
@@ -74,8 +74,9 @@ def score_profile(pairs: DataFrame, scores: DataFrame, pair_key: str, score_key:
         *[F.sum(F.col(c).cast("double")).alias(f"_s_{c}") for c in score_cols],
         *[F.count(F.col(c).cast("double")).alias(f"_n_{c}") for c in score_cols],
     )
-    side, _ = bounded_broadcast(per_key)
-    joined = pairs.select(user_col, *by, F.col(pair_key).alias("_key")).join(side, "_key", "inner")
+    per_key = per_key.withColumnRenamed("_key", "_skey")
+    joined = checked_join(pairs.select(user_col, *by, F.col(pair_key).alias("_key")), per_key,
+                          "_key", "_skey", "inner")
     exprs = [
         F.try_divide(F.try_divide(F.sum(f"_s_{c}"), F.sum(f"_n_{c}").cast("double")),
                      F.lit(float(divisor))).alias(c)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from profilekit.functions.columns import code_list, has_text, json_field, valid_tag
-from profilekit.operators.joins import bounded_broadcast, string_bytes
+from profilekit.operators.joins import checked_join, string_bytes
 
 CodeMap = Sequence[tuple[str, str]] | DataFrame
 
@@ -51,14 +51,14 @@ def code_tags(df: DataFrame, payload_col: str, json_key: str, code_map: CodeMap,
 
     An in-code dictionary becomes a map literal looked up inside the projection
     (no join, no exchange). A dictionary given as a DataFrame ``(code, tag)``
-    is joined, broadcast only if its size check passes.
+    is joined: broadcast if its size check passes, else a hot-key-salted shuffle join.
     """
     codes = explode_codes(df, payload_col, json_key, code_len, keep, sep)
     if isinstance(code_map, DataFrame):
-        side, _ = bounded_broadcast(code_map.select("code", "tag"),
-                                    byte_measure=string_bytes("code", "tag"))
-        return (codes.join(side, on="code", how="left")
-                .select(*keep, "code", F.coalesce(F.col("tag"), F.lit("")).alias("tag")))
+        side = code_map.select(F.col("code").alias("_code"), "tag")
+        joined = checked_join(codes, side, "code", "_code", "left",
+                              byte_measure=string_bytes("_code", "tag"))
+        return joined.select(*keep, "code", F.coalesce(F.col("tag"), F.lit("")).alias("tag"))
     lookup = map_literal(code_map)
     return codes.withColumn("tag", F.coalesce(F.try_element_at(lookup, F.col("code")), F.lit("")))
 
@@ -68,14 +68,13 @@ def dict_tags(df: DataFrame, key_col: str, dictionary: DataFrame,
     """``keep`` columns + ``tag`` for rows whose key is in the dictionary and whose tag is usable.
 
     The membership test and the lookup are one inner join; the dictionary is
-    broadcast when its size is checked small, otherwise shuffled (AQE).
+    broadcast when its size is checked small, otherwise shuffled with hot app
+    names salted.
     """
-    d = dictionary.select(F.col(dict_key).alias("_key"), F.col(dict_tag).alias("tag"))
-    side, _ = bounded_broadcast(d, byte_measure=string_bytes("_key", "tag"))
-    return (df.select(*keep, F.col(key_col).alias("_key"))
-            .join(side, on="_key", how="inner")
-            .filter(valid_tag("tag"))
-            .select(*keep, "tag"))
+    d = dictionary.select(F.col(dict_key).alias("_dkey"), F.col(dict_tag).alias("tag"))
+    joined = checked_join(df.select(*keep, F.col(key_col).alias("_key")), d, "_key", "_dkey", "inner",
+                          byte_measure=string_bytes("_dkey", "tag"))
+    return joined.filter(valid_tag("tag")).select(*keep, "tag")
 
 
 def last_value_per_key(dictionary: DataFrame, key: str, value: str,

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from profilekit.functions.columns import code_list, has_text, id_length, json_field, md5_id
 from profilekit.operators.extract import extract_payloads, trailing_range
 from profilekit.operators import evaluate as E
-from profilekit.operators.joins import bounded_broadcast
 from profilekit.operators.matching import (
     id_coverage as _id_coverage,
     mapped_users,
@@ -140,7 +139,8 @@ def _payload_scores(spark: SparkSession, base: str) -> DataFrame:
     """Scored payload table (yktag, iqytag, 21 scores): distinct payloads, code, scores."""
     payloads = table(spark, base, "events").select(F.col("props").alias("yktag")).distinct()
     coded = payloads.select("yktag", json_field("yktag", S.EVENT_JSON_KEY).alias("iqytag"))
-    scores, _ = bounded_broadcast(S.code_scores(spark))
+    # spark.range(SCORE_CODES): its size is fixed by construction
+    scores = F.broadcast(S.code_scores(spark))
     return coded.join(scores, "iqytag", "inner").select("yktag", "iqytag", *INTERESTS)
 
 
