@@ -28,7 +28,7 @@ from profilekit.plans import standins as S
 from profilekit.session import shared_path
 from profilekit.sources.publish import publish, read_published, with_partition_schema
 from profilekit.sources.tables import as_event_log, event_log, in_days, table
-from profilekit.streaming.daily import refresh_day_profiles
+from profilekit.streaming.daily import closed_day_profiles, refresh_day_profiles
 from profilekit.vocab import INTERESTS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -280,7 +280,9 @@ def auc_logloss(spark: SparkSession, base: str) -> DataFrame:
 @register("ablation_compare")
 def ablation_compare(spark: SparkSession, base: str) -> DataFrame:
     """M9: AUC and log-loss of each left-out-feature run against the full run."""
-    return E.ablation_compare(_run_metrics(spark, base), "field", S.FULL_RUN, ["auc", "logloss"])
+    out = E.ablation_compare(_run_metrics(spark, base), "field", S.FULL_RUN, ["auc", "logloss"])
+    names = F.array(*[F.lit(f) for f in (*S.FEATURES, "none")])
+    return out.withColumn("left_out", F.element_at(names, F.col("field") + 1))
 
 
 @register("report_reshape")
@@ -342,3 +344,25 @@ def stream_day_profile(spark: SparkSession, base: str) -> DataFrame:
 
     refresh_day_profiles(spark, base, schema, build, sink, ckpt, glob="events.parquet")
     return read_published(spark, sink, with_partition_schema(code_profile_day(spark, base), "etl_dt"))
+
+
+@register("stream_closed_days")
+def stream_closed_days(spark: SparkSession, base: str) -> DataFrame:
+    """Watermarked streaming day profile: days appended once closed (lateness one day)."""
+    schema = table(spark, base, "events").schema
+    sink = shared_path(spark, "stream_closed_days")
+    ckpt = shared_path(spark, "stream_closed_checkpoint")
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(base)
+    tagged = _codes_tagged(as_event_log(stream), ["userid", "ts"])
+    query = (closed_day_profiles(tagged).writeStream.format("parquet").outputMode("append")
+             .partitionBy("etl_dt").option("checkpointLocation", ckpt)
+             .trigger(availableNow=True).start(sink))
+    query.awaitTermination()
+    profile = code_profile_day(spark, base)
+    schema_out = with_partition_schema(profile.drop("source", "update_dt"), "etl_dt")
+    return _stamp_events(read_published(spark, sink, schema_out))
+
+
+def _stamp_events(df: DataFrame) -> DataFrame:
+    # the profile stamp of the events stand-in
+    return df.withColumns({"source": F.lit("events"), "update_dt": F.lit(S.AS_OF_TEXT)})

@@ -355,7 +355,8 @@ SQL["run_report"] = "WITH " + _scored().strip() + "\n" + _report(
 SQL["auc_logloss"] = f"WITH {RUN_METRICS} SELECT * FROM metrics"
 SQL["ablation_compare"] = f"""
 WITH {RUN_METRICS}
-SELECT m.field, m.auc, m.logloss, m.auc - b.auc AS delta_auc, m.logloss - b.logloss AS delta_logloss
+SELECT m.field, m.auc, m.logloss, m.auc - b.auc AS delta_auc, m.logloss - b.logloss AS delta_logloss,
+  CASE m.field {' '.join(f"WHEN {i} THEN '{f}'" for i, f in enumerate(S.FEATURES))} ELSE 'none' END AS left_out
 FROM metrics m, (SELECT auc, logloss FROM metrics WHERE field = {S.FULL_RUN}) b
 """
 SQL["report_reshape"] = SQL["run_report"]
@@ -378,3 +379,13 @@ SQL["month_publish"] = SQL["code_profile"].rstrip().replace(
 SQL["day_publish"] = SQL["code_profile_day"]
 SQL["append_publish"] = SQL["extract_payloads"]
 SQL["stream_day_profile"] = SQL["code_profile_day"]
+
+SQL["stream_closed_days"] = f"""
+WITH {EVENT_CODES_TAGGED}
+SELECT userid, etl_dt,
+  {_flags()},
+  'events' AS source, '{S.AS_OF_TEXT}' AS update_dt
+FROM tagged
+WHERE cast(etl_dt AS DATE) + INTERVAL 2 DAY <= (SELECT date_trunc('second', max(ts)) FROM events)
+GROUP BY userid, etl_dt
+"""

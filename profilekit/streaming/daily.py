@@ -43,18 +43,21 @@ def _days_filter(df: DataFrame, days: Sequence[str], ts_col: str) -> DataFrame:
 def refresh_day_profiles(spark: SparkSession, log_dir: str, schema: T.StructType, build: ProfileBuilder,
                          sink_path: str, checkpoint_path: str, ts_col: str = "ts",
                          glob: str | None = None, max_files_per_trigger: int | None = None,
-                         once: bool = True):
+                         once: bool = True, partition_col: str | None = None):
     """Start the streaming refresh; with ``once`` it processes what is there and stops.
 
     ``build`` turns log rows (same schema as the files) into a profile with an
     ``etl_dt`` column; it is called on the log restricted to the changed days.
+    With ``partition_col`` (a day-partitioned log) the changed days prune
+    folders; otherwise the day filter is a pushed timestamp range.
     """
     reader = spark.readStream.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    changes = reader.parquet(log_dir).select(day_string(ts_col).alias("etl_dt"))
+    day_of = F.col(partition_col) if partition_col else day_string(ts_col)
+    changes = reader.parquet(log_dir).select(day_of.alias("etl_dt"))
 
     batch_reader = spark.read.schema(schema)
     if glob:
@@ -65,7 +68,11 @@ def refresh_day_profiles(spark: SparkSession, log_dir: str, schema: T.StructType
         days = [r["etl_dt"] for r in batch.select("etl_dt").distinct().collect() if r["etl_dt"]]
         if not days:
             return
-        log = _days_filter(batch_reader.parquet(log_dir), days, ts_col)
+        source = batch_reader.parquet(log_dir)
+        if partition_col:
+            log = source.filter(F.col(partition_col).isin(days))
+        else:
+            log = _days_filter(source, days, ts_col)
         publish(build(log), sink_path, "overwrite", partition_col="etl_dt")
 
     writer = changes.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint_path)
@@ -82,11 +89,18 @@ def closed_day_profiles(tagged: DataFrame, user_col: str = "userid", tag_col: st
     """Streaming flag profile per (user, day), emitted once the day is closed.
 
     ``tagged`` is a streaming frame of ``(user, tag, ts)``. State is kept per
-    (day window, user) and dropped when the watermark passes the day.
+    (day window, user) and dropped when the watermark passes the day. Days are
+    UTC days; a ``timestamp_ntz`` event time is read as UTC wall-clock time
+    (watermarks need an instant), so the day of the profile equals the day of
+    the wall-clock time whatever the session time zone.
     """
     tag = F.col(tag_col)
     exprs = [F.max(F.when(tag == F.lit(t), F.lit(1)).otherwise(F.lit(0))).alias(t) for t in domain]
+    if isinstance(tagged.schema[ts_col].dataType, T.TimestampNTZType):
+        tagged = tagged.withColumn(ts_col, F.timestamp_seconds(F.unix_timestamp(F.col(ts_col))))
     agg = (tagged.withWatermark(ts_col, lateness)
            .groupBy(F.window(ts_col, "1 day").alias("w"), F.col(user_col).alias("userid"))
            .agg(*exprs))
-    return agg.select("userid", F.date_format(F.col("w.start"), "yyyy-MM-dd").alias("etl_dt"), *domain)
+    day = F.date_add(F.lit(_dt.date(1970, 1, 1)),
+                     F.floor(F.unix_seconds(F.col("w.start")) / F.lit(86400)).cast("int"))
+    return agg.select("userid", F.date_format(day, "yyyy-MM-dd").alias("etl_dt"), *domain)

@@ -78,7 +78,7 @@ def test_streaming_refresh_picks_up_late_files(spark, tmp_path):
 
 def test_closed_day_profiles_emit_finished_days(spark, tmp_path):
     log_dir = tmp_path / "log"
-    schema = "userid string, tag string, ts timestamp"
+    schema = "userid string, tag string, ts timestamp_ntz"
     data = [("u1", "game", dt.datetime(2024, 1, 1, 10)), ("u1", "car", dt.datetime(2024, 1, 1, 11)),
             ("u2", "car", dt.datetime(2024, 1, 2, 9)), ("u3", "game", dt.datetime(2024, 1, 5, 9))]
     spark.createDataFrame(data, schema).write.parquet(str(log_dir))
@@ -91,3 +91,15 @@ def test_closed_day_profiles_emit_finished_days(spark, tmp_path):
     got = rows(spark.sql("SELECT userid, etl_dt, game, car FROM closed_days"))
     # days 1 and 2 are closed by the watermark (max ts minus one day); day 5 is still open
     assert got == [("u1", "2024-01-01", 1, 1), ("u2", "2024-01-02", 0, 1)]
+
+
+def test_read_log_prunes_day_partitions(spark, tmp_path):
+    from profilekit.sources.tables import read_log
+    path = str(tmp_path / "log")
+    df = spark.createDataFrame([("u1", "m", "2024-01-01"), ("u2", "m", "2024-01-02")],
+                               "userid string, mediadata string, etl_dt string")
+    df.write.partitionBy("etl_dt").parquet(path)
+    log = read_log(spark, path).filter(F.col("etl_dt") == "2024-01-02")
+    plan = log._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(etl_dt" in plan
+    assert [r["userid"] for r in log.collect()] == ["u2"]
