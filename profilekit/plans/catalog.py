@@ -15,6 +15,7 @@ from profilekit.functions.columns import code_list, has_text, id_length, json_fi
 from profilekit.operators.extract import extract_payloads, trailing_range
 from profilekit.operators import evaluate as E
 from profilekit.operators.matching import (
+    coverage_counts,
     id_coverage as _id_coverage,
     mapped_users,
     match_ids,
@@ -230,6 +231,12 @@ def id_coverage(spark: SparkSession, base: str) -> DataFrame:
     return _id_coverage(_customer_ids(spark, base), _id_mapping(spark, base))
 
 
+@register("id_coverage_counts")
+def id_coverage_counts(spark: SparkSession, base: str) -> DataFrame:
+    """A6: how many listed ids, how many mapped, how many distinct."""
+    return coverage_counts(id_coverage(spark, base))
+
+
 @register("id_coverage_md5")
 def id_coverage_md5(spark: SparkSession, base: str) -> DataFrame:
     """X11 + J8 + P11 + P12 + F7: md5 profile ids found in the mapping."""

@@ -389,3 +389,8 @@ FROM tagged
 WHERE cast(etl_dt AS DATE) + INTERVAL 2 DAY <= (SELECT date_trunc('second', max(ts)) FROM events)
 GROUP BY userid, etl_dt
 """
+
+SQL["id_coverage_counts"] = f"""
+WITH cov AS ({SQL["id_coverage"]})
+SELECT count(*) AS n_ids, count(idfa_imei) AS n_mapped, count(DISTINCT imei_match) AS n_distinct_ids FROM cov
+"""

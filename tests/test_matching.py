@@ -116,3 +116,10 @@ def test_id_coverage_and_md5(spark):
     assert [r[0] for r in rows(plain)] == ["c"]
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftOuter" not in plan  # the length rule on the right side makes it an inner join
+
+
+def test_read_id_list_keeps_repeats(spark, tmp_path):
+    from profilekit.sources.files import read_id_list
+    f = tmp_path / "ids.txt"
+    f.write_text("111\n222\n111\n")
+    assert rows(read_id_list(spark, str(f))) == [("111",), ("111",), ("222",)]

@@ -18,7 +18,7 @@ def _profile(spark):
                                 ("u2", '{"usertag":"10002"}', "2024-01-02")],
                                "userid string, mediadata string, etl_dt string")
     tagged = code_tags(df, "mediadata", "usertag", social_code_map(), 5, keep=["userid", "etl_dt"])
-    return flag_profile(tagged, "userid", by=["etl_dt"], source="momo", update_dt="2024-01-31")
+    return flag_profile(tagged, "userid", by=["etl_dt"], source="social", update_dt="2024-01-31")
 
 
 def test_overwrite_is_rerun_safe_and_touches_only_its_days(spark, tmp_path):
@@ -32,7 +32,7 @@ def test_overwrite_is_rerun_safe_and_touches_only_its_days(spark, tmp_path):
     publish(prof.filter(F.col("etl_dt") == "2024-01-02").withColumn("source", F.lit("v2")), path,
             partition_col="etl_dt")
     got = rows(read_published(spark, path, schema).select("etl_dt", "source"))
-    assert got == [("2024-01-01", "momo"), ("2024-01-02", "v2")]
+    assert got == [("2024-01-01", "social"), ("2024-01-02", "v2")]
 
 
 def test_static_month_partition_append_and_create(spark, tmp_path):

@@ -30,14 +30,14 @@ def _flags(row):
 def test_code_profile_semantics(spark):
     df = spark.createDataFrame(PAYLOADS, "userid string, mediadata string")
     tagged = code_tags(df, "mediadata", "usertag", social_code_map(), 5, keep=["userid"])
-    prof = {r["userid"]: r for r in flag_profile(tagged, "userid", source="momo", update_dt="2024-01-31").collect()}
+    prof = {r["userid"]: r for r in flag_profile(tagged, "userid", source="social", update_dt="2024-01-31").collect()}
     assert set(prof) == {"u1", "u2", "u8", "u9", "u11"}
     assert _flags(prof["u1"]) == {"game": 1, "car": 1}
     assert _flags(prof["u2"]) == {}
     assert _flags(prof["u8"]) == {"tourism": 1}
     assert _flags(prof["u9"]) == {"lifestyle": 1}
     assert _flags(prof["u11"]) == {"education": 1}
-    assert prof["u1"]["source"] == "momo" and prof["u1"]["update_dt"] == "2024-01-31"
+    assert prof["u1"]["source"] == "social" and prof["u1"]["update_dt"] == "2024-01-31"
     # column order: user, 21 interests, source, update date
     assert flag_profile(tagged, "userid", source="s", update_dt="d").columns == \
         ["userid", *INTERESTS, "source", "update_dt"]
