@@ -103,3 +103,24 @@ def test_read_log_prunes_day_partitions(spark, tmp_path):
     plan = log._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(etl_dt" in plan
     assert [r["userid"] for r in log.collect()] == ["u2"]
+
+
+def test_closed_days_do_not_depend_on_session_time_zone(spark, tmp_path):
+    log_dir = tmp_path / "log"
+    schema = "userid string, tag string, ts timestamp_ntz"
+    data = [("u1", "game", dt.datetime(2024, 1, 1, 23, 30)), ("u2", "car", dt.datetime(2024, 1, 2, 0, 30)),
+            ("u3", "game", dt.datetime(2024, 1, 5, 9))]
+    spark.createDataFrame(data, schema).write.parquet(str(log_dir))
+    st = spark.createDataFrame([], schema).schema
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        stream = spark.readStream.schema(st).parquet(str(log_dir))
+        q = (closed_day_profiles(stream).writeStream.format("memory").queryName("closed_tz")
+             .outputMode("append").option("checkpointLocation", str(tmp_path / "ck")).start())
+        q.processAllAvailable()
+        q.stop()
+        got = rows(spark.sql("SELECT userid, etl_dt FROM closed_tz"))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [("u1", "2024-01-01"), ("u2", "2024-01-02")]
