@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from profilekit.functions.columns import md5_id
+from profilekit.functions.columns import has_text, json_field, md5_id
 from profilekit.operators.extract import day_windows, window_range
 from profilekit.operators.joins import checked_join
 from profilekit.operators.substring import first_key_match
@@ -18,12 +18,17 @@ from profilekit.vocab import INTERESTS
 
 def match_titles(payloads: DataFrame, dictionary: DataFrame, text_col: str = "mediadata",
                  key_col: str = "iqytag", priority_col: str = "priority",
-                 score_cols: Sequence[str] = INTERESTS, method: str = "automaton") -> DataFrame:
+                 score_cols: Sequence[str] = INTERESTS, method: str = "automaton",
+                 require_field: str | None = None) -> DataFrame:
     """X6: ``(yktag, iqytag, scores...)`` for each distinct text and its first dictionary key.
 
-    The match runs on distinct texts only; a key listed twice in the
-    dictionary fans out in the join with the scores (both rows are kept).
+    With ``require_field`` only payloads whose JSON field of that name is
+    non-empty take part (the match itself still runs on the whole payload
+    text). A key listed twice in the dictionary fans out in the join with the
+    scores (both rows are kept).
     """
+    if require_field is not None:
+        payloads = payloads.filter(has_text(json_field(text_col, require_field)))
     matched = first_key_match(payloads, text_col, dictionary, key_col, priority_col, method)
     scored = dictionary.select(F.col(key_col).alias("_key"), *score_cols)
     return (checked_join(matched, scored, "key", "_key", "inner")

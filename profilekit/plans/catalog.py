@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from profilekit.functions.columns import code_list, has_text, id_length, json_field, md5_id
 from profilekit.operators.extract import extract_payloads, trailing_range
 from profilekit.operators import evaluate as E
+from profilekit.operators.joins import checked_join
 from profilekit.operators.matching import (
     coverage_counts,
     id_coverage as _id_coverage,
@@ -225,6 +226,19 @@ def _id_mapping(spark: SparkSession, base: str) -> DataFrame:
                     .alias("app_flag"))
 
 
+@register("matched_payloads")
+def matched_payloads(spark: SparkSession, base: str) -> DataFrame:
+    """J4 + K5: payloads of matched ids that have title scores, overwritten twice, read back."""
+    matched = _matched(spark, base, 1)
+    scored = _payload_scores(spark, base).select("yktag")
+    joined = checked_join(matched, scored, "mediadata", "yktag", "inner")
+    out = joined.select(F.col("imei").alias("userid"), "mediadata")
+    path = shared_path(spark, "matched_payloads")
+    for _ in range(2):
+        publish(out, path, "overwrite")
+    return read_published(spark, path, out.schema)
+
+
 @register("id_coverage")
 def id_coverage(spark: SparkSession, base: str) -> DataFrame:
     """X11 + J7 + A5: every listed id with its (distinct) mapping id or NULL."""

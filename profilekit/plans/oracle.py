@@ -394,3 +394,8 @@ SQL["id_coverage_counts"] = f"""
 WITH cov AS ({SQL["id_coverage"]})
 SELECT count(*) AS n_ids, count(idfa_imei) AS n_mapped, count(DISTINCT imei_match) AS n_distinct_ids FROM cov
 """
+
+SQL["matched_payloads"] = f"""
+WITH {PAYLOAD_SCORES}, {_matched_sql(1, 1, 10)}
+SELECT m.imei AS userid, m.mediadata FROM matched m JOIN payload_scores s ON m.mediadata = s.yktag
+"""

@@ -123,3 +123,12 @@ def test_read_id_list_keeps_repeats(spark, tmp_path):
     f = tmp_path / "ids.txt"
     f.write_text("111\n222\n111\n")
     assert rows(read_id_list(spark, str(f))) == [("111",), ("111",), ("222",)]
+
+
+def test_match_titles_require_field_filters_on_parsed_title(spark):
+    texts = spark.createDataFrame([('{"title":"alpha one"}',), ('{"title":"","x":"alpha"}',), ("alpha",)],
+                                  "mediadata string")
+    d = spark.createDataFrame([("alpha", 1, 1.0)], "iqytag string, priority long, entertainment double")
+    out = match_titles(texts, d, score_cols=["entertainment"], require_field="title")
+    # the key is searched in the whole payload, but only payloads with a title take part
+    assert rows(out) == [('{"title":"alpha one"}', "alpha", 1.0)]
