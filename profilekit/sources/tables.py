@@ -53,6 +53,16 @@ def as_event_log(ev: DataFrame) -> DataFrame:
     )
 
 
+def ntz_literal(value: _dt.datetime):
+    """A ``timestamp_ntz`` literal from wall-clock time (no time zone involved)."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
+def ntz_range(ts, lo: _dt.datetime, hi: _dt.datetime):
+    """``lo <= ts < hi`` on a ``timestamp_ntz`` column; folds to literals, so it is pushed down."""
+    return (ts >= ntz_literal(lo)) & (ts < ntz_literal(hi))
+
+
 def in_days(df: DataFrame, first: str | _dt.date, last: str | _dt.date,
             ts_col: str | None = "ts", day_col: str = "etl_dt") -> DataFrame:
     """Rows whose day lies in ``[first, last]`` (both ends included).
@@ -65,6 +75,5 @@ def in_days(df: DataFrame, first: str | _dt.date, last: str | _dt.date,
     if ts_col and ts_col in df.columns:
         lo = _dt.datetime.combine(first, _dt.time())
         hi = _dt.datetime.combine(last + _dt.timedelta(days=1), _dt.time())
-        ts = F.col(ts_col)
-        return df.filter((ts >= F.lit(lo).cast("timestamp_ntz")) & (ts < F.lit(hi).cast("timestamp_ntz")))
+        return df.filter(ntz_range(F.col(ts_col), lo, hi))
     return df.filter(F.col(day_col).between(first.isoformat(), last.isoformat()))

@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 
 from profilekit.functions.columns import day_string
 from profilekit.sources.publish import publish
+from profilekit.sources.tables import ntz_range
 from profilekit.vocab import INTERESTS
 
 ProfileBuilder = Callable[[DataFrame], DataFrame]
@@ -36,8 +37,7 @@ def _days_filter(df: DataFrame, days: Sequence[str], ts_col: str) -> DataFrame:
     lo = _dt.datetime.fromisoformat(first)
     hi = _dt.datetime.fromisoformat(last) + _dt.timedelta(days=1)
     ts = F.col(ts_col)
-    return df.filter((ts >= F.lit(lo).cast("timestamp_ntz")) & (ts < F.lit(hi).cast("timestamp_ntz"))
-                     & day_string(ts).isin(list(days)))
+    return df.filter(ntz_range(ts, lo, hi) & day_string(ts).isin(list(days)))
 
 
 def refresh_day_profiles(spark: SparkSession, log_dir: str, schema: T.StructType, build: ProfileBuilder,

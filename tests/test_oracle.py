@@ -60,3 +60,16 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert df.columns[0] == "userid" and df.columns[-2:] == ["source", "update_dt"]
+
+
+@pytest.mark.parametrize("name", ["extract_payloads", "trailing_days", "code_profile_day", "match_ids_2d",
+                                  "score_profile_day"])
+def test_day_logic_independent_of_session_time_zone(spark, duck, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+    try:
+        got = _canon(entry.queries()[name](spark, SF_DIR).toPandas())
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    want = _canon(duck.execute(entry.oracle_sql()[name]).df())
+    assert got == want
