@@ -1,10 +1,11 @@
 """Join helpers: broadcast only a side whose size has been checked.
 
 A broadcast side is shipped whole to every executor, so it must have a proven
-bound. ``bounded_broadcast`` counts at most ``max_rows + 1`` rows of the side
-(and optionally sums a byte measure) and only then hints ``broadcast``; beyond
-the bound the side is left to a shuffle join, where AQE still converts to a
-broadcast join if the runtime size is small and splits skewed partitions.
+bound. ``bounded_broadcast`` writes the side once, counts its rows (and
+optionally a byte measure) on the written copy, and only then hints
+``broadcast``; beyond the bound the copy goes to a shuffle join in which the
+hot keys of the big side are salted (``salted_join``), and AQE splits any
+remaining skewed partitions.
 """
 
 from __future__ import annotations
@@ -20,35 +21,34 @@ DEFAULT_MAX_ROWS = 2_000_000
 DEFAULT_MAX_BYTES = 256 * 1024 * 1024
 
 
-def side_size(df: DataFrame, byte_measure: Column | None = None,
-              max_rows: int | None = DEFAULT_MAX_ROWS) -> tuple[int, int]:
-    """(rows, bytes) of ``df``, counting at most ``max_rows + 1`` rows (all if None)."""
-    probe = df if max_rows is None else df.limit(max_rows + 1)
+def side_size(df: DataFrame, byte_measure: Column | None = None) -> tuple[int, int]:
+    """(rows, bytes) of ``df``: one partial + final aggregate."""
     measure = byte_measure if byte_measure is not None else F.lit(0)
-    row = probe.agg(F.count(F.lit(1)).alias("n"),
-                    F.coalesce(F.sum(measure), F.lit(0)).alias("b")).first()
+    row = df.agg(F.count(F.lit(1)).alias("n"),
+                 F.coalesce(F.sum(measure), F.lit(0)).alias("b")).first()
     return int(row["n"]), int(row["b"])
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
                       byte_measure: Column | None = None,
                       max_bytes: int = DEFAULT_MAX_BYTES) -> tuple[DataFrame, bool]:
-    """``(broadcast(small), True)`` if the size check passes, else ``(df, False)``.
-
-    At most ``max_rows + 1`` rows of the side are written once to the shared
-    checkpoint folder; the check reads that small table, and when it passes
-    the broadcast ships the written copy, so the side is computed only once
-    and its lineage is cut. Beyond the bound the original side is returned for
-    a shuffle join.
+    """``(broadcast(side), True)`` if the size check passes, else ``(side, False)``.
+
+    The side is written once to the shared checkpoint folder (a distributed
+    write that also cuts its lineage). Rows and bytes are counted on the
+    written copy with an ordinary partial + final aggregate (no single-task
+    funnel, whatever the size). That copy is what is returned: broadcast when
+    it is within the bounds, otherwise for a shuffle join. Either way the side
+    is computed exactly once.
     """
     spark = df.sparkSession
-    path = shared_path(spark, "small-side")
-    df.limit(max_rows + 1).write.mode("errorifexists").parquet(path)
-    small = spark.read.parquet(path)
-    rows, nbytes = side_size(small, byte_measure, max_rows=None)
+    path = shared_path(spark, "join-side")
+    df.write.mode("errorifexists").parquet(path)
+    stored = spark.read.parquet(path)
+    rows, nbytes = side_size(stored, byte_measure)
     if rows <= max_rows and nbytes <= max_bytes:
-        return F.broadcast(small), True
-    return df, False
+        return F.broadcast(stored), True
+    return stored, False
 
 
 def string_bytes(*cols: str) -> Column:

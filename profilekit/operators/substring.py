@@ -98,7 +98,7 @@ def _automaton(texts: DataFrame, keys: DataFrame) -> DataFrame:
     path = shared_path(spark, "match-keys")
     keys.write.mode("errorifexists").parquet(path)
     stored = spark.read.parquet(path)
-    rows, nbytes = side_size(stored, string_bytes("key"), max_rows=None)
+    rows, nbytes = side_size(stored, string_bytes("key"))
     shards = max(1, math.ceil(rows / MAX_KEYS_PER_SHARD), math.ceil(nbytes / MAX_KEY_BYTES_PER_SHARD))
     if shards == 1:
         found = _scan_with_automaton(texts, [(r["key"], r["priority"]) for r in stored.collect()])
