@@ -110,8 +110,11 @@ def auc(scored: DataFrame, run_col: str, label_col: str, score_col: str,
     y = F.col(label_col).cast("long")
     per_score = (scored.groupBy(run_col, score_col)
                  .agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")))
+    # written once: the totals and the running sums both read it, and the
+    # partition ids stay fixed if a task is retried
     ranged = (per_score.repartitionByRange(parts, run_col, score_col)
-              .withColumn("_pid", F.spark_partition_id()))
+              .withColumn("_pid", F.spark_partition_id())
+              .checkpoint(eager=True))
     totals = ranged.groupBy(run_col, "_pid").agg(F.sum("neg").alias("_part_neg"))
     before = Window.partitionBy(run_col).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(run_col, "_pid",
@@ -231,6 +234,7 @@ def ablation_compare(metrics: DataFrame, run_col: str, baseline, cols: Sequence[
     ``metrics`` has one row per run; the single baseline row is read once and
     its values enter the projection as literals.
     """
+    metrics = metrics.checkpoint(eager=True)  # one row per run, computed once
     base = metrics.filter(F.col(run_col) == F.lit(baseline)).select(*cols).first()
     if base is None:
         raise ValueError(f"baseline run {baseline!r} not found")

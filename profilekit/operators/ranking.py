@@ -21,7 +21,8 @@ def global_index(df: DataFrame, order: Sequence[str], name: str = "index",
     """``df`` plus ``name`` = 1-based position of the row in ``order`` (order must be unique)."""
     spark = df.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *order).withColumn("_pid", F.spark_partition_id())
+    ranged = (df.repartitionByRange(parts, *order).withColumn("_pid", F.spark_partition_id())
+              .checkpoint(eager=True))  # read twice; partition ids fixed
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # one row per partition: the window over it is tiny
