@@ -1,0 +1,5 @@
+"""Structured Streaming forms of the per-day profiles."""
+
+from profilekit.streaming.daily import closed_day_profiles, refresh_day_profiles
+
+__all__ = ["closed_day_profiles", "refresh_day_profiles"]
