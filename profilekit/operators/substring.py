@@ -3,7 +3,8 @@
 For each distinct text: the dictionary key of smallest ``priority`` (file order)
 that occurs in the text as a substring; texts without any key are dropped.
 
-``text contains key`` cannot be hashed, so three exact forms are offered:
+``text contains key`` cannot be hashed, so two exact forms are offered, neither
+of which forms text x key pairs:
 
 - ``automaton`` (default): the key list is compiled once per task into an
   Aho-Corasick automaton and every text is scanned once, in time linear in the
@@ -17,8 +18,6 @@ that occurs in the text as a substring; texts without any key are dropped.
   length is exploded and equi-joined with the keys (hash join). Spark's
   substring walks the text from its start, so cost grows with the square of
   the text length.
-- ``contains``: broadcast nested-loop join on ``contains``; the brute-force
-  form, for checks on small data only.
 
 Empty keys are dropped on load (an empty key would match every text).
 """
@@ -142,17 +141,7 @@ def _ngram(texts: DataFrame, keys: DataFrame) -> DataFrame:
             .select("text", "_b.key", "_b.priority"))
 
 
-def _contains(texts: DataFrame, keys: DataFrame) -> DataFrame:
-    side, ok = bounded_broadcast(keys, max_rows=100_000, byte_measure=string_bytes("key"))
-    if not ok:
-        raise ValueError("the contains form is for small dictionaries; use method='automaton'")
-    pairs = texts.join(side, F.col("text").contains(F.col("key")), "inner")
-    return (pairs.groupBy("text")
-            .agg(F.min(F.struct("priority", "key")).alias("_b"))
-            .select("text", "_b.key", "_b.priority"))
-
-
-METHODS = {"automaton": _automaton, "ngram": _ngram, "contains": _contains}
+METHODS = {"automaton": _automaton, "ngram": _ngram}
 
 
 def first_key_match(texts: DataFrame, text_col: str, dictionary: DataFrame, key_col: str,

