@@ -25,6 +25,7 @@ Empty keys are dropped on load (an empty key would match every text).
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -56,17 +57,34 @@ def _scan_with_automaton(texts: DataFrame, keys: list[tuple[str, int]]) -> DataF
     """Per-task Aho-Corasick scan: ``(text, key, priority)`` of the best key per text."""
     spark = texts.sparkSession
     shipped = spark.sparkContext.broadcast(keys)
+    token = uuid.uuid4().hex
 
     def scan(batches):
+        import sys
+        import types
+
         import ahocorasick
         import pandas as pd
 
-        auto = ahocorasick.Automaton()
-        best_possible = None
-        for key, pri in shipped.value:
-            auto.add_word(key, (pri, key))
-            best_possible = pri if best_possible is None else min(best_possible, pri)
-        auto.make_automaton()
+        # Python workers are reused across tasks: build each automaton once per
+        # worker process (at most two kept), not once per task.
+        holder = sys.modules.get("_profilekit_automata")
+        if holder is None:
+            holder = types.ModuleType("_profilekit_automata")
+            holder.cache = {}
+            sys.modules["_profilekit_automata"] = holder
+        if token in holder.cache:
+            auto, best_possible = holder.cache[token]
+        else:
+            auto = ahocorasick.Automaton()
+            best_possible = None
+            for key, pri in shipped.value:
+                auto.add_word(key, (pri, key))
+                best_possible = pri if best_possible is None else min(best_possible, pri)
+            auto.make_automaton()
+            while len(holder.cache) >= 2:
+                holder.cache.pop(next(iter(holder.cache)))
+            holder.cache[token] = (auto, best_possible)
         for pdf in batches:
             out_t, out_k, out_p = [], [], []
             for text in pdf["text"]:
