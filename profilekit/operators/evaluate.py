@@ -146,7 +146,8 @@ def _num(c: Column) -> Column:
     return c.cast("string")
 
 
-def format_reports(report: DataFrame, metrics: DataFrame, run_col: str) -> DataFrame:
+def format_reports(report: DataFrame, metrics: DataFrame, run_col: str,
+                   classes: Sequence[tuple[int, str]] = DEFAULT_CLASSES) -> DataFrame:
     """One 12-line text block per run (``run``, ``block``), lines joined by CRLF.
 
     ``report`` is ``class_report`` output; ``metrics`` holds ``auc`` and
@@ -155,13 +156,16 @@ def format_reports(report: DataFrame, metrics: DataFrame, run_col: str) -> DataF
     """
     line = F.concat_ws(",", F.col("label"), _num(F.col("precision")), _num(F.col("recall")),
                        _num(F.col("f1_score")), _num(F.col("support")))
-    order = F.when(F.col("label").isin(*AVERAGE_LABELS),
-                   F.array_position(F.array(*[F.lit(x) for x in AVERAGE_LABELS]), F.col("label")) + 10)
-    lines = report.select(run_col, F.coalesce(order, F.lit(0)).alias("_o"), "label", line.alias("line"))
+    # class lines in class order, then the three averages
+    names = [name for _, name in sorted(classes)]
+    order = F.coalesce(
+        F.when(F.col("label").isin(*names), F.array_position(F.array(*[F.lit(x) for x in names]), F.col("label"))),
+        F.array_position(F.array(*[F.lit(x) for x in AVERAGE_LABELS]), F.col("label")) + 100)
+    lines = report.select(run_col, order.alias("_o"), "label", line.alias("line"))
     per_run = lines.groupBy(run_col).agg(
         F.sort_array(F.collect_list(F.struct("_o", "label", "line"))).alias("_lines"))
-    cls = F.filter(F.col("_lines"), lambda s: s["_o"] == 0)
-    avg = F.filter(F.col("_lines"), lambda s: s["_o"] > 0)
+    cls = F.filter(F.col("_lines"), lambda s: s["_o"] < 100)
+    avg = F.filter(F.col("_lines"), lambda s: s["_o"] > 100)
     joined = per_run.join(metrics, run_col, "left")
     block = F.concat_ws(
         "\r\n",

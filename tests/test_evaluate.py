@@ -73,7 +73,12 @@ def test_report_blocks_round_trip(spark, tmp_path):
     rep = E.class_report(df, "run", "y", "pred")
     metrics = (E.auc(df, "run", "y", "p").join(E.log_loss(df, "run", "y", "p"), "run"))
     path = str(tmp_path / "reports")
-    E.write_reports(E.format_reports(rep, metrics, "run"), "run", path)
+    blocks = E.format_reports(rep, metrics, "run")
+    first = blocks.orderBy("run").first()["block"].split("\r\n")
+    assert len(first) == E.BLOCK_LINES and first[0] == E.REPORT_HEADER and first[9] == E.AUC_MARKER
+    assert [ln.split(",")[0] for ln in first[2:4]] == ["exposure", "click"]
+    assert [ln.split(",")[0] for ln in first[5:8]] == list(E.AVERAGE_LABELS)
+    E.write_reports(blocks, "run", path)
     back = E.read_reports(spark, path).drop("file")
     assert rows(back) == rows(rep.select(F.col("run").alias("field"), "label", "precision", "recall",
                                          "f1_score", "support"))
