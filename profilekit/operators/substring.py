@@ -53,8 +53,13 @@ def clean_keys(dictionary: DataFrame, key_col: str, priority_col: str) -> DataFr
             .groupBy("key").agg(F.min("priority").alias("priority")))
 
 
-def _scan_with_automaton(texts: DataFrame, keys: list[tuple[str, int]]) -> DataFrame:
-    """Per-task Aho-Corasick scan: ``(text, key, priority)`` of the best key per text."""
+def _scan_with_automaton(texts: DataFrame, keys: list[tuple[str, int]], force_plain: bool = False) -> DataFrame:
+    """Per-task Aho-Corasick scan: ``(text, key, priority)`` of the best key per text.
+
+    Where the ``ahocorasick`` package is missing (or ``force_plain``), each text
+    is checked against the keys in priority order instead: the same result,
+    in time proportional to keys x text length.
+    """
     spark = texts.sparkSession
     shipped = spark.sparkContext.broadcast(keys)
     token = uuid.uuid4().hex
@@ -63,9 +68,15 @@ def _scan_with_automaton(texts: DataFrame, keys: list[tuple[str, int]]) -> DataF
         import sys
         import types
 
-        import ahocorasick
         import pandas as pd
 
+        try:
+            import ahocorasick
+        except ImportError:  # executors without the package: same result, slower
+            ahocorasick = None
+        if force_plain:
+            ahocorasick = None
+
         # Python workers are reused across tasks: build each automaton once per
         # worker process (at most two kept), not once per task.
         holder = sys.modules.get("_profilekit_automata")
@@ -75,7 +86,7 @@ def _scan_with_automaton(texts: DataFrame, keys: list[tuple[str, int]]) -> DataF
             sys.modules["_profilekit_automata"] = holder
         if token in holder.cache:
             auto, best_possible = holder.cache[token]
-        else:
+        elif ahocorasick is not None:
             auto = ahocorasick.Automaton()
             best_possible = None
             for key, pri in shipped.value:
@@ -85,17 +96,28 @@ def _scan_with_automaton(texts: DataFrame, keys: list[tuple[str, int]]) -> DataF
             while len(holder.cache) >= 2:
                 holder.cache.pop(next(iter(holder.cache)))
             holder.cache[token] = (auto, best_possible)
+        else:
+            auto, best_possible = None, None
+            ordered = sorted((pri, key) for key, pri in shipped.value)
+
+        def best_of(text):
+            if auto is None:
+                # keys in priority order; the first one contained in the text wins
+                return next(((pri, key) for pri, key in ordered if key in text), None)
+            best = None
+            for _, (pri, key) in auto.iter(text):
+                if best is None or pri < best[0]:
+                    best = (pri, key)
+                    if pri == best_possible:
+                        break
+            return best
+
         for pdf in batches:
             out_t, out_k, out_p = [], [], []
             for text in pdf["text"]:
                 if text is None:
                     continue
-                best = None
-                for _, (pri, key) in auto.iter(text):
-                    if best is None or pri < best[0]:
-                        best = (pri, key)
-                        if pri == best_possible:
-                            break
+                best = best_of(text)
                 if best is not None:
                     out_t.append(text)
                     out_k.append(best[1])

@@ -136,3 +136,12 @@ def test_match_titles_require_field_filters_on_parsed_title(spark):
     out = match_titles(texts, d, score_cols=["entertainment"], require_field="title")
     # the key is searched in the whole payload, but only payloads with a title take part
     assert rows(out) == [('{"title":"alpha one"}', "alpha", 1.0)]
+
+
+def test_automaton_fallback_without_package(spark):
+    rnd = random.Random(5)
+    texts = ["".join(rnd.choice("abc ") for _ in range(25)) for _ in range(150)]
+    keys = list({("".join(rnd.choice("abc") for _ in range(rnd.randint(1, 3))), i) for i in range(30)})
+    tdf = spark.createDataFrame([(t,) for t in texts], "text string")
+    plain = _as_dict(substring._scan_with_automaton(tdf, keys, force_plain=True).distinct())
+    assert plain == brute(texts, keys)
