@@ -9,8 +9,8 @@ Modes:
 - ``create``: fails if the target exists.
 
 Writes go by column name: the target schema order is applied with ``select``.
-Tasks write the rows they hold; no repartition by the partition column, so a
-day holding a third of all rows is still written by many tasks.
+Dynamic partitioned writes are rebalanced on the partition column (AQE splits
+a day holding a third of all rows over many tasks and merges small days).
 """
 
 from __future__ import annotations
@@ -27,12 +27,16 @@ MODES = {"overwrite": "overwrite", "append": "append", "create": "errorifexists"
 
 def publish(df: DataFrame, path: str, mode: str = "overwrite", partition_col: str | None = None,
             partition_value: str | _dt.date | None = None, columns: Sequence[str] | None = None,
-            max_records_per_file: int | None = None) -> None:
+            max_records_per_file: int | None = None, balance_files: bool = True) -> None:
     """Write ``df`` to ``path``.
 
     ``partition_value`` stamps a static partition (``etl_month='2024-01'``);
     without it an existing ``partition_col`` column gives dynamic partitions
-    (every day of a per-day profile in one pass).
+    (every day of a per-day profile in one pass). With ``balance_files`` the
+    rows of a partitioned write are rebalanced on the partition column (one
+    shuffle of the output): AQE splits a hot day over several tasks and
+    merges small days, so each day gets a few files of the advisory size
+    instead of one file per task and day.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {sorted(MODES)}")
@@ -41,6 +45,8 @@ def publish(df: DataFrame, path: str, mode: str = "overwrite", partition_col: st
         out = out.withColumn(partition_col, F.lit(str(partition_value)))
     if columns is not None:
         out = out.select(*columns)
+    if partition_col and partition_value is None and balance_files:
+        out = out.hint("rebalance", partition_col)
     writer = out.write.mode(MODES[mode]).option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         writer = writer.option("maxRecordsPerFile", max_records_per_file)
