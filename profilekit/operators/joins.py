@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from profilekit.session import shared_path
 
@@ -91,7 +92,11 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     if not hot or buckets <= 1:
         return big.join(small, big[big_key] == small[small_key], how)
     is_hot_big = F.col(big_key).isin(hot)
-    row_hash = F.xxhash64(*[F.col(c) for c in big.columns])
+    # Content hash, not a random number: a retried task salts every row the
+    # same way. Exact duplicate rows share a salt; AQE's skew-join split still
+    # divides such a partition by map output blocks.
+    hashable = [F.col(f.name) for f in big.schema.fields if not isinstance(f.dataType, T.MapType)]
+    row_hash = F.xxhash64(*hashable)
     big_s = big.withColumn("_salt", F.when(is_hot_big, F.pmod(row_hash, F.lit(buckets))).otherwise(F.lit(0)))
     salts = F.when(F.col(small_key).isin(hot), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
     small_s = small.withColumn("_salt", F.explode(salts)).withColumnRenamed("_salt", "_salt_s")
