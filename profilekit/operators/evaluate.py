@@ -102,44 +102,52 @@ def class_report(pred: DataFrame, run_col: str | None, label_col: str, pred_col:
             .select(*keys, "r.label", "r.precision", "r.recall", "r.f1_score", "r.support"))
 
 
-def auc(scored: DataFrame, run_col: str, label_col: str, score_col: str,
+def _keys(run_col: str | Sequence[str]) -> list[str]:
+    return [run_col] if isinstance(run_col, str) else list(run_col)
+
+
+def auc(scored: DataFrame, run_col: str | Sequence[str], label_col: str, score_col: str,
         partitions: int | None = None) -> DataFrame:
-    """Exact AUC per run: ``sum(pos * (neg_below + neg_same / 2)) / (P * N)``; NULL if a class is missing."""
+    """Exact AUC per run: ``sum(pos * (neg_below + neg_same / 2)) / (P * N)``; NULL if a class is missing.
+
+    ``run_col`` may be several columns (a run and a segment, say).
+    """
+    keys = _keys(run_col)
     spark = scored.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     y = F.col(label_col).cast("long")
-    per_score = (scored.groupBy(run_col, score_col)
+    per_score = (scored.groupBy(*keys, score_col)
                  .agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")))
     # written once: the totals and the running sums both read it, and the
     # partition ids stay fixed if a task is retried
-    ranged = (per_score.repartitionByRange(parts, run_col, score_col)
+    ranged = (per_score.repartitionByRange(parts, *keys, score_col)
               .withColumn("_pid", F.spark_partition_id())
               .checkpoint(eager=True))
-    totals = ranged.groupBy(run_col, "_pid").agg(F.sum("neg").alias("_part_neg"))
-    before = Window.partitionBy(run_col).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(run_col, "_pid",
+    totals = ranged.groupBy(*keys, "_pid").agg(F.sum("neg").alias("_part_neg"))
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*keys, "_pid",
                             F.coalesce(F.sum("_part_neg").over(before), F.lit(0)).alias("_offset"))
     side, _ = bounded_broadcast(offsets)
-    inside = (Window.partitionBy(run_col, "_pid").orderBy(score_col)
+    inside = (Window.partitionBy(*keys, "_pid").orderBy(score_col)
               .rowsBetween(Window.unboundedPreceding, -1))
-    with_below = (ranged.join(side, [run_col, "_pid"], "inner")
+    with_below = (ranged.join(side, [*keys, "_pid"], "inner")
                   .withColumn("_below", F.col("_offset")
                               + F.coalesce(F.sum("neg").over(inside), F.lit(0))))
     contrib = F.col("pos").cast("double") * (F.col("_below").cast("double") + F.col("neg") / F.lit(2.0))
-    return (with_below.groupBy(run_col)
+    return (with_below.groupBy(*keys)
             .agg(F.sum(contrib).alias("_area"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-            .select(run_col, F.when((F.col("n_pos") == 0) | (F.col("n_neg") == 0), F.lit(None))
+            .select(*keys, F.when((F.col("n_pos") == 0) | (F.col("n_neg") == 0), F.lit(None))
                     .otherwise(F.col("_area") / (F.col("n_pos").cast("double") * F.col("n_neg").cast("double")))
                     .alias("auc"), "n_pos", "n_neg"))
 
 
-def log_loss(scored: DataFrame, run_col: str, label_col: str, score_col: str,
+def log_loss(scored: DataFrame, run_col: str | Sequence[str], label_col: str, score_col: str,
              eps: float = 1e-15) -> DataFrame:
     """Mean of ``-(y ln p + (1 - y) ln(1 - p))`` per run, ``p`` clipped to ``[eps, 1 - eps]``."""
     p = F.least(F.greatest(F.col(score_col).cast("double"), F.lit(eps)), F.lit(1.0 - eps))
     y = F.col(label_col).cast("double")
     term = -(y * F.ln(p) + (F.lit(1.0) - y) * F.ln(F.lit(1.0) - p))
-    return scored.groupBy(run_col).agg(F.avg(term).alias("logloss"))
+    return scored.groupBy(*_keys(run_col)).agg(F.avg(term).alias("logloss"))
 
 
 def _num(c: Column) -> Column:
@@ -243,7 +251,7 @@ def ablation_compare(metrics: DataFrame, run_col: str, baseline, cols: Sequence[
     if base is None:
         raise ValueError(f"baseline run {baseline!r} not found")
     deltas = [(F.col(c) - F.lit(base[c]).cast("double")).alias(f"delta_{c}") for c in cols]
-    return metrics.select(run_col, *cols, *deltas)
+    return metrics.select(run_col, *cols, *deltas).orderBy(f"delta_{cols[0]}")
 
 
 def vocabulary(lines: DataFrame, line_col: str, sep: str = ",", head_tokens: int = 1) -> DataFrame:

@@ -298,6 +298,16 @@ def auc_logloss(spark: SparkSession, base: str) -> DataFrame:
     return _run_metrics(spark, base)
 
 
+@register("segment_auc")
+def segment_auc(spark: SparkSession, base: str) -> DataFrame:
+    """M10 with M7 + M8: AUC and log-loss per run and segment (weekday of the event)."""
+    scored = S.scored_runs(spark, base)
+    a = E.auc(scored, ["field", "segment"], "y", "p")
+    ll = E.log_loss(scored, ["field", "segment"], "y", "p")
+    return a.join(ll, ["field", "segment"], "inner").select(
+        "field", "segment", "auc", F.round("logloss", 9).alias("logloss"), "n_pos", "n_neg")
+
+
 @register("ablation_compare")
 def ablation_compare(spark: SparkSession, base: str) -> DataFrame:
     """M9: AUC and log-loss of each left-out-feature run against the full run."""

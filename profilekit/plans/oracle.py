@@ -321,12 +321,12 @@ def _scored() -> str:
     runs = []
     for r in range(S.FULL_RUN + 1):
         s = " + ".join(["0"] + [f"coalesce({f}, 0)" for i, f in enumerate(S.FEATURES) if i != r])
-        runs.append(f"SELECT {r} AS field, y, ({s}) AS s FROM feats")
+        runs.append(f"SELECT {r} AS field, weekday AS segment, y, ({s}) AS s FROM feats")
     return f"""
 feats AS ({_FEATURES}),
 runs AS ({' UNION ALL '.join(runs)}),
 scored AS (
-  SELECT field, y, (cast(s AS DOUBLE) + 0.5) / (cast(s AS DOUBLE) + 100.5) AS p,
+  SELECT field, segment, y, (cast(s AS DOUBLE) + 0.5) / (cast(s AS DOUBLE) + 100.5) AS p,
          CASE WHEN (cast(s AS DOUBLE) + 0.5) / (cast(s AS DOUBLE) + 100.5) >= 0.5 THEN 1 ELSE 0 END AS pred
   FROM runs
 )"""
@@ -399,3 +399,20 @@ SQL["matched_payloads"] = f"""
 WITH {PAYLOAD_SCORES}, {_matched_sql(1, 1, 10)}
 SELECT m.imei AS userid, m.mediadata FROM matched m JOIN payload_scores s ON m.mediadata = s.yktag
 """
+
+SQL["segment_auc"] = f"""
+WITH {_scored()},
+g AS (SELECT field, segment, p, sum(y) AS pos, sum(1 - y) AS neg FROM scored GROUP BY field, segment, p),
+w AS (SELECT field, segment, pos, neg,
+        coalesce(sum(neg) OVER (PARTITION BY field, segment ORDER BY p
+                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g),
+a AS (SELECT field, segment, sum(cast(pos AS DOUBLE) * (cast(below AS DOUBLE) + neg / 2.0)) AS area,
+        cast(sum(pos) AS BIGINT) AS n_pos, cast(sum(neg) AS BIGINT) AS n_neg FROM w GROUP BY field, segment),
+ll AS (SELECT field, segment, avg(-(cast(y AS DOUBLE) * ln(least(greatest(p, 1e-15), 1.0 - 1e-15))
+                        + (1.0 - cast(y AS DOUBLE)) * ln(1.0 - least(greatest(p, 1e-15), 1.0 - 1e-15))))
+          AS logloss FROM scored GROUP BY field, segment)
+SELECT a.field, a.segment, CASE WHEN n_pos = 0 OR n_neg = 0 THEN NULL
+                       ELSE area / (cast(n_pos AS DOUBLE) * cast(n_neg AS DOUBLE)) END AS auc,
+       round(ll.logloss, 9) AS logloss, n_pos, n_neg
+FROM a JOIN ll ON a.field = ll.field AND a.segment = ll.segment
+"""

@@ -133,15 +133,15 @@ def event_features(spark: SparkSession, base: str) -> DataFrame:
 
 
 def scored_runs(spark: SparkSession, base: str) -> DataFrame:
-    """``(field, y, p, pred)``: one row per event and run."""
+    """``(field, segment, y, p, pred)``: one row per event and run; segment = weekday."""
     feats = event_features(spark, base)
     runs = []
     for r in range(FULL_RUN + 1):
         s = sum((F.coalesce(F.col(f), F.lit(0)) for i, f in enumerate(FEATURES) if i != r), F.lit(0))
         runs.append(F.struct(F.lit(r).alias("field"), s.alias("s")))
     p = (F.col("s").cast("double") + F.lit(0.5)) / (F.col("s").cast("double") + F.lit(100.5))
-    return (feats.select("y", F.inline(F.array(*runs)))
-            .select("field", "y", p.alias("p"), (p >= F.lit(0.5)).cast("int").alias("pred")))
+    return (feats.select("y", F.col("weekday").alias("segment"), F.inline(F.array(*runs)))
+            .select("field", "segment", "y", p.alias("p"), (p >= F.lit(0.5)).cast("int").alias("pred")))
 
 
 def feature_lines(spark: SparkSession, base: str) -> DataFrame:
