@@ -59,7 +59,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.master.startswith("local"):
             raise RuntimeError(f"{CHECKPOINT_CONF} must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="profilekit-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, configured)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 

@@ -2,7 +2,6 @@
 
 import hashlib
 
-from pyspark.sql import functions as F
 
 from profilekit import jobs
 from profilekit.sources.publish import read_published

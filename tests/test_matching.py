@@ -3,7 +3,6 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from profilekit.functions.columns import id_length
 from profilekit.operators import substring
