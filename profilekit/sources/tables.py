@@ -68,12 +68,17 @@ def in_days(df: DataFrame, first: str | _dt.date, last: str | _dt.date,
     """Rows whose day lies in ``[first, last]`` (both ends included).
 
     With a timestamp column the filter is written as a half-open timestamp
-    range so it is pushed to the parquet scan; otherwise it is a ``between`` on
-    the day column (partition pruning when that is the partition column).
+    range so it is pushed to the parquet scan; a ``between`` on the day column
+    is added when that column exists (partition pruning when it is the
+    partition column).
     """
     first, last = to_date(first), to_date(last)
+    by_day = F.col(day_col).between(first.isoformat(), last.isoformat())
     if ts_col and ts_col in df.columns:
         lo = _dt.datetime.combine(first, _dt.time())
         hi = _dt.datetime.combine(last + _dt.timedelta(days=1), _dt.time())
-        return df.filter(ntz_range(F.col(ts_col), lo, hi))
-    return df.filter(F.col(day_col).between(first.isoformat(), last.isoformat()))
+        by_ts = ntz_range(F.col(ts_col), lo, hi)
+        # both when both exist: the day column may be a partition column (folder
+        # pruning) and the timestamp range is pushed to the row groups
+        return df.filter(by_ts & by_day) if day_col in df.columns else df.filter(by_ts)
+    return df.filter(by_day)
