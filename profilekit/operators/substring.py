@@ -14,10 +14,10 @@ of which forms text x key pairs:
   checked, and a larger list is cut into shards that each pass the check
   (texts are then scanned once per shard and the best match per text is taken
   with a grouped ``min``; no pair of text and key is ever materialised).
-- ``ngram``: for title-sized texts only; every substring whose length is a key
-  length is exploded and equi-joined with the keys (hash join). Spark's
-  substring walks the text from its start, so cost grows with the square of
-  the text length.
+- ``ngram``: for title-sized texts; every substring whose length is a key
+  length is exploded and equi-joined with the keys (hash join). The text is
+  split into characters once and each gram is a slice, so a text of length L
+  costs L x n per key length n; the exploded rows make it a form for short texts.
 
 Empty keys are dropped on load (an empty key would match every text).
 """
@@ -156,10 +156,10 @@ def _automaton(texts: DataFrame, keys: DataFrame) -> DataFrame:
             .select("text", "_b.key", "_b.priority"))
 
 
-def _substring_of_length(n: int):
+def _gram_at(n: int):
     # transform() reads a two-parameter lambda as (element, index): keep exactly one.
     def at(i):
-        return F.substring(F.col("text"), i, F.lit(n))
+        return F.array_join(F.slice(F.col("_chars"), i, F.lit(n)), "")
     return at
 
 
@@ -168,10 +168,13 @@ def _ngram(texts: DataFrame, keys: DataFrame) -> DataFrame:
     side, _ = bounded_broadcast(keys, byte_measure=string_bytes("key"))
     hits = None
     for n in lengths:
+        # the text is split into characters once; each gram is a slice of that
+        # array, so a text of length L costs L * n, not L * L as with substring()
         grams = (texts.filter(F.length("text") >= n)
+                 .select("text", F.split(F.col("text"), "", -1).alias("_chars"))
                  .select("text", F.explode(F.array_distinct(F.transform(
                      F.sequence(F.lit(1), F.length("text") - F.lit(n - 1)),
-                     _substring_of_length(n)))).alias("key")))
+                     _gram_at(n)))).alias("key")))
         part = grams.join(side.filter(F.length("key") == n), "key", "inner")
         hits = part if hits is None else hits.unionByName(part)
     if hits is None:
