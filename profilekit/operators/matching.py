@@ -73,19 +73,20 @@ def id_coverage(ids: DataFrame, mapping: DataFrame, flag: str = "imei",
 
 
 def mapped_users(users: DataFrame, mapping: DataFrame, flag: str = "imei", hashed: bool = True,
-                 user_col: str = "userid") -> DataFrame:
+                 user_col: str = "userid", id_len: int = 32) -> DataFrame:
     """X11 (second half): profile users found in the mapping, by plain or md5 id.
 
     ``hashed=True`` joins the user id with the md5 of the mapping id (profile
-    ids are md5 text); ``hashed=False`` joins the plain ids. The mapping is not
-    deduplicated. The left join followed by a length rule on the mapping side
-    keeps matched rows only; the optimizer plans it as an inner join.
+    ids are md5 text); ``hashed=False`` joins the plain ids, as the original
+    did. The mapping is not deduplicated. The left join is followed by the
+    original length rule (``id_len`` characters) on the joined mapping id,
+    which keeps matched rows only; the optimizer plans it as an inner join.
     """
     app = (mapping.filter(F.col("app_flag") == flag)
            .select("idfa_imei", md5_id("idfa_imei").alias("imeimd5")))
     key = "imeimd5" if hashed else "idfa_imei"
     joined = checked_join(users, app, user_col, key, "left")
-    kept = joined.filter(F.length(F.col(key)) == 32) if hashed else joined.filter(F.col(key).isNotNull())
+    kept = joined.filter(F.length(F.col(key)) == id_len)
     return kept.select(user_col, "idfa_imei", "imeimd5")
 
 

@@ -115,8 +115,11 @@ def test_id_coverage_and_md5(spark):
     users = spark.createDataFrame([("0cc175b9c0f1b6a831c399e269772661",), ("zzz",)], "userid string")  # md5('a')
     got = mapped_users(users, mapping, hashed=True)
     assert rows(got) == [("0cc175b9c0f1b6a831c399e269772661", "a", "0cc175b9c0f1b6a831c399e269772661")] * 2
-    plain = mapped_users(spark.createDataFrame([("c",), ("b",)], "userid string"), mapping, hashed=False)
-    assert [r[0] for r in rows(plain)] == ["c"]
+    long_id = "f" * 32
+    mapping2 = mapping.unionByName(spark.createDataFrame([(long_id, "imei")], "idfa_imei string, app_flag string"))
+    plain = mapped_users(spark.createDataFrame([("c",), (long_id,)], "userid string"), mapping2, hashed=False)
+    # plain join, then the original rule: the mapping id must have 32 characters
+    assert [r[0] for r in rows(plain)] == [long_id]
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert "LeftOuter" not in plan  # the length rule on the right side makes it an inner join
 
