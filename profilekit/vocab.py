@@ -60,7 +60,7 @@ SOCIAL_CODE_LABELS: tuple[tuple[str, str], ...] = (
     ("10014", "购物"),
 )
 
-# Divisor of averaged scores: scores in the dictionaries run 0..120.
+# --- fixed value: divisor applied to every averaged score (its meaning is not stated) ---
 SCORE_DIVISOR = 120.0
 
 LABEL_TO_INTEREST: dict[str, str] = dict(zip(INTEREST_LABELS, INTERESTS))
