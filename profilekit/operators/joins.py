@@ -30,9 +30,9 @@ def side_size(df: DataFrame, byte_measure: Column | None = None) -> tuple[int, i
     return int(row["n"]), int(row["b"])
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
+def bounded_broadcast(df: DataFrame, max_rows: int | None = None,
                       byte_measure: Column | None = None,
-                      max_bytes: int = DEFAULT_MAX_BYTES) -> tuple[DataFrame, bool]:
+                      max_bytes: int | None = None) -> tuple[DataFrame, bool]:
     """``(broadcast(side), True)`` if the size check passes, else ``(side, False)``.
 
     The side is written once to the shared checkpoint folder (a distributed
@@ -42,6 +42,8 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS,
     it is within the bounds, otherwise for a shuffle join. Either way the side
     is computed exactly once.
     """
+    max_rows = DEFAULT_MAX_ROWS if max_rows is None else max_rows
+    max_bytes = DEFAULT_MAX_BYTES if max_bytes is None else max_bytes
     spark = df.sparkSession
     path = shared_path(spark, "join-side")
     df.write.mode("errorifexists").parquet(path)
@@ -105,8 +107,8 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
 
 
 def checked_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, how: str = "inner",
-                 max_rows: int = DEFAULT_MAX_ROWS, byte_measure: Column | None = None,
-                 max_bytes: int = DEFAULT_MAX_BYTES) -> DataFrame:
+                 max_rows: int | None = None, byte_measure: Column | None = None,
+                 max_bytes: int | None = None) -> DataFrame:
     """Broadcast join when ``small`` passes the size check, else a hot-key-salted shuffle join."""
     side, ok = bounded_broadcast(small, max_rows, byte_measure, max_bytes)
     if ok:

@@ -73,3 +73,25 @@ def test_day_logic_independent_of_session_time_zone(spark, duck, name):
         spark.conf.set("spark.sql.session.timeZone", old)
     want = _canon(duck.execute(entry.oracle_sql()[name]).df())
     assert got == want
+
+
+FORCED = ["dict_profile", "dict_profile_day", "score_profile", "matched_score_profile", "match_ids_1d",
+          "id_coverage", "id_coverage_md5", "match_titles", "matched_payloads", "auc_logloss"]
+
+
+@pytest.mark.parametrize("name", FORCED)
+def test_query_matches_oracle_without_broadcasts(spark, duck, name, monkeypatch):
+    """Every checked join takes the shuffle path, salting the three heaviest keys; automata are sharded."""
+    from profilekit.operators import joins, substring
+    from pyspark.sql import functions as F
+
+    def top_keys(df, key, **_):
+        counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), key).limit(3)
+        return [r[key] for r in counts.collect() if r[key] is not None]
+
+    monkeypatch.setattr(joins, "DEFAULT_MAX_ROWS", 0)
+    monkeypatch.setattr(joins, "hot_keys", top_keys)
+    monkeypatch.setattr(substring, "MAX_KEYS_PER_SHARD", 7)
+    got = _canon(entry.queries()[name](spark, SF_DIR).toPandas())
+    want = _canon(duck.execute(entry.oracle_sql()[name]).df())
+    assert got == want
