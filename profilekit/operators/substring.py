@@ -34,8 +34,10 @@ from pyspark.sql import types as T
 from profilekit.operators.joins import bounded_broadcast, side_size, string_bytes
 from profilekit.session import shared_path
 
-MAX_KEYS_PER_SHARD = 1_000_000
-MAX_KEY_BYTES_PER_SHARD = 128 * 1024 * 1024
+# Bounds of one automaton: a trie node takes tens of bytes in the Python
+# worker, so a shard of 16 MB of key text stays around a gigabyte at worst.
+MAX_KEYS_PER_SHARD = 200_000
+MAX_KEY_BYTES_PER_SHARD = 16 * 1024 * 1024
 
 _MATCH_SCHEMA = T.StructType([
     T.StructField("text", T.StringType()),
