@@ -10,6 +10,8 @@ remaining skewed partitions.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -60,48 +62,57 @@ def string_bytes(*cols: str) -> Column:
 
 
 def hot_keys(df: DataFrame, key: str, fraction: float = 0.01, share: float | None = None,
-             seed: int = 17) -> list:
-    """Keys that alone hold at least ``share`` of the rows, estimated on a sample.
+             seed: int = 17) -> dict:
+    """Keys that alone hold at least ``share`` of the rows, with their share, estimated on a sample.
 
     ``share`` defaults to one shuffle partition's worth (1 / shuffle partitions),
-    so at most that many keys can qualify: the list is bounded by construction.
-    The estimate only decides where to salt; results do not depend on it.
+    so at most that many keys can qualify: the result is bounded by construction.
+    The estimate only decides where and how much to salt; results do not depend on it.
     """
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     share = share if share is not None else 1.0 / max(parts, 1)
-    sample = df.select(key).sample(fraction=fraction, seed=seed)
+    sample = df.select(key).filter(F.col(key).isNotNull()).sample(fraction=fraction, seed=seed)
     counts = sample.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.agg(F.sum("_n").alias("t")).first()["t"] or 0
     if total == 0:
-        return []
-    return [r[key] for r in counts.filter(F.col("_n") >= F.lit(share * total)).collect()]
+        return {}
+    return {r[key]: r["_n"] / total for r in counts.filter(F.col("_n") >= F.lit(share * total)).collect()}
 
 
 def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, how: str = "inner",
-                buckets: int | None = None, hot: list | None = None) -> DataFrame:
-    """Shuffle join where each hot key of ``big`` is spread over ``buckets`` salts.
-
-    Rows of ``big`` with a hot key get a deterministic salt (hash of the row, so
-    a retried task sends every row to the same place); the ``small`` rows of
-    those keys are replicated once per salt; all other keys use salt 0. For a
-    left join ``big`` must be the preserved side. Exact: every ``big`` row meets
-    each matching ``small`` row exactly once.
+                buckets: int | None = None, hot: dict | list | None = None) -> DataFrame:
+    """Shuffle join where each hot key of ``big`` is spread over several salts.
+
+    A hot key with share ``s`` of the big side gets about ``s * partitions``
+    salts (at least 2), so each salt carries roughly one partition's worth;
+    ``hot`` may also be a plain list (then every hot key gets ``buckets``).
+    Rows of ``big`` with a hot key get a deterministic salt (hash of the row,
+    so a retried task sends every row to the same place); the ``small`` rows of
+    those keys are replicated once per salt of their key; all other keys use
+    salt 0. For a left join ``big`` must be the preserved side. Exact: every
+    ``big`` row meets each matching ``small`` row exactly once.
     """
     spark = big.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     hot = hot_keys(big, big_key) if hot is None else hot
-    if not hot or buckets <= 1:
+    if not hot:
         return big.join(small, big[big_key] == small[small_key], how)
-    is_hot_big = F.col(big_key).isin(hot)
+    if isinstance(hot, dict):
+        salts = {k: max(2, min(parts, math.ceil(v * parts))) for k, v in hot.items()}
+    else:
+        salts = {k: max(2, buckets or parts) for k in hot}
+    n_salts = F.create_map(*[F.lit(x) for kv in salts.items() for x in kv])
     # Content hash, not a random number: a retried task salts every row the
     # same way. Exact duplicate rows share a salt; AQE's skew-join split still
     # divides such a partition by map output blocks.
     hashable = [F.col(f.name) for f in big.schema.fields if not isinstance(f.dataType, T.MapType)]
     row_hash = F.xxhash64(*hashable)
-    big_s = big.withColumn("_salt", F.when(is_hot_big, F.pmod(row_hash, F.lit(buckets))).otherwise(F.lit(0)))
-    salts = F.when(F.col(small_key).isin(hot), F.sequence(F.lit(0), F.lit(buckets - 1))).otherwise(F.array(F.lit(0)))
-    small_s = small.withColumn("_salt", F.explode(salts)).withColumnRenamed("_salt", "_salt_s")
+    big_n = F.try_element_at(n_salts, F.col(big_key))
+    big_s = big.withColumn("_salt", F.when(big_n.isNotNull(), F.pmod(row_hash, big_n)).otherwise(F.lit(0)))
+    small_n = F.try_element_at(n_salts, F.col(small_key))
+    small_salts = F.when(small_n.isNotNull(), F.sequence(F.lit(0), small_n - 1)).otherwise(F.array(F.lit(0)))
+    small_s = small.withColumn("_salt_s", F.explode(small_salts))
     cond = (big_s[big_key] == small_s[small_key]) & (big_s["_salt"] == small_s["_salt_s"])
     return big_s.join(small_s, cond, how).drop("_salt", "_salt_s")
 

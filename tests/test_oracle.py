@@ -87,7 +87,7 @@ def test_query_matches_oracle_without_broadcasts(spark, duck, name, monkeypatch)
 
     def top_keys(df, key, **_):
         counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), key).limit(3)
-        return [r[key] for r in counts.collect() if r[key] is not None]
+        return {r[key]: 0.3 for r in counts.collect() if r[key] is not None}
 
     monkeypatch.setattr(joins, "DEFAULT_MAX_ROWS", 0)
     monkeypatch.setattr(joins, "hot_keys", top_keys)
