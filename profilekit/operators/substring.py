@@ -6,8 +6,8 @@ that occurs in the text as a substring; texts without any key are dropped.
 ``text contains key`` cannot be hashed, so two exact forms are offered, neither
 of which forms text x key pairs:
 
-- ``automaton`` (default): the key list is compiled once per task into an
-  Aho-Corasick automaton and every text is scanned once, in time linear in the
+- ``automaton`` (default): the key list is compiled once per Python worker into
+  an Aho-Corasick automaton and every text is scanned once, in time linear in the
   text length plus matches, independent of the number of keys. Spark
   scans the texts where they lie and only the matches are deduplicated (no
   shuffle of whole texts); the key list is shipped only after its size is
@@ -166,8 +166,9 @@ def _gram_at(n: int):
 
 
 def _ngram(texts: DataFrame, keys: DataFrame) -> DataFrame:
-    lengths = sorted(r["n"] for r in keys.select(F.length("key").alias("n")).distinct().collect())
     side, _ = bounded_broadcast(keys, byte_measure=string_bytes("key"))
+    # one row per distinct key length: a handful of values
+    lengths = sorted(r["n"] for r in side.select(F.length("key").alias("n")).distinct().collect())
     hits = None
     for n in lengths:
         # the text is split into characters once; each gram is a slice of that
