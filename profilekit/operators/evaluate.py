@@ -194,18 +194,22 @@ def write_reports(blocks: DataFrame, run_col: str, path: str) -> None:
      .coalesce(1).write.mode("overwrite").option("lineSep", "\r\n").text(path))
 
 
+def _placed_lines(spark, path: str) -> DataFrame:
+    """``(file, field, at, f)``: each line of each report file, its block, its place, its fields."""
+    raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
+    lines = raw.select("file", F.posexplode(F.split("value", "\r?\n")).alias("pos", "line"))
+    return lines.select("file", F.floor(F.col("pos") / BLOCK_LINES).cast("int").alias("field"),
+                        (F.col("pos") % BLOCK_LINES).alias("at"), F.split("line", ",").alias("f"))
+
+
 def read_reports(spark, path: str) -> DataFrame:
-    """Report files -> ``(file, field, label, precision, recall, f1_score, support)`` and metrics.
+    """Report files -> ``(file, field, label, precision, recall, f1_score, support)``.
 
     Each file is a series of 12-line blocks; block number = ``field``. A file
     is read whole (reports are small), split into lines, and each line is
     placed by its position in the block.
     """
-    raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    lines = raw.select("file", F.posexplode(F.split("value", "\r?\n")).alias("pos", "line"))
-    placed = lines.select("file", F.floor(F.col("pos") / BLOCK_LINES).cast("int").alias("field"),
-                          (F.col("pos") % BLOCK_LINES).alias("at"), F.split("line", ",").alias("f"))
-    rows = placed.filter(F.col("at").isin(*CLASS_LINES, *AVERAGE_LINES))
+    rows = _placed_lines(spark, path).filter(F.col("at").isin(*CLASS_LINES, *AVERAGE_LINES))
     return rows.select(
         "file", "field",
         F.get(F.col("f"), 0).alias("label"),
@@ -218,15 +222,11 @@ def read_reports(spark, path: str) -> DataFrame:
 
 def read_report_metrics(spark, path: str) -> DataFrame:
     """``(file, field, auc, logloss)`` from the last two lines of each block."""
-    raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    lines = raw.select("file", F.posexplode(F.split("value", "\r?\n")).alias("pos", "line"))
-    placed = lines.select("file", F.floor(F.col("pos") / BLOCK_LINES).cast("int").alias("field"),
-                          (F.col("pos") % BLOCK_LINES).alias("at"), F.split("line", ",").alias("f"))
-    return (placed.filter(F.col("at").isin(AUC_LINE, LOGLOSS_LINE))
+    at = F.col("at")
+    return (_placed_lines(spark, path).filter(at.isin(AUC_LINE, LOGLOSS_LINE))
             .groupBy("file", "field")
-            .agg(F.max(F.when(F.col("at") == AUC_LINE, F.get(F.col("f"), 0))).cast("double").alias("auc"),
-                 F.max(F.when(F.col("at") == LOGLOSS_LINE, F.get(F.col("f"), 2))).cast("double")
-                 .alias("logloss")))
+            .agg(F.max(F.when(at == AUC_LINE, F.get(F.col("f"), 0))).cast("double").alias("auc"),
+                 F.max(F.when(at == LOGLOSS_LINE, F.get(F.col("f"), 2))).cast("double").alias("logloss")))
 
 
 def read_long_table(spark, path: str, sep: str = ",", header: bool = True) -> DataFrame:
