@@ -124,4 +124,5 @@ def checked_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     side, ok = bounded_broadcast(small, max_rows, byte_measure, max_bytes)
     if ok:
         return big.join(side, big[big_key] == side[small_key], how)
-    return salted_join(big, small, big_key, small_key, how)
+    # the written copy: the small side is not computed a second time
+    return salted_join(big, side, big_key, small_key, how)
