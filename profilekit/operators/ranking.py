@@ -13,7 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from profilekit.operators.joins import bounded_broadcast
 
 
 def global_index(df: DataFrame, order: Sequence[str], name: str = "index",
@@ -27,7 +26,8 @@ def global_index(df: DataFrame, order: Sequence[str], name: str = "index",
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # one row per partition: the window over it is tiny
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    side, _ = bounded_broadcast(offsets)
+    # exactly one row per range partition: bounded by construction
+    side = F.broadcast(offsets)
     local = Window.partitionBy("_pid").orderBy(*order)
     return (ranged.join(side, "_pid", "inner")
             .withColumn(name, (F.col("_off") + F.row_number().over(local)).cast("long"))
