@@ -131,3 +131,18 @@ def test_score_profile_semantics(spark, tmp_path):
     # u3 has only beta, whose first score is NULL: avg of nothing is NULL
     assert got["u3"]["entertainment"] is None
     assert got["u3"]["beauty"] == 0.0
+
+
+def test_dictionary_order_across_files(spark, tmp_path):
+    d = tmp_path / "dict"
+    d.mkdir()
+    (d / "part-a.tsv").write_text("k\tfirst\nj\tonly\n")
+    (d / "part-b.tsv").write_text("k\tsecond\n")
+    got = dict(rows(read_pair_dictionary(spark, str(d), key="appname", value="tag")))
+    assert got == {"k": "second", "j": "only"}  # file order by name, then line order
+    s = tmp_path / "scores"
+    s.mkdir()
+    (s / "a.txt").write_text("x," + ",".join(["1"] * 13) + "\ny," + ",".join(["2"] * 13) + "\n")
+    (s / "b.txt").write_text("z," + ",".join(["3"] * 13) + "\n")
+    pri = {r["iqytag"]: r["priority"] for r in read_scored_dictionary(spark, str(s)).collect()}
+    assert pri == {"x": 1, "y": 2, "z": 3}
