@@ -243,11 +243,16 @@ def order_long(df: DataFrame) -> DataFrame:
 def ablation_compare(metrics: DataFrame, run_col: str, baseline, cols: Sequence[str]) -> DataFrame:
     """Each run's metrics with ``delta_<m> = m - m(baseline run)``.
 
-    ``metrics`` has one row per run; the single baseline row is read once and
-    its values enter the projection as literals.
+    ``baseline`` is a run id, or ``"best"`` for the run with the highest first
+    metric (ties: smallest run id). ``metrics`` has one row per run; the single
+    baseline row is read once and its values enter the projection as literals.
     """
     metrics = metrics.checkpoint(eager=True)  # one row per run, computed once
-    base = metrics.filter(F.col(run_col) == F.lit(baseline)).select(*cols).first()
+    if baseline == "best":
+        chosen = metrics.orderBy(F.desc_nulls_last(cols[0]), F.asc(run_col)).select(*cols).first()
+        base = chosen
+    else:
+        base = metrics.filter(F.col(run_col) == F.lit(baseline)).select(*cols).first()
     if base is None:
         raise ValueError(f"baseline run {baseline!r} not found")
     deltas = [(F.col(c) - F.lit(base[c]).cast("double")).alias(f"delta_{c}") for c in cols]

@@ -122,6 +122,8 @@ def test_ablation_compare(spark):
     m = spark.createDataFrame([(0, 0.6, 0.7), (1, 0.65, 0.66), (2, 0.7, 0.6)], "run int, auc double, ll double")
     out = {r["run"]: r for r in E.ablation_compare(m, "run", 2, ["auc", "ll"]).collect()}
     assert math.isclose(out[0]["delta_auc"], 0.6 - 0.7) and out[2]["delta_ll"] == 0.0
+    best = {r["run"]: r for r in E.ablation_compare(m, "run", "best", ["auc", "ll"]).collect()}
+    assert best[2]["delta_auc"] == 0.0 and best[1]["delta_auc"] < 0
 
 
 def test_vocabulary(spark):
