@@ -249,8 +249,7 @@ def ablation_compare(metrics: DataFrame, run_col: str, baseline, cols: Sequence[
     """
     metrics = metrics.checkpoint(eager=True)  # one row per run, computed once
     if baseline == "best":
-        chosen = metrics.orderBy(F.desc_nulls_last(cols[0]), F.asc(run_col)).select(*cols).first()
-        base = chosen
+        base = metrics.orderBy(F.desc_nulls_last(cols[0]), F.asc(run_col)).select(*cols).first()
     else:
         base = metrics.filter(F.col(run_col) == F.lit(baseline)).select(*cols).first()
     if base is None:
