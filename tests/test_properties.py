@@ -47,3 +47,27 @@ def test_score_profile_equals_join_then_avg(spark, pairs, scores):
     for u in fast:
         a, b = fast[u], plain[u]
         assert (a is None and b is None) or math.isclose(a, b, rel_tol=1e-12)
+
+
+days_st = st.lists(st.integers(0, 40), min_size=1, max_size=30)
+
+
+@SETTINGS
+@given(days_st, st.integers(0, 3), st.integers(1, 3), st.integers(1, 6))
+def test_day_windows_match_brute_force(spark, back, nearest, width, count):
+    import datetime as dt
+
+    from profilekit.operators.extract import day_windows
+
+    as_of = dt.date(2024, 2, 10)
+    days = [(as_of - dt.timedelta(days=b)).isoformat() for b in back]
+    df = spark.createDataFrame([(d,) for d in days], "etl_dt string")
+    got = sorted((r["etl_dt"], r["window_start"], r["window_end"])
+                 for r in day_windows(df, as_of, nearest, width, count).collect())
+    want = []
+    for d, b in zip(days, back):
+        for w in range(count):
+            lo, hi = nearest + w * width, nearest + w * width + width - 1  # days back, both ends included
+            if lo <= b <= hi:
+                want.append((d, (as_of - dt.timedelta(days=hi)).isoformat(), (as_of - dt.timedelta(days=lo)).isoformat()))
+    assert got == sorted(want)
