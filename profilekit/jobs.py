@@ -25,7 +25,7 @@ from profilekit.functions.columns import id_length
 from profilekit.operators.extract import extract_payloads, trailing_range
 from profilekit.operators.matching import id_coverage, mapped_users, match_ids, match_titles
 from profilekit.operators.profile import flag_profile, score_profile
-from profilekit.operators.tagging import code_tags, dict_tags
+from profilekit.operators.tagging import code_tags, dict_tags, english_tags
 from profilekit.sources.files import read_id_list, read_pair_dictionary, read_scored_dictionary
 from profilekit.sources.publish import publish
 from profilekit.sources.tables import in_days, read_log
@@ -61,7 +61,8 @@ def coded_profile(spark: SparkSession, staging_path: str, out_path: str, as_of:
     staging = _window(read_log(spark, staging_path), as_of, from_i, to_i)
     per_day = month is None
     keep = ["userid", "etl_dt"] if per_day else ["userid"]
-    tagged = code_tags(staging, "mediadata", json_key, code_map or social_code_map(), code_len, keep=keep)
+    tagged = english_tags(code_tags(staging, "mediadata", json_key, code_map or social_code_map(), code_len,
+                                    keep=keep))
     prof = flag_profile(tagged, "userid", by=["etl_dt"] if per_day else [], source=source, update_dt=str(as_of))
     if per_day:
         publish(prof, out_path, partition_col="etl_dt")
@@ -73,13 +74,16 @@ def coded_profile(spark: SparkSession, staging_path: str, out_path: str, as_of:
 def dictionary_profile(spark: SparkSession, staging_path: str, dict_path: str, out_path: str, as_of: Day,
                        month: str | None = None, from_i: int | None = None, to_i: int | None = None,
                        source: str = "app") -> DataFrame:
-    """App-dictionary flag profile from ``user_id, appname`` staging rows."""
+    """App-dictionary flag profile from ``user_id, appname`` staging rows.
+
+    Dictionary tags may be the original interest labels or the English names.
+    """
     staging = _window(read_log(spark, staging_path), as_of, from_i, to_i)
     per_day = month is None
     log = staging.select(F.col("user_id").alias("userid"), "appname", "etl_dt")
     keep = ["userid", "etl_dt"] if per_day else ["userid"]
     d = read_pair_dictionary(spark, dict_path, key="appname", value="tag")
-    tagged = dict_tags(log, "appname", d, keep=keep, dict_key="appname")
+    tagged = english_tags(dict_tags(log, "appname", d, keep=keep, dict_key="appname"))
     prof = flag_profile(tagged, "userid", by=["etl_dt"] if per_day else [], source=source, update_dt=str(as_of))
     if per_day:
         publish(prof, out_path, partition_col="etl_dt")

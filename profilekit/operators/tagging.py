@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from profilekit.functions.columns import code_list, has_text, json_field, valid_tag
 from profilekit.operators.joins import checked_join, string_bytes
+from profilekit.vocab import INTEREST_LABELS, INTERESTS
 
 CodeMap = Sequence[tuple[str, str]] | DataFrame
 
@@ -83,3 +84,13 @@ def last_value_per_key(dictionary: DataFrame, key: str, value: str,
     order_struct = F.struct(*[F.col(c) for c in order])
     return (dictionary.groupBy(key)
             .agg(F.max_by(F.col(value), order_struct).alias(value)))
+
+
+def english_tags(tagged: DataFrame, tag_col: str = "tag") -> DataFrame:
+    """Tags given as the original interest labels become the English interest names.
+
+    Other tag values are kept as they are, so dictionaries in either language
+    feed the same 21 profile columns.
+    """
+    lookup = map_literal(zip(INTEREST_LABELS, INTERESTS))
+    return tagged.withColumn(tag_col, F.coalesce(F.try_element_at(lookup, F.col(tag_col)), F.col(tag_col)))

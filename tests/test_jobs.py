@@ -39,6 +39,10 @@ def test_jobs_end_to_end(spark, tmp_path):
     prof = {r["userid"]: r for r in jobs.coded_profile(spark, staging, month, "2024-01-31", month="2024-01").collect()}
     assert prof[_md5(IMEI_A)]["game"] == 1 and prof[_md5(IMEI_A)]["car"] == 1
     assert prof[_md5(IMEI_B)]["technology"] == 1
+    from profilekit.vocab import SOCIAL_CODE_LABELS
+    labelled = jobs.coded_profile(spark, staging, str(tmp_path / "month_labels"), "2024-01-31", month="2024-01",
+                                  code_map=list(SOCIAL_CODE_LABELS)).collect()
+    assert {r["userid"]: r["game"] for r in labelled} == {_md5(IMEI_A): 1, _md5(IMEI_B): 0}
     days = str(tmp_path / "days")
     jobs.coded_profile(spark, staging, days, "2024-01-31", from_i=1, to_i=3)
     assert spark.read.parquet(days).select("etl_dt").distinct().count() == 2
@@ -48,7 +52,7 @@ def test_jobs_end_to_end(spark, tmp_path):
     spark.createDataFrame([("d1", "maps", "2024-01-30"), ("d1", "chat", "2024-01-30"), ("d2", "none", "2024-01-30")],
                           "user_id string, appname string, etl_dt string").write.partitionBy("etl_dt").parquet(apps)
     dict_file = tmp_path / "apps.tsv"
-    dict_file.write_text("maps\ttourism\nchat\tlifestyle\n")
+    dict_file.write_text("maps\ttourism\nchat\t生活\n")  # a tag in the original labels
     app_prof = jobs.dictionary_profile(spark, apps, str(dict_file), str(tmp_path / "app_month"), "2024-01-31",
                                        month="2024-01").collect()
     assert [(r["userid"], r["tourism"], r["lifestyle"]) for r in app_prof] == [("d1", 1, 1)]
