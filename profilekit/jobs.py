@@ -56,14 +56,18 @@ def extract_staging(spark: SparkSession, log_path: str, out_path: str, as_of: Da
 def coded_profile(spark: SparkSession, staging_path: str, out_path: str, as_of: Day,
                   month: str | None = None, from_i: int | None = None, to_i: int | None = None,
                   json_key: str = "usertag", code_map: Sequence[tuple[str, str]] | DataFrame | None = None,
-                  code_len: int = 5, source: str = "social") -> DataFrame:
-    """Coded-tag flag profile: per month (``month``) or per day (days ``from_i..to_i-1`` back)."""
+                  code_len: int = 5, source: str = "social", columns: Sequence[str] | None = None) -> DataFrame:
+    """Coded-tag flag profile: per month (``month``) or per day (days ``from_i..to_i-1`` back).
+
+    ``columns`` renames the 21 interest columns (``vocab.INTEREST_LABELS`` gives the original names).
+    """
     staging = _window(read_log(spark, staging_path), as_of, from_i, to_i)
     per_day = month is None
     keep = ["userid", "etl_dt"] if per_day else ["userid"]
     tagged = english_tags(code_tags(staging, "mediadata", json_key, code_map or social_code_map(), code_len,
                                     keep=keep))
-    prof = flag_profile(tagged, "userid", by=["etl_dt"] if per_day else [], source=source, update_dt=str(as_of))
+    prof = flag_profile(tagged, "userid", columns=columns, by=["etl_dt"] if per_day else [], source=source,
+                        update_dt=str(as_of))
     if per_day:
         publish(prof, out_path, partition_col="etl_dt")
     else:
@@ -73,7 +77,7 @@ def coded_profile(spark: SparkSession, staging_path: str, out_path: str, as_of:
 
 def dictionary_profile(spark: SparkSession, staging_path: str, dict_path: str, out_path: str, as_of: Day,
                        month: str | None = None, from_i: int | None = None, to_i: int | None = None,
-                       source: str = "app") -> DataFrame:
+                       source: str = "app", columns: Sequence[str] | None = None) -> DataFrame:
     """App-dictionary flag profile from ``user_id, appname`` staging rows.
 
     Dictionary tags may be the original interest labels or the English names.
@@ -84,7 +88,8 @@ def dictionary_profile(spark: SparkSession, staging_path: str, dict_path: str, o
     keep = ["userid", "etl_dt"] if per_day else ["userid"]
     d = read_pair_dictionary(spark, dict_path, key="appname", value="tag")
     tagged = english_tags(dict_tags(log, "appname", d, keep=keep, dict_key="appname"))
-    prof = flag_profile(tagged, "userid", by=["etl_dt"] if per_day else [], source=source, update_dt=str(as_of))
+    prof = flag_profile(tagged, "userid", columns=columns, by=["etl_dt"] if per_day else [], source=source,
+                        update_dt=str(as_of))
     if per_day:
         publish(prof, out_path, partition_col="etl_dt")
     else:

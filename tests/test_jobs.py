@@ -56,6 +56,10 @@ def test_jobs_end_to_end(spark, tmp_path):
     app_prof = jobs.dictionary_profile(spark, apps, str(dict_file), str(tmp_path / "app_month"), "2024-01-31",
                                        month="2024-01").collect()
     assert [(r["userid"], r["tourism"], r["lifestyle"]) for r in app_prof] == [("d1", 1, 1)]
+    from profilekit.vocab import INTEREST_LABELS
+    named = jobs.dictionary_profile(spark, apps, str(dict_file), str(tmp_path / "app_named"), "2024-01-31",
+                                    month="2024-01", columns=INTEREST_LABELS).collect()
+    assert named[0]["旅游"] == 1 and named[0]["生活"] == 1
 
     # title scores from the video channel, then the video profile
     scores_file = tmp_path / "titles.txt"
