@@ -31,6 +31,7 @@ from profilekit.session import shared_path
 from profilekit.sources.publish import publish, read_published, with_partition_schema
 from profilekit.sources.tables import as_event_log, event_log, in_days, table
 from profilekit.streaming.daily import closed_day_profiles, refresh_day_profiles
+from profilekit.streaming.matching import stream_matched_ids
 from profilekit.vocab import INTERESTS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -397,3 +398,18 @@ def stream_closed_days(spark: SparkSession, base: str) -> DataFrame:
 def _stamp_events(df: DataFrame) -> DataFrame:
     # the profile stamp of the events stand-in
     return df.withColumns({"source": F.lit("events"), "update_dt": F.lit(S.AS_OF_TEXT)})
+
+
+@register("stream_match_ids_1d")
+def stream_match_ids_1d(spark: SparkSession, base: str) -> DataFrame:
+    """X9 as a stream: log files in, de-duplicated one-day-window matches appended to a parquet sink."""
+    schema = table(spark, base, "events").schema
+    sink = shared_path(spark, "stream_matched_ids")
+    ckpt = shared_path(spark, "stream_matched_checkpoint")
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(base)
+    matched = stream_matched_ids(as_event_log(stream), _customer_ids(spark, base), S.AS_OF, 1, 1, 10,
+                                 channel=S.VIDEO_CHANNEL, id_rule=_device_rule())
+    query = (matched.writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", ckpt).trigger(availableNow=True).start(sink))
+    query.awaitTermination()
+    return read_published(spark, sink, _matched(spark, base, 1).schema)

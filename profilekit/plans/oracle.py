@@ -416,3 +416,4 @@ SELECT a.field, a.segment, CASE WHEN n_pos = 0 OR n_neg = 0 THEN NULL
        round(ll.logloss, 9) AS logloss, n_pos, n_neg
 FROM a JOIN ll ON a.field = ll.field AND a.segment = ll.segment
 """
+SQL["stream_match_ids_1d"] = SQL["match_ids_1d"]

@@ -124,3 +124,35 @@ def test_closed_days_do_not_depend_on_session_time_zone(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == [("u1", "2024-01-01"), ("u2", "2024-01-02")]
+
+
+def test_streaming_id_match_dedups_across_micro_batches(spark, tmp_path):
+    from profilekit.streaming.matching import stream_matched_ids
+
+    log_dir = tmp_path / "log"
+    schema = "userid string, mediadata string, channel string, ts timestamp_ntz, etl_dt string"
+    st = spark.createDataFrame([], schema).schema
+    ids = spark.createDataFrame([("123456789012345",)], "imei_match string")
+    sink, ckpt = str(tmp_path / "sink"), str(tmp_path / "ck")
+
+    def run():
+        stream = spark.readStream.schema(st).parquet(str(log_dir))
+        m = stream_matched_ids(stream, ids, "2024-01-31", 1, 1, 3, channel="view")
+        q = (m.writeStream.format("parquet").outputMode("append").option("checkpointLocation", ckpt)
+             .trigger(availableNow=True).start(sink))
+        q.awaitTermination()
+
+    def write(data):
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(str(log_dir))
+
+    uid = "123456789012345"
+    write([(uid, "m1", "view", dt.datetime(2024, 1, 30, 8), "2024-01-30"),
+           (uid, "m1", "click", dt.datetime(2024, 1, 30, 9), "2024-01-30")])
+    run()
+    # the same payload again on the same day, plus a new one: only the new one is added
+    write([(uid, "m1", "view", dt.datetime(2024, 1, 30, 20), "2024-01-30"),
+           (uid, "m2", "view", dt.datetime(2024, 1, 30, 21), "2024-01-30"),
+           ("999999999999999", "m3", "view", dt.datetime(2024, 1, 30, 22), "2024-01-30")])
+    run()
+    got = rows(spark.read.parquet(sink).select("imei_match", "mediadata", "window_start"))
+    assert got == [(uid, "m1", "2024-01-30"), (uid, "m2", "2024-01-30")]
