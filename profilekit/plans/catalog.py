@@ -413,3 +413,20 @@ def stream_match_ids_1d(spark: SparkSession, base: str) -> DataFrame:
              .option("checkpointLocation", ckpt).trigger(availableNow=True).start(sink))
     query.awaitTermination()
     return read_published(spark, sink, _matched(spark, base, 1).schema)
+
+
+@register("stream_score_profile_day")
+def stream_score_profile_day(spark: SparkSession, base: str) -> DataFrame:
+    """X8 kept up to date by the streaming refresh: changed days of the log are re-profiled."""
+    schema = table(spark, base, "events").schema
+    sink = shared_path(spark, "stream_score_day")
+    ckpt = shared_path(spark, "stream_score_checkpoint")
+    scores = _payload_scores(spark, base)
+
+    def build(log: DataFrame) -> DataFrame:
+        pairs = extract_payloads(as_event_log(log), channel=S.VIDEO_CHANNEL, id_rule=_device_rule())
+        return _score_profile(pairs, scores, "mediadata", "yktag", by=["etl_dt"], source="events",
+                              update_dt=S.AS_OF_TEXT)
+
+    refresh_day_profiles(spark, base, schema, build, sink, ckpt, glob="events.parquet")
+    return read_published(spark, sink, with_partition_schema(score_profile_day(spark, base), "etl_dt"))

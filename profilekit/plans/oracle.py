@@ -417,3 +417,15 @@ SELECT a.field, a.segment, CASE WHEN n_pos = 0 OR n_neg = 0 THEN NULL
 FROM a JOIN ll ON a.field = ll.field AND a.segment = ll.segment
 """
 SQL["stream_match_ids_1d"] = SQL["match_ids_1d"]
+
+SQL["stream_score_profile_day"] = f"""
+WITH {PAYLOAD_SCORES},
+pairs AS (
+  SELECT DISTINCT user_id AS userid, props AS mediadata, strftime(ts, '%Y-%m-%d') AS etl_dt FROM events
+  WHERE event_type = '{S.VIDEO_CHANNEL}' AND {DEVICE_RULE}
+)
+SELECT userid, etl_dt,
+  {_avg_cols('s.')},
+  'events' AS source, '{S.AS_OF_TEXT}' AS update_dt
+FROM pairs JOIN payload_scores s ON pairs.mediadata = s.yktag GROUP BY userid, etl_dt
+"""
