@@ -71,3 +71,21 @@ def test_day_windows_match_brute_force(spark, back, nearest, width, count):
             if lo <= b <= hi:
                 want.append((d, (as_of - dt.timedelta(days=hi)).isoformat(), (as_of - dt.timedelta(days=lo)).isoformat()))
     assert got == sorted(want)
+
+
+big_st = st.lists(st.tuples(st.integers(0, 5), st.integers(0, 3)), min_size=1, max_size=40)
+small_st = st.lists(st.tuples(st.integers(0, 7), st.sampled_from("abc")), min_size=0, max_size=10)
+hot_st = st.dictionaries(st.integers(0, 7), st.floats(0.01, 1.0), max_size=4)
+
+
+@SETTINGS
+@given(big_st, small_st, hot_st, st.sampled_from(["inner", "left"]))
+def test_salted_join_equals_plain_join(spark, big, small, hot, how):
+    from profilekit.operators.joins import salted_join
+
+    b = spark.createDataFrame(big, "k int, v int")
+    s = spark.createDataFrame(small, "sk int, name string")
+    cols = ["k", "v", "sk", "name"]
+    plain = sorted(map(tuple, b.join(s, b["k"] == s["sk"], how).select(*cols).collect()), key=str)
+    salted = sorted(map(tuple, salted_join(b, s, "k", "sk", how, hot=hot).select(*cols).collect()), key=str)
+    assert salted == plain
