@@ -80,6 +80,7 @@ def day_string(c: ColumnOrName) -> Column:
 
 
 def to_date(value: str | _dt.date) -> _dt.date:
+    """A Python date from a ``yyyy-MM-dd`` string or a date (for literals, not a column)."""
     if isinstance(value, _dt.date):
         return value
     return _dt.date.fromisoformat(value)
