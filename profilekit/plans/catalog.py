@@ -386,18 +386,12 @@ def stream_closed_days(spark: SparkSession, base: str) -> DataFrame:
     ckpt = shared_path(spark, "stream_closed_checkpoint")
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(base)
     tagged = _codes_tagged(as_event_log(stream), ["userid", "ts"])
-    query = (closed_day_profiles(tagged).writeStream.format("parquet").outputMode("append")
+    query = (closed_day_profiles(tagged, source="events", update_dt=S.AS_OF_TEXT)
+             .writeStream.format("parquet").outputMode("append")
              .partitionBy("etl_dt").option("checkpointLocation", ckpt)
              .trigger(availableNow=True).start(sink))
     query.awaitTermination()
-    profile = code_profile_day(spark, base)
-    schema_out = with_partition_schema(profile.drop("source", "update_dt"), "etl_dt")
-    return _stamp_events(read_published(spark, sink, schema_out))
-
-
-def _stamp_events(df: DataFrame) -> DataFrame:
-    # the profile stamp of the events stand-in
-    return df.withColumns({"source": F.lit("events"), "update_dt": F.lit(S.AS_OF_TEXT)})
+    return read_published(spark, sink, with_partition_schema(code_profile_day(spark, base), "etl_dt"))
 
 
 @register("stream_match_ids_1d")

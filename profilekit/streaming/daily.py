@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from profilekit.functions.columns import day_string
+from profilekit.operators.profile import stamp
 from profilekit.sources.publish import publish
 from profilekit.sources.tables import ntz_range
 from profilekit.vocab import INTERESTS
@@ -85,7 +86,8 @@ def refresh_day_profiles(spark: SparkSession, log_dir: str, schema: T.StructType
 
 def closed_day_profiles(tagged: DataFrame, user_col: str = "userid", tag_col: str = "tag",
                         ts_col: str = "ts", domain: Sequence[str] = INTERESTS,
-                        lateness: str = "1 day") -> DataFrame:
+                        lateness: str = "1 day", source: str | None = None,
+                        update_dt: str | None = None) -> DataFrame:
     """Streaming flag profile per (user, day), emitted once the day is closed.
 
     ``tagged`` is a streaming frame of ``(user, tag, ts)``. State is kept per
@@ -103,4 +105,5 @@ def closed_day_profiles(tagged: DataFrame, user_col: str = "userid", tag_col: st
            .agg(*exprs))
     day = F.date_add(F.lit(_dt.date(1970, 1, 1)),
                      F.floor(F.unix_seconds(F.col("w.start")) / F.lit(86400)).cast("int"))
-    return agg.select("userid", F.date_format(day, "yyyy-MM-dd").alias("etl_dt"), *domain)
+    out = agg.select("userid", F.date_format(day, "yyyy-MM-dd").alias("etl_dt"), *domain)
+    return stamp(out, source, update_dt)
