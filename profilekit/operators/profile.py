@@ -17,7 +17,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from profilekit.operators.joins import checked_join
@@ -38,7 +38,39 @@ def flag_profile(tagged: DataFrame, user_col: str, tag_col: str = "tag",
                  domain: Sequence[str] = INTERESTS, columns: Sequence[str] | None = None,
                  by: Sequence[str] = (), user_alias: str = "userid",
                  source: str | None = None, update_dt: str | None = None) -> DataFrame:
-    """``groupBy(user, *by)`` with one ``max(when(tag == t, 1) else 0)`` per domain value."""
+    """One 0/1 column per domain value: 1 if any row of the user (and day) has that tag.
+
+    The same result as ``max(when(tag == t, 1) else 0)`` per column. Each row's
+    tag becomes one bit of a long, and a single ``bit_or`` is aggregated per
+    group: the partial aggregates that cross the shuffle are one long per
+    group instead of one int per domain value; the flags are unpacked after
+    the aggregation. Tags outside the domain (and ``''``) give no bit, so such a
+    user keeps an all-zero row. Domains over 63 values use the per-column form.
+    """
+    columns = list(columns or domain)
+    if len(domain) > 63:
+        return flag_profile_columns(tagged, user_col, tag_col, domain, columns, by, user_alias, source, update_dt)
+    packed = (tagged.groupBy(F.col(user_col).alias(user_alias), *by)
+              .agg(F.bit_or(tag_bit(F.col(tag_col), domain)).alias("_mask")))
+    return stamp(packed.select(user_alias, *by, *unpack_flags(F.col("_mask"), columns)), source, update_dt)
+
+
+def tag_bit(tag: Column, domain: Sequence[str]) -> Column:
+    """``2^i`` for the tag at position ``i`` of the domain, 0 for any other tag (domain of at most 63)."""
+    bits = F.create_map(*[x for i, t in enumerate(domain) for x in (F.lit(t), F.lit(1 << i).cast("long"))])
+    return F.coalesce(F.try_element_at(bits, tag), F.lit(0).cast("long"))
+
+
+def unpack_flags(mask: Column, columns: Sequence[str]) -> list[Column]:
+    """One 0/1 int column per bit of ``mask``, named by ``columns``."""
+    return [(F.shiftright(mask, i) % 2).cast("int").alias(name) for i, name in enumerate(columns)]
+
+
+def flag_profile_columns(tagged: DataFrame, user_col: str, tag_col: str = "tag",
+                         domain: Sequence[str] = INTERESTS, columns: Sequence[str] | None = None,
+                         by: Sequence[str] = (), user_alias: str = "userid",
+                         source: str | None = None, update_dt: str | None = None) -> DataFrame:
+    """The per-column form: ``groupBy(user, *by)`` with one ``max(when(tag == t, 1) else 0)`` per value."""
     columns = list(columns or domain)
     tag = F.col(tag_col)
     exprs = [F.max(F.when(tag == F.lit(t), F.lit(1)).otherwise(F.lit(0))).alias(name)

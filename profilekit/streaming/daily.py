@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from profilekit.functions.columns import day_string
-from profilekit.operators.profile import stamp
+from profilekit.operators.profile import stamp, tag_bit, unpack_flags
 from profilekit.sources.publish import publish
 from profilekit.sources.tables import ntz_range
 from profilekit.vocab import INTERESTS
@@ -96,14 +96,14 @@ def closed_day_profiles(tagged: DataFrame, user_col: str = "userid", tag_col: st
     (watermarks need an instant), so the day of the profile equals the day of
     the wall-clock time whatever the session time zone.
     """
-    tag = F.col(tag_col)
-    exprs = [F.max(F.when(tag == F.lit(t), F.lit(1)).otherwise(F.lit(0))).alias(t) for t in domain]
     if isinstance(tagged.schema[ts_col].dataType, T.TimestampNTZType):
         tagged = tagged.withColumn(ts_col, F.timestamp_seconds(F.unix_timestamp(F.col(ts_col))))
+    # the state of a (day, user) is one long: the tags seen, one bit each
     agg = (tagged.withWatermark(ts_col, lateness)
            .groupBy(F.window(ts_col, "1 day").alias("w"), F.col(user_col).alias("userid"))
-           .agg(*exprs))
+           .agg(F.bit_or(tag_bit(F.col(tag_col), domain)).alias("_mask")))
     day = F.date_add(F.lit(_dt.date(1970, 1, 1)),
                      F.floor(F.unix_seconds(F.col("w.start")) / F.lit(86400)).cast("int"))
-    out = agg.select("userid", F.date_format(day, "yyyy-MM-dd").alias("etl_dt"), *domain)
+    out = agg.select("userid", F.date_format(day, "yyyy-MM-dd").alias("etl_dt"),
+                     *unpack_flags(F.col("_mask"), domain))
     return stamp(out, source, update_dt)

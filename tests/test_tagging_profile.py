@@ -2,7 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from profilekit.operators.profile import flag_pivot, flag_profile, score_profile, score_profile_plain
+from profilekit.operators.profile import (
+    flag_pivot,
+    flag_profile,
+    flag_profile_columns,
+    score_profile,
+    score_profile_plain,
+)
 from profilekit.operators.tagging import code_tags, dict_tags, last_value_per_key
 from profilekit.sources.files import read_pair_dictionary, read_scored_dictionary
 from profilekit.vocab import INTERESTS, social_code_map
@@ -56,7 +62,8 @@ def test_flag_profile_equals_pivot(spark):
     tagged = code_tags(df, "mediadata", "usertag", social_code_map(), 5, keep=["userid"])
     a = flag_profile(tagged, "userid")
     b = flag_pivot(tagged, "userid").select(*a.columns)
-    assert rows(a) == rows(b)
+    c = flag_profile_columns(tagged, "userid").select(*a.columns)
+    assert rows(a) == rows(b) == rows(c)
 
 
 def test_per_day_single_pass_equals_day_by_day(spark):
