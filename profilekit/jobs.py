@@ -24,12 +24,12 @@ from pyspark.sql import functions as F
 from profilekit.functions.columns import id_length
 from profilekit.operators.extract import extract_payloads, trailing_range
 from profilekit.operators.matching import id_coverage, mapped_users, match_ids, match_titles
-from profilekit.operators.profile import flag_profile, score_profile
+from profilekit.operators.profile import code_flag_profile, flag_profile, score_profile
 from profilekit.operators.tagging import code_tags, dict_tags, english_tags
 from profilekit.sources.files import read_id_list, read_pair_dictionary, read_scored_dictionary
 from profilekit.sources.publish import publish
 from profilekit.sources.tables import in_days, read_log
-from profilekit.vocab import social_code_map
+from profilekit.vocab import LABEL_TO_INTEREST, social_code_map
 
 Day = str | _dt.date
 
@@ -64,10 +64,15 @@ def coded_profile(spark: SparkSession, staging_path: str, out_path: str, as_of:
     staging = _window(read_log(spark, staging_path), as_of, from_i, to_i)
     per_day = month is None
     keep = ["userid", "etl_dt"] if per_day else ["userid"]
-    tagged = english_tags(code_tags(staging, "mediadata", json_key, code_map or social_code_map(), code_len,
-                                    keep=keep))
-    prof = flag_profile(tagged, "userid", columns=columns, by=["etl_dt"] if per_day else [], source=source,
-                        update_dt=str(as_of))
+    by = ["etl_dt"] if per_day else []
+    code_map = social_code_map() if code_map is None else code_map
+    if isinstance(code_map, DataFrame):
+        tagged = english_tags(code_tags(staging, "mediadata", json_key, code_map, code_len, keep=keep))
+        prof = flag_profile(tagged, "userid", columns=columns, by=by, source=source, update_dt=str(as_of))
+    else:
+        pairs = [(code, LABEL_TO_INTEREST.get(tag, tag)) for code, tag in code_map]
+        prof = code_flag_profile(staging, "mediadata", json_key, pairs, code_len, "userid", by=by,
+                                 columns=columns, source=source, update_dt=str(as_of))
     if per_day:
         publish(prof, out_path, partition_col="etl_dt")
     else:

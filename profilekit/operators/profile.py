@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from profilekit.functions.columns import has_text, json_field
 from profilekit.operators.joins import checked_join
 from profilekit.vocab import INTERESTS, SCORE_DIVISOR
 
@@ -125,3 +126,39 @@ def score_profile_plain(pairs: DataFrame, scores: DataFrame, pair_key: str, scor
     joined = pairs.join(scores, pairs[pair_key] == scores[score_key], "inner")
     exprs = [(F.avg(F.col(c).cast("double")) / F.lit(float(divisor))).alias(c) for c in score_cols]
     return joined.groupBy(user_col, *by).agg(*exprs)
+
+
+def code_flag_profile(df: DataFrame, payload_col: str, json_key: str, code_map: Sequence[tuple[str, str]],
+                      code_len: int | None, user_col: str, by: Sequence[str] = (),
+                      domain: Sequence[str] = INTERESTS, columns: Sequence[str] | None = None,
+                      user_alias: str = "userid", source: str | None = None, update_dt: str | None = None,
+                      sep: str = ",") -> DataFrame:
+    """Coded-tag flag profile without exploding the code lists.
+
+    The same result as ``code_tags`` followed by ``flag_profile``. Each
+    payload's code list is folded into one bitmask inside the row (split,
+    keep codes of ``code_len`` characters, code -> bit of its tag through a map
+    literal, OR). A payload without a code of the right length gives no row;
+    one with valid but unmapped codes gives mask 0 (its user keeps an all-zero
+    row). The rows that reach the aggregation are the payload rows, not one per
+    code. ``code_map`` is an in-code list of (code, tag); a repeated code keeps
+    its last tag.
+    """
+    columns = list(columns or domain)
+    positions = {t: i for i, t in enumerate(domain)}
+    code_bits = {code: 1 << positions[tag] for code, tag in dict(code_map).items() if tag in positions}
+    bit_of = (F.create_map(*[x for c, b in code_bits.items() for x in (F.lit(c), F.lit(b).cast("long"))])
+              if code_bits else F.create_map().cast("map<string,bigint>"))
+    field = json_field(payload_col, json_key)
+    codes = F.split(F.col("_codes"), sep if sep != "|" else r"\|")
+    if code_len is not None:
+        codes = F.filter(codes, lambda c: F.length(c) == code_len)
+    mask = F.aggregate(F.col("_valid"), F.lit(0).cast("long"),
+                       lambda acc, c: acc.bitwiseOR(F.coalesce(F.try_element_at(bit_of, c), F.lit(0).cast("long"))))
+    rows = (df.select(F.col(user_col).alias(user_alias), *by, field.alias("_codes"))
+            .filter(has_text("_codes") & ~F.startswith(F.col("_codes"), F.lit("[")))
+            .select(user_alias, *by, codes.alias("_valid"))
+            .filter(F.size("_valid") > 0)
+            .select(user_alias, *by, mask.alias("_m")))
+    packed = rows.groupBy(user_alias, *by).agg(F.bit_or("_m").alias("_mask"))
+    return stamp(packed.select(user_alias, *by, *unpack_flags(F.col("_mask"), columns)), source, update_dt)

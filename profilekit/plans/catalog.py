@@ -23,7 +23,7 @@ from profilekit.operators.matching import (
     match_titles as _match_titles,
 )
 from profilekit.operators.profile import flag_pivot as _flag_pivot
-from profilekit.operators.profile import flag_profile
+from profilekit.operators.profile import code_flag_profile, flag_profile
 from profilekit.operators.profile import score_profile as _score_profile
 from profilekit.operators.tagging import code_tags, dict_tags, last_value_per_key
 from profilekit.plans import standins as S
@@ -71,19 +71,29 @@ def code_explode(spark: SparkSession, base: str) -> DataFrame:
             .filter(F.length("token") == 5))
 
 
+def _code_profile(log: DataFrame, by: list[str]) -> DataFrame:
+    # code lists folded into bitmasks in place; one bit_or per group
+    return code_flag_profile(log, "mediadata", S.EVENT_JSON_KEY, S.event_code_map(), S.EVENT_CODE_LEN,
+                             "userid", by=by, source="events", update_dt=S.AS_OF_TEXT)
+
+
 @register("code_profile")
 def code_profile(spark: SparkSession, base: str) -> DataFrame:
     """X2 (flagship): coded-tag flag profile per user over the whole log."""
-    tagged = _event_codes_tagged(spark, base, ["userid"])
-    return flag_profile(tagged, "userid", source="events", update_dt=S.AS_OF_TEXT)
+    return _code_profile(event_log(spark, base), [])
 
 
 @register("code_profile_day")
 def code_profile_day(spark: SparkSession, base: str) -> DataFrame:
     """X3 + D6: the same profile per (user, day) in one pass."""
-    tagged = _event_codes_tagged(spark, base, ["userid", "etl_dt"])
-    return flag_profile(tagged, "userid", by=["etl_dt"], source="events",
-                        update_dt=S.AS_OF_TEXT)
+    return _code_profile(event_log(spark, base), ["etl_dt"])
+
+
+@register("code_profile_exploded")
+def code_profile_exploded(spark: SparkSession, base: str) -> DataFrame:
+    """X2 written as the original steps: explode the codes, map each, flag profile (same rows)."""
+    tagged = _event_codes_tagged(spark, base, ["userid"])
+    return flag_profile(tagged, "userid", source="events", update_dt=S.AS_OF_TEXT)
 
 
 def _app_dictionary(spark: SparkSession, base: str) -> DataFrame:
@@ -371,8 +381,7 @@ def stream_day_profile(spark: SparkSession, base: str) -> DataFrame:
     ckpt = shared_path(spark, "stream_checkpoint")
 
     def build(log: DataFrame) -> DataFrame:
-        tagged = _codes_tagged(as_event_log(log), ["userid", "etl_dt"])
-        return flag_profile(tagged, "userid", by=["etl_dt"], source="events", update_dt=S.AS_OF_TEXT)
+        return _code_profile(as_event_log(log), ["etl_dt"])
 
     refresh_day_profiles(spark, base, schema, build, sink, ckpt, glob="events.parquet")
     return read_published(spark, sink, with_partition_schema(code_profile_day(spark, base), "etl_dt"))

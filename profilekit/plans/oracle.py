@@ -429,3 +429,4 @@ SELECT userid, etl_dt,
   'events' AS source, '{S.AS_OF_TEXT}' AS update_dt
 FROM pairs JOIN payload_scores s ON pairs.mediadata = s.yktag GROUP BY userid, etl_dt
 """
+SQL["code_profile_exploded"] = SQL["code_profile"]

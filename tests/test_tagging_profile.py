@@ -153,3 +153,14 @@ def test_dictionary_order_across_files(spark, tmp_path):
     (s / "b.txt").write_text("z," + ",".join(["3"] * 13) + "\n")
     pri = {r["iqytag"]: r["priority"] for r in read_scored_dictionary(spark, str(s)).collect()}
     assert pri == {"x": 1, "y": 2, "z": 3}
+
+
+def test_code_flag_profile_equals_exploded_form(spark):
+    from profilekit.operators.profile import code_flag_profile
+
+    df = spark.createDataFrame(PAYLOADS + [("u12", '{"usertag":"10001,99999,1234"}')], "userid string, mediadata string")
+    exploded = flag_profile(code_tags(df, "mediadata", "usertag", social_code_map(), 5, keep=["userid"]), "userid")
+    fused = code_flag_profile(df, "mediadata", "usertag", social_code_map(), 5, "userid")
+    assert rows(fused) == rows(exploded.select(*fused.columns))
+    empty_map = code_flag_profile(df, "mediadata", "usertag", [], 5, "userid")
+    assert {r["userid"] for r in empty_map.collect()} == {r["userid"] for r in exploded.collect()}
