@@ -19,3 +19,14 @@ def rows(df, order=None):
     """Collected rows as sorted tuples of plain values."""
     out = [tuple(r) for r in df.collect()]
     return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t)) if order is None else out
+
+
+def plan_text(df, mode="formatted"):
+    """What ``df.explain(mode)`` prints, as a string."""
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain(mode)
+    return buf.getvalue()

@@ -10,7 +10,7 @@ from profilekit.operators.tagging import code_tags
 from profilekit.sources.publish import publish, read_published, with_partition_schema
 from profilekit.streaming.daily import closed_day_profiles, refresh_day_profiles
 from profilekit.vocab import social_code_map
-from tests.conftest import rows
+from tests.conftest import plan_text, rows
 
 
 def _profile(spark):
@@ -100,7 +100,7 @@ def test_read_log_prunes_day_partitions(spark, tmp_path):
                                "userid string, mediadata string, etl_dt string")
     df.write.partitionBy("etl_dt").parquet(path)
     log = read_log(spark, path).filter(F.col("etl_dt") == "2024-01-02")
-    plan = log._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(log, "simple")
     assert "PartitionFilters: [isnotnull(etl_dt" in plan
     assert [r["userid"] for r in log.collect()] == ["u2"]
 
