@@ -80,7 +80,10 @@ def _scan_with_automaton(texts: DataFrame, keys: list[tuple[str, int]], force_pl
             ahocorasick = None
 
         # Python workers are reused across tasks: build each automaton once per
-        # worker process (at most two kept), not once per task.
+        # worker process (at most two kept), not once per task. The cache is
+        # registered in sys.modules because this closure is shipped by value;
+        # a module global of this package would require the package on every
+        # executor.
         holder = sys.modules.get("_profilekit_automata")
         if holder is None:
             holder = types.ModuleType("_profilekit_automata")
