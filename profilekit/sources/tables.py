@@ -24,12 +24,17 @@ def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
+def read_log(spark: SparkSession, path: str, schema=None) -> DataFrame:
     """A day-partitioned log dataset (``etl_dt=yyyy-MM-dd`` folders).
 
-    Filters on ``etl_dt`` prune folders before any file is opened.
+    Filters on ``etl_dt`` prune folders before any file is opened. Without a
+    schema Spark infers the day partition as a date (comparisons with
+    ``yyyy-MM-dd`` text still prune); a schema keeps it text.
     """
-    return spark.read.option("basePath", path).parquet(path)
+    reader = spark.read.option("basePath", path)
+    if schema is not None:
+        reader = reader.schema(schema)
+    return reader.parquet(path)
 
 
 def event_log(spark: SparkSession, base: str) -> DataFrame:

@@ -156,3 +156,28 @@ def test_streaming_id_match_dedups_across_micro_batches(spark, tmp_path):
     run()
     got = rows(spark.read.parquet(sink).select("imei_match", "mediadata", "window_start"))
     assert got == [(uid, "m1", "2024-01-30"), (uid, "m2", "2024-01-30")]
+
+
+def test_streaming_refresh_on_a_day_partitioned_log(spark, tmp_path):
+    log_dir = tmp_path / "log"
+    schema = "userid string, mediadata string, ts timestamp_ntz, etl_dt string"
+
+    def write(data):
+        spark.createDataFrame(data, schema).write.mode("append").partitionBy("etl_dt").parquet(str(log_dir))
+
+    def build(log):
+        tagged = code_tags(log, "mediadata", "usertag", social_code_map(), 5, keep=["userid", "etl_dt"])
+        return flag_profile(tagged, "userid", by=["etl_dt"])
+
+    write([("u1", '{"usertag":"10001"}', dt.datetime(2024, 1, 1, 1), "2024-01-01"),
+           ("u2", '{"usertag":"10002"}', dt.datetime(2024, 1, 2, 1), "2024-01-02")])
+    st = spark.createDataFrame([], schema).schema  # the day partition stays text
+    sink, ckpt = str(tmp_path / "sink"), str(tmp_path / "ckpt")
+    refresh_day_profiles(spark, str(log_dir), st, build, sink, ckpt, partition_col="etl_dt")
+    write([("u1", '{"usertag":"10003"}', dt.datetime(2024, 1, 1, 5), "2024-01-01")])
+    refresh_day_profiles(spark, str(log_dir), st, build, sink, ckpt, partition_col="etl_dt")
+    full = build(spark.read.schema(st).parquet(str(log_dir)))
+    got = read_published(spark, sink, with_partition_schema(full, "etl_dt")).select("userid", "etl_dt", "game",
+                                                                                    "car", "tourism")
+    assert rows(got) == rows(full.select("userid", "etl_dt", "game", "car", "tourism"))
+    assert ("u1", "2024-01-01", 1, 0, 1) in rows(got)
