@@ -95,7 +95,7 @@ def test_read_report_in_original_layout(spark, tmp_path):
         "microavg,0.7,0.7,0.7,100", "macroavg,0.62,0.57,0.58,100", "weightedavg,0.65,0.7,0.66,100",
         ",,,,", "==========,auc-test,==========,,", "0.612345678,,,,", "test,logloss:,0.687654321,,",
     ])
-    f = tmp_path / "raw.csv"
+    f = tmp_path / "blocks.csv"
     f.write_text(block + "\r\n" + block.replace("0.612345678", "0.5") + "\r\n")
     long = E.order_long(E.read_reports(spark, str(f)).drop("file"))
     got = long.collect()
@@ -107,10 +107,10 @@ def test_read_report_in_original_layout(spark, tmp_path):
 
 
 def test_long_tables(spark, tmp_path):
-    csv = tmp_path / "raw1.csv"
+    csv = tmp_path / "long.csv"
     csv.write_text("Unnamed: 0,precision,recall,f1-score,support,field\nclick,0.5,0.6,0.55,10,2\n"
                    "click,0.4,0.6,0.5,10,10\nexposure,0.1,0.2,0.3,5,1\n")
-    tsv = tmp_path / "test.csv"
+    tsv = tmp_path / "long.tsv"
     tsv.write_text("click\t0.5\t0.6\t0.55\t10\t2\n")
     a = E.order_long(E.read_long_table(spark, str(csv))).collect()
     assert [(r["label"], r["field"]) for r in a] == [("click", 2), ("click", 10), ("exposure", 1)]
