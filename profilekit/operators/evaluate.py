@@ -110,12 +110,15 @@ def auc(scored: DataFrame, run_col: str | Sequence[str], label_col: str, score_c
         partitions: int | None = None) -> DataFrame:
     """Exact AUC per run: ``sum(pos * (neg_below + neg_same / 2)) / (P * N)``; NULL if a class is missing.
 
-    ``run_col`` may be several columns (a run and a segment, say).
+    ``run_col`` may be several columns (a run and a segment, say). Rows with a
+    NULL score or label are left out.
     """
     keys = _keys(run_col)
     spark = scored.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     y = F.col(label_col).cast("long")
+    # rows without a score or a label have no place in the ranking
+    scored = scored.filter(F.col(score_col).isNotNull() & F.col(label_col).isNotNull())
     per_score = (scored.groupBy(*keys, score_col)
                  .agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")))
     # written once: the totals and the running sums both read it, and the

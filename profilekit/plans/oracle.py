@@ -334,7 +334,8 @@ scored AS (
 
 RUN_METRICS = f"""
 {_scored()},
-g AS (SELECT field, p, sum(y) AS pos, sum(1 - y) AS neg FROM scored GROUP BY field, p),
+g AS (SELECT field, p, sum(y) AS pos, sum(1 - y) AS neg FROM scored
+       WHERE p IS NOT NULL AND y IS NOT NULL GROUP BY field, p),
 w AS (SELECT field, pos, neg,
         coalesce(sum(neg) OVER (PARTITION BY field ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
           AS below FROM g),
@@ -402,7 +403,8 @@ SELECT m.imei AS userid, m.mediadata FROM matched m JOIN payload_scores s ON m.m
 
 SQL["segment_auc"] = f"""
 WITH {_scored()},
-g AS (SELECT field, segment, p, sum(y) AS pos, sum(1 - y) AS neg FROM scored GROUP BY field, segment, p),
+g AS (SELECT field, segment, p, sum(y) AS pos, sum(1 - y) AS neg FROM scored
+       WHERE p IS NOT NULL AND y IS NOT NULL GROUP BY field, segment, p),
 w AS (SELECT field, segment, pos, neg,
         coalesce(sum(neg) OVER (PARTITION BY field, segment ORDER BY p
                                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM g),
