@@ -73,6 +73,14 @@ def test_jobs_end_to_end(spark, tmp_path):
     assert abs(video[0]["entertainment"] - (60 + 120) / 2 / 120) < 1e-12
     assert video[0]["beauty"] == 0.0
 
+    ngram = jobs.title_score_table(spark, log, str(scores_file), str(tmp_path / "scores_ngram"), "2024-01-01",
+                                   "2024-01-31", method="ngram")
+    assert sorted(map(tuple, ngram.select("yktag", "iqytag").collect())) == \
+        sorted(map(tuple, table.select("yktag", "iqytag").collect()))
+    per_day = jobs.scored_profile(spark, log, scores, str(tmp_path / "video_days"), "2024-01-31", from_i=1, to_i=3)
+    got = {str(r["etl_dt"]): r["entertainment"] for r in per_day.collect()}
+    assert got == {"2024-01-30": 60 / 120, "2024-01-29": 120 / 120}
+
     # id list matched over one-day windows, then its score profile
     ids = tmp_path / "ids.txt"
     ids.write_text(f"{IMEI_A}\n{IMEI_B}\n")
