@@ -11,8 +11,9 @@ remaining skewed partitions.
 from __future__ import annotations
 
 import math
+import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,25 +33,37 @@ def side_size(df: DataFrame, byte_measure: Column | None = None) -> tuple[int, i
     return int(row["n"]), int(row["b"])
 
 
+def write_measured(df: DataFrame, path: str, byte_measure: Column | None = None) -> tuple[int, int]:
+    """Write ``df`` as parquet and return its (rows, bytes), observed during the write.
+
+    ``DataFrame.observe`` gathers the counts in the same job as the write
+    (from the tasks that succeed), so measuring costs no extra pass.
+    """
+    measure = byte_measure if byte_measure is not None else F.lit(0)
+    obs = Observation(f"side-size-{uuid.uuid4().hex}")
+    observed = df.observe(obs, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(measure), F.lit(0)).alias("b"))
+    observed.write.mode("errorifexists").parquet(path)
+    got = obs.get
+    return int(got.get("n", 0)), int(got.get("b", 0))
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None,
                       byte_measure: Column | None = None,
                       max_bytes: int | None = None) -> tuple[DataFrame, bool]:
     """``(broadcast(side), True)`` if the size check passes, else ``(side, False)``.
 
     The side is written once to the shared checkpoint folder (a distributed
-    write that also cuts its lineage). Rows and bytes are counted on the
-    written copy with an ordinary partial + final aggregate (no single-task
-    funnel, whatever the size). That copy is what is returned: broadcast when
-    it is within the bounds, otherwise for a shuffle join. Either way the side
-    is computed exactly once.
+    write that also cuts its lineage); its rows and bytes are observed during
+    that write (no extra pass, no single-task funnel, whatever the size). The
+    written copy is what is returned: broadcast when it is within the bounds,
+    otherwise for a shuffle join. Either way the side is computed exactly once.
     """
     max_rows = DEFAULT_MAX_ROWS if max_rows is None else max_rows
     max_bytes = DEFAULT_MAX_BYTES if max_bytes is None else max_bytes
     spark = df.sparkSession
     path = shared_path(spark, "join-side")
-    df.write.mode("errorifexists").parquet(path)
+    rows, nbytes = write_measured(df, path, byte_measure)
     stored = spark.read.parquet(path)
-    rows, nbytes = side_size(stored, byte_measure)
     if rows <= max_rows and nbytes <= max_bytes:
         return F.broadcast(stored), True
     return stored, False

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from profilekit.operators.joins import bounded_broadcast, side_size, string_bytes
+from profilekit.operators.joins import bounded_broadcast, string_bytes, write_measured
 from profilekit.session import shared_path
 
 # Bounds of one automaton: a trie node takes tens of bytes in the Python
@@ -140,9 +140,8 @@ def _automaton(texts: DataFrame, keys: DataFrame) -> DataFrame:
     # there and each shard is gathered from there (bounded by the shard limits).
     spark = texts.sparkSession
     path = shared_path(spark, "match-keys")
-    keys.write.mode("errorifexists").parquet(path)
+    rows, nbytes = write_measured(keys, path, string_bytes("key"))
     stored = spark.read.parquet(path)
-    rows, nbytes = side_size(stored, string_bytes("key"))
     shards = max(1, math.ceil(rows / MAX_KEYS_PER_SHARD), math.ceil(nbytes / MAX_KEY_BYTES_PER_SHARD))
     if shards == 1:
         found = _scan_with_automaton(texts, [(r["key"], r["priority"]) for r in stored.collect()])
