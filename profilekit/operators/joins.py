@@ -25,14 +25,6 @@ DEFAULT_MAX_ROWS = 2_000_000
 DEFAULT_MAX_BYTES = 256 * 1024 * 1024
 
 
-def side_size(df: DataFrame, byte_measure: Column | None = None) -> tuple[int, int]:
-    """(rows, bytes) of ``df``: one partial + final aggregate."""
-    measure = byte_measure if byte_measure is not None else F.lit(0)
-    row = df.agg(F.count(F.lit(1)).alias("n"),
-                 F.coalesce(F.sum(measure), F.lit(0)).alias("b")).first()
-    return int(row["n"]), int(row["b"])
-
-
 def write_measured(df: DataFrame, path: str, byte_measure: Column | None = None) -> tuple[int, int]:
     """Write ``df`` as parquet and return its (rows, bytes), observed during the write.
 
