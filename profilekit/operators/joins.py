@@ -79,10 +79,15 @@ def hot_keys(df: DataFrame, key: str, fraction: float = 0.01, share: float | Non
     share = share if share is not None else 1.0 / max(parts, 1)
     sample = df.select(key).filter(F.col(key).isNotNull()).sample(fraction=fraction, seed=seed)
     counts = sample.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("t")).first()["t"] or 0
+    # At most 1/share keys can each hold a share of the rows, so the heaviest
+    # ceil(1/share) keys contain all candidates; the total is observed in the same job.
+    obs = Observation(f"hot-keys-{uuid.uuid4().hex}")
+    ranked = counts.observe(obs, F.sum("_n").alias("t")).orderBy(F.desc("_n"))
+    top = (ranked.limit(math.ceil(1.0 / share)) if share > 0 else ranked).collect()
+    total = obs.get.get("t") or 0
     if total == 0:
         return {}
-    return {r[key]: r["_n"] / total for r in counts.filter(F.col("_n") >= F.lit(share * total)).collect()}
+    return {r[key]: r["_n"] / total for r in top if r["_n"] >= share * total}
 
 
 def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, how: str = "inner",
