@@ -17,7 +17,8 @@ of which forms text x key pairs:
 - ``ngram``: for title-sized texts; every substring whose length is a key
   length is exploded and equi-joined with the keys (hash join). The text is
   split into characters once and each gram is a slice, so a text of length L
-  costs L x n per key length n; the exploded rows make it a form for short texts.
+  costs L x n per key length n; all key lengths are generated in one pass and
+  joined once. The exploded rows make it a form for short texts.
 
 Empty keys are dropped on load (an empty key would match every text).
 """
@@ -160,30 +161,29 @@ def _automaton(texts: DataFrame, keys: DataFrame) -> DataFrame:
             .select("text", "_b.key", "_b.priority"))
 
 
-def _gram_at(n: int):
-    # transform() reads a two-parameter lambda as (element, index): keep exactly one.
-    def at(i):
-        return F.array_join(F.slice(F.col("_chars"), i, F.lit(n)), "")
-    return at
+def _grams_of_length(chars, text_len):
+    # transform() reads a two-parameter lambda as (element, index): keep exactly one each.
+    def for_length(n):
+        starts = F.when(text_len >= n, F.sequence(F.lit(1), text_len - n + 1)).otherwise(
+            F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.array_join(F.slice(chars, i, n), ""))
+    return for_length
 
 
 def _ngram(texts: DataFrame, keys: DataFrame) -> DataFrame:
     side, _ = bounded_broadcast(keys, byte_measure=string_bytes("key"))
     # one row per distinct key length: a handful of values
     lengths = sorted(r["n"] for r in side.select(F.length("key").alias("n")).distinct().collect())
-    hits = None
-    for n in lengths:
-        # the text is split into characters once; each gram is a slice of that
-        # array, so a text of length L costs L * n, not L * L as with substring()
-        grams = (texts.filter(F.length("text") >= n)
-                 .select("text", F.split(F.col("text"), "", -1).alias("_chars"))
-                 .select("text", F.explode(F.array_distinct(F.transform(
-                     F.sequence(F.lit(1), F.length("text") - F.lit(n - 1)),
-                     _gram_at(n)))).alias("key")))
-        part = grams.join(side.filter(F.length("key") == n), "key", "inner")
-        hits = part if hits is None else hits.unionByName(part)
-    if hits is None:
+    if not lengths:
         return texts.sparkSession.createDataFrame([], _MATCH_SCHEMA)
+    # the text is split into characters once; every gram of every key length is
+    # a slice of that array (a text of length L costs L * n per length n), and
+    # all lengths are generated in one pass and joined with the keys once
+    chars, text_len = F.col("_chars"), F.length(F.col("text"))
+    per_length = F.transform(F.array(*[F.lit(n) for n in lengths]), _grams_of_length(chars, text_len))
+    grams = (texts.select("text", F.split(F.col("text"), "", -1).alias("_chars"))
+             .select("text", F.explode(F.array_distinct(F.flatten(per_length))).alias("key")))
+    hits = grams.join(side, "key", "inner")
     return (hits.groupBy("text")
             .agg(F.min(F.struct("priority", "key")).alias("_b"))
             .select("text", "_b.key", "_b.priority"))

@@ -76,7 +76,8 @@ def test_day_logic_independent_of_session_time_zone(spark, duck, name):
 
 
 FORCED = ["dict_profile", "dict_profile_day", "score_profile", "matched_score_profile", "match_ids_1d",
-          "id_coverage", "id_coverage_md5", "match_titles", "matched_payloads", "auc_logloss"]
+          "id_coverage", "id_coverage_md5", "match_titles", "matched_payloads", "auc_logloss",
+          "match_titles_short"]
 
 
 @pytest.mark.parametrize("name", FORCED)
