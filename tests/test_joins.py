@@ -46,3 +46,11 @@ def test_bounded_broadcast_checks_rows_and_bytes(spark):
     _, ok = bounded_broadcast(small.select(F.col("id").cast("string").alias("s")), max_rows=100,
                               byte_measure=F.length("s"), max_bytes=5)
     assert not ok
+
+
+def test_bounded_broadcast_of_an_empty_side(spark):
+    empty = spark.createDataFrame([], "k long, name string")
+    side, ok = bounded_broadcast(empty)
+    assert ok and side.count() == 0
+    big, _ = _skewed(spark)
+    assert checked_join(big, empty, "k", "k", "inner").count() == 0

@@ -181,3 +181,18 @@ def test_streaming_refresh_on_a_day_partitioned_log(spark, tmp_path):
                                                                                     "car", "tourism")
     assert rows(got) == rows(full.select("userid", "etl_dt", "game", "car", "tourism"))
     assert ("u1", "2024-01-01", 1, 0, 1) in rows(got)
+
+
+def test_read_log_keeps_a_text_day_with_a_schema_and_files_are_bounded(spark, tmp_path):
+    import glob
+
+    from profilekit.sources.tables import read_log
+
+    path = str(tmp_path / "log")
+    df = spark.createDataFrame([(f"u{i}", "m", "2024-01-01") for i in range(10)],
+                               "userid string, mediadata string, etl_dt string")
+    publish(df, path, partition_col="etl_dt", max_records_per_file=3)
+    assert len(glob.glob(path + "/etl_dt=2024-01-01/*.parquet")) >= 4
+    typed = read_log(spark, path, schema=df.schema)
+    assert dict(typed.dtypes)["etl_dt"] == "string"
+    assert typed.filter(F.col("etl_dt") == "2024-01-01").count() == 10
