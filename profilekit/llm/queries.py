@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profilekit.llm import sentencepieces, token_counts, token_files
+from profilekit.llm import sentencepieces, token_counts, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,8 +32,15 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encode_pieces(_table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learnt from the labels of two thirds of them."""
+    docs, held_out = _table(spark, sf_dir, "documents"), toxicity.held_out()
+    model = toxicity.learn(docs, _table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(docs, model).withColumn("held_out", held_out)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op5_token_counts, op6_token_files, op7_sentencepiece)}
+    op5_token_counts, op6_token_files, op7_sentencepiece, op9_toxicity)}
 
 # DuckDB SQL where SQL can express an operator
 SQL: dict[str, str] = {}
