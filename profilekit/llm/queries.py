@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profilekit.llm import sentencepieces, token_counts, token_files, toxicity
+from profilekit.llm import language_id, sentencepieces, token_counts, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learnt from three quarters of them."""
+    docs, held_out = _table(spark, sf_dir, "documents"), language_id.held_out()
+    found = language_id.predict(docs, language_id.learn(docs, ~held_out))
+    return found.withColumn("held_out", held_out)
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes and tokens of every document, over 1,024 tokens or not, from the prefix tables."""
     found = token_counts.prefix_tables(_table(spark, sf_dir, "documents"), tables=False)
@@ -40,7 +47,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op5_token_counts, op6_token_files, op7_sentencepiece, op9_toxicity)}
+    op4_language_id, op5_token_counts, op6_token_files, op7_sentencepiece, op9_toxicity)}
 
 # DuckDB SQL where SQL can express an operator
 SQL: dict[str, str] = {}
