@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profilekit.llm import language_id, sentencepieces, token_counts, token_files, toxicity
+from profilekit.llm import language_id, near_duplicates, sentencepieces, token_counts, token_files, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate groups of all documents (five-word shingles, 85 per cent)."""
+    return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learnt from three quarters of them."""
     docs, held_out = _table(spark, sf_dir, "documents"), language_id.held_out()
@@ -47,7 +52,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op4_language_id, op5_token_counts, op6_token_files, op7_sentencepiece, op9_toxicity)}
+    op3_near_duplicates, op4_language_id, op5_token_counts, op6_token_files, op7_sentencepiece, op9_toxicity)}
 
 # DuckDB SQL where SQL can express an operator
 SQL: dict[str, str] = {}
