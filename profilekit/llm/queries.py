@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profilekit.llm import language_id, near_duplicates, sentencepieces, token_counts, token_files, toxicity
+from profilekit.llm import (
+    language_id,
+    near_duplicates,
+    sentencepieces,
+    token_counts,
+    token_files,
+    toxicity,
+    vector_duplicates,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +52,11 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.encode_pieces(_table(spark, sf_dir, "documents"), with_ids=False)
 
 
+def op8_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of equal label (cosine 0.98) among all embeddings."""
+    return vector_duplicates.vector_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learnt from the labels of two thirds of them."""
     docs, held_out = _table(spark, sf_dir, "documents"), toxicity.held_out()
@@ -52,7 +65,8 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op3_near_duplicates, op4_language_id, op5_token_counts, op6_token_files, op7_sentencepiece, op9_toxicity)}
+    op3_near_duplicates, op4_language_id, op5_token_counts, op6_token_files, op7_sentencepiece,
+    op8_vector_duplicates, op9_toxicity)}
 
 # DuckDB SQL where SQL can express an operator
 SQL: dict[str, str] = {}
