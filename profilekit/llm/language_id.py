@@ -76,9 +76,9 @@ class Field:
 
     def _emissions(self, words: list[list[str]]) -> None:
         """Make sure that every word has a row of exponentiated emission scores."""
-        new = list({w for ws in words for w in ws if w not in self._rows})
+        new = list(set().union(*words).difference(self._rows))
         if len(self._rows) + len(new) > CACHE_ENTRIES:
-            self._rows, new = {}, list({w for ws in words for w in ws})
+            self._rows, new = {}, list(set().union(*words))
             self._scores, self._lettered = self._scores[:0], self._lettered[:0]
         if not new:
             return
