@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from profilekit.llm import (
+    decontamination,
     language_id,
     near_duplicates,
     sentencepieces,
@@ -64,9 +65,14 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).withColumn("held_out", held_out)
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, also with other numbers, names or units: one row per pair."""
+    return decontamination.find(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op3_near_duplicates, op4_language_id, op5_token_counts, op6_token_files, op7_sentencepiece,
-    op8_vector_duplicates, op9_toxicity)}
+    op8_vector_duplicates, op9_toxicity, op10_decontamination)}
 
 # DuckDB SQL where SQL can express an operator
 SQL: dict[str, str] = {}
