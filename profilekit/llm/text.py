@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 # Entries a per-worker cache may hold before it starts anew; bounds memory, never results.
 CACHE_ENTRIES = 400_000
 
+# Text a function is given at once; bounds memory, never results.
+SLICE_BYTES = 3_000_000
+
 TextFunction = Callable[[list], Sequence]
 
 
@@ -49,6 +53,18 @@ def fresh(prefix: str) -> str:
     return f"_{prefix}_{uuid.uuid4().hex[:12]}"
 
 
+def slices(batches: Iterator[pa.RecordBatch], text: int, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of rows of about ``most`` bytes of the text column (at least one row each)."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False))
+        at = 0
+        while at < batch.num_rows:
+            before = int(ends[at - 1]) if at else 0
+            stop = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
 def map_texts(df: DataFrame, make: Callable[[], TextFunction], fields: list[T.StructField], *,
               text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``keep`` columns plus ``fields``, computed from the UTF-8 bytes of ``text`` batch by batch.
@@ -65,7 +81,7 @@ def map_texts(df: DataFrame, make: Callable[[], TextFunction], fields: list[T.St
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
-        for batch in batches:
+        for batch in slices(batches, n_keep):
             made = fn(batch.column(n_keep).to_pylist())
             arrays = [batch.column(i) for i in range(n_keep)]
             arrays += [x if isinstance(x, pa.Array) else pa.array(x, type=t)

@@ -31,15 +31,15 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from profilekit.llm.text import CACHE_ENTRIES, col, crc32
+from profilekit.llm.text import CACHE_ENTRIES, col, crc32, slices
 from profilekit.session import shared_path
 
 DEFAULT_TOKENIZER = "word_bpe_49k.json"
 NULL_ID = -(1 << 63)  # stands for a null document id in the .docs file
 _MANIFEST = "ids string, offsets string, docs string, first long, n_docs long, n_ids long, width int"
 # the splits below are exact only for files whose white space never reaches a token
-_GAP = re.compile(rb"[ \n]+")
 _STOPS = (b".", b",")
+_LATIN = re.compile("[a-zß-öø-ÿ]+").fullmatch
 
 
 def open_uri(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -56,7 +56,7 @@ class WordEncoder:
     """
 
     def __init__(self, tokenizer_json: bytes):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_str(tokenizer_json.decode())
@@ -65,22 +65,34 @@ class WordEncoder:
                     i for w in re.findall(r"\w+|[,.]", probe) for i in self.tokenizer.encode(w, add_special_tokens=False).ids]:
                 raise ValueError("this tokenizer file keeps white space; it can't be encoded word by word")
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        # lower-case Latin letters pass the normaliser and the splits unchanged: only the merges are left
+        self.letters = Tokenizer.from_str(tokenizer_json.decode())
+        self.letters.normalizer = normalizers.Sequence([])
+        self.letters.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        probe = ["hello", "straße", "déjà", "ñandú", "ÿ"]
+        if [e.ids for e in self.letters.encode_batch(probe)] != [e.ids for e in self.tokenizer.encode_batch(probe)]:
+            self.letters = self.tokenizer
         self._code = "H" if self.dtype.itemsize == 2 else "I"
         self._known: dict[bytes, bytes] = {}
 
     def encode(self, texts: list[bytes | None]) -> list[bytes]:
         # A-Z fall to lower case in the tokenizer anyway; doing it first leaves fewer distinct words
-        words = [_GAP.sub(b" ", t if b"<|" in t else t.lower()).split(b" ") if t else [] for t in texts]
+        words = [(t if b"<|" in t else t.lower()).replace(b"\n", b" ").split(b" ") if t else [] for t in texts]
         known = self._known
-        if len(known) > CACHE_ENTRIES:
+        if len(known) > 2 * CACHE_ENTRIES:
             known.clear()
-        new = {w for ws in words for w in ws if w not in known}
+        new = set().union(*words).difference(known)
         # punctuation behind a letter is split off before the merges
         ended = {w: w[:-1] for w in new if w[-1:] in _STOPS and w[-2:-1].isalnum()}
-        plain = list({ended.get(w, w) for w in new} | ({w[-1:] for w in ended}) - known.keys())
-        made = self.tokenizer.encode_batch_fast([w.decode() for w in plain], add_special_tokens=False)
-        for w, e in zip(plain, made, strict=True):
-            known[w] = array(self._code, e.ids).tobytes()
+        plain = ((new - ended.keys()) | set(ended.values()) | {w[-1:] for w in ended}).difference(known)
+        simple, other = [], []
+        for w in plain:
+            x = w.decode()
+            (simple if _LATIN(x) else other).append((w, x))
+        for tokenizer, group in ((self.letters, simple), (self.tokenizer, other)):
+            made = tokenizer.encode_batch_fast([x for _, x in group], add_special_tokens=False)
+            for (w, _), e in zip(group, made, strict=True):
+                known[w] = array(self._code, e.ids).tobytes()
         for w, core in ended.items():
             known[w] = known[core] + known[w[-1:]]
         get = known.__getitem__
@@ -107,7 +119,7 @@ def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str
     with open(tokenizer or public_tokenizers.path(DEFAULT_TOKENIZER), "rb") as f:
         spec = spark.sparkContext.broadcast(f.read())  # one tokenizer file, a few MB
     src = (docs.select(col(doc_id).cast("long").alias("d"), col(text).cast("string").cast("binary").alias("t"))
-           .repartitionByRange("d", "t").sortWithinPartitions("d", "t"))
+           .repartitionByRange("d").sortWithinPartitions("d", "t"))
 
     def write(batches):
         enc = encoder(spec.value)
@@ -116,9 +128,7 @@ def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str
         target.create_dir(path, recursive=True)
         name, ids_out = f"{path}/{uuid.uuid4().hex}", None
         ends, doc_ids, n = [np.zeros(1, np.uint64)], [], 0
-        for b in batches:
-            if not b.num_rows:
-                continue
+        for b in slices(batches, 1):
             if ids_out is None:
                 ids_out = target.open_output_stream(name + ".ids")
             made = enc.encode(b.column(1).to_pylist())
@@ -149,7 +159,7 @@ def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str
 def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """The shards of a folder in document order, with ``base``: the ids of all shards before (a prefix sum)."""
     rows = spark.read.parquet(folder.rstrip("/") + "/manifest")
-    # one row per shard; equal ids never straddle shards unless their texts differ, then the file order decides
+    # one row per shard; ranges of ids do not overlap
     before = Window.orderBy("first", "offsets").rowsBetween(Window.unboundedPreceding, -1)
     return rows.withColumn("base", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 
