@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from profilekit.llm import (
     decontamination,
+    html_text,
     language_id,
     near_duplicates,
     sentencepieces,
@@ -25,6 +26,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate groups of all documents (five-word shingles, 85 per cent)."""
     return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -71,7 +77,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op3_near_duplicates, op4_language_id, op5_token_counts, op6_token_files, op7_sentencepiece,
+    op2_html_text, op3_near_duplicates, op4_language_id, op5_token_counts, op6_token_files, op7_sentencepiece,
     op8_vector_duplicates, op9_toxicity, op10_decontamination)}
 
 # DuckDB SQL where SQL can express an operator
