@@ -11,6 +11,7 @@ from profilekit.llm import (
     decontamination,
     html_text,
     language_id,
+    lm_scoring,
     near_duplicates,
     sentencepieces,
     token_counts,
@@ -26,6 +27,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document under a model learnt from six sevenths of them."""
+    docs = _table(spark, sf_dir, "documents")
+    return lm_scoring.score_texts(docs, lm_scoring.held_out())
+
+
 def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return html_text.main_text(_table(spark, sf_dir, "pages"))
@@ -77,7 +84,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_html_text, op3_near_duplicates, op4_language_id, op5_token_counts, op6_token_files, op7_sentencepiece,
+    op1_lm_scoring, op2_html_text, op3_near_duplicates, op4_language_id, op5_token_counts, op6_token_files, op7_sentencepiece,
     op8_vector_duplicates, op9_toxicity, op10_decontamination)}
 
 # DuckDB SQL where SQL can express an operator
