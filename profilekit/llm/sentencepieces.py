@@ -17,6 +17,7 @@ gives no rows; only the kept columns are returned.
 
 from __future__ import annotations
 
+import os
 import struct
 from array import array
 
@@ -104,6 +105,8 @@ class Pieces:
 
     def __init__(self, data: bytes):
         import sentencepiece
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "true"  # the batches of this encoder use all threads
         from tokenizers import Tokenizer, models, normalizers
 
         self.model = m = Model(data)
@@ -152,7 +155,7 @@ class Pieces:
         cut = [self._segments(self.prepared(t)) for t in texts]
         if len(self._known) > CACHE_ENTRIES:
             self._known.clear()
-        new = list({s for segments in cut for s in segments if s not in self._known})
+        new = list(set().union(*cut).difference(self._known))
         made = self.backend.encode_batch_fast([s.replace(" ", MARKER) for s in new], add_special_tokens=False)
         # the library adds the marker itself where the model asks for it
         lead = 1 if self.model.dummy_prefix else 0

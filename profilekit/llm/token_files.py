@@ -58,7 +58,7 @@ class WordEncoder:
     def __init__(self, tokenizer_json: bytes):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks already use every core
         self.tokenizer = Tokenizer.from_str(tokenizer_json.decode())
         for probe in ("a b", "a  b", " a\nb ", "ab, c."):
             if self.tokenizer.encode(probe, add_special_tokens=False).ids != [
