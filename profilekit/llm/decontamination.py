@@ -215,7 +215,10 @@ _ARROW = [pa.float64(), pa.bool_(), pa.int64(), pa.float64()]
 
 
 def align(item: Template, doc: Template) -> tuple[float, bool, int, float]:
-    """(share of the item's windows in the document, same values throughout, slots met, consistent share of them).
+    """(share of the item's windows in the document, same values throughout, slots met, consistent share).
+
+    The consistent share is over the slots whose value the item repeats: of
+    each value's slots, those with its most frequent counterpart.
 
     Windows that occur several times in the document are read at the place
     that follows on from the window before, else at their first place.
@@ -243,6 +246,7 @@ def align(item: Template, doc: Template) -> tuple[float, bool, int, float]:
     uses: dict[bytes, Counter] = {}
     for own, other in slots:
         uses.setdefault(own, Counter())[other] += 1
-    agreed = sum(c.most_common(1)[0][1] for c in uses.values())
+    repeated = [c for c in uses.values() if c.total() > 1]
+    agreed, checked = sum(c.most_common(1)[0][1] for c in repeated), sum(c.total() for c in repeated)
     return (matched / len(wanted) if len(wanted) else 0.0, all(a == b for a, b in slots), len(slots),
-            agreed / len(slots) if slots else 1.0)
+            agreed / checked if checked else 1.0)
