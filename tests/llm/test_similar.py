@@ -59,6 +59,27 @@ def test_chains_and_hot_groups_of_copies(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got.collect()} == want
 
 
+def test_loose_members_of_a_crowd(spark, monkeypatch):
+    """Copies with one to four changed words: many are near some others only, none of them the base."""
+    rng = np.random.default_rng(11)
+    base = [f"w{i}" for i in range(150)]
+    rows = []
+    for i in range(260):
+        words = list(base)
+        for _ in range(1 + i % 4):
+            words[rng.integers(0, 150)] = f"x{rng.integers(0, 40)}"
+        if i % 7 == 0:
+            del words[rng.integers(0, 150)]
+        rows.append((i, " ".join(words)))
+    want = brute_documents(rows)
+    assert len({c for _, c, _ in want.values()}) > 20
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for crowd in (4, 1000):
+        monkeypatch.setattr(near_duplicates, "CROWD", crowd)
+        got = near_duplicates.near_duplicates(docs).collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == want
+
+
 def test_awkward_documents(spark, nasty, no_docs):
     got = near_duplicates.near_duplicates(nasty).collect()
     found = {r.doc_id: (r.component_id, r.kept) for r in got}
