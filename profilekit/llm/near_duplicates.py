@@ -9,10 +9,11 @@ document is finished as soon as no later level can lower any slot.
 
 Documents with equal sets become one class first (one aggregation, whatever
 the number of copies). Class signatures are cut into bands; in each bucket the
-members are compared with the smallest one, on full sets. Where the links
-found leave a bucket in several components, its remaining pairs across
-components are compared too, so that no link that joins components is
-lost within a bucket. With 24 bands of 6 ranks, a pair at the threshold of 85
+members are compared with the smallest one, on full sets. Buckets that the
+links found leave in several components are searched for links across them
+too: small ones pair by pair, crowded ones by an exact prefix filter on their
+members' differences to the smallest one (``delta_marks``), so that loose
+members of a large group of copies are not compared with all of it. With 24 bands of 6 ranks, a pair at the threshold of 85
 per cent meets in no bucket with probability 1.2e-5.
 
 Cases: null, empty or wordless text has an empty set and is linked with
@@ -37,6 +38,10 @@ from profilekit.operators.joins import bounded_broadcast
 WIDTH = 5
 THRESHOLD = 85  # per cent
 BANDS, ROWS = 24, 6
+SLOTS = 1 << 22   # of the table of shingle uses, half of them for either hash
+BIT_WORDS = 4     # 64-bit words of a difference's bit map
+CROWD = 32        # classes in a bucket up to which all its open pairs are compared
+_BINS = (-1.0, -0.75, -0.5, -0.25, 0.0, 0.25, 0.5, 0.75, 1.0, 1.25, 1.5, 2.0, 3.0, 4.0, 8.0)
 _CHUNK = 150_000  # elements whose permutations are held at once
 _LEVEL = 48       # bits of a rank below its level
 
@@ -148,6 +153,106 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return met.mapInArrow(compare, "a long, b long")
 
 
+def _slots(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two slots of each shingle."""
+    half = np.uint64(SLOTS // 2 - 1)
+    return (shingles & half).astype(np.int64), (mix(shingles) & half).astype(np.int64) + SLOTS // 2
+
+
+def delta_marks(own: np.ndarray, pivot: np.ndarray, uses: np.ndarray) -> tuple[np.ndarray, int, np.ndarray, int]:
+    """Marks of a set relative to a pivot set: two sets near each other share one, unless both are near the pivot.
+
+    With the marks come f (below), a bit map of the difference's shingles and
+    how many of them fell on a bit already set: of two sets with c common
+    shingles in their differences, at least c less that number of bits are common.
+
+    With d the size of a set's difference to the pivot and n its own, let
+    f = 185 d - 15 n. Two sets are near iff their difference is at most
+    15 / 185 of the sum of their sizes; so if f + f' <= 0 they are, and each of
+    them is near the pivot, which has the smallest f there can be. Else their
+    differences to the pivot must have (f + f') / 370 shingles in common:
+    a prefix filter over these differences, rare shingles first, finds all
+    such pairs. ``uses`` counts, at least, the sets that hold a shingle's slot:
+    an added shingle that no other set holds cannot be common. Partners are
+    told apart by bins of f, as the prefix's length depends on it.
+    """
+    delta = np.setxor1d(own, pivot, assume_unique=True)
+    f = (100 + THRESHOLD) * len(delta) - (100 - THRESHOLD) * len(own)
+    count = np.minimum(*(uses[slot] for slot in _slots(delta)))
+    order = np.lexsort((delta, count))
+    tokens = delta[order]
+    shared = (count[order] > 1) | np.isin(tokens, pivot, assume_unique=True)
+    borders = [int(x * (100 - THRESHOLD) * len(pivot)) for x in _BINS]
+    mine = sum(f >= x for x in borders[1:])
+    out = []
+    for other, low in enumerate(borders):
+        if other + 1 < len(borders) and f + borders[other + 1] <= 0:
+            continue
+        need = max(1, -(-(f + low) // (2 * (100 + THRESHOLD))))
+        if int(shared.sum()) < need:
+            continue
+        take = tokens[:len(tokens) - need + 1]
+        take = take[shared[:len(take)]]
+        if len(take):
+            out.append(chain(take, np.full(len(take), min(mine, other) << 8 | max(mine, other), np.uint64)))
+    bits = np.zeros(BIT_WORDS * 64, np.uint8)
+    bits[(mix(delta) % np.uint64(len(bits))).astype(np.int64)] = 1
+    return (np.concatenate(out) if out else np.empty(0, np.uint64), f,
+            np.packbits(bits).view(np.int64), len(delta) - int(bits.sum()))
+
+
+def pivot_marks(spokes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id, pivot, near, marks, f, bits, twice) for the rows (id, pivot); a mark belongs to one pivot."""
+    held = texts.join(spokes.select("id").distinct(), "id", "left_semi")
+
+    def slots(batches):
+        for b in batches:
+            seen = np.zeros(SLOTS, np.int64)
+            for t in b.column(0).to_pylist():
+                for slot in _slots(shingle_set(t)):
+                    np.add.at(seen, slot, 1)
+            used = np.flatnonzero(seen)
+            yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(seen[used])], names=["slot", "n"])
+
+    # a table of fixed size: at most SLOTS pairs of numbers, whatever the corpus
+    found = (held.select(F.col("text").cast("binary")).mapInArrow(slots, "slot int, n long")
+             .groupBy("slot").agg(F.least(F.sum("n"), F.lit(30_000)).cast("short").alias("n")).toArrow())
+    uses = np.zeros(SLOTS, np.uint16)
+    uses[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    shared = texts.sparkSession.sparkContext.broadcast(uses)
+    met = (spokes.join(texts.select("id", F.col("text").alias("t")), "id")
+           .join(texts.select(F.col("id").alias("pivot"), F.col("text").alias("tp")), "pivot")
+           .select("id", "pivot", F.col("t").cast("binary"), F.col("tp").cast("binary")))
+
+    def mark(batches):
+        last, pivot = None, None  # neighbouring rows often share the pivot
+        for b in batches:
+            out, near, sums = [], [], []
+            for p, t, tp in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+                if p != last:
+                    last, pivot = p, shingle_set(tp)
+                own = shingle_set(t)
+                common = len(np.intersect1d(own, pivot, assume_unique=True))
+                near.append(100 * common >= THRESHOLD * (len(own) + len(pivot) - common))
+                marks, *rest = delta_marks(own, pivot, shared.value)
+                sums.append(rest)
+                out.append(chain(marks, np.full(len(marks), p, np.int64).view(np.uint64)).view(np.int64))
+            f, bits, twice = zip(*sums, strict=True) if sums else ([], [], [])
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(near, pa.bool_()), pa.array(out, pa.list_(pa.int64())),
+                 pa.array(f, pa.int64()), pa.array(bits, pa.list_(pa.int64())), pa.array(twice, pa.int64())],
+                names=["id", "pivot", "near", "marks", "f", "bits", "twice"])
+
+    return met.mapInArrow(mark, "id long, pivot long, near boolean, marks array<long>, f long, bits array<long>, twice long")
+
+
+def _can_share(a: str, b: str):
+    """Whether the bit maps of two differences leave room for the shingles they must have in common."""
+    common = sum((F.bit_count(F.col(f"{a}bits")[i].bitwiseAND(F.col(f"{b}bits")[i])) for i in range(BIT_WORDS)), F.lit(0))
+    needed = F.ceil((F.col(f"{a}f") + F.col(f"{b}f")) / (2 * (100 + THRESHOLD)))
+    return F.coalesce(common >= needed - F.least(f"{a}twice", f"{b}twice"), F.lit(True))
+
+
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document."""
     sketch, _ = written(sketches(docs, doc_id=doc_id, text=text), "sketches")
@@ -170,17 +275,39 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
                        source.join(ids, "id", "left_semi"), "texts")
     links, _ = written(verified(first, texts), "links")
     group = components(links)
-    # buckets still in several components: every pair across them that is not yet compared
+    # buckets still in several components: pairs across them that are not yet compared
     placed = members.join(group, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("g"))
-    open_keys = placed.groupBy("key").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).filter("lo < hi").select("key")
-    left, _ = written(placed.join(open_keys, "key"), "open-buckets")
-    right = left.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("g").alias("gb"))
-    rest = (left.join(right, "key").filter((F.col("id") > F.col("b")) & (F.col("g") != F.col("gb")) & near_size)
+    opened = (placed.groupBy("key").agg(F.min("g").alias("lo"), F.max("g").alias("hi"), F.min("id").alias("pivot"),
+                                        F.count(F.lit(1)).alias("size")).filter("lo < hi").select("key", "pivot", "size"))
+    loose, _ = written(placed.join(opened, "key"), "open-buckets")
+    spokes, many = written(loose.filter(F.col("size") > CROWD).select("id", "pivot").distinct(), "spokes",
+                           F.count(F.lit(1)).alias("n"))
+    more_links = None
+    # in small buckets all pairs, in crowded ones those with a common mark
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("f", "long"), ("bits", "array<long>"), ("twice", "long"))]
+    shared = loose.filter(F.col("size") <= CROWD).select("key", "id", "n", "g", *nothing)
+    if many["n"]:
+        # crowded buckets with common members get one pivot: one difference per document
+        hubs = components(spokes.select(F.col("id").alias("a"), F.col("pivot").alias("b")))
+        deltas, _ = written(pivot_marks(hubs.withColumnRenamed("component", "pivot"), texts), "deltas")
+        more_links = deltas.filter("near and id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b"))
+        marks = (deltas.select("id", "f", "bits", "twice", F.explode(F.array_distinct("marks")).alias("key"))
+                 .join(loose.select("id", "n", "g").distinct(), "id"))
+        marks, _ = written(marks.select("key", "id", "n", "g", "f", "bits", "twice"), "marks")
+        split = marks.groupBy("key").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).filter("lo < hi").select("key")
+        shared = shared.unionByName(marks.join(split, "key"))
+    left, _ = written(shared, "open-marks")
+    right = left.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("g").alias("gb"),
+                        *[F.col(c).alias(f"b{c}") for c in ("f", "bits", "twice")])
+    rest = (left.join(right, "key")
+            .filter((F.col("id") > F.col("b")) & (F.col("g") != F.col("gb")) & near_size & _can_share("", "b"))
             .select(F.col("id").alias("a"), "b").distinct().join(first, ["a", "b"], "left_anti"))
     rest, seen = written(rest, "pairs", F.count(F.lit(1)).alias("n"))
     if seen["n"]:
-        more, _ = written(verified(rest, texts), "links")
-        group = components(links.unionByName(more))
+        found, _ = written(verified(rest, texts), "links")
+        more_links = found if more_links is None else more_links.unionByName(found)
+    if more_links is not None:
+        group = components(links.unionByName(more_links))
     named = (classes.join(group, "id", "left")
              .select("set_digest", F.coalesce("component", "id").alias("component_id")))
     return (sketch.join(named, "set_digest", "left")
