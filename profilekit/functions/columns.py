@@ -19,12 +19,14 @@ def _c(c: ColumnOrName) -> Column:
 
 
 def json_field(payload: ColumnOrName, key: str) -> Column:
-    """Top-level field of a JSON object held in a string, as a string.
+    """Top-level field of a JSON object held in a string, as a string; the key is literal (dots are no path).
 
     Missing key, JSON ``null``, malformed JSON and NULL input all give NULL
     (the job does not fail on a bad row).
     """
-    return F.get_json_object(_c(payload), f"$.{key}")
+    if "'" in key:
+        raise ValueError("a JSON key with a quote can't be written as a path")
+    return F.get_json_object(_c(payload), f"$['{key}']")
 
 
 def has_text(c: ColumnOrName) -> Column:
@@ -39,8 +41,13 @@ def valid_tag(c: ColumnOrName) -> Column:
 
 
 def code_list(c: ColumnOrName, sep: str = ",") -> Column:
-    """Split a separated list; inner and trailing empty items are kept."""
-    return F.split(_c(c), sep if sep != "|" else r"\|")
+    """Split a separated list at a literal separator; inner and trailing empty items are kept."""
+    return F.split(_c(c), separator(sep))
+
+
+def separator(sep: str) -> str:
+    """The regular expression of a literal separator."""
+    return "\\Q" + sep.replace("\\E", "\\E\\\\E\\Q") + "\\E"
 
 
 def list_item(c: ColumnOrName, index: int, sep: str = ",") -> Column:

@@ -25,18 +25,34 @@ DEFAULT_MAX_ROWS = 2_000_000
 DEFAULT_MAX_BYTES = 256 * 1024 * 1024
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """Bytes of a row: text and binary by their length, numbers as 8, nested values by their JSON text."""
+    def of(f: T.StructField) -> Column:
+        c = F.col("`" + f.name.replace("`", "``") + "`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            return F.coalesce(F.octet_length(c), F.lit(0)) + F.lit(8)
+        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + F.lit(8)
+        return F.lit(8)
+    return sum((of(f) for f in df.schema.fields), F.lit(0)).cast("long")
+
+
 def write_measured(df: DataFrame, path: str, byte_measure: Column | None = None) -> tuple[int, int]:
     """Write ``df`` as parquet and return its (rows, bytes), observed during the write.
 
-    ``DataFrame.observe`` gathers the counts in the same job as the write
-    (from the tasks that succeed), so measuring costs no extra pass.
+    All columns are measured unless ``byte_measure`` says otherwise.
+    ``DataFrame.observe`` gathers the sums in the same job as the write (from
+    the tasks that succeed), so measuring costs no extra pass. Where the write
+    gave no observation, the written copy is measured: no size is ever assumed.
     """
-    measure = byte_measure if byte_measure is not None else F.lit(0)
+    measure = byte_measure if byte_measure is not None else row_bytes(df)
+    sums = [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(measure), F.lit(0)).alias("b")]
     obs = Observation(f"side-size-{uuid.uuid4().hex}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(measure), F.lit(0)).alias("b"))
-    observed.write.mode("errorifexists").parquet(path)
+    df.observe(obs, *sums).write.mode("errorifexists").parquet(path)
     got = obs.get
-    return int(got.get("n", 0)), int(got.get("b", 0))
+    if "n" not in got or "b" not in got:
+        got = df.sparkSession.read.parquet(path).agg(*sums).first().asDict()
+    return int(got["n"]), int(got["b"])
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None,
@@ -106,25 +122,29 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
     spark = big.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     hot = hot_keys(big, big_key) if hot is None else hot
-    if not hot:
-        return big.join(small, big[big_key] == small[small_key], how)
+    if not hot and how in ("inner", "left_semi"):
+        # past its bound a side is never broadcast, whatever its files' size suggests
+        return big.join(small.hint("merge"), big[big_key] == small[small_key], how)
     if isinstance(hot, dict):
         salts = {k: max(2, min(parts, math.ceil(v * parts))) for k, v in hot.items()}
     else:
         salts = {k: max(2, buckets or parts) for k in hot}
-    n_salts = F.create_map(*[F.lit(x) for kv in salts.items() for x in kv])
+    n_salts = (F.create_map(*[F.lit(x) for kv in salts.items() for x in kv]) if salts else
+               F.create_map().cast(T.MapType(big.schema[big_key].dataType, T.IntegerType())))
     # Content hash, not a random number: a retried task salts every row the
     # same way. Exact duplicate rows share a salt; AQE's skew-join split still
     # divides such a partition by map output blocks.
     hashable = [F.col(f.name) for f in big.schema.fields if not isinstance(f.dataType, T.MapType)]
     row_hash = F.xxhash64(*hashable)
     big_n = F.try_element_at(n_salts, F.col(big_key))
-    big_s = big.withColumn("_salt", F.when(big_n.isNotNull(), F.pmod(row_hash, big_n)).otherwise(F.lit(0)))
+    # a null key matches nothing, but a left join keeps its rows: spread them over all partitions
+    big_s = big.withColumn("_salt", F.when(F.col(big_key).isNull(), F.pmod(row_hash, F.lit(parts)))
+                           .when(big_n.isNotNull(), F.pmod(row_hash, big_n)).otherwise(F.lit(0)))
     small_n = F.try_element_at(n_salts, F.col(small_key))
     small_salts = F.when(small_n.isNotNull(), F.sequence(F.lit(0), small_n - 1)).otherwise(F.array(F.lit(0)))
     small_s = small.withColumn("_salt_s", F.explode(small_salts))
     cond = (big_s[big_key] == small_s[small_key]) & (big_s["_salt"] == small_s["_salt_s"])
-    return big_s.join(small_s, cond, how).drop("_salt", "_salt_s")
+    return big_s.join(small_s.hint("merge"), cond, how).drop("_salt", "_salt_s")
 
 
 def checked_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, how: str = "inner",
@@ -132,7 +152,18 @@ def checked_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
                  max_bytes: int | None = None) -> DataFrame:
     """Broadcast join when ``small`` passes the size check, else a hot-key-salted shuffle join."""
     side, ok = bounded_broadcast(small, max_rows, byte_measure, max_bytes)
-    if ok:
+    return join_side(big, side, ok, big_key, small_key, how)
+
+
+def join_side(big: DataFrame, side: DataFrame, small: bool, big_key: str, small_key: str,
+              how: str = "inner") -> DataFrame:
+    """Join with a side that ``bounded_broadcast`` has written and judged.
+
+    Beyond the bound ``big`` is written once too: the search for its hot keys
+    and the join both read the copy, so neither side is computed twice.
+    """
+    if small:
         return big.join(side, big[big_key] == side[small_key], how)
-    # the written copy: the small side is not computed a second time
-    return salted_join(big, side, big_key, small_key, how)
+    path = shared_path(big.sparkSession, "join-big")
+    big.write.parquet(path)
+    return salted_join(big.sparkSession.read.parquet(path), side, big_key, small_key, how)

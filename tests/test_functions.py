@@ -60,3 +60,9 @@ def test_distinct_before_dictionary_profile_changes_nothing(spark):
     plain = flag_profile(dict_tags(log, "appname", d, keep=["userid"]), "userid")
     dedup = flag_profile(dict_tags(log.distinct(), "appname", d, keep=["userid"]).distinct(), "userid")
     assert rows(plain) == rows(dedup)
+
+
+def test_separators_and_json_keys_are_literal(spark):
+    df = spark.createDataFrame([("a.b|c", '{"a.b":"x","a":{"b":"y"}}')], "t string, j string")
+    got = df.select(code_list("t", "."), code_list("t", "|"), json_field("j", "a.b"), json_field("j", "a")).first()
+    assert list(got) == [["a", "b|c"], ["a.b", "c"], "x", '{"b":"y"}']

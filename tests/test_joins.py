@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from profilekit.operators.joins import bounded_broadcast, checked_join, hot_keys, salted_join
-from tests.conftest import rows
+from tests.conftest import plan_text, rows
 
 
 def _skewed(spark):
@@ -54,3 +54,24 @@ def test_bounded_broadcast_of_an_empty_side(spark):
     assert ok and side.count() == 0
     big, _ = _skewed(spark)
     assert checked_join(big, empty, "k", "k", "inner").count() == 0
+
+
+def test_wide_side_is_refused(spark):
+    big, _ = _skewed(spark)
+    wide = spark.range(0, 1000).select(F.col("id").alias("sk"), F.repeat(F.lit("x"), 5000).alias("text"))
+    side, small = bounded_broadcast(wide, max_bytes=1_000_000)  # every column is measured
+    assert not small and side.count() == 1000
+    plan = plan_text(checked_join(big, wide, "k", "sk", max_bytes=1_000_000), "simple")
+    assert "BroadcastHashJoin" not in plan.split("AdaptiveSparkPlan")[1]
+    numbers = spark.range(0, 1000).select(*[F.col("id").alias(f"c{i}") for i in range(50)])
+    assert not bounded_broadcast(numbers, max_bytes=100_000)[1] and bounded_broadcast(numbers, max_bytes=500_000)[1]
+
+
+def test_null_keys_of_a_left_join_are_spread(spark):
+    big = spark.range(0, 1000).select(F.when(F.col("id") % 3 == 0, F.col("id") % 5).alias("k"), F.col("id").alias("v"))
+    small = spark.createDataFrame([(0, "a"), (3, "b")], "sk long, name string")
+    for hot in ({}, {0: 0.1}):
+        got = salted_join(big, small, "k", "sk", "left", hot=hot)
+        assert rows(got) == rows(big.join(small, big["k"] == small["sk"], "left"))
+    kept = salted_join(big, small, "k", "sk", "left_semi", hot={0: 0.1})
+    assert rows(kept) == rows(big.join(small, big["k"] == small["sk"], "left_semi"))
