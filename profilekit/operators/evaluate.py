@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from profilekit.operators.joins import bounded_broadcast
+from profilekit.operators.ranking import global_index
 
 # --- fixed values: report layout (class names, average rows, block shape) ---
 DEFAULT_CLASSES: tuple[tuple[int, str], ...] = ((0, "exposure"), (1, "click"))
@@ -106,51 +106,64 @@ def _keys(run_col: str | Sequence[str]) -> list[str]:
     return [run_col] if isinstance(run_col, str) else list(run_col)
 
 
-def auc(scored: DataFrame, run_col: str | Sequence[str], label_col: str, score_col: str,
-        partitions: int | None = None) -> DataFrame:
-    """Exact AUC per run: ``sum(pos * (neg_below + neg_same / 2)) / (P * N)``; NULL if a class is missing.
+BUCKETS = 64
+
+
+def ranking_metrics(scored: DataFrame, run_col: str | Sequence[str], label_col: str, score_col: str,
+                    eps: float = 1e-15, buckets: int = BUCKETS) -> DataFrame:
+    """Exact AUC and log-loss per run, with ``n_pos`` and ``n_neg``, from one pass over the rows.
 
-    ``run_col`` may be several columns (a run and a segment, say). Rows with a
-    NULL score or label are left out.
+    AUC is ``sum(pos * (neg_below + neg_same / 2)) / (P * N)``, NULL if a class
+    is missing; log-loss the mean of ``-(y ln p + (1 - y) ln(1 - p))`` with
+    ``p`` clipped to ``[eps, 1 - eps]``. Rows with a NULL score or label are
+    left out of both. ``run_col`` may be several columns (a run and a segment).
+
+    Rows are reduced to one per run and distinct score; these are cut into
+    score ranges (quantile estimates; they balance the work, the result does
+    not depend on them), so that no window holds a whole run: a running sum
+    inside each range plus the negatives of the ranges below.
     """
     keys = _keys(run_col)
-    spark = scored.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     y = F.col(label_col).cast("long")
-    # rows without a score or a label have no place in the ranking
-    scored = scored.filter(F.col(score_col).isNotNull() & F.col(label_col).isNotNull())
-    per_score = (scored.groupBy(*keys, score_col)
-                 .agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")))
-    # written once: the totals and the running sums both read it, and the
-    # partition ids stay fixed if a task is retried
-    ranged = (per_score.repartitionByRange(parts, *keys, score_col)
-              .withColumn("_pid", F.spark_partition_id())
-              .checkpoint(eager=True))
-    totals = ranged.groupBy(*keys, "_pid").agg(F.sum("neg").alias("_part_neg"))
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, "_pid",
-                            F.coalesce(F.sum("_part_neg").over(before), F.lit(0)).alias("_offset"))
-    side, _ = bounded_broadcast(offsets)
-    inside = (Window.partitionBy(*keys, "_pid").orderBy(score_col)
-              .rowsBetween(Window.unboundedPreceding, -1))
-    with_below = (ranged.join(side, [*keys, "_pid"], "inner")
-                  .withColumn("_below", F.col("_offset")
-                              + F.coalesce(F.sum("neg").over(inside), F.lit(0))))
-    contrib = F.col("pos").cast("double") * (F.col("_below").cast("double") + F.col("neg") / F.lit(2.0))
-    return (with_below.groupBy(*keys)
-            .agg(F.sum(contrib).alias("_area"), F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"))
-            .select(*keys, F.when((F.col("n_pos") == 0) | (F.col("n_neg") == 0), F.lit(None))
-                    .otherwise(F.col("_area") / (F.col("n_pos").cast("double") * F.col("n_neg").cast("double")))
-                    .alias("auc"), "n_pos", "n_neg"))
+    known = scored.filter(F.col(score_col).isNotNull() & F.col(label_col).isNotNull())
+    per_score = (known.groupBy(*keys, F.col(score_col).alias("_score"))
+                 .agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")).checkpoint(eager=True))
+    edges = per_score.agg(F.percentile_approx("_score", [i / buckets for i in range(1, buckets)]).alias("e")).first()["e"]
+    borders = F.array(*[F.lit(e) for e in sorted(set(edges or []))]) if edges else F.array()
+    at = F.size(F.filter(borders, lambda e: e < F.col("_score")))
+    ranged = per_score.withColumn("_range", at)
+    below = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per run and range
+    offsets = (ranged.groupBy(*keys, "_range").agg(F.sum("neg").alias("_n"))
+               .select(*keys, "_range", F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_offset")))
+    inside = Window.partitionBy(*keys, "_range").orderBy("_score").rowsBetween(Window.unboundedPreceding, -1)
+    placed = (ranged.withColumn("_inside", F.coalesce(F.sum("neg").over(inside), F.lit(0)))
+              .join(offsets, [*keys, "_range"]))
+    under = (F.col("_offset") + F.col("_inside")).cast("double")
+    p = F.least(F.greatest(F.col("_score").cast("double"), F.lit(eps)), F.lit(1.0 - eps))
+    loss = -(F.col("pos") * F.ln(p) + F.col("neg") * F.ln(F.lit(1.0) - p))
+    n_pos, n_neg = F.col("n_pos").cast("double"), F.col("n_neg").cast("double")
+    return (placed.groupBy(*keys)
+            .agg(F.sum(F.col("pos").cast("double") * (under + F.col("neg") / F.lit(2.0))).alias("_area"),
+                 F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"), F.sum(loss).alias("_loss"))
+            .select(*keys, F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0), F.col("_area") / (n_pos * n_neg)).alias("auc"),
+                    (F.col("_loss") / (n_pos + n_neg)).alias("logloss"), "n_pos", "n_neg"))
+
+
+def auc(scored: DataFrame, run_col: str | Sequence[str], label_col: str, score_col: str,
+        buckets: int = BUCKETS) -> DataFrame:
+    """The AUC part of ``ranking_metrics``."""
+    return ranking_metrics(scored, run_col, label_col, score_col, buckets=buckets).drop("logloss")
 
 
 def log_loss(scored: DataFrame, run_col: str | Sequence[str], label_col: str, score_col: str,
              eps: float = 1e-15) -> DataFrame:
-    """Mean of ``-(y ln p + (1 - y) ln(1 - p))`` per run, ``p`` clipped to ``[eps, 1 - eps]``."""
+    """Mean log-loss per run; rows with a NULL score or label are left out."""
     p = F.least(F.greatest(F.col(score_col).cast("double"), F.lit(eps)), F.lit(1.0 - eps))
     y = F.col(label_col).cast("double")
     term = -(y * F.ln(p) + (F.lit(1.0) - y) * F.ln(F.lit(1.0) - p))
-    return scored.groupBy(*_keys(run_col)).agg(F.avg(term).alias("logloss"))
+    known = scored.filter(F.col(score_col).isNotNull() & F.col(label_col).isNotNull())
+    return known.groupBy(*_keys(run_col)).agg(F.avg(term).alias("logloss"))
 
 
 def _num(c: Column) -> Column:
@@ -185,51 +198,59 @@ def format_reports(report: DataFrame, metrics: DataFrame, run_col: str,
         F.lit(REPORT_BLANK),
         F.array_join(F.transform(avg, lambda s: s["line"]), "\r\n"),
         F.lit(REPORT_BLANK), F.lit(AUC_MARKER),
-        F.concat(_num(F.col("auc")), F.lit(",,,,")),
-        F.concat(F.lit(LOGLOSS_PREFIX + ","), _num(F.col("logloss")), F.lit(",,")),
+        # a metric that does not exist leaves its field empty, never its line out
+        F.concat(F.coalesce(_num(F.col("auc")), F.lit("")), F.lit(",,,,")),
+        F.concat(F.lit(LOGLOSS_PREFIX + ","), F.coalesce(_num(F.col("logloss")), F.lit("")), F.lit(",,")),
     )
     return joined.select(run_col, block.alias("block"))
 
 
 def write_reports(blocks: DataFrame, run_col: str, path: str) -> None:
-    """Write the blocks, in run order, as one report file (a small, bounded artifact)."""
-    (blocks.orderBy(run_col).select(F.col("block").alias("value"))
-     .coalesce(1).write.mode("overwrite").option("lineSep", "\r\n").text(path))
+    """Write each run's block as a report file of its own, under a folder that names the run."""
+    (blocks.select(F.col(run_col).alias("field"), F.col("block").alias("value"))
+     .write.mode("overwrite").partitionBy("field").option("lineSep", "\r\n").text(path))
 
 
 def _placed_lines(spark, path: str) -> DataFrame:
-    """``(file, field, at, f)``: each line of each report file, its block, its place, its fields."""
-    raw = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    lines = raw.select("file", F.posexplode(F.split("value", "\r?\n")).alias("pos", "line"))
-    return lines.select("file", F.floor(F.col("pos") / BLOCK_LINES).cast("int").alias("field"),
+    """``(file, field, at, f)``: each line of each report file, its run, its place in the block, its fields.
+
+    The run is the folder's (``field=...``); a file of several blocks outside
+    such a folder, as in the original layout, numbers its runs by the block.
+    """
+    raw = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name())
+    own = [F.col("field").cast("int")] if "field" in raw.columns else []
+    lines = raw.select("file", "value", *own).select(
+        "file", *[c for c in raw.columns if c == "field"], F.posexplode(F.split("value", "\r?\n")).alias("pos", "line"))
+    block = F.floor(F.col("pos") / BLOCK_LINES).cast("int")
+    return lines.select("file", (F.coalesce("field", block) if own else block).alias("field"),
                         (F.col("pos") % BLOCK_LINES).alias("at"), F.split("line", ",").alias("f"))
 
 
 def read_reports(spark, path: str) -> DataFrame:
     """Report files -> ``(file, field, label, precision, recall, f1_score, support)``.
 
-    Each file is a series of 12-line blocks; block number = ``field``. A file
+    Each file is a series of 12-line blocks (see ``_placed_lines``). A file
     is read whole (reports are small), split into lines, and each line is
-    placed by its position in the block.
+    placed by its position in the block. A field that is no number is NULL.
     """
     rows = _placed_lines(spark, path).filter(F.col("at").isin(*CLASS_LINES, *AVERAGE_LINES))
     return rows.select(
         "file", "field",
         F.get(F.col("f"), 0).alias("label"),
-        F.get(F.col("f"), 1).cast("double").alias("precision"),
-        F.get(F.col("f"), 2).cast("double").alias("recall"),
-        F.get(F.col("f"), 3).cast("double").alias("f1_score"),
-        F.get(F.col("f"), 4).cast("double").cast("long").alias("support"),
+        F.get(F.col("f"), 1).try_cast("double").alias("precision"),
+        F.get(F.col("f"), 2).try_cast("double").alias("recall"),
+        F.get(F.col("f"), 3).try_cast("double").alias("f1_score"),
+        F.get(F.col("f"), 4).try_cast("double").cast("long").alias("support"),
     )
 
 
 def read_report_metrics(spark, path: str) -> DataFrame:
-    """``(file, field, auc, logloss)`` from the last two lines of each block."""
+    """``(file, field, auc, logloss)`` from the last two lines of each block (NULL where a field is empty)."""
     at = F.col("at")
     return (_placed_lines(spark, path).filter(at.isin(AUC_LINE, LOGLOSS_LINE))
             .groupBy("file", "field")
-            .agg(F.max(F.when(at == AUC_LINE, F.get(F.col("f"), 0))).cast("double").alias("auc"),
-                 F.max(F.when(at == LOGLOSS_LINE, F.get(F.col("f"), 2))).cast("double").alias("logloss")))
+            .agg(F.max(F.when(at == AUC_LINE, F.get(F.col("f"), 0))).try_cast("double").alias("auc"),
+                 F.max(F.when(at == LOGLOSS_LINE, F.get(F.col("f"), 2))).try_cast("double").alias("logloss")))
 
 
 def read_long_table(spark, path: str, sep: str = ",", header: bool = True) -> DataFrame:
@@ -243,6 +264,11 @@ def order_long(df: DataFrame) -> DataFrame:
     return df.orderBy("label", F.col("field").cast("int"))
 
 
+def number_long(df: DataFrame, name: str = "position") -> DataFrame:
+    """M2 with each row's position in that order (from 1) as a column."""
+    return global_index(df.withColumn("field", F.col("field").cast("int")), ["label", "field"], name)
+
+
 def ablation_compare(metrics: DataFrame, run_col: str, baseline, cols: Sequence[str]) -> DataFrame:
     """Each run's metrics with ``delta_<m> = m - m(baseline run)``.
 

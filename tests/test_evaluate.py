@@ -49,7 +49,7 @@ def test_class_report_identities(spark):
 
 def test_auc_matches_brute_force_pairs(spark):
     df, data = _pred(spark)
-    got = {r["run"]: r["auc"] for r in E.auc(df, "run", "y", "p", partitions=5).collect()}
+    got = {r["run"]: r["auc"] for r in E.auc(df, "run", "y", "p", buckets=5).collect()}
     for run in range(3):
         d = [(y, p) for r, y, p, _ in data if r == run]
         pos = [p for y, p in d if y == 1]
@@ -67,13 +67,32 @@ def test_log_loss_clips(spark):
     assert math.isclose(ll, expect, rel_tol=1e-9)
 
 
+def test_rows_without_a_score_count_in_neither_metric(spark):
+    df = spark.createDataFrame([(5, 1, 0.9), (5, 0, 0.1), (5, 1, None), (5, None, 0.4), (9, 1, 0.5), (9, 1, None)],
+                               "run int, y int, p double")
+    got = {r["run"]: r for r in E.ranking_metrics(df, "run", "y", "p").collect()}
+    assert got[5]["auc"] == 1.0 and math.isclose(got[5]["logloss"], -math.log(0.9), rel_tol=1e-12)
+    assert (got[5]["n_pos"], got[5]["n_neg"]) == (1, 1)
+    assert got[9]["auc"] is None and math.isclose(got[9]["logloss"], math.log(2), rel_tol=1e-12)
+    assert math.isclose({r["run"]: r["logloss"] for r in E.log_loss(df, "run", "y", "p").collect()}[5], -math.log(0.9))
+
+
+def test_run_ids_survive_the_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([(5, 1, 0.9, 1), (5, 0, 0.1, 0), (9, 1, 0.5, 1)], "run int, y int, p double, pred int")
+    path = str(tmp_path / "r")
+    blocks = E.format_reports(E.class_report(df, "run", "y", "pred"), E.ranking_metrics(df, "run", "y", "p"), "run")
+    E.write_reports(blocks, "run", path)
+    assert {r["field"]: r["auc"] for r in E.read_report_metrics(spark, path).collect()} == {5: 1.0, 9: None}
+    assert {r["field"] for r in E.read_reports(spark, path).collect()} == {5, 9}
+
+
 def test_report_blocks_round_trip(spark, tmp_path):
     df, _ = _pred(spark)
-    df = df.filter(F.col("run") < 3)
     rep = E.class_report(df, "run", "y", "pred")
     metrics = (E.auc(df, "run", "y", "p").join(E.log_loss(df, "run", "y", "p"), "run"))
     path = str(tmp_path / "reports")
     blocks = E.format_reports(rep, metrics, "run")
+    assert any(r["auc"] is None for r in metrics.collect())  # the one-class run takes part
     first = blocks.orderBy("run").first()["block"].split("\r\n")
     assert len(first) == E.BLOCK_LINES and first[0] == E.REPORT_HEADER and first[9] == E.AUC_MARKER
     assert [ln.split(",")[0] for ln in first[2:4]] == ["exposure", "click"]
