@@ -9,25 +9,26 @@ of which forms text x key pairs:
 - ``automaton`` (default): the key list is compiled once per Python worker into
   an Aho-Corasick automaton and every text is scanned once, in time linear in the
   text length plus matches, independent of the number of keys. Spark
-  scans the texts where they lie and only the matches are deduplicated (no
-  shuffle of whole texts); the key list is shipped only after its size is
-  checked, and a larger list is cut into shards that each pass the check
-  (texts are then scanned once per shard and the best match per text is taken
-  with a grouped ``min``; no pair of text and key is ever materialised).
+  scans the texts where they lie, once, and only the matches are deduplicated;
+  the key list is shipped only after its size is checked. A larger list never
+  leaves the executors: it meets the texts in a hash join on the keys' first
+  characters, and only pairs that share them are tested (``_anchored``).
 - ``ngram``: for title-sized texts; every substring whose length is a key
   length is exploded and equi-joined with the keys (hash join). The text is
   split into characters once and each gram is a slice, so a text of length L
   costs L x n per key length n; all key lengths are generated in one pass and
   joined once. The exploded rows make it a form for short texts.
 
-Empty keys are dropped on load (an empty key would match every text).
+Among keys of equal priority the smallest key wins, in every form. Empty keys
+are dropped on load (an empty key would match every text).
 """
 
 from __future__ import annotations
 
-import math
 import uuid
 
+import ahocorasick
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,9 +37,11 @@ from profilekit.operators.joins import bounded_broadcast, string_bytes, write_me
 from profilekit.session import shared_path
 
 # Bounds of one automaton: a trie node takes tens of bytes in the Python
-# worker, so a shard of 16 MB of key text stays around a gigabyte at worst.
-MAX_KEYS_PER_SHARD = 200_000
-MAX_KEY_BYTES_PER_SHARD = 16 * 1024 * 1024
+# worker, so 16 MB of key text stay around a gigabyte at worst.
+MAX_KEYS = 200_000
+MAX_KEY_BYTES = 16 * 1024 * 1024
+# First characters of a key that a larger key list is joined on.
+ANCHOR = 8
 
 _MATCH_SCHEMA = T.StructType([
     T.StructField("text", T.StringType()),
@@ -56,108 +59,78 @@ def clean_keys(dictionary: DataFrame, key_col: str, priority_col: str) -> DataFr
             .groupBy("key").agg(F.min("priority").alias("priority")))
 
 
-def _scan_with_automaton(texts: DataFrame, keys: list[tuple[str, int]], force_plain: bool = False) -> DataFrame:
-    """Per-task Aho-Corasick scan: ``(text, key, priority)`` of the best key per text.
+_AUTOMATA: dict = {}
 
-    Where the ``ahocorasick`` package is missing (or ``force_plain``), each text
-    is checked against the keys in priority order instead: the same result,
-    in time proportional to keys x text length.
-    """
-    spark = texts.sparkSession
-    shipped = spark.sparkContext.broadcast(keys)
+
+def _scan_with_automaton(texts: DataFrame, keys: list[tuple[str, int]]) -> DataFrame:
+    """Per-task Aho-Corasick scan: ``(text, key, priority)`` of the best key per text."""
+    shipped = texts.sparkSession.sparkContext.broadcast(keys)
     token = uuid.uuid4().hex
 
     def scan(batches):
-        import sys
-        import types
-
-        import pandas as pd
-
-        try:
-            import ahocorasick
-        except ImportError:  # executors without the package: same result, slower
-            ahocorasick = None
-        if force_plain:
-            ahocorasick = None
-
         # Python workers are reused across tasks: build each automaton once per
-        # worker process (at most two kept), not once per task. The cache is
-        # registered in sys.modules because this closure is shipped by value;
-        # a module global of this package would require the package on every
-        # executor.
-        holder = sys.modules.get("_profilekit_automata")
-        if holder is None:
-            holder = types.ModuleType("_profilekit_automata")
-            holder.cache = {}
-            sys.modules["_profilekit_automata"] = holder
-        if token in holder.cache:
-            auto, best_possible = holder.cache[token]
-        elif ahocorasick is not None:
+        # worker process (at most two kept), not once per task
+        if token not in _AUTOMATA:
             auto = ahocorasick.Automaton()
-            best_possible = None
             for key, pri in shipped.value:
                 auto.add_word(key, (pri, key))
-                best_possible = pri if best_possible is None else min(best_possible, pri)
             auto.make_automaton()
-            while len(holder.cache) >= 2:
-                holder.cache.pop(next(iter(holder.cache)))
-            holder.cache[token] = (auto, best_possible)
-        else:
-            auto, best_possible = None, None
-            ordered = sorted((pri, key) for key, pri in shipped.value)
+            while len(_AUTOMATA) >= 2:
+                _AUTOMATA.pop(next(iter(_AUTOMATA)))
+            _AUTOMATA[token] = auto, min((pri, key) for key, pri in shipped.value)
+        auto, best_possible = _AUTOMATA[token]
 
         def best_of(text):
-            if auto is None:
-                # keys in priority order; the first one contained in the text wins
-                return next(((pri, key) for pri, key in ordered if key in text), None)
             best = None
-            for _, (pri, key) in auto.iter(text):
-                if best is None or pri < best[0]:
-                    best = (pri, key)
-                    if pri == best_possible:
+            for _, found in auto.iter(text):
+                if best is None or found < best:
+                    best = found
+                    if best == best_possible:
                         break
             return best
 
         for pdf in batches:
-            out_t, out_k, out_p = [], [], []
-            for text in pdf["text"]:
-                if text is None:
-                    continue
-                best = best_of(text)
-                if best is not None:
-                    out_t.append(text)
-                    out_k.append(best[1])
-                    out_p.append(best[0])
-            if out_t:
-                yield pd.DataFrame({"text": pd.Series(out_t, dtype=object),
-                                    "key": pd.Series(out_k, dtype=object),
-                                    "priority": pd.Series(out_p, dtype="int64")})
+            found = [(t, best_of(t)) for t in pdf["text"] if t is not None]
+            found = [(t, key, pri) for t, best in found if best is not None for pri, key in [best]]
+            if found:
+                yield pd.DataFrame(found, columns=["text", "key", "priority"])
 
     return texts.select("text").mapInPandas(scan, _MATCH_SCHEMA)
 
 
 def _automaton(texts: DataFrame, keys: DataFrame) -> DataFrame:
-    # The key list is written once to the shared folder; its size is read from
-    # there and each shard is gathered from there (bounded by the shard limits).
+    # the key list is written once to the shared folder and its size observed there
     spark = texts.sparkSession
     path = shared_path(spark, "match-keys")
     rows, nbytes = write_measured(keys, path, string_bytes("key"))
     stored = spark.read.parquet(path)
-    shards = max(1, math.ceil(rows / MAX_KEYS_PER_SHARD), math.ceil(nbytes / MAX_KEY_BYTES_PER_SHARD))
-    if shards == 1:
-        found = _scan_with_automaton(texts, [(r["key"], r["priority"]) for r in stored.collect()])
-        # texts were scanned where they lie; repeated texts give repeated rows
-        return found.distinct()
-    keyed = stored.withColumn("_shard", F.pmod(F.xxhash64("key"), F.lit(shards)))
-    parts = []
-    for s in range(shards):
-        shard = [(r["key"], r["priority"]) for r in keyed.filter(F.col("_shard") == s).collect()]
-        parts.append(_scan_with_automaton(texts, shard))
-    matched = parts[0]
-    for p in parts[1:]:
-        matched = matched.unionByName(p)
-    return (matched.groupBy("text")
-            .agg(F.min(F.struct("priority", "key")).alias("_b"))
+    if rows == 0:
+        return spark.createDataFrame([], _MATCH_SCHEMA)
+    if rows > MAX_KEYS or nbytes > MAX_KEY_BYTES:
+        return _anchored(texts, stored)
+    found = _scan_with_automaton(texts, [(r["key"], r["priority"]) for r in stored.collect()])
+    # texts were scanned where they lie; repeated texts give repeated rows
+    return found.distinct()
+
+
+def _anchored(texts: DataFrame, keys: DataFrame) -> DataFrame:
+    """A key list beyond one automaton: keys and texts meet in a hash join on the keys' first characters.
+
+    Each text gives its distinct substrings of the anchors' lengths (at most
+    ``ANCHOR`` lengths), with a digest instead of the text; the pairs that share
+    an anchor get the text back and are tested. No key passes the driver.
+    """
+    anchored = keys.select("key", "priority", F.substring("key", 1, ANCHOR).alias("_anchor"))
+    lengths = sorted(r["n"] for r in anchored.select(F.length("_anchor").alias("n")).distinct().collect())
+    digest = F.sha2("text", 256).alias("_digest")
+    whole = texts.select(digest, "text").distinct()
+    chars, text_len = F.col("_chars"), F.length(F.col("text"))
+    per_length = F.transform(F.array(*[F.lit(n) for n in lengths]), _grams_of_length(chars, text_len))
+    grams = (whole.select("_digest", "text", F.split(F.col("text"), "", -1).alias("_chars"))
+             .select("_digest", F.explode(F.array_distinct(F.flatten(per_length))).alias("_anchor")))
+    pairs = grams.join(anchored, "_anchor").select("_digest", "key", "priority")
+    hits = pairs.join(whole, "_digest").filter(F.contains(F.col("text"), F.col("key")))
+    return (hits.groupBy("text").agg(F.min(F.struct("priority", "key")).alias("_b"))
             .select("text", "_b.key", "_b.priority"))
 
 

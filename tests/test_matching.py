@@ -60,16 +60,16 @@ def test_first_key_match_random_vs_brute(spark, method):
     assert _as_dict(first_key_match(tdf, "t", kdf, "k", "p", method)) == brute(texts, keys)
 
 
-def test_automaton_sharded_equals_single(spark, monkeypatch):
+def test_larger_key_list_equals_single(spark, monkeypatch):
     rnd = random.Random(3)
     texts = ["".join(rnd.choice("xyz") for _ in range(40)) for _ in range(100)]
     keys = [("".join(rnd.choice("xyz") for _ in range(5)), i) for i in range(200)]
     tdf = spark.createDataFrame([(t,) for t in texts], "t string")
     kdf = spark.createDataFrame(keys, "k string, p long")
     single = _as_dict(first_key_match(tdf, "t", kdf, "k", "p"))
-    monkeypatch.setattr(substring, "MAX_KEYS_PER_SHARD", 17)
-    sharded = _as_dict(first_key_match(tdf, "t", kdf, "k", "p"))
-    assert single == sharded == brute(texts, keys)
+    monkeypatch.setattr(substring, "MAX_KEYS", 17)
+    larger = _as_dict(first_key_match(tdf, "t", kdf, "k", "p"))
+    assert single == larger == brute(texts, keys)
 
 
 def test_match_titles_fans_out_repeated_key(spark):
@@ -140,10 +140,28 @@ def test_match_titles_require_field_filters_on_parsed_title(spark):
     assert rows(out) == [('{"title":"alpha one"}', "alpha", 1.0)]
 
 
-def test_automaton_fallback_without_package(spark):
-    rnd = random.Random(5)
-    texts = ["".join(rnd.choice("abc ") for _ in range(25)) for _ in range(150)]
-    keys = list({("".join(rnd.choice("abc") for _ in range(rnd.randint(1, 3))), i) for i in range(30)})
-    tdf = spark.createDataFrame([(t,) for t in texts], "text string")
-    plain = _as_dict(substring._scan_with_automaton(tdf, keys, force_plain=True).distinct())
-    assert plain == brute(texts, keys)
+def test_equal_priorities_take_the_smallest_key_in_every_form(spark, monkeypatch):
+    tdf = spark.createDataFrame([("bb aa cc",), ("cc bb",)], "t string")
+    kdf = spark.createDataFrame([("bb", 1), ("aa", 1), ("cc", 1)], "k string, p long")
+    want = {"bb aa cc": "aa", "cc bb": "bb"}
+    found = [_as_dict(first_key_match(tdf, "t", kdf, "k", "p", m)) for m in ("automaton", "ngram")]
+    monkeypatch.setattr(substring, "MAX_KEYS", 1)
+    found.append(_as_dict(first_key_match(tdf, "t", kdf, "k", "p")))
+    for got in found:
+        assert {t: (k[0] if isinstance(k, tuple) else k) for t, k in got.items()} == want
+
+
+def test_no_keys_match_nothing(spark):
+    tdf = spark.createDataFrame([("a",)], "t string")
+    for method in ("automaton", "ngram"):
+        assert first_key_match(tdf, "t", spark.createDataFrame([], "k string, p long"), "k", "p", method).count() == 0
+
+
+def test_listed_ids_are_kept_before_the_shuffle(spark):
+    log = spark.createDataFrame([("1", "x", "view", "2024-01-30"), ("2", "x", "view", "2024-01-30")],
+                                "userid string, mediadata string, channel string, etl_dt string")
+    ids = spark.createDataFrame([("1",), ("1",)], "imei_match string")
+    out = match_ids(ids, log, "2024-01-31", 1, 1, 3)
+    assert [r["imei"] for r in out.collect()] == ["1", "1"]
+    plan = plan_text(out, "simple")
+    assert plan.index("HashAggregate") < plan.index("LeftSemi")  # printed from the top: the semi join is below
