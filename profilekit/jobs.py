@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profilekit.functions.columns import id_length
+from profilekit.functions.columns import id_length, to_date
 from profilekit.operators.extract import extract_payloads, trailing_range
 from profilekit.operators.matching import id_coverage, mapped_users, match_ids, match_titles
 from profilekit.operators.profile import code_flag_profile, flag_profile, score_profile
@@ -34,6 +34,21 @@ from profilekit.vocab import LABEL_TO_INTEREST, social_code_map
 Day = str | _dt.date
 
 
+def month_days(month: str) -> tuple[_dt.date, _dt.date]:
+    """First and last day of a month given as ``yyyy-MM``."""
+    first = _dt.date.fromisoformat(f"{month}-01")
+    return first, (first + _dt.timedelta(days=31)).replace(day=1) - _dt.timedelta(days=1)
+
+
+def _days(first: _dt.date, last: _dt.date) -> list[str]:
+    return [(first + _dt.timedelta(days=i)).isoformat() for i in range((last - first).days + 1)]
+
+
+def _covered(as_of: Day, from_i: int | None, to_i: int | None) -> list[str] | None:
+    """Days a per-day run stands for (None: whatever is in the data)."""
+    return None if from_i is None or to_i is None else _days(*trailing_range(as_of, from_i, to_i))
+
+
 def _window(log: DataFrame, as_of: Day, from_i: int | None, to_i: int | None) -> DataFrame:
     if from_i is None or to_i is None:
         return log
@@ -49,7 +64,7 @@ def extract_staging(spark: SparkSession, log_path: str, out_path: str, as_of: Da
     rule = id_rule if id_rule is not None else id_length(id_col, "=", 32)
     ext = extract_payloads(read_log(spark, log_path), id_col=id_col, channel=[channel], channel_col="channelid",
                            id_rule=rule, first=first, last=last)
-    publish(ext, out_path, mode, partition_col="etl_dt")
+    publish(ext, out_path, mode, partition_col="etl_dt", covered=_days(first, last))
     return ext
 
 
@@ -74,7 +89,7 @@ def coded_profile(spark: SparkSession, staging_path: str, out_path: str, as_of:
         prof = code_flag_profile(staging, "mediadata", json_key, pairs, code_len, "userid", by=by,
                                  columns=columns, source=source, update_dt=str(as_of))
     if per_day:
-        publish(prof, out_path, partition_col="etl_dt")
+        publish(prof, out_path, partition_col="etl_dt", covered=_covered(as_of, from_i, to_i))
     else:
         publish(prof, out_path, partition_col="etl_month", partition_value=month)
     return prof
@@ -96,7 +111,7 @@ def dictionary_profile(spark: SparkSession, staging_path: str, dict_path: str, o
     prof = flag_profile(tagged, "userid", columns=columns, by=["etl_dt"] if per_day else [], source=source,
                         update_dt=str(as_of))
     if per_day:
-        publish(prof, out_path, partition_col="etl_dt")
+        publish(prof, out_path, partition_col="etl_dt", covered=_covered(as_of, from_i, to_i))
     else:
         publish(prof, out_path, partition_col="etl_month", partition_value=month)
     return prof
@@ -118,18 +133,26 @@ def scored_profile(spark: SparkSession, log_path: str, scores_path: str, out_pat
                    month: str | None = None, first: Day | None = None, last: Day | None = None,
                    from_i: int | None = None, to_i: int | None = None, channel: int = 3,
                    id_col: str = "idfa", id_rule: Column | None = None, source: str = "video") -> DataFrame:
-    """Averaged-score profile per month (``month`` over ``first..last``) or per day."""
+    """Averaged-score profile per month or per day.
+
+    A month's profile covers the days of ``month``, narrowed to ``first`` and
+    ``last`` where given; days outside the month never count to it.
+    """
     per_day = month is None
     if per_day:
         first, last = trailing_range(as_of, from_i, to_i)
+    else:
+        start, end = month_days(month)
+        first = max(start, to_date(first)) if first is not None else start
+        last = min(end, to_date(last)) if last is not None else end
     rule = id_rule if id_rule is not None else id_length(id_col, ">", 10)
     pairs = extract_payloads(read_log(spark, log_path), id_col=id_col, channel=[channel], channel_col="channelid",
-                             id_rule=rule, first=first, last=last, keep_day=per_day)
+                             id_rule=rule, first=first, last=last, keep_day=per_day, distinct=False)
     scores = spark.read.parquet(scores_path)
     prof = score_profile(pairs, scores, "mediadata", "yktag", by=["etl_dt"] if per_day else [],
-                         source=source, update_dt=str(as_of))
+                         source=source, update_dt=str(as_of), distinct=True)
     if per_day:
-        publish(prof, out_path, partition_col="etl_dt")
+        publish(prof, out_path, partition_col="etl_dt", covered=_covered(as_of, from_i, to_i))
     else:
         publish(prof, out_path, partition_col="etl_month", partition_value=month)
     return prof
@@ -137,12 +160,18 @@ def scored_profile(spark: SparkSession, log_path: str, scores_path: str, out_pat
 
 def match_id_list(spark: SparkSession, ids_path: str, log_path: str, out_path: str, as_of: Day,
                   nearest: int, width: int, count: int, channel: int = 3, id_col: str = "imei",
-                  id_rule: Column | None = None, mode: str = "append") -> DataFrame:
-    """Listed ids found in the log, distinct per window of ``width`` days, all windows in one pass."""
+                  id_rule: Column | None = None, mode: str = "overwrite") -> DataFrame:
+    """Listed ids found in the log, distinct per window of ``width`` days, all windows in one pass.
+
+    Published per ``window_end``: a re-run replaces its windows, also those
+    that have become empty. ``mode="append"`` adds rows as the original did.
+    """
     rule = id_rule if id_rule is not None else id_length(id_col, "=", 15)
     m = match_ids(read_id_list(spark, ids_path), read_log(spark, log_path), as_of, nearest, width, count,
                   channel=[channel], id_rule=rule, id_col=id_col, channel_col="channelid")
-    publish(m, out_path, mode)
+    d = to_date(as_of)
+    ends = [(d - _dt.timedelta(days=nearest + b * width)).isoformat() for b in range(count)]
+    publish(m, out_path, mode, partition_col="window_end", covered=ends)
     return m
 
 

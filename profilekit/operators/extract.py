@@ -29,11 +29,12 @@ def extract_payloads(log: DataFrame, id_col: str = "userid", payload_col: str =
                      channel: str | Sequence[str] | None = None, channel_col: str = "channel",
                      id_rule: Column | None = None, first: str | _dt.date | None = None,
                      last: str | _dt.date | None = None, keep_day: bool = True,
-                     day_col: str = "etl_dt", user_alias: str = "userid") -> DataFrame:
-    """Distinct ``(user, payload[, day])`` of one channel, id rule and day range."""
-    df = log
-    if first is not None and last is not None:
-        df = in_days(df, first, last, day_col=day_col)
+                     day_col: str = "etl_dt", user_alias: str = "userid", distinct: bool = True) -> DataFrame:
+    """Distinct ``(user, payload[, day])`` of one channel, id rule and day range (either end may be open).
+
+    ``distinct=False`` leaves repeats in, for a caller that filters further before removing them.
+    """
+    df = in_days(log, first, last, day_col=day_col) if first is not None or last is not None else log
     if channel is not None:
         chans = [channel] if isinstance(channel, str) else list(channel)
         df = df.filter(F.col(channel_col).isin(chans))
@@ -42,7 +43,8 @@ def extract_payloads(log: DataFrame, id_col: str = "userid", payload_col: str =
     cols = [F.col(id_col).alias(user_alias), F.col(payload_col)]
     if keep_day:
         cols.append(F.col(day_col))
-    return df.select(*cols).distinct()
+    out = df.select(*cols)
+    return out.distinct() if distinct else out
 
 
 def day_windows(df: DataFrame, as_of: str | _dt.date, nearest: int, width: int, count: int,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from profilekit.functions.columns import has_text, json_field, md5_id
 from profilekit.operators.extract import day_windows, window_range
-from profilekit.operators.joins import checked_join
+from profilekit.operators.joins import bounded_broadcast, checked_join, join_side
 from profilekit.operators.substring import first_key_match
 from profilekit.sources.tables import in_days
 from profilekit.vocab import INTERESTS
@@ -45,6 +45,7 @@ def match_ids(ids: DataFrame, log: DataFrame, as_of: str | _dt.date, nearest: in
     before ``as_of``. ``distinct`` runs over each whole window (a payload seen on
     both days of a two-day window counts once). The id list is not
     deduplicated: a repeated id repeats its matches. Both key columns are kept.
+    Listed ids are kept before ``distinct``, so only their rows are shuffled.
     """
     first, last = window_range(as_of, nearest, width, count)
     df = in_days(log, first, last)
@@ -54,9 +55,11 @@ def match_ids(ids: DataFrame, log: DataFrame, as_of: str | _dt.date, nearest: in
     if id_rule is not None:
         df = df.filter(id_rule)
     windows = day_windows(df, as_of, nearest, width, count)
-    dist = windows.select(F.col(id_col).cast("string").alias("imei"), F.col(payload_col).alias("mediadata"),
-                          "window_start", "window_end").distinct()
-    return (checked_join(dist, ids.select(list_col), "imei", list_col, "inner")
+    rows = windows.select(F.col(id_col).cast("string").alias("imei"), F.col(payload_col).alias("mediadata"),
+                          "window_start", "window_end")
+    side, small = bounded_broadcast(ids.select(list_col))
+    dist = join_side(rows, side, small, "imei", list_col, "left_semi").distinct()
+    return (join_side(dist, side, small, "imei", list_col)
             .select(list_col, "imei", "mediadata", "window_start", "window_end"))
 
 

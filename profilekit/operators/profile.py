@@ -20,8 +20,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from profilekit.functions.columns import has_text, json_field
-from profilekit.operators.joins import checked_join
+from profilekit.functions.columns import code_list, has_text, json_field
+from profilekit.operators.joins import bounded_broadcast, join_side
 from profilekit.vocab import INTERESTS, SCORE_DIVISOR
 
 
@@ -94,7 +94,7 @@ def score_profile(pairs: DataFrame, scores: DataFrame, pair_key: str, score_key:
                   score_cols: Sequence[str] = INTERESTS, user_col: str = "userid",
                   by: Sequence[str] = (), user_alias: str | None = None,
                   divisor: float = SCORE_DIVISOR, source: str | None = None,
-                  update_dt: str | None = None) -> DataFrame:
+                  update_dt: str | None = None, distinct: bool = False) -> DataFrame:
     """Average score per user over the inner join ``pairs.pair_key == scores.score_key``.
 
     A repeated dictionary key fans out and so weighs the average, exactly as a
@@ -102,14 +102,20 @@ def score_profile(pairs: DataFrame, scores: DataFrame, pair_key: str, score_key:
     per key holding per-score ``sum`` and non-NULL ``count``; the join is then
     many-to-one, and the user average is ``sum(sums) / sum(counts)``, the same
     value as ``avg`` over the fanned-out rows, without materialising the fan-out.
+    With ``distinct`` the pairs are made distinct here, after the scored keys
+    have been kept: only rows that can be averaged are shuffled.
     """
     per_key = scores.groupBy(F.col(score_key).alias("_key")).agg(
         *[F.sum(F.col(c).cast("double")).alias(f"_s_{c}") for c in score_cols],
         *[F.count(F.col(c).cast("double")).alias(f"_n_{c}") for c in score_cols],
     )
     per_key = per_key.withColumnRenamed("_key", "_skey")
-    joined = checked_join(pairs.select(user_col, *by, F.col(pair_key).alias("_key")), per_key,
-                          "_key", "_skey", "inner")
+    side, small = bounded_broadcast(per_key)
+    rows = pairs.select(user_col, *by, F.col(pair_key).alias("_key"))
+    if distinct:
+        keys = side.select("_skey")
+        rows = join_side(rows, F.broadcast(keys) if small else keys, small, "_key", "_skey", "left_semi").distinct()
+    joined = join_side(rows, side, small, "_key", "_skey")
     exprs = [
         F.try_divide(F.try_divide(F.sum(f"_s_{c}"), F.sum(f"_n_{c}").cast("double")),
                      F.lit(float(divisor))).alias(c)
@@ -119,15 +125,6 @@ def score_profile(pairs: DataFrame, scores: DataFrame, pair_key: str, score_key:
     return stamp(out, source, update_dt)
 
 
-def score_profile_plain(pairs: DataFrame, scores: DataFrame, pair_key: str, score_key: str,
-                        score_cols: Sequence[str] = INTERESTS, user_col: str = "userid",
-                        by: Sequence[str] = (), divisor: float = SCORE_DIVISOR) -> DataFrame:
-    """The direct form (join, then ``avg(x) / divisor``); used to test ``score_profile``."""
-    joined = pairs.join(scores, pairs[pair_key] == scores[score_key], "inner")
-    exprs = [(F.avg(F.col(c).cast("double")) / F.lit(float(divisor))).alias(c) for c in score_cols]
-    return joined.groupBy(user_col, *by).agg(*exprs)
-
-
 def code_flag_profile(df: DataFrame, payload_col: str, json_key: str, code_map: Sequence[tuple[str, str]],
                       code_len: int | None, user_col: str, by: Sequence[str] = (),
                       domain: Sequence[str] = INTERESTS, columns: Sequence[str] | None = None,
@@ -150,7 +147,7 @@ def code_flag_profile(df: DataFrame, payload_col: str, json_key: str, code_map:
     bit_of = (F.create_map(*[x for c, b in code_bits.items() for x in (F.lit(c), F.lit(b).cast("long"))])
               if code_bits else F.create_map().cast("map<string,bigint>"))
     field = json_field(payload_col, json_key)
-    codes = F.split(F.col("_codes"), sep if sep != "|" else r"\|")
+    codes = code_list("_codes", sep)
     if code_len is not None:
         codes = F.filter(codes, lambda c: F.length(c) == code_len)
     mask = F.aggregate(F.col("_valid"), F.lit(0).cast("long"),

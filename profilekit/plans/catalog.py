@@ -27,9 +27,10 @@ from profilekit.operators.profile import code_flag_profile, flag_profile
 from profilekit.operators.profile import score_profile as _score_profile
 from profilekit.operators.tagging import code_tags, dict_tags, last_value_per_key
 from profilekit.plans import standins as S
+from profilekit.plans import stored
 from profilekit.session import shared_path
 from profilekit.sources.publish import publish, read_published, with_partition_schema
-from profilekit.sources.tables import as_event_log, event_log, in_days, table
+from profilekit.sources.tables import as_event_log, event_log, in_days, stream_path, table
 from profilekit.streaming.daily import closed_day_profiles, refresh_day_profiles
 from profilekit.streaming.matching import stream_matched_ids
 from profilekit.vocab import INTERESTS
@@ -148,19 +149,10 @@ def trailing_days(spark: SparkSession, base: str) -> DataFrame:
                                     F.count_distinct("userid").alias("n_users"))
 
 
-def _payload_scores(spark: SparkSession, base: str) -> DataFrame:
-    """Scored payload table (yktag, iqytag, 21 scores): distinct payloads, code, scores."""
-    payloads = table(spark, base, "events").select(F.col("props").alias("yktag")).distinct()
-    coded = payloads.select("yktag", json_field("yktag", S.EVENT_JSON_KEY).alias("iqytag"))
-    # spark.range(SCORE_CODES): its size is fixed by construction
-    scores = F.broadcast(S.code_scores(spark))
-    return coded.join(scores, "iqytag", "inner").select("yktag", "iqytag", *INTERESTS)
-
-
 @register("payload_scores")
 def payload_scores(spark: SparkSession, base: str) -> DataFrame:
     """J2: distinct payloads joined with the scored code dictionary."""
-    return _payload_scores(spark, base)
+    return S.payload_scores(spark, base)
 
 
 @register("match_titles")
@@ -181,9 +173,9 @@ def match_titles_short(spark: SparkSession, base: str) -> DataFrame:
 def score_profile(spark: SparkSession, base: str) -> DataFrame:
     """X7 + J1 + A2: averaged scores per user over the month's distinct payloads."""
     pairs = extract_payloads(event_log(spark, base), channel=S.VIDEO_CHANNEL, id_rule=_device_rule(),
-                             first="2024-01-01", last="2024-01-31", keep_day=False)
-    return _score_profile(pairs, _payload_scores(spark, base), "mediadata", "yktag",
-                          source="events", update_dt=S.AS_OF_TEXT)
+                             first="2024-01-01", last="2024-01-31", keep_day=False, distinct=False)
+    return _score_profile(pairs, S.payload_scores(spark, base), "mediadata", "yktag",
+                          source="events", update_dt=S.AS_OF_TEXT, distinct=True)
 
 
 @register("score_profile_day")
@@ -191,9 +183,9 @@ def score_profile_day(spark: SparkSession, base: str) -> DataFrame:
     """X8 + D6: averaged scores per (user, day) for the days 2..30 before the run date."""
     first, last = trailing_range(S.AS_OF, 2, 31)
     pairs = extract_payloads(event_log(spark, base), channel=S.VIDEO_CHANNEL, id_rule=_device_rule(),
-                             first=first, last=last)
-    return _score_profile(pairs, _payload_scores(spark, base), "mediadata", "yktag", by=["etl_dt"],
-                          source="events", update_dt=S.AS_OF_TEXT)
+                             first=first, last=last, distinct=False)
+    return _score_profile(pairs, S.payload_scores(spark, base), "mediadata", "yktag", by=["etl_dt"],
+                          source="events", update_dt=S.AS_OF_TEXT, distinct=True)
 
 
 def _customer_ids(spark: SparkSession, base: str) -> DataFrame:
@@ -226,7 +218,7 @@ def match_ids_2d(spark: SparkSession, base: str) -> DataFrame:
 def matched_score_profile(spark: SparkSession, base: str) -> DataFrame:
     """X10 + J4 + P2 + A2: averaged scores of the matched ids over all windows."""
     matched = _matched(spark, base, 1)
-    return _score_profile(matched, _payload_scores(spark, base), "mediadata", "yktag",
+    return _score_profile(matched, S.payload_scores(spark, base), "mediadata", "yktag",
                           user_col="imei", source="events", update_dt=S.AS_OF_TEXT)
 
 
@@ -239,14 +231,13 @@ def _id_mapping(spark: SparkSession, base: str) -> DataFrame:
 
 @register("matched_payloads")
 def matched_payloads(spark: SparkSession, base: str) -> DataFrame:
-    """J4 + K5: payloads of matched ids that have title scores, overwritten twice, read back."""
+    """J4 + K5: payloads of matched ids that have title scores, published, read back."""
     matched = _matched(spark, base, 1)
-    scored = _payload_scores(spark, base).select("yktag")
+    scored = S.payload_scores(spark, base).select("yktag")
     joined = checked_join(matched, scored, "mediadata", "yktag", "inner")
     out = joined.select(F.col("imei").alias("userid"), "mediadata")
     path = shared_path(spark, "matched_payloads")
-    for _ in range(2):
-        publish(out, path, "overwrite")
+    publish(out, path, "overwrite")
     return read_published(spark, path, out.schema)
 
 
@@ -296,11 +287,8 @@ def run_report(spark: SparkSession, base: str) -> DataFrame:
 
 
 def _run_metrics(spark: SparkSession, base: str) -> DataFrame:
-    scored = S.scored_runs(spark, base)
-    a = E.auc(scored, "field", "y", "p")
-    ll = E.log_loss(scored, "field", "y", "p")
-    return a.join(ll, "field", "inner").select(
-        "field", "auc", F.round("logloss", 9).alias("logloss"), "n_pos", "n_neg")
+    found = E.ranking_metrics(S.scored_runs(spark, base), "field", "y", "p")
+    return found.select("field", "auc", F.round("logloss", 9).alias("logloss"), "n_pos", "n_neg")
 
 
 @register("auc_logloss")
@@ -312,11 +300,8 @@ def auc_logloss(spark: SparkSession, base: str) -> DataFrame:
 @register("segment_auc")
 def segment_auc(spark: SparkSession, base: str) -> DataFrame:
     """M10 with M7 + M8: AUC and log-loss per run and segment (weekday of the event)."""
-    scored = S.scored_runs(spark, base)
-    a = E.auc(scored, ["field", "segment"], "y", "p")
-    ll = E.log_loss(scored, ["field", "segment"], "y", "p")
-    return a.join(ll, ["field", "segment"], "inner").select(
-        "field", "segment", "auc", F.round("logloss", 9).alias("logloss"), "n_pos", "n_neg")
+    found = E.ranking_metrics(S.scored_runs(spark, base), ["field", "segment"], "y", "p")
+    return found.select("field", "segment", "auc", F.round("logloss", 9).alias("logloss"), "n_pos", "n_neg")
 
 
 @register("ablation_compare")
@@ -344,22 +329,20 @@ def vocab_count(spark: SparkSession, base: str) -> DataFrame:
 
 @register("month_publish")
 def month_publish(spark: SparkSession, base: str) -> DataFrame:
-    """X12 + K1 + K5 + P4 + D5: month profile written twice (re-run safe), read back."""
+    """X12 + K1 + K5 + P4 + D5: month profile published, read back."""
     path = shared_path(spark, "profile_month")
     profile = code_profile(spark, base)
-    for _ in range(2):
-        publish(profile, path, "overwrite", partition_col="etl_month", partition_value="2024-01")
+    publish(profile, path, "overwrite", partition_col="etl_month", partition_value="2024-01")
     schema = with_partition_schema(profile, "etl_month")
     return read_published(spark, path, schema, "etl_month", ["2024-01"])
 
 
 @register("day_publish")
 def day_publish(spark: SparkSession, base: str) -> DataFrame:
-    """X12 + K2 + D6: every day partition of the day profile in one write, twice, read back."""
+    """X12 + K2 + D6: every day partition of the day profile in one write, read back."""
     path = shared_path(spark, "profile_day")
     profile = code_profile_day(spark, base)
-    for _ in range(2):
-        publish(profile, path, "overwrite", partition_col="etl_dt")
+    publish(profile, path, "overwrite", partition_col="etl_dt")
     return read_published(spark, path, with_partition_schema(profile, "etl_dt"))
 
 
@@ -383,7 +366,7 @@ def stream_day_profile(spark: SparkSession, base: str) -> DataFrame:
     def build(log: DataFrame) -> DataFrame:
         return _code_profile(as_event_log(log), ["etl_dt"])
 
-    refresh_day_profiles(spark, base, schema, build, sink, ckpt, glob="events.parquet")
+    refresh_day_profiles(spark, stream_path(base, "events"), schema, build, sink, ckpt)
     return read_published(spark, sink, with_partition_schema(code_profile_day(spark, base), "etl_dt"))
 
 
@@ -393,7 +376,7 @@ def stream_closed_days(spark: SparkSession, base: str) -> DataFrame:
     schema = table(spark, base, "events").schema
     sink = shared_path(spark, "stream_closed_days")
     ckpt = shared_path(spark, "stream_closed_checkpoint")
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(base)
+    stream = spark.readStream.schema(schema).parquet(stream_path(base, "events"))
     tagged = _codes_tagged(as_event_log(stream), ["userid", "ts"])
     query = (closed_day_profiles(tagged, source="events", update_dt=S.AS_OF_TEXT)
              .writeStream.format("parquet").outputMode("append")
@@ -409,7 +392,7 @@ def stream_match_ids_1d(spark: SparkSession, base: str) -> DataFrame:
     schema = table(spark, base, "events").schema
     sink = shared_path(spark, "stream_matched_ids")
     ckpt = shared_path(spark, "stream_matched_checkpoint")
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(base)
+    stream = spark.readStream.schema(schema).parquet(stream_path(base, "events"))
     matched = stream_matched_ids(as_event_log(stream), _customer_ids(spark, base), S.AS_OF, 1, 1, 10,
                                  channel=S.VIDEO_CHANNEL, id_rule=_device_rule())
     query = (matched.writeStream.format("parquet").outputMode("append")
@@ -424,12 +407,15 @@ def stream_score_profile_day(spark: SparkSession, base: str) -> DataFrame:
     schema = table(spark, base, "events").schema
     sink = shared_path(spark, "stream_score_day")
     ckpt = shared_path(spark, "stream_score_checkpoint")
-    scores = _payload_scores(spark, base)
+    scores = S.payload_scores(spark, base)
 
     def build(log: DataFrame) -> DataFrame:
-        pairs = extract_payloads(as_event_log(log), channel=S.VIDEO_CHANNEL, id_rule=_device_rule())
+        pairs = extract_payloads(as_event_log(log), channel=S.VIDEO_CHANNEL, id_rule=_device_rule(), distinct=False)
         return _score_profile(pairs, scores, "mediadata", "yktag", by=["etl_dt"], source="events",
-                              update_dt=S.AS_OF_TEXT)
+                              update_dt=S.AS_OF_TEXT, distinct=True)
 
-    refresh_day_profiles(spark, base, schema, build, sink, ckpt, glob="events.parquet")
+    refresh_day_profiles(spark, stream_path(base, "events"), schema, build, sink, ckpt)
     return read_published(spark, sink, with_partition_schema(score_profile_day(spark, base), "etl_dt"))
+
+
+QUERIES.update(stored.QUERIES)

@@ -156,7 +156,7 @@ dict AS ({dictionary}),
 keys AS (SELECT iqytag AS key, min(priority) AS priority FROM dict
          WHERE iqytag IS NOT NULL AND length(iqytag) > 0 GROUP BY iqytag),
 texts AS (SELECT DISTINCT t AS text FROM ({texts}) WHERE t IS NOT NULL),
-m AS (SELECT t.text, arg_min(k.key, k.priority) AS key
+m AS (SELECT t.text, arg_min(k.key, (k.priority, k.key)) AS key
       FROM texts t JOIN keys k ON contains(t.text, k.key) GROUP BY t.text)
 SELECT m.text AS yktag, d.iqytag, {', '.join('d.' + c for c in INTERESTS)}
 FROM m JOIN dict d ON d.iqytag = m.key
@@ -173,7 +173,7 @@ SQL["match_titles_short"] = "WITH " + _title_match(
       SELECT tok, min(p_partkey * 10 + pos) AS priority FROM (
         SELECT p_partkey, unnest(string_split(p_name, ' ')) AS tok,
                generate_subscripts(string_split(p_name, ' '), 1) - 1 AS pos FROM part)
-      WHERE length(tok) = 5 GROUP BY tok)""")
+      GROUP BY tok)""")
 
 SQL["score_profile"] = f"""
 WITH {PAYLOAD_SCORES},
@@ -343,7 +343,7 @@ a AS (SELECT field, sum(cast(pos AS DOUBLE) * (cast(below AS DOUBLE) + neg / 2.0
         cast(sum(pos) AS BIGINT) AS n_pos, cast(sum(neg) AS BIGINT) AS n_neg FROM w GROUP BY field),
 ll AS (SELECT field, avg(-(cast(y AS DOUBLE) * ln(least(greatest(p, 1e-15), 1.0 - 1e-15))
                         + (1.0 - cast(y AS DOUBLE)) * ln(1.0 - least(greatest(p, 1e-15), 1.0 - 1e-15))))
-          AS logloss FROM scored GROUP BY field),
+          AS logloss FROM scored WHERE p IS NOT NULL AND y IS NOT NULL GROUP BY field),
 metrics AS (
   SELECT a.field, CASE WHEN n_pos = 0 OR n_neg = 0 THEN NULL
                        ELSE area / (cast(n_pos AS DOUBLE) * cast(n_neg AS DOUBLE)) END AS auc,
@@ -412,7 +412,7 @@ a AS (SELECT field, segment, sum(cast(pos AS DOUBLE) * (cast(below AS DOUBLE) +
         cast(sum(pos) AS BIGINT) AS n_pos, cast(sum(neg) AS BIGINT) AS n_neg FROM w GROUP BY field, segment),
 ll AS (SELECT field, segment, avg(-(cast(y AS DOUBLE) * ln(least(greatest(p, 1e-15), 1.0 - 1e-15))
                         + (1.0 - cast(y AS DOUBLE)) * ln(1.0 - least(greatest(p, 1e-15), 1.0 - 1e-15))))
-          AS logloss FROM scored GROUP BY field, segment)
+          AS logloss FROM scored WHERE p IS NOT NULL AND y IS NOT NULL GROUP BY field, segment)
 SELECT a.field, a.segment, CASE WHEN n_pos = 0 OR n_neg = 0 THEN NULL
                        ELSE area / (cast(n_pos AS DOUBLE) * cast(n_neg AS DOUBLE)) END AS auc,
        round(ll.logloss, 9) AS logloss, n_pos, n_neg
@@ -432,3 +432,81 @@ SELECT userid, etl_dt,
 FROM pairs JOIN payload_scores s ON pairs.mediadata = s.yktag GROUP BY userid, etl_dt
 """
 SQL["code_profile_exploded"] = SQL["code_profile"]
+
+
+# --- stored inputs (plans/stored.py) ---
+
+SQL["dict_file_profile"] = SQL["dict_profile"]
+SQL["id_file_match"] = SQL["match_ids_1d"]
+SQL["partitioned_log_profile"] = (
+    f"SELECT * FROM ({SQL['code_profile_day']}) WHERE etl_dt BETWEEN '2024-01-10' AND '2024-01-20'")
+
+_TOKENS = f"""SELECT tok AS iqytag, priority, {_score_cols('priority')} FROM (
+  SELECT tok, min(p_partkey * 10 + pos) AS priority FROM (
+    SELECT p_partkey, unnest(string_split(p_name, ' ')) AS tok,
+           generate_subscripts(string_split(p_name, ' '), 1) - 1 AS pos FROM part) GROUP BY tok)"""
+SQL["title_file_match"] = "WITH " + _title_match(
+    """SELECT '{"title":"' || p_name || '"}' AS t FROM part WHERE p_partkey % 7 <> 0 AND p_name <> ''""", _TOKENS)
+
+SQL["multi_code_profile"] = f"""
+WITH lists AS (SELECT user_id AS userid, cast(props->>'$.{S.EVENT_JSON_KEY}' AS BIGINT) AS k FROM events),
+codes AS (
+  SELECT userid, unnest([cast(k AS VARCHAR), cast(k * 7 % 100 AS VARCHAR), cast((k + 31) % 100 AS VARCHAR)]) AS code
+  FROM lists WHERE k IS NOT NULL
+),
+tagged AS (
+  SELECT userid, coalesce(CASE WHEN cast(code AS INTEGER) < {S.EVENT_MAPPED_CODES}
+    THEN {_tag_case(f"cast(code AS INTEGER) % {S.EVENT_TAG_MODULUS}", INTERESTS[:S.EVENT_TAG_MODULUS])} END, '') AS tag
+  FROM codes WHERE length(code) = {S.EVENT_CODE_LEN}
+)
+SELECT userid,
+  {_flags()},
+  'events' AS source, '{S.AS_OF_TEXT}' AS update_dt
+FROM tagged GROUP BY userid
+"""
+
+SQL["id_coverage_plain"] = f"""
+WITH {ID_MAPPING},
+users AS (SELECT DISTINCT cast(user_id AS VARCHAR) AS userid FROM events),
+app AS (SELECT idfa_imei, md5(idfa_imei) AS imeimd5 FROM mapping WHERE app_flag = 'imei')
+SELECT u.userid, a.idfa_imei, a.imeimd5 FROM users u LEFT JOIN app a ON u.userid = a.idfa_imei
+WHERE length(a.idfa_imei) = 3
+"""
+
+SQL["report_order"] = (f"SELECT *, row_number() OVER (ORDER BY label, field) AS position "
+                       f"FROM ({SQL['run_report']})")
+
+SQL["report_metrics"] = f"""
+WITH {_scored()},
+gappy AS (
+  SELECT field, y, CASE WHEN field = 1 AND segment = 0 THEN NULL ELSE p END AS p FROM scored
+  UNION ALL SELECT 9 AS field, y, p FROM scored WHERE field = 0 AND y = 1
+),
+known AS (SELECT * FROM gappy WHERE p IS NOT NULL AND y IS NOT NULL),
+g AS (SELECT field, p, sum(y) AS pos, sum(1 - y) AS neg FROM known GROUP BY field, p),
+w AS (SELECT field, pos, neg,
+        coalesce(sum(neg) OVER (PARTITION BY field ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+          AS below FROM g),
+a AS (SELECT field, sum(cast(pos AS DOUBLE) * (cast(below AS DOUBLE) + neg / 2.0)) AS area,
+        sum(pos) AS n_pos, sum(neg) AS n_neg FROM w GROUP BY field),
+ll AS (SELECT field, avg(-(cast(y AS DOUBLE) * ln(least(greatest(p, 1e-15), 1.0 - 1e-15))
+                        + (1.0 - cast(y AS DOUBLE)) * ln(1.0 - least(greatest(p, 1e-15), 1.0 - 1e-15))))
+          AS logloss FROM known GROUP BY field)
+SELECT a.field, CASE WHEN n_pos > 0 AND n_neg > 0
+                     THEN area / (cast(n_pos AS DOUBLE) * cast(n_neg AS DOUBLE)) END AS auc,
+       round(ll.logloss, 9) AS logloss
+FROM a JOIN ll ON a.field = ll.field
+"""
+
+SQL["month_score_profile"] = f"""
+WITH {PAYLOAD_SCORES},
+pairs AS (
+  SELECT DISTINCT cast(user_id AS VARCHAR) AS userid, props AS mediadata FROM events
+  WHERE event_type = '{S.VIDEO_CHANNEL}' AND {DEVICE_RULE}
+    AND cast(ts AS DATE) + cast(user_id % 2 * 31 AS INTEGER) BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'
+)
+SELECT userid,
+  {_avg_cols('s.')},
+  'events' AS source, '{S.AS_OF_TEXT}' AS update_dt, '2024-01' AS etl_month
+FROM pairs JOIN payload_scores s ON pairs.mediadata = s.yktag GROUP BY userid
+"""

@@ -13,7 +13,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profilekit.functions.columns import day_string
+from profilekit.functions.columns import day_string, json_field
 from profilekit.sources.tables import table
 from profilekit.vocab import INTERESTS, SCORED_INTERESTS, ZERO_INTERESTS
 
@@ -103,17 +103,24 @@ def passage_dictionary(spark: SparkSession, base: str) -> DataFrame:
 
 
 def token_dictionary(spark: SparkSession, base: str) -> DataFrame:
-    """Scored dictionary of the five-letter name tokens of ``part``.
+    """Scored dictionary of all name tokens of ``part``.
 
     File order of a token = its first appearance: ``10 * p_partkey + position``.
     """
     part = table(spark, base, "part")
     toks = (part.select("p_partkey", F.posexplode(F.split("p_name", " ")).alias("pos", "tok"))
-            .filter(F.length("tok") == 5)
             .groupBy("tok").agg(F.min(F.col("p_partkey") * 10 + F.col("pos")).alias("priority")))
     return toks.select(F.col("tok").alias("iqytag"), "priority", *item_scores(F.col("priority")))
 
 
+def payload_scores(spark: SparkSession, base: str) -> DataFrame:
+    """Scored payload table (yktag, iqytag, 21 scores): distinct payloads, code, scores."""
+    payloads = table(spark, base, "events").select(F.col("props").alias("yktag")).distinct()
+    coded = payloads.select("yktag", json_field("yktag", EVENT_JSON_KEY).alias("iqytag"))
+    # spark.range(SCORE_CODES): its size is fixed by construction
+    return coded.join(F.broadcast(code_scores(spark)), "iqytag", "inner").select("yktag", "iqytag", *INTERESTS)
+
+
 # Click-model stand-in: integer features of an event, a score per run that
 # leaves one feature out (run 4 keeps all), probability (s + 0.5) / (s + 100.5).
 FEATURES = ("value", "hour", "code", "weekday")

@@ -25,9 +25,13 @@ from profilekit.vocab import SCORED_INTERESTS, ZERO_INTERESTS
 
 
 def _lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Lines with a file-order key: (file name, increasing id within the file)."""
+    """Lines with a file-order key: (file name, start of the block read, increasing id within it).
+
+    A block is read by one task from front to back, so the id orders its lines
+    whatever order the blocks of a file are dealt out in.
+    """
     df = spark.read.text(path if isinstance(path, str) else list(path))
-    return df.select(F.input_file_name().alias("_file"),
+    return df.select(F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
                      F.monotonically_increasing_id().alias("_pos"), "value")
 
 
@@ -38,9 +42,9 @@ def read_pair_dictionary(spark: SparkSession, path: str | Sequence[str],
     A line without a tab has no value (NULL); the original job failed on it.
     """
     lines = _lines(spark, path)
-    pairs = lines.select("_file", "_pos",
+    pairs = lines.select("_file", "_block", "_pos",
                          list_item("value", 0, "\t").alias(key), list_item("value", 1, "\t").alias(value))
-    return last_value_per_key(pairs, key, value, ["_file", "_pos"])
+    return last_value_per_key(pairs, key, value, ["_file", "_block", "_pos"])
 
 
 def read_scored_dictionary(spark: SparkSession, path: str | Sequence[str],
@@ -48,12 +52,12 @@ def read_scored_dictionary(spark: SparkSession, path: str | Sequence[str],
                            zeros: Sequence[str] = ZERO_INTERESTS) -> DataFrame:
     """``(key, priority, scores..., zeros...)`` from comma lines; empty keys dropped."""
     lines = _lines(spark, path)
-    cols = [list_item("value", 0).alias(key), F.col("_file"), F.col("_pos")]
+    cols = [list_item("value", 0).alias(key), F.col("_file"), F.col("_block"), F.col("_pos")]
     cols += [list_item("value", i + 1).try_cast("double").alias(name) for i, name in enumerate(scores)]
     cols += [F.lit(0.0).alias(name) for name in zeros]
     df = lines.select(*cols).filter(F.col(key).isNotNull() & (F.length(key) > 0))
     # priority = position of the line in file order (files by name, then lines).
-    ordered = global_index(df, ["_file", "_pos"], "priority")
+    ordered = global_index(df, ["_file", "_block", "_pos"], "priority")
     return ordered.select(key, "priority", *scores, *zeros)
 
 

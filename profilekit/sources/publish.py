@@ -4,7 +4,8 @@ Modes:
 
 - ``overwrite`` (default): with a partition column, only the partitions present
   in the data are replaced (dynamic partition overwrite), so re-running a day
-  or a month gives the same table instead of duplicated rows.
+  or a month gives the same table instead of duplicated rows; with ``covered``
+  days that have become empty are emptied too.
 - ``append``: adds rows; re-running adds them again (the original behaviour).
 - ``create``: fails if the target exists.
 
@@ -27,7 +28,8 @@ MODES = {"overwrite": "overwrite", "append": "append", "create": "errorifexists"
 
 def publish(df: DataFrame, path: str, mode: str = "overwrite", partition_col: str | None = None,
             partition_value: str | _dt.date | None = None, columns: Sequence[str] | None = None,
-            max_records_per_file: int | None = None, balance_files: bool = True) -> None:
+            max_records_per_file: int | None = None, balance_files: bool = True,
+            covered: Sequence[str] | None = None) -> None:
     """Write ``df`` to ``path``.
 
     ``partition_value`` stamps a static partition (``etl_month='2024-01'``);
@@ -36,7 +38,9 @@ def publish(df: DataFrame, path: str, mode: str = "overwrite", partition_col: st
     rows of a partitioned write are rebalanced on the partition column (one
     shuffle of the output): AQE splits a hot day over several tasks and
     merges small days, so each day gets a few files of the advisory size
-    instead of one file per task and day.
+    instead of one file per task and day. ``covered`` names the partition
+    values the run stands for: those that exist at ``path`` and have no row in
+    ``df`` any more are emptied, so that a re-run leaves no stale rows.
     """
     if mode not in MODES:
         raise ValueError(f"mode must be one of {sorted(MODES)}")
@@ -53,6 +57,20 @@ def publish(df: DataFrame, path: str, mode: str = "overwrite", partition_col: st
     if partition_col:
         writer = writer.partitionBy(partition_col)
     writer.parquet(path)
+    if covered is not None and partition_col and mode == "overwrite":
+        _empty_stale(out, path, partition_col, [str(v) for v in covered])
+
+
+def _empty_stale(df: DataFrame, path: str, partition_col: str, covered: Sequence[str]) -> None:
+    # one value per partition on either side: bounded by the days covered
+    spark = df.sparkSession
+    value = F.col(partition_col).cast("string").alias("v")
+    written = {r["v"] for r in df.select(value).distinct().collect()}
+    stored = read_published(spark, path, with_partition_schema(df, partition_col))
+    present = {r["v"] for r in stored.select(value).distinct().filter(F.col("v").isin(list(covered))).collect()}
+    for v in sorted(present - written):
+        (spark.createDataFrame([], df.drop(partition_col).schema)
+         .write.mode("overwrite").parquet(f"{path.rstrip('/')}/{partition_col}={v}"))
 
 
 def read_published(spark: SparkSession, path: str, schema: T.StructType | None = None,

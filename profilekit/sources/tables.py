@@ -21,7 +21,22 @@ TABLES = (
 
 def table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """One of the driver's parquet tables under ``base``."""
-    return spark.read.parquet(f"{base.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(table_path(base, name))
+
+
+def table_path(base: str, name: str) -> str:
+    """Path of a table: one parquet file or a folder of files."""
+    return f"{base.rstrip('/')}/{name}.parquet"
+
+
+def stream_path(base: str, name: str) -> str:
+    """The same path as a pattern that matches it alone.
+
+    A file stream takes a plain path for a folder; as a pattern it may be one
+    file or a folder of files.
+    """
+    path = table_path(base, name)
+    return f"{path[:-1]}[{path[-1]}]"
 
 
 def read_log(spark: SparkSession, path: str, schema=None) -> DataFrame:
@@ -68,22 +83,30 @@ def ntz_range(ts, lo: _dt.datetime, hi: _dt.datetime):
     return (ts >= ntz_literal(lo)) & (ts < ntz_literal(hi))
 
 
-def in_days(df: DataFrame, first: str | _dt.date, last: str | _dt.date,
+def in_days(df: DataFrame, first: str | _dt.date | None, last: str | _dt.date | None,
             ts_col: str | None = "ts", day_col: str = "etl_dt") -> DataFrame:
-    """Rows whose day lies in ``[first, last]`` (both ends included).
+    """Rows whose day lies in ``[first, last]`` (both ends included; an end that is None is open).
 
     With a timestamp column the filter is written as a half-open timestamp
     range so it is pushed to the parquet scan; a ``between`` on the day column
     is added when that column exists (partition pruning when it is the
     partition column).
     """
-    first, last = to_date(first), to_date(last)
-    by_day = F.col(day_col).between(first.isoformat(), last.isoformat())
-    if ts_col and ts_col in df.columns:
-        lo = _dt.datetime.combine(first, _dt.time())
-        hi = _dt.datetime.combine(last + _dt.timedelta(days=1), _dt.time())
-        by_ts = ntz_range(F.col(ts_col), lo, hi)
-        # both when both exist: the day column may be a partition column (folder
-        # pruning) and the timestamp range is pushed to the row groups
-        return df.filter(by_ts & by_day) if day_col in df.columns else df.filter(by_ts)
-    return df.filter(by_day)
+    has_ts = bool(ts_col) and ts_col in df.columns
+    # both when both exist: the day column may be a partition column (folder
+    # pruning) and the timestamp range is pushed to the row groups
+    has_day = day_col in df.columns or not has_ts
+    if first is not None:
+        day = to_date(first)
+        if has_ts:
+            df = df.filter(F.col(ts_col) >= ntz_literal(_dt.datetime.combine(day, _dt.time())))
+        if has_day:
+            df = df.filter(F.col(day_col) >= day.isoformat())
+    if last is not None:
+        day = to_date(last)
+        if has_ts:
+            after = _dt.datetime.combine(day + _dt.timedelta(days=1), _dt.time())
+            df = df.filter(F.col(ts_col) < ntz_literal(after))
+        if has_day:
+            df = df.filter(F.col(day_col) <= day.isoformat())
+    return df

@@ -2,12 +2,15 @@
 
 The original job appended each day's matches to a table. Here new log files
 are read as a stream, rows get their day window (days counted back from the
-run date), duplicates of (window, id, payload) are dropped within the
-watermark, and the id list is joined as a static side. The sink is a
-parquet file sink (exactly-once through its log and the checkpoint).
-
-The watermark delay must cover how late a row of the same window may come;
-its default of the window width keeps every duplicate of a window together.
+run date), rows of listed ids are kept (stream-static semi join), their
+duplicates of (window, id, payload) are dropped within the watermark, and the
+id list is joined as a static side. The sink is a parquet file sink
+(exactly-once through its log and the checkpoint).
+
+The watermark delay defaults to the whole range of all windows: no row of a
+window can then come too late, in whatever order the files arrive, and the
+state holds the distinct matched rows of that range. A shorter ``lateness``
+keeps less state and drops rows that come later than it.
 """
 
 from __future__ import annotations
@@ -46,7 +49,9 @@ def stream_matched_ids(log_stream: DataFrame, ids: DataFrame, as_of: str | _dt.d
     windows = day_windows(df, as_of, nearest, width, count)
     rows = windows.select(F.col(id_col).cast("string").alias("imei"), F.col(payload_col).alias("mediadata"),
                           "window_start", "window_end", F.col(ts_col))
-    deduped = (rows.withWatermark(ts_col, lateness or f"{width} days")
+    listed = ids.select(F.col(list_col).alias("_listed")).distinct()
+    rows = rows.join(listed, F.col("imei") == F.col("_listed"), "left_semi")
+    deduped = (rows.withWatermark(ts_col, lateness or f"{width * count} days")
                .dropDuplicatesWithinWatermark(["imei", "mediadata", "window_start"]))
     return (deduped.join(ids.select(list_col), deduped["imei"] == F.col(list_col), "inner")
             .select(list_col, "imei", "mediadata", "window_start", "window_end"))

@@ -99,3 +99,55 @@ def test_jobs_end_to_end(spark, tmp_path):
     users = jobs.mapped_profile_users(spark, month, mapping).collect()
     assert {r["userid"] for r in users} == {_md5(IMEI_A)} and len(users) == 2
     assert set(INTERESTS) <= set(spark.read.parquet(month).columns)
+
+
+def _log(spark, path, days):
+    rows = [(IMEI_A, _md5(IMEI_A), IDFA_A, '{"title":"T"}', 3, d) for d in days]
+    spark.createDataFrame(rows, SCHEMA).write.mode("overwrite").partitionBy("etl_dt").parquet(path)
+
+
+def _scores(spark, path):
+    spark.createDataFrame([('{"title":"T"}', "T", *[60.0] * len(INTERESTS))],
+                          f"yktag string, iqytag string, {', '.join(c + ' double' for c in INTERESTS)}").write.parquet(path)
+
+
+def test_month_profile_covers_its_month_only(spark, tmp_path):
+    log, scores = str(tmp_path / "log"), str(tmp_path / "scores")
+    _log(spark, log, ["2023-11-30", "2024-02-01"])
+    _scores(spark, scores)
+    for k, given in enumerate(({}, {"first": "2023-11-01"}, {"last": "2024-02-05"})):
+        out = jobs.scored_profile(spark, log, scores, str(tmp_path / f"o{k}"), "2024-01-31", month="2024-01", **given)
+        assert out.count() == 0
+    out = jobs.scored_profile(spark, log, scores, str(tmp_path / "feb"), "2024-02-28", month="2024-02")
+    assert [r["userid"] for r in out.collect()] == [IDFA_A]
+    assert jobs.month_days("2024-02")[1].isoformat() == "2024-02-29"
+
+
+def test_rerun_leaves_no_stale_days(spark, tmp_path):
+    log, scores, out = str(tmp_path / "log"), str(tmp_path / "scores"), str(tmp_path / "out")
+    _scores(spark, scores)
+    _log(spark, log, ["2024-01-29", "2024-01-30"])
+    run = lambda: jobs.scored_profile(spark, log, scores, out, "2024-01-31", from_i=1, to_i=4)
+    run()
+    assert spark.read.parquet(out).count() == 2
+    again = str(tmp_path / "log2")
+    _log(spark, again, ["2024-01-30"])
+    jobs.scored_profile(spark, again, scores, out, "2024-01-31", from_i=1, to_i=4)
+    assert [str(r["etl_dt"]) for r in spark.read.parquet(out).collect()] == ["2024-01-30"]
+
+
+def test_matched_windows_are_replaced(spark, tmp_path):
+    log, ids, out = str(tmp_path / "log"), str(tmp_path / "ids.txt"), str(tmp_path / "m")
+    (tmp_path / "ids.txt").write_text(IMEI_A + "\n")
+    _log(spark, log, ["2024-01-29", "2024-01-30"])
+    for _ in range(2):
+        jobs.match_id_list(spark, ids, log, out, "2024-01-31", 1, 1, 3)
+    assert spark.read.parquet(out).count() == 2
+
+
+def test_one_sided_day_range(spark):
+    from profilekit.operators.extract import extract_payloads
+    log = spark.createDataFrame([("u", "p", d) for d in ("2024-01-01", "2024-01-05", "2024-01-09")],
+                                "userid string, mediadata string, etl_dt string")
+    assert extract_payloads(log, first="2024-01-05").count() == 2
+    assert extract_payloads(log, last="2024-01-04").count() == 1

@@ -196,3 +196,21 @@ def test_read_log_keeps_a_text_day_with_a_schema_and_files_are_bounded(spark, tm
     typed = read_log(spark, path, schema=df.schema)
     assert dict(typed.dtypes)["etl_dt"] == "string"
     assert typed.filter(F.col("etl_dt") == "2024-01-01").count() == 10
+
+
+def test_streaming_id_match_takes_files_out_of_day_order(spark, tmp_path):
+    from profilekit.operators.matching import match_ids
+    from profilekit.streaming.matching import stream_matched_ids
+
+    log_dir, sink, ckpt = tmp_path / "log", str(tmp_path / "sink"), str(tmp_path / "ck")
+    schema = "userid string, mediadata string, channel string, ts timestamp_ntz, etl_dt string"
+    st = spark.createDataFrame([], schema).schema
+    ids = spark.createDataFrame([("u",)], "imei_match string")
+    for day in (30, 23, 27):
+        data = [("u", f"m{day}", "view", dt.datetime(2024, 1, day, 8), f"2024-01-{day}")]
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(str(log_dir))
+        stream = stream_matched_ids(spark.readStream.schema(st).parquet(str(log_dir)), ids, "2024-01-31", 1, 1, 10)
+        (stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start(sink).awaitTermination())
+    batch = match_ids(ids, spark.read.schema(st).parquet(str(log_dir)), "2024-01-31", 1, 1, 10)
+    assert rows(spark.read.parquet(sink).select(batch.columns)) == rows(batch) and batch.count() == 3
