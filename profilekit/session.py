@@ -6,9 +6,11 @@ the session. ``local_session`` is for tests and the benchmark only.
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -63,7 +65,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_SCOPES: list[list[str]] = []
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A fresh path for a written table under the shared checkpoint folder."""
+    """A fresh path for a written table under the shared checkpoint folder.
+
+    Inside ``scratch`` the path is removed when the scope ends; outside, its
+    table stays for as long as the caller may still read it.
+    """
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex}"
+    path = f"{base}/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Scope of a job's intermediate tables (join sides, key lists, written steps): deleted when it ends.
+
+    Frames made inside read those tables lazily, so their results must be
+    written or collected before the scope ends.
+    """
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _SCOPES.pop():
+            place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(conf).delete(place, True)
