@@ -27,13 +27,12 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from profilekit.llm.components import written
-from profilekit.llm.text import BoundedCache, chain, col, crc32, map_texts, mix
+from profilekit.llm.text import blocks, claim, col, crc32, map_texts, mix, span_codes, word_codes, word_spans
 from profilekit.operators.joins import bounded_broadcast
 
 WIDTH, SHARE, LITERALS, CONSISTENT = 5, 0.8, 3, 0.8
@@ -50,61 +49,80 @@ UNITS = frozenset(
     "week weeks month months year years dollar dollars euro euros cent cents percent degree degrees watt watts volt "
     "volts kmh mph".split())
 
+_EDGES = re.compile(r"^\W+|\W+$")
 NUM, NAME, UNIT = (np.uint64(crc32(x)) for x in (b"<number>", b"<name>", b"<unit>"))
-_NUMBER = re.compile(r"[+-]?[$€£]?\d+(?:[.,:/]\d+)*(?:%|st|nd|rd|th)?")
-_EDGES = re.compile(r"^[^\w$€£+-]+|[^\w%]+$")
-_IS_NUMBER, _IS_CAPITAL, _IS_UNIT, _ENDS, _IS_EMPTY = (np.uint64(1 << k) for k in range(5))
-_FLAGS = 5
-
-
-def _word_code(raw: bytes) -> int:
-    """Hash of a word's literal form, its low bits replaced by what the word may be."""
-    word = raw.decode()
-    core = _EDGES.sub("", word)
-    low = core.lower()
-    flags = 0
-    if _NUMBER.fullmatch(low) or low in NUMBER_WORDS:
-        flags |= int(_IS_NUMBER)
-    elif core[:1].isupper():
-        flags |= int(_IS_CAPITAL)
-    if low in UNITS:
-        flags |= int(_IS_UNIT)
-    if word[-1:] in ".!?:;" or word[-2:-1] in ".!?":
-        flags |= int(_ENDS)
-    if not core:
-        flags |= int(_IS_EMPTY)
-    return (xxhash.xxh64_intdigest(low.encode()) >> _FLAGS << _FLAGS) | flags
-
-
-_CODES = BoundedCache(_word_code)
+
+
+def _table(*ranges: tuple[int, int]) -> np.ndarray:
+    out = np.zeros(256, bool)
+    for a, b in ranges:
+        out[a:b + 1] = True
+    return out
+
+
+_CORE = _table((48, 57), (65, 90), (97, 122), (128, 255))  # bytes of letters and digits, and of all beyond ASCII
+_DIGIT, _STOP = _table((48, 57)), _table(*[(ord(c), ord(c)) for c in ".!?:;"])
+
+
+def _codes_of(words) -> np.ndarray:
+    text = " ".join(sorted(words)).encode()
+    return np.sort(word_codes(text))
+
+
+_NUMBERS, _UNITS = _codes_of(NUMBER_WORDS), _codes_of(UNITS)
+_ORDINAL = re.compile(rb"\d+(?:st|nd|rd|th)", re.I).fullmatch
+
+
+def _among(codes: np.ndarray, known: np.ndarray) -> np.ndarray:
+    at = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+    return known[at] == codes
+
+
+def _core_bytes(data: np.ndarray) -> np.ndarray:
+    """Which bytes are letters or digits; Latin-1 signs and the general punctuation block are not."""
+    core = _CORE[data]
+    if len(data) and data.max() >= 0xC2:
+        for at in np.flatnonzero(data[:-1] == 0xC2):
+            core[at:at + 2] = False
+        for at in np.flatnonzero((data[:-2] == 0xE2) & ((data[1:-1] & 0xFE) == 0x80)):
+            core[at:at + 3] = False
+    return core
+
+
+_PLACES = np.asarray([(k + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1) for k in range(WIDTH)], np.uint64)
 
 
 class Template:
     """Tokens of a text: code (placeholder or literal), whether literal, and the words each covers."""
 
     def __init__(self, text: bytes | None):
-        words = text.split() if text else []
-        raw = np.fromiter(map(_CODES.__getitem__, words), np.uint64, len(words))
-        solid = np.flatnonzero((raw & _IS_EMPTY) == 0)  # bare punctuation is no token
-        raw = raw[solid]
-        number = (raw & _IS_NUMBER) != 0
-        before = np.zeros(len(raw), bool)
+        self.text = text = text or b""
+        parts = [_tokens(b) for b in blocks(text)]
+        if not parts:
+            parts = [_tokens(b"")]
+        self.n_words = sum(p[0] for p in parts)
+        offsets = np.cumsum([0, *[p[0] for p in parts[:-1]]])
+        place = np.concatenate([p[1] + o for p, o in zip(parts, offsets, strict=True)])
+        codes, digits, capital, ends = (np.concatenate([p[k] for p in parts]) for k in range(2, 6))
+        number = digits | _among(codes, _NUMBERS)
+        before = np.zeros(len(codes), bool)
         before[1:] = number[:-1]
-        unit = ((raw & _IS_UNIT) != 0) & before
-        inside = np.zeros(len(raw), bool)
-        inside[1:] = (raw[:-1] & _ENDS) == 0
-        name = ((raw & _IS_CAPITAL) != 0) & inside
-        codes = np.where(number, NUM, np.where(unit, UNIT, np.where(name, NAME, raw >> np.uint64(_FLAGS))))
-        first = np.ones(len(raw), bool)
+        unit = before & ~number
+        unit[unit] = _among(codes[unit], _UNITS)
+        name = np.zeros(len(codes), bool)
+        name[1:] = capital[1:] & ~ends[:-1]
+        name &= ~(number | unit)
+        first = np.ones(len(codes), bool)
         first[1:] = ~(name[1:] & name[:-1])
-        self.codes = codes[first]
-        self.literal = ~(number | unit | name)[first]
-        self.starts = solid[first]
-        self.words = words
+        literal = ~(number | unit | name)
+        codes = np.where(number, NUM, np.where(unit, UNIT, np.where(name, NAME, codes)))
+        self.codes, self.literal, self.starts = codes[first], literal[first], place[first]
 
     def value(self, i: int) -> bytes:
         """The words of token ``i``, lower-cased, without edge punctuation."""
-        end = self.starts[i + 1] if i + 1 < len(self.starts) else len(self.words)
+        if not hasattr(self, "words"):
+            self.words = self.text.split()
+        end = self.starts[i + 1] if i + 1 < len(self.starts) else self.n_words
         return b" ".join(_EDGES.sub("", w.decode()).lower().encode() for w in self.words[self.starts[i]:end]).strip()
 
     def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -112,13 +130,41 @@ class Template:
         n = len(self.codes) - width + 1
         if n <= 0 or width < 1:
             return np.empty(0, np.uint64), np.empty(0, np.int64)
-        h = mix(self.codes[:n] + np.uint64(width))
-        plain = self.literal[:n].astype(np.int64)
-        for k in range(1, width):
-            h = chain(h, self.codes[k:k + n])
-            plain = plain + self.literal[k:k + n]
-        at = np.flatnonzero(plain >= min(LITERALS, width))
-        return h[at], at
+        # a position's code and place in the window give one scrambled term; the window's hash is their sum
+        h = np.zeros(n, np.uint64)
+        for k in range(width):
+            h += mix(self.codes[k:k + n] + _PLACES[k])
+        literals = np.concatenate([[0], np.cumsum(self.literal, dtype=np.int32)])
+        at = np.flatnonzero(literals[width:] - literals[:n] >= min(LITERALS, width))
+        return h[at] + np.uint64(width), at
+
+
+def _tokens(block: bytes):
+    """(words, place of each token, code, all digits, capital, ends a sentence) of one block; bare signs are no tokens."""
+    low = block.decode().lower().encode()
+    if len(low) != len(block):  # a letter whose lower case is longer: ASCII case only
+        low = block.lower()
+    data, own = np.frombuffer(low, np.uint8), np.frombuffer(block, np.uint8)
+    starts, ends = word_spans(own)
+    core = _core_bytes(own)
+    solid = np.flatnonzero(core)
+    # first and last letter or digit of each word
+    before = np.zeros(len(own) + 1, np.int32)
+    np.cumsum(core, out=before[1:])
+    left, right = before[starts], before[ends] - 1
+    kept = np.flatnonzero(left <= right)
+    if not len(kept):
+        return len(starts), kept, np.empty(0, np.uint64), *[np.zeros(0, bool)] * 3
+    a, b, e = solid[left[kept]], solid[right[kept]] + 1, ends[kept]
+    codes = span_codes(data, a, b)
+    digits = np.zeros(len(a), bool)
+    for k in np.flatnonzero(_DIGIT[own[a]]):  # words that start with a digit: digits and signs only, or an ordinal
+        inside = own[a[k]:b[k]]
+        digits[k] = not (_CORE[inside] & ~_DIGIT[inside]).any() or _ORDINAL(inside.tobytes()) is not None
+    changed = own != data
+    capital = changed[a] | changed[np.minimum(a + 1, len(own) - 1)] & (own[a] >= 0xC2)
+    stop = (b < e) & (_STOP[own[np.minimum(b, len(own) - 1)]] | _STOP[own[e - 1]])
+    return len(starts), kept, codes, digits, capital, stop
 
 
 def item_width(template: Template) -> int:
@@ -193,6 +239,7 @@ def find(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text:
                         *[T.StructField(n, t) for n, t in _RESULT]])
 
     def check(batches):
+        claim(__name__)
         last, template = None, None
         for b in batches:
             made = []

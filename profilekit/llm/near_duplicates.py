@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from profilekit.llm.components import components, written
-from profilekit.llm.text import ascii_words, chain, col, map_texts, mix, window_codes, word_codes
+from profilekit.llm.text import chain, claim, col, map_texts, mix, window_codes, word_codes
 from profilekit.operators.joins import bounded_broadcast
 
 WIDTH = 5
@@ -48,12 +48,10 @@ _LEVEL = 48       # bits of a rank below its level
 
 def shingle_set(text: bytes | None) -> np.ndarray:
     """Sorted distinct 64-bit codes of a text's shingles."""
-    words = ascii_words(text)
-    if not words:
-        return np.empty(0, np.uint64)
-    if len(words) < WIDTH:
-        return np.asarray([xxhash.xxh64_intdigest(b" ".join(words), seed=len(words))], np.uint64)
-    return np.unique(window_codes(word_codes(words), WIDTH))
+    codes = word_codes(text)
+    if 0 < len(codes) < WIDTH:
+        return window_codes(codes, len(codes)) ^ np.uint64(len(codes))
+    return np.unique(window_codes(codes, WIDTH))
 
 
 def super_min_hash(sets: list[np.ndarray], slots: int) -> np.ndarray:
@@ -138,6 +136,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
            .select("a", "b", F.col("ta").cast("binary"), F.col("tb").cast("binary")))
 
     def compare(batches):
+        claim(__name__)
         last, other = None, None  # neighbouring rows often share b
         for b in batches:
             keep = []
@@ -206,6 +205,7 @@ def pivot_marks(spokes: DataFrame, texts: DataFrame) -> DataFrame:
     held = texts.join(spokes.select("id").distinct(), "id", "left_semi")
 
     def slots(batches):
+        claim(__name__)
         for b in batches:
             seen = np.zeros(SLOTS, np.int64)
             for t in b.column(0).to_pylist():
@@ -225,6 +225,7 @@ def pivot_marks(spokes: DataFrame, texts: DataFrame) -> DataFrame:
            .select("id", "pivot", F.col("t").cast("binary"), F.col("tp").cast("binary")))
 
     def mark(batches):
+        claim(__name__)
         last, pivot = None, None  # neighbouring rows often share the pivot
         for b in batches:
             out, near, sums = [], [], []
@@ -269,10 +270,10 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
                        .select(F.col("id").alias("a"), "b").distinct(), "pairs")
     # texts of the documents in buckets of several classes, once
     crowded = members.join(centres.select("key"), "key").select("id").distinct()
-    ids, small = bounded_broadcast(crowded)
+    ids, _ = bounded_broadcast(crowded)
     source = docs.select(col(doc_id).cast("long").alias("id"), col(text).cast("string").alias("text"))
-    texts, _ = written(source.join(ids, "id", "left_semi").dropDuplicates(["id"]) if not small else
-                       source.join(ids, "id", "left_semi"), "texts")
+    # a row per id: repeated rows must not multiply in the joins
+    texts, _ = written(source.join(ids, "id", "left_semi").dropDuplicates(["id"]), "texts")
     links, _ = written(verified(first, texts), "links")
     group = components(links)
     # buckets still in several components: pairs across them that are not yet compared

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator, Sequence
@@ -9,7 +11,6 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +25,26 @@ SLICE_BYTES = 3_000_000
 TextFunction = Callable[[list], Sequence]
 
 
+# Caches that live in a worker between tasks, and the operator they were filled for.
+_WORKER_CACHES: list[dict] = []
+_OWNER = [""]
+
+
+def worker_cache(cache: dict) -> dict:
+    """Register a cache that outlives a task."""
+    _WORKER_CACHES.append(cache)
+    return cache
+
+
+def claim(owner: str) -> None:
+    """Called as a task starts: another operator's caches are emptied, so that they do not add up in a worker."""
+    if _OWNER[0] != owner:
+        _OWNER[0] = owner
+        for cache in _WORKER_CACHES:
+            cache.clear()
+        gc.collect()
+
+
 class BoundedCache(dict):
     """Memo of a pure function; emptied when full, so a worker's memory stays bounded."""
 
@@ -73,13 +94,16 @@ def map_texts(df: DataFrame, make: Callable[[], TextFunction], fields: list[T.St
     ``bytes | None`` to one sequence per field. Kept columns pass through as
     Arrow arrays untouched. Nothing but ``keep`` and ``text`` is read.
     """
-    marker = fresh("text")
-    src = df.select(*[col(c) for c in keep], col(text).cast("string").cast("binary").alias(marker))
-    schema = T.StructType([*src.schema.fields[:-1], *fields])
+    # plain names on the way: kept names may hold dots or spaces
+    src = df.select(*[col(c).alias(f"k{i}") for i, c in enumerate(keep)],
+                    col(text).cast("string").cast("binary").alias("text"))
+    made_fields = [T.StructField(f"f{i}", f.dataType) for i, f in enumerate(fields)]
+    schema = T.StructType([*src.schema.fields[:-1], *made_fields])
     arrow_types = [to_arrow_type(f.dataType) for f in fields]
     names, n_keep = [f.name for f in schema.fields], len(keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim(make.__module__)
         fn = make()
         for batch in slices(batches, n_keep):
             made = fn(batch.column(n_keep).to_pylist())
@@ -88,20 +112,7 @@ def map_texts(df: DataFrame, make: Callable[[], TextFunction], fields: list[T.St
                        for x, t in zip(made, arrow_types, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return src.mapInArrow(run, schema)
-
-
-def ascii_words(text: bytes | None) -> list[bytes]:
-    """Words ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; empty for null."""
-    return text.lower().split() if text else []
-
-
-_WORD_CODES = BoundedCache(xxhash.xxh64_intdigest)
-
-
-def word_codes(words: list[bytes]) -> np.ndarray:
-    """64-bit hash of each word."""
-    return np.fromiter(map(_WORD_CODES.__getitem__, words), np.uint64, len(words))
+    return src.mapInArrow(run, schema).toDF(*keep, *[f.name for f in fields])
 
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -121,6 +132,68 @@ def chain(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return mix(a * _GOLDEN + np.uint64(0x632BE59BD9B4E019)) + mix(b + _GOLDEN)
 
 
+# White space that parts words, and a random number per byte (A-Z as a-z).
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
+BYTE_CODES = mix(np.arange(1, 257, dtype=np.uint64) * _GOLDEN)
+BYTE_CODES[65:91] = BYTE_CODES[97:123]
+_BASE = 0xD6E8FEB86659FD93  # odd, so that it has an inverse modulo 2**64
+_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_BLOCK_BYTES = 1 << 20
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least ``n`` powers of the base and of its inverse, modulo 2**64."""
+    if len(_POWERS[0]) < n:
+        size = max(n, 2 * len(_POWERS[0]))
+        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(size, base, np.uint64)
+            steps[0] = 1
+            _POWERS[k] = np.cumprod(steps, dtype=np.uint64)
+    return _POWERS[0], _POWERS[1]
+
+
+def span_codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hash of each span of a byte array (A-Z hashed as a-z): a polynomial in random byte values, scrambled."""
+    if not len(starts):
+        return np.empty(0, np.uint64)
+    up, down = _powers(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(BYTE_CODES[data] * up[:len(data)], out=sums[1:])
+    with np.errstate(over="ignore"):
+        return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64) * _GOLDEN)
+
+
+def word_spans(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words between ASCII white space."""
+    edges = np.flatnonzero(np.diff(SPACE[data].view(np.int8), prepend=1, append=1))
+    return edges[::2], edges[1::2]
+
+
+def blocks(text: bytes) -> Iterator[bytes]:
+    """The text in blocks of about a megabyte, cut at white space."""
+    at = 0
+    while at < len(text):
+        stop = at + _BLOCK_BYTES
+        if stop < len(text):
+            m = _NEXT_SPACE.search(text, stop)
+            stop = m.start() if m else len(text)
+        yield text[at:stop]
+        at = stop
+
+
+_NEXT_SPACE = re.compile(rb"[\x20\x09-\x0D]")
+
+
+def word_codes(text: bytes | None) -> np.ndarray:
+    """64-bit hash of each word ``[^\\x20\\x09-\\x0D]+`` of a text, A-Z lower-cased; empty for null."""
+    parts = []
+    for block in blocks(text or b""):
+        data = np.frombuffer(block, np.uint8)
+        parts.append(span_codes(data, *word_spans(data)))
+    return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else np.empty(0, np.uint64)
+
+
 def window_codes(codes: np.ndarray, width: int) -> np.ndarray:
     """Hash of every run of ``width`` consecutive codes (empty if there are fewer)."""
     n = len(codes) - width + 1

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from profilekit.llm.text import ascii_words, col, crc_mod, map_texts, window_codes, word_codes
+from profilekit.llm.text import col, crc_mod, map_texts, window_codes, word_codes, worker_cache
 from profilekit.session import shared_path
 
 MAX_TOXIC, MAX_CLEAN = 4_000, 8_000
@@ -165,7 +165,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, train_on, max_toxic: int
         def run(texts):
             keys = []
             for t in texts:
-                codes = window_codes(word_codes(ascii_words(t)), 5)
+                codes = window_codes(word_codes(t), 5)
                 keys.append(int(codes.min() >> np.uint64(1)) if len(codes) else hash(t or b"") & (2**62 - 1))
             return [keys]
         return run
@@ -275,7 +275,7 @@ def _learned_exceptions(sample: DataFrame, weights: dict[str, float]) -> list[st
     return [r["term"] for r in found.orderBy(F.desc("b"), "term").limit(MAX_TERMS).collect()]
 
 
-_LEXICONS: dict[str, Lexicon] = {}
+_LEXICONS: dict[str, Lexicon] = worker_cache({})
 
 
 def score(docs: DataFrame, model: dict, *, text: str = "text", keep=("doc_id",), prefix: str = "") -> DataFrame:
