@@ -26,24 +26,25 @@ An empty table gives no rows. Other columns are not read.
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from profilekit.llm.components import written
-from profilekit.llm.text import ascii_words, chain, col, crc_mod, slices, word_codes
+from profilekit.llm.text import chain, claim, col, crc_mod, mix, slices, word_codes
 
-CHUNK_BYTES = 24_000_000      # text of one chunk
+CHUNK_BYTES = 16_000_000      # text of one chunk
 RANGE_TOKENS = 4_000_000      # tokens per key range
+SPAN = 1 << 19                # tokens whose estimates are held at once
 LEAST_RANGES = 64
 EM_ROUNDS = 40
 STEPS = 2                     # histogram cells per doubling of an estimate
-END, START = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b"\n", b"\n\n"))
+END, START = mix(np.asarray([1, 2], np.uint64))  # no word hashes to them but by chance
 _CELLS = 1 << 8               # cells of one estimate; bounds the histogram's grid
 
 _CHUNKS = ("chunk long, doc_ids array<long>, held array<boolean>, sizes array<int>, types binary, tokens binary, "
@@ -74,14 +75,17 @@ def chunks(docs: DataFrame, held: Column, doc_id: str = "doc_id", text: str = "t
                       col(text).cast("string").cast("binary").alias("t"))
 
     def number(batches):
+        claim(__name__)
         made = 0
         for b in slices(batches, 2, CHUNK_BYTES):
             parts, sizes = [], []
             for t in b.column(2):
-                words = ascii_words(t.as_py())
-                parts.append(np.append(word_codes(words), END))
-                sizes.append(len(words) + 1)
-            types, tokens = np.unique(np.concatenate(parts), return_inverse=True)
+                parts.append(np.append(word_codes(t.as_py()), END))
+                sizes.append(len(parts[-1]))
+            codes = np.concatenate(parts)
+            del parts
+            types, tokens = np.unique(codes, return_inverse=True)
+            del codes
             train = ~b.column(1).to_numpy(zero_copy_only=False).astype(bool)
             sizes = np.asarray(sizes, np.int64)
             row = [(TaskContext.get().partitionId() << 32) | made, b.column(0).to_pylist(), (~train).tolist(),
@@ -102,20 +106,21 @@ class Chunk:
     def __init__(self, types: bytes, tokens: bytes, sizes):
         codes = np.frombuffer(types, np.uint64)
         self.sizes = np.asarray(sizes, np.int64)
-        self.words = _unpack(tokens, "<u4").astype(np.int64)
+        self.words = _unpack(tokens, "<i4")
         self.word_keys = codes
         n = len(codes)
-        self.first = np.cumsum(self.sizes) - self.sizes
         before = np.empty_like(self.words)
         before[1:] = self.words[:-1]
-        before[self.first] = n
+        before[np.cumsum(self.sizes) - self.sizes] = n
         self.before = before
-        pairs, place = np.unique(before * (n + 1) + self.words, return_inverse=True)
+        pairs, place = np.unique(before * np.int64(n + 1) + self.words, return_inverse=True)
+        place = place.astype(np.int32)
         known = np.append(codes, START)
         keys = chain(known[pairs // (n + 1)], known[pairs % (n + 1)])
+        del pairs
         order = np.argsort(keys, kind="stable")
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.arange(len(order))
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
         self.pair_keys, self.pairs = keys[order], rank[place]
 
 
@@ -186,7 +191,7 @@ def range_totals(parts: DataFrame, n_ranges: int) -> DataFrame:
         total, "chunk long, size int, part int, totals binary, known long")
 
 
-def _estimates(word, pair, context, n_words, n_types, deleted: int):
+def _estimates(word, pair, context, n_words: int, deleted: int):
     """Bigram and word estimates from counts, ``deleted`` own occurrences taken out; and the context bucket."""
     context = np.maximum(context - deleted, 0)
     p1 = np.maximum(word - deleted, 0) / max(n_words - deleted, 1)
@@ -219,16 +224,23 @@ def counted(parts: DataFrame, totals: DataFrame, n_words: int, n_types: int, n_d
             at = np.flatnonzero(kind == size)
             at = at[np.argsort(part[at])]
             found.append(np.concatenate([_unpack(table.column("totals")[int(i)].as_py(), "<u8") for i in at]))
-        word, pair = found[0][c.words].astype(np.int64), found[1][c.pairs].astype(np.int64)
-        context = np.append(found[0], n_docs).astype(np.int64)[c.before]
+        by_word, by_pair = (_narrowest(f) for f in found)
+        word, pair = by_word[c.words], by_pair[c.pairs]
+        by_context = np.append(by_word.astype(np.int64), n_docs)
         train = np.repeat(~np.asarray(row["held"], bool), c.sizes)
         uniform = 1.0 / (n_types + 1)
-        p2, p1, bucket = _estimates(word[train], pair[train], context[train], n_words, n_types, 1)
-        cells, n = np.unique((bucket * _CELLS + _cell(p2, uniform)) * _CELLS + _cell(p1, uniform), return_counts=True)
+        counts: Counter = Counter()
+        for at in range(0, len(word), SPAN):
+            use = np.flatnonzero(train[at:at + SPAN]) + at
+            p2, p1, bucket = _estimates(word[use].astype(np.int64), pair[use].astype(np.int64),
+                                        by_context[c.before[use]], n_words, 1)
+            at_cell = (bucket * _CELLS + _cell(p2, uniform)) * _CELLS + _cell(p1, uniform)
+            counts.update(dict(zip(*(x.tolist() for x in np.unique(at_cell, return_counts=True)), strict=True)))
+        cells, n = list(counts), list(counts.values())
         return pa.table({"doc_ids": table.column("doc_ids").slice(own, 1), "held": table.column("held").slice(own, 1),
                          "sizes": table.column("sizes").slice(own, 1),
-                         "word": pa.array([_pack(_narrow(word))], pa.binary()),
-                         "pair": pa.array([_pack(_narrow(pair))], pa.binary()),
+                         "word": pa.array([_pack(_tagged(word))], pa.binary()),
+                         "pair": pa.array([_pack(_tagged(pair))], pa.binary()),
                          "cells": pa.array([cells], pa.list_(pa.int64())), "n": pa.array([n], pa.list_(pa.int64()))})
 
     return left.unionByName(right).groupBy("chunk").applyInArrow(
@@ -236,15 +248,19 @@ def counted(parts: DataFrame, totals: DataFrame, n_words: int, n_types: int, n_d
                 "cells array<long>, n array<long>")
 
 
-def _narrow(x: np.ndarray) -> np.ndarray:
-    """Counts as one width byte and the narrowest unsigned integers that hold them."""
-    width = next(w for w in (1, 2, 4, 8) if w == 8 or not len(x) or x.max() < 1 << (8 * w))
-    return np.frombuffer(bytes([width]) + x.astype(f"<u{width}").tobytes(), np.uint8)
+def _narrowest(x: np.ndarray) -> np.ndarray:
+    """Counts as the narrowest unsigned integers that hold them."""
+    return x.astype(next(f"<u{w}" for w in (1, 2, 4, 8) if w == 8 or not len(x) or x.max() < 1 << (8 * w)))
 
 
-def _widen(data: bytes) -> np.ndarray:
+def _tagged(x: np.ndarray) -> np.ndarray:
+    """Unsigned integers as bytes led by their width."""
+    return np.frombuffer(bytes([x.dtype.itemsize]) + x.tobytes(), np.uint8)
+
+
+def _untagged(data: bytes) -> np.ndarray:
     raw = zstandard.decompress(data)
-    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int64)
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1)
 
 
 def learn_weights(cells: np.ndarray, counts: np.ndarray, rounds: int = EM_ROUNDS) -> np.ndarray:
@@ -285,21 +301,27 @@ def score_texts(docs: DataFrame, held: Column | None = None, *, doc_id: str = "d
         for b in batches:
             for r in b.to_pylist():
                 sizes = np.asarray(r["sizes"], np.int64)
-                word, pair = _widen(r["word"]), _widen(r["pair"])
+                word, pair = _untagged(r["word"]), _untagged(r["pair"])
                 first = np.cumsum(sizes) - sizes
-                context = np.empty_like(word)
-                context[1:] = word[:-1]
-                context[first] = n_docs
-                p2, p1, bucket = _estimates(word, pair, context, n_words, n_types, 0)
-                w = weights[bucket]
-                p = w[:, 0] * p2 + w[:, 1] * p1 + w[:, 2] / (n_types + 1)
-                base = np.log10((word + 1.0) / (n_words + 1.0 * (n_types + 1)))
+                starts = np.zeros(len(word), bool)
+                starts[first] = True
+                base, score_of = np.empty(len(word)), np.empty(len(word))
+                for at in range(0, len(word), SPAN):
+                    own = word[at:at + SPAN].astype(np.int64)
+                    context = np.empty_like(own)
+                    context[1:] = own[:-1]
+                    context[0] = word[at - 1] if at else 0
+                    context[starts[at:at + SPAN]] = n_docs
+                    p2, p1, bucket = _estimates(own, pair[at:at + SPAN].astype(np.int64), context, n_words, 0)
+                    w = weights[bucket]
+                    score_of[at:at + SPAN] = np.log10(w[:, 0] * p2 + w[:, 1] * p1 + w[:, 2] / (n_types + 1))
+                    base[at:at + SPAN] = np.log10((own + 1.0) / (n_words + 1.0 * (n_types + 1)))
                 n = len(sizes)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(r["doc_ids"], pa.int64()), pa.array(r["held"], pa.bool_()), pa.array(sizes),
                      pa.array(_sums((word > 0).astype(np.int64), sizes).astype(np.int64)),
                      pa.array(np.full(n, n_words, np.int64)), pa.array(_sums(base, sizes)),
-                     pa.array(_sums(np.log10(p), sizes))],
+                     pa.array(_sums(score_of, sizes))],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return ready.select("doc_ids", "held", "sizes", "word", "pair").mapInArrow(
