@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from profilekit.llm import stages
-from profilekit.session import ensure_checkpoint_dir, shared_path
+from profilekit.session import ensure_checkpoint_dir, scratch, shared_path
 
 STAGES = [
     ("language_id", stages.known_language),
@@ -25,6 +25,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = shared_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch(spark):  # the stage's own intermediate tables go as soon as its result is written
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
