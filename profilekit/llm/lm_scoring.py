@@ -38,8 +38,8 @@ from pyspark.sql import functions as F
 from profilekit.llm.components import written
 from profilekit.llm.text import chain, claim, col, crc_mod, mix, slices, word_codes
 
-CHUNK_BYTES = 16_000_000      # text of one chunk
-RANGE_TOKENS = 4_000_000      # tokens per key range
+CHUNK_BYTES = 12_000_000      # text of one chunk
+RANGE_TOKENS = 1_000_000      # tokens per key range
 SPAN = 1 << 19                # tokens whose estimates are held at once
 LEAST_RANGES = 64
 EM_ROUNDS = 40
