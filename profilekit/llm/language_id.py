@@ -20,6 +20,7 @@ the language first in order. Without any labelled training text all texts are
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from collections import Counter
 
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from profilekit.llm.text import CACHE_ENTRIES, col, crc_mod, map_texts
+from profilekit.llm.text import CACHE_ENTRIES, col, crc_mod, map_texts, worker_cache
 
 UNKNOWN = "und"
 DOCS_PER_LANGUAGE, MAX_LANGUAGES = 400, 200
@@ -288,13 +289,11 @@ def learn(docs: DataFrame, train_on=None, docs_per_language: int = DOCS_PER_LANG
     return fit([s for s in segments if any(map(_LETTER.search, s[1]))])
 
 
-_FIELDS: dict[str, Field] = {}
+_FIELDS: dict[str, Field] = worker_cache({})
 
 
 def predict(docs: DataFrame, field: Field, *, text: str = "text", keep=("doc_id",), prefix: str = "") -> DataFrame:
     """``keep`` columns plus lang_pred and score of every text (names led by ``prefix``)."""
-    import uuid
-
     # weights: BUCKETS x languages numbers, whatever the size of the corpus
     shared = docs.sparkSession.sparkContext.broadcast(
         (field.languages, field.weights, field.transitions, field.start, field.lexicon))

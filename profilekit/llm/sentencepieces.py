@@ -28,9 +28,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from profilekit.llm.text import CACHE_ENTRIES, crc32, map_texts
+from profilekit.llm.text import crc32, map_texts, worker_cache
 
 DEFAULT_MODEL = "piece_bpe_32k.model"
+THREADS = 2  # per worker; more only add memory where tasks already use every core
+BATCH = 4_000  # segments encoded in one call
+SEGMENT_ENTRIES = 200_000  # memoised segments; bounds memory, never results
 MARKER = "▁"
 # piece types and model types of the format: fixed values
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -106,7 +109,8 @@ class Pieces:
     def __init__(self, data: bytes):
         import sentencepiece
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "true"  # the batches of this encoder use all threads
+        os.environ["TOKENIZERS_PARALLELISM"] = "true"  # the batches of this encoder use several threads
+        os.environ.setdefault("RAYON_NUM_THREADS", str(THREADS))
         from tokenizers import Tokenizer, models, normalizers
 
         self.model = m = Model(data)
@@ -153,19 +157,11 @@ class Pieces:
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[bool]]:
         """Ids of each text, and whether both libraries agreed on all of its segments."""
         cut = [self._segments(self.prepared(t)) for t in texts]
-        if len(self._known) > CACHE_ENTRIES:
+        if len(self._known) > SEGMENT_ENTRIES:
             self._known.clear()
         new = list(set().union(*cut).difference(self._known))
-        made = self.backend.encode_batch_fast([s.replace(" ", MARKER) for s in new], add_special_tokens=False)
-        # the library adds the marker itself where the model asks for it
-        lead = 1 if self.model.dummy_prefix else 0
-        led = [s[lead:] if s.startswith(" ") else s for s in new]
-        wanted = self.library.encode(led, num_threads=1)
-        for s, x, got, want in zip(new, led, made, wanted, strict=True):
-            if not x and s:  # a lone space: the library has no text for it
-                want = got.ids
-            ids = got.ids
-            self._known[s] = (array("I", want).tobytes(), ids == want)
+        for at in range(0, len(new), BATCH):  # encodings are bulky: few at once
+            self._learn(new[at:at + BATCH])
         ids, same = [], []
         for segments in cut:
             found = [self._known[s] for s in segments]
@@ -173,6 +169,19 @@ class Pieces:
             same.append(all([f[1] for f in found]))
         return ids, same
 
+    def _learn(self, segments: list[str]) -> None:
+        """Memoise the ids of segments, and whether both libraries agree on them."""
+        made = self.backend.encode_batch_fast([s.replace(" ", MARKER) for s in segments], add_special_tokens=False)
+        # the library adds the marker itself where the model asks for it
+        lead = 1 if self.model.dummy_prefix else 0
+        led = [s[lead:] if s.startswith(" ") else s for s in segments]
+        wanted = self.library.encode(led, num_threads=1)
+        for s, x, got, want in zip(segments, led, made, wanted, strict=True):
+            ids = got.ids
+            if not x and s:  # a lone space: the library has no text for it
+                want = ids
+            self._known[s] = (array("I", want).tobytes(), ids == want)
+
     def decode(self, ids: np.ndarray) -> bytes:
         """UTF-8 text of ids: pieces joined, byte pieces as bytes, the dummy prefix removed."""
         if not len(ids):
@@ -184,7 +193,7 @@ class Pieces:
         return out[1:] if self.model.dummy_prefix and out.startswith(b" ") else out
 
 
-_PIECES: dict[bytes, Pieces] = {}
+_PIECES: dict[bytes, Pieces] = worker_cache({})
 
 
 def pieces(data: bytes) -> Pieces:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import re
 import uuid
@@ -36,6 +38,12 @@ def worker_cache(cache: dict) -> dict:
     return cache
 
 
+def _trim() -> None:
+    """Give freed memory back to the system where the C library can (glibc)."""
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def claim(owner: str) -> None:
     """Called as a task starts: another operator's caches are emptied, so that they do not add up in a worker."""
     if _OWNER[0] != owner:
@@ -43,6 +51,8 @@ def claim(owner: str) -> None:
         for cache in _WORKER_CACHES:
             cache.clear()
         gc.collect()
+        pa.default_memory_pool().release_unused()
+        _trim()
 
 
 class BoundedCache(dict):
@@ -95,18 +105,21 @@ def map_texts(df: DataFrame, make: Callable[[], TextFunction], fields: list[T.St
     Arrow arrays untouched. Nothing but ``keep`` and ``text`` is read.
     """
     # plain names on the way: kept names may hold dots or spaces
-    src = df.select(*[col(c).alias(f"k{i}") for i, c in enumerate(keep)],
-                    col(text).cast("string").cast("binary").alias("text"))
+    kept = [col(c).alias(f"k{i}") for i, c in enumerate(keep)]
+    n_keep = len(kept)
+    # a kept text column is read where it is, not sent twice
+    at = list(keep).index(text) if text in keep and isinstance(df.schema[text].dataType, T.StringType) else n_keep
+    src = df.select(*kept, *([] if at < n_keep else [col(text).cast("string").cast("binary").alias("text")]))
     made_fields = [T.StructField(f"f{i}", f.dataType) for i, f in enumerate(fields)]
-    schema = T.StructType([*src.schema.fields[:-1], *made_fields])
+    schema = T.StructType([*src.schema.fields[:n_keep], *made_fields])
     arrow_types = [to_arrow_type(f.dataType) for f in fields]
-    names, n_keep = [f.name for f in schema.fields], len(keep)
+    names = [f.name for f in schema.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim(make.__module__)
         fn = make()
-        for batch in slices(batches, n_keep):
-            made = fn(batch.column(n_keep).to_pylist())
+        for batch in slices(batches, at):
+            made = fn(batch.column(at).cast(pa.binary()).to_pylist())
             arrays = [batch.column(i) for i in range(n_keep)]
             arrays += [x if isinstance(x, pa.Array) else pa.array(x, type=t)
                        for x, t in zip(made, arrow_types, strict=True)]

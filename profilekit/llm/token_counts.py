@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from profilekit.llm.text import BoundedCache, map_texts
+from profilekit.llm.text import BoundedCache, map_texts, worker_cache
 
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
 _CONTRACTIONS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
@@ -188,7 +188,7 @@ class PrefixCounter:
         return np.concatenate(out) if out else np.empty(0, np.int8)
 
 
-_COUNTERS: dict[bytes, PrefixCounter] = {}
+_COUNTERS: dict[bytes, PrefixCounter] = worker_cache({})
 
 
 def counter(tokenizer_json: bytes) -> PrefixCounter:

@@ -31,7 +31,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from profilekit.llm.text import CACHE_ENTRIES, col, crc32, slices
+from profilekit.llm.text import CACHE_ENTRIES, claim, col, crc32, slices, worker_cache
 from profilekit.session import shared_path
 
 DEFAULT_TOKENIZER = "word_bpe_49k.json"
@@ -99,7 +99,7 @@ class WordEncoder:
         return [b"".join(map(get, ws)) for ws in words]
 
 
-_ENCODERS: dict[bytes, WordEncoder] = {}
+_ENCODERS: dict[bytes, WordEncoder] = worker_cache({})
 
 
 def encoder(tokenizer_json: bytes) -> WordEncoder:
@@ -122,6 +122,7 @@ def write_token_files(docs: DataFrame, folder: str | None = None, tokenizer: str
            .repartitionByRange("d").sortWithinPartitions("d", "t"))
 
     def write(batches):
+        claim(__name__)
         enc = encoder(spec.value)
         end = np.asarray([end_id], enc.dtype).tobytes()
         target, path = open_uri(files)
