@@ -13,8 +13,10 @@ members are compared with the smallest one, on full sets. Buckets that the
 links found leave in several components are searched for links across them
 too: small ones pair by pair, crowded ones by an exact prefix filter on their
 members' differences to the smallest one (``delta_marks``), so that loose
-members of a large group of copies are not compared with all of it. With 24 bands of 6 ranks, a pair at the threshold of 85
-per cent meets in no bucket with probability 1.2e-5.
+members of a large group of copies are not compared with all of it. Bands are
+as many as the threshold asks for (``banding``): 24 of 6 ranks at 85 per cent,
+29 of 5 at 80, so that a pair at the threshold meets in no bucket with
+probability of about 1.2e-5 at most.
 
 Cases: null, empty or wordless text has an empty set and is linked with
 nothing. A null id gets a null component and is kept. Rows of equal id and
@@ -24,6 +26,8 @@ smallest id. An empty table gives no rows.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -36,8 +40,9 @@ from profilekit.llm.text import chain, claim, col, map_texts, mix, window_codes,
 from profilekit.operators.joins import bounded_broadcast
 
 WIDTH = 5
-THRESHOLD = 85  # per cent
-BANDS, ROWS = 24, 6
+THRESHOLD = 85  # per cent, of the query
+MISS = 1.25e-5    # probability at most that a pair at the threshold meets in no bucket
+MOST_BANDS, MOST_ROWS = 32, 6
 SLOTS = 1 << 22   # of the table of shingle uses, half of them for either hash
 BIT_WORDS = 4     # 64-bit words of a difference's bit map
 CROWD = 32        # classes in a bucket up to which all its open pairs are compared
@@ -100,27 +105,38 @@ def _place(sets: list[np.ndarray], out: np.ndarray, slots: int) -> None:
             perm = perm[going]
 
 
-def band_keys(signatures: np.ndarray) -> np.ndarray:
+def banding(threshold: int) -> tuple[int, int]:
+    """(bands, ranks of each): the most ranks whose bands are few and miss a pair at the threshold with at most ``MISS``."""
+    for rows in range(MOST_ROWS, 0, -1):
+        bands = math.ceil(math.log(MISS) / math.log1p(-(min(threshold, 99) / 100) ** rows))
+        if bands <= MOST_BANDS:
+            break
+    return bands, rows
+
+
+def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """One 64-bit key per band; the band's number is part of it."""
-    cut = signatures.reshape(len(signatures), BANDS, ROWS)
-    keys = np.broadcast_to(np.arange(BANDS, dtype=np.uint64), cut.shape[:2])
-    for r in range(ROWS):
+    cut = signatures.reshape(len(signatures), bands, rows)
+    keys = np.broadcast_to(np.arange(bands, dtype=np.uint64), cut.shape[:2])
+    for r in range(rows):
         keys = chain(keys, cut[:, :, r])
     return keys
 
 
-def sketches(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def sketches(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
+             threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, n_shingles, set_digest (equal for equal sets) and band keys of every document."""
     fields = [T.StructField("n_shingles", T.LongType()), T.StructField("set_digest", T.BinaryType()),
               T.StructField("bands", T.ArrayType(T.LongType()))]
+    n_bands, n_rows = banding(threshold)
 
     def make():
         def run(texts):
             sets = [shingle_set(t) for t in texts]
             full = [i for i, s in enumerate(sets) if len(s)]
-            keys = band_keys(super_min_hash([sets[i] for i in full], BANDS * ROWS))
+            keys = band_keys(super_min_hash([sets[i] for i in full], n_bands * n_rows), n_bands, n_rows)
             ends = np.zeros(len(sets) + 1, np.int32)
-            ends[1:] = np.cumsum([BANDS if len(s) else 0 for s in sets])
+            ends[1:] = np.cumsum([n_bands if len(s) else 0 for s in sets])
             bands = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.reshape(-1).astype(np.int64)))
             digests = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
             return [[len(s) for s in sets], digests, bands]
@@ -129,7 +145,7 @@ def sketches(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") ->
     return map_texts(docs.withColumn("doc_id", col(doc_id).cast("long")), make, fields, text=text)
 
 
-def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Those of the pairs (a, b) whose full sets are similar enough; ``texts``: id, text of all ids in them."""
     met = (pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
            .join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
@@ -146,7 +162,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                     last, other = k, shingle_set(tb)
                 own = shingle_set(ta)
                 common = len(np.intersect1d(own, other, assume_unique=True))
-                keep.append(100 * common >= THRESHOLD * (len(own) + len(other) - common))
+                keep.append(100 * common >= threshold * (len(own) + len(other) - common))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return met.mapInArrow(compare, "a long, b long")
@@ -158,36 +174,38 @@ def _slots(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (shingles & half).astype(np.int64), (mix(shingles) & half).astype(np.int64) + SLOTS // 2
 
 
-def delta_marks(own: np.ndarray, pivot: np.ndarray, uses: np.ndarray) -> tuple[np.ndarray, int, np.ndarray, int]:
+def delta_marks(own: np.ndarray, pivot: np.ndarray, uses: np.ndarray,
+                threshold: int = THRESHOLD) -> tuple[np.ndarray, int, np.ndarray, int]:
     """Marks of a set relative to a pivot set: two sets near each other share one, unless both are near the pivot.
 
     With the marks come f (below), a bit map of the difference's shingles and
     how many of them fell on a bit already set: of two sets with c common
     shingles in their differences, at least c less that number of bits are common.
 
-    With d the size of a set's difference to the pivot and n its own, let
-    f = 185 d - 15 n. Two sets are near iff their difference is at most
-    15 / 185 of the sum of their sizes; so if f + f' <= 0 they are, and each of
-    them is near the pivot, which has the smallest f there can be. Else their
-    differences to the pivot must have (f + f') / 370 shingles in common:
+    With d the size of a set's difference to the pivot, n its own and t the
+    threshold, let f = (100 + t) d - (100 - t) n. Two sets are near iff their
+    difference is at most (100 - t) / (100 + t) of the sum of their sizes; so
+    if f + f' <= 0 they are, and each of them is near the pivot, which has the
+    smallest f there can be. Else their differences to the pivot must have
+    (f + f') / (2 (100 + t)) shingles in common:
     a prefix filter over these differences, rare shingles first, finds all
     such pairs. ``uses`` counts, at least, the sets that hold a shingle's slot:
     an added shingle that no other set holds cannot be common. Partners are
     told apart by bins of f, as the prefix's length depends on it.
     """
     delta = np.setxor1d(own, pivot, assume_unique=True)
-    f = (100 + THRESHOLD) * len(delta) - (100 - THRESHOLD) * len(own)
+    f = (100 + threshold) * len(delta) - (100 - threshold) * len(own)
     count = np.minimum(*(uses[slot] for slot in _slots(delta)))
     order = np.lexsort((delta, count))
     tokens = delta[order]
     shared = (count[order] > 1) | np.isin(tokens, pivot, assume_unique=True)
-    borders = [int(x * (100 - THRESHOLD) * len(pivot)) for x in _BINS]
+    borders = [int(x * (100 - threshold) * len(pivot)) for x in _BINS]
     mine = sum(f >= x for x in borders[1:])
     out = []
     for other, low in enumerate(borders):
         if other + 1 < len(borders) and f + borders[other + 1] <= 0:
             continue
-        need = max(1, -(-(f + low) // (2 * (100 + THRESHOLD))))
+        need = max(1, -(-(f + low) // (2 * (100 + threshold))))
         if int(shared.sum()) < need:
             continue
         take = tokens[:len(tokens) - need + 1]
@@ -200,7 +218,7 @@ def delta_marks(own: np.ndarray, pivot: np.ndarray, uses: np.ndarray) -> tuple[n
             np.packbits(bits).view(np.int64), len(delta) - int(bits.sum()))
 
 
-def pivot_marks(spokes: DataFrame, texts: DataFrame) -> DataFrame:
+def pivot_marks(spokes: DataFrame, texts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """(id, pivot, near, marks, f, bits, twice) for the rows (id, pivot); a mark belongs to one pivot."""
     held = texts.join(spokes.select("id").distinct(), "id", "left_semi")
 
@@ -234,8 +252,8 @@ def pivot_marks(spokes: DataFrame, texts: DataFrame) -> DataFrame:
                     last, pivot = p, shingle_set(tp)
                 own = shingle_set(t)
                 common = len(np.intersect1d(own, pivot, assume_unique=True))
-                near.append(100 * common >= THRESHOLD * (len(own) + len(pivot) - common))
-                marks, *rest = delta_marks(own, pivot, shared.value)
+                near.append(100 * common >= threshold * (len(own) + len(pivot) - common))
+                marks, *rest = delta_marks(own, pivot, shared.value, threshold)
                 sums.append(rest)
                 out.append(chain(marks, np.full(len(marks), p, np.int64).view(np.uint64)).view(np.int64))
             f, bits, twice = zip(*sums, strict=True) if sums else ([], [], [])
@@ -247,16 +265,17 @@ def pivot_marks(spokes: DataFrame, texts: DataFrame) -> DataFrame:
     return met.mapInArrow(mark, "id long, pivot long, near boolean, marks array<long>, f long, bits array<long>, twice long")
 
 
-def _can_share(a: str, b: str):
+def _can_share(a: str, b: str, threshold: int):
     """Whether the bit maps of two differences leave room for the shingles they must have in common."""
     common = sum((F.bit_count(F.col(f"{a}bits")[i].bitwiseAND(F.col(f"{b}bits")[i])) for i in range(BIT_WORDS)), F.lit(0))
-    needed = F.ceil((F.col(f"{a}f") + F.col(f"{b}f")) / (2 * (100 + THRESHOLD)))
+    needed = F.ceil((F.col(f"{a}f") + F.col(f"{b}f")) / (2 * (100 + threshold)))
     return F.coalesce(common >= needed - F.least(f"{a}twice", f"{b}twice"), F.lit(True))
 
 
-def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of every document."""
-    sketch, _ = written(sketches(docs, doc_id=doc_id, text=text), "sketches")
+def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
+                    threshold: int = THRESHOLD) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every document; ``threshold``: similarity of a link in per cent."""
+    sketch, _ = written(sketches(docs, doc_id=doc_id, text=text, threshold=threshold), "sketches")
     classes, _ = written(
         sketch.filter("n_shingles > 0 and doc_id is not null").groupBy("set_digest")
         .agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes")
@@ -265,7 +284,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     centres = (members.groupBy("key").agg(F.min_by(F.struct("id", "n"), F.col("id")).alias("c"),
                                           F.count(F.lit(1)).alias("size")).filter("size > 1")
                .select("key", F.col("c.id").alias("b"), F.col("c.n").alias("nb")))
-    near_size = F.lit(100) * F.least("n", "nb") >= F.lit(THRESHOLD) * F.greatest("n", "nb")
+    near_size = F.lit(100) * F.least("n", "nb") >= F.lit(threshold) * F.greatest("n", "nb")
     first, _ = written(members.join(centres, "key").filter((F.col("id") != F.col("b")) & near_size)
                        .select(F.col("id").alias("a"), "b").distinct(), "pairs")
     # texts of the documents in buckets of several classes, once
@@ -274,7 +293,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     source = docs.select(col(doc_id).cast("long").alias("id"), col(text).cast("string").alias("text"))
     # a row per id: repeated rows must not multiply in the joins
     texts, _ = written(source.join(ids, "id", "left_semi").dropDuplicates(["id"]), "texts")
-    links, _ = written(verified(first, texts), "links")
+    links, _ = written(verified(first, texts, threshold), "links")
     group = components(links)
     # buckets still in several components: pairs across them that are not yet compared
     placed = members.join(group, "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("g"))
@@ -290,7 +309,7 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     if many["n"]:
         # crowded buckets with common members get one pivot: one difference per document
         hubs = components(spokes.select(F.col("id").alias("a"), F.col("pivot").alias("b")))
-        deltas, _ = written(pivot_marks(hubs.withColumnRenamed("component", "pivot"), texts), "deltas")
+        deltas, _ = written(pivot_marks(hubs.withColumnRenamed("component", "pivot"), texts, threshold), "deltas")
         more_links = deltas.filter("near and id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b"))
         marks = (deltas.select("id", "f", "bits", "twice", F.explode(F.array_distinct("marks")).alias("key"))
                  .join(loose.select("id", "n", "g").distinct(), "id"))
@@ -301,11 +320,11 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     right = left.select("key", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("g").alias("gb"),
                         *[F.col(c).alias(f"b{c}") for c in ("f", "bits", "twice")])
     rest = (left.join(right, "key")
-            .filter((F.col("id") > F.col("b")) & (F.col("g") != F.col("gb")) & near_size & _can_share("", "b"))
+            .filter((F.col("id") > F.col("b")) & (F.col("g") != F.col("gb")) & near_size & _can_share("", "b", threshold))
             .select(F.col("id").alias("a"), "b").distinct().join(first, ["a", "b"], "left_anti"))
     rest, seen = written(rest, "pairs", F.count(F.lit(1)).alias("n"))
     if seen["n"]:
-        found, _ = written(verified(rest, texts), "links")
+        found, _ = written(verified(rest, texts, threshold), "links")
         more_links = found if more_links is None else more_links.unionByName(found)
     if more_links is not None:
         group = components(links.unionByName(more_links))

@@ -16,6 +16,8 @@ from profilekit.llm.components import written
 from profilekit.llm.text import col, fresh
 from profilekit.operators.joins import bounded_broadcast
 
+SIMILAR = 80  # per cent of five-word shingles that near-duplicates of the corpus share
+
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """Documents whose id is not among ``ids`` (column doc_id)."""
@@ -42,8 +44,8 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of smallest id of every near-duplicate group, and one row of each id."""
-    found, _ = written(near_duplicates.near_duplicates(docs), "near-duplicates")
+    """Keeps the document of smallest id of every near-duplicate group (similarity of 0.8 or more), and one row of each id."""
+    found, _ = written(near_duplicates.near_duplicates(docs, threshold=SIMILAR), "near-duplicates")
     kept = _without(docs, found.filter(~F.col("kept")))
     repeated, seen = written(found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1"),
                              "repeated-ids", F.count(F.lit(1)).alias("n"))
