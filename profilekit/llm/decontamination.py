@@ -1,15 +1,21 @@
 """Operator 10: benchmark decontamination by template canonicalisation.
 
 Words become typed placeholders where they are what a re-parameterised copy
-would change: numbers (digits or number words), names (capitalised inside a
-sentence; neighbouring ones are one) and units behind a number. What is left,
+would change: numbers (digits or number words), names (capitalised;
+neighbouring ones of a sentence are one) and units behind a number. A
+capitalised word that opens a sentence is a name unless it is a common opener
+or the benchmark has it in lower case at least as often as capitalised inside
+a sentence (a word it does not have cannot match as a literal). What is left,
 lower-cased and without edge punctuation, are literals. Five-token windows of
 these templates are hashed; windows with fewer than ``LITERALS`` literals say
 too little and are not used. Documents' windows that a fixed-size bit table of
 the benchmark's windows lets through are joined with them by hash; items with
-at least 80 per cent of their windows in a document are candidates. Each
-candidate is then aligned with the item's template: the windows must match as
-templates (not only as hashes), and the placeholders' values must change
+at least 80 per cent of their windows in a document are candidates, and those
+that lose no more windows than one changed token in ten (at least one) can
+break. Each candidate is then aligned with the item's template: the windows
+must match as templates (not only as hashes), tokens between them are held
+against the places that follow on, 80 per cent of the windows, or of the tokens
+near one place, must be met, and the placeholders' values must change
 consistently: one value in the item always stands for one value in the document.
 
 Cases: null, empty or short texts: an item with fewer than five tokens is one
@@ -36,6 +42,7 @@ from profilekit.llm.text import blocks, claim, col, crc32, map_texts, mix, span_
 from profilekit.operators.joins import bounded_broadcast
 
 WIDTH, SHARE, LITERALS, CONSISTENT = 5, 0.8, 3, 0.8
+TOKENS_A_CHANGE = 10  # tokens of an item for each changed literal its candidates may have
 TABLE_BITS = 1 << 22  # of the bit table: half a megabyte, whatever the benchmark's size
 
 # Word lists (fixed values).
@@ -48,6 +55,11 @@ UNITS = frozenset(
     "liters litre litres gallon gallons cup cups ms s sec second seconds min minute minutes h hr hour hours day days "
     "week weeks month months year years dollar dollars euro euros cent cents percent degree degrees watt watts volt "
     "volts kmh mph".split())
+OPENERS = frozenset(
+    "a after all also an and another any are as at because before both but by can could did do does during each every find "
+    "first for from given has have he her his how however i if in is it its let many most my no not of on one or our she "
+    "should since so some that the their then there these they this those though to under until was we were what when where "
+    "which while who whose why will with would you your".split())
 
 _EDGES = re.compile(r"^\W+|\W+$")
 NUM, NAME, UNIT = (np.uint64(crc32(x)) for x in (b"<number>", b"<name>", b"<unit>"))
@@ -69,7 +81,7 @@ def _codes_of(words) -> np.ndarray:
     return np.sort(word_codes(text))
 
 
-_NUMBERS, _UNITS = _codes_of(NUMBER_WORDS), _codes_of(UNITS)
+_NUMBERS, _UNITS, _OPENERS = _codes_of(NUMBER_WORDS), _codes_of(UNITS), _codes_of(OPENERS)
 _ORDINAL = re.compile(rb"\d+(?:st|nd|rd|th)", re.I).fullmatch
 
 
@@ -93,9 +105,12 @@ _PLACES = np.asarray([(k + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1) for k in range(
 
 
 class Template:
-    """Tokens of a text: code (placeholder or literal), whether literal, and the words each covers."""
+    """Tokens of a text: code (placeholder or literal), whether literal, and the words each covers.
 
-    def __init__(self, text: bytes | None):
+    ``plain``: sorted codes of the words that are no names where they open a sentence.
+    """
+
+    def __init__(self, text: bytes | None, plain: np.ndarray = _OPENERS):
         self.text = text = text or b""
         parts = [_tokens(b) for b in blocks(text)]
         if not parts:
@@ -109,11 +124,13 @@ class Template:
         before[1:] = number[:-1]
         unit = before & ~number
         unit[unit] = _among(codes[unit], _UNITS)
-        name = np.zeros(len(codes), bool)
-        name[1:] = capital[1:] & ~ends[:-1]
-        name &= ~(number | unit)
+        opens = np.ones(len(codes), bool)
+        opens[1:] = ends[:-1]
+        name = capital & ~(number | unit)
+        at = np.flatnonzero(name & opens)
+        name[at] = ~_among(codes[at], plain)
         first = np.ones(len(codes), bool)
-        first[1:] = ~(name[1:] & name[:-1])
+        first[1:] = ~(name[1:] & name[:-1] & ~opens[1:])
         literal = ~(number | unit | name)
         codes = np.where(number, NUM, np.where(unit, UNIT, np.where(name, NAME, codes)))
         self.codes, self.literal, self.starts = codes[first], literal[first], place[first]
@@ -172,18 +189,49 @@ def item_width(template: Template) -> int:
     return min(WIDTH, len(template.codes))
 
 
-def item_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text") -> DataFrame:
-    """(item_id, width, windows): distinct usable window hashes of every item."""
+def plain_words(benchmark: DataFrame, text: str = "text") -> np.ndarray:
+    """Sorted codes of words that are no names where they open a sentence: fixed ones, and by their use in the benchmark."""
+    def count(batches):
+        claim(__name__)
+        for b in batches:
+            low, high = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
+            for t in b.column(0).to_pylist():
+                for block in blocks(t or b""):
+                    _, _, codes, _, capital, ends = _tokens(block)
+                    inside = np.zeros(len(codes), bool)
+                    inside[1:] = ~ends[:-1]
+                    low.append(codes[~capital])
+                    high.append(codes[capital & inside])
+            parts = [np.unique(np.concatenate(x), return_counts=True) for x in (low, high)]
+            words = np.concatenate([w for w, _ in parts]).view(np.int64)
+            n = [c for _, c in parts]
+            zeros = [np.zeros(len(c), np.int64) for c in n]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words), pa.array(np.concatenate([n[0], zeros[1]])), pa.array(np.concatenate([zeros[0], n[1]]))],
+                names=["word", "low", "high"])
+
+    # at most the benchmark's words, eight bytes each
+    found = (benchmark.select(col(text).cast("string").cast("binary").alias("t"))
+             .mapInArrow(count, "word long, low long, high long").groupBy("word")
+             .agg(F.sum("low").alias("low"), F.sum("high").alias("high"))
+             .filter("low > 0 and low >= high").select("word").toArrow())
+    return np.union1d(_OPENERS, found.column("word").to_numpy().view(np.uint64))
+
+
+def item_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text",
+                 plain: np.ndarray = _OPENERS) -> DataFrame:
+    """(item_id, width, n_tokens, windows): distinct usable window hashes of every item."""
     def make():
         def run(texts):
-            templates = [Template(t) for t in texts]
+            templates = [Template(t, plain) for t in texts]
             widths = [item_width(t) for t in templates]
-            return [widths, [np.unique(t.windows(w)[0]).astype(np.int64)
+            return [widths, [len(t.codes) for t in templates], [np.unique(t.windows(w)[0]).astype(np.int64)
                              for t, w in zip(templates, widths, strict=True)]]
         return run
 
     src = benchmark.select(col(item_id).alias("item_id"), col(text).alias("text")).filter("item_id is not null")
-    fields = [T.StructField("width", T.IntegerType()), T.StructField("windows", T.ArrayType(T.LongType()))]
+    fields = [T.StructField("width", T.IntegerType()), T.StructField("n_tokens", T.IntegerType()),
+              T.StructField("windows", T.ArrayType(T.LongType()))]
     return map_texts(src, make, fields, keep=("item_id",))
 
 
@@ -195,15 +243,20 @@ def find(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text:
          item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per contaminated document and item: doc_id, item_id, overlap, exact, n_slots, consistency."""
     spark = docs.sparkSession
-    items, _ = written(item_windows(benchmark, item_id, item_text), "benchmark-windows")
-    rows = items.select("item_id", "width", F.size("windows").alias("n_windows"), F.explode("windows").alias("window"))
+    plain = plain_words(benchmark, item_text)
+    items, _ = written(item_windows(benchmark, item_id, item_text, plain), "benchmark-windows")
+    n = F.size("windows")
+    # windows a candidate must have: a share of them, or all that some changed tokens leave
+    changed = F.greatest(F.lit(1), F.floor(F.col("n_tokens") / TOKENS_A_CHANGE))
+    need = F.greatest(F.lit(1), F.least(F.ceil(F.lit(SHARE) * n), n - WIDTH * changed))
+    rows = items.select("item_id", need.alias("need"), F.explode("windows").alias("window"))
     # set bits of the table: at most TABLE_BITS small numbers
     set_bits = rows.select(F.col("window").bitwiseAND(F.lit(TABLE_BITS - 1)).cast("int").alias("bit")).distinct().toArrow()
     table = np.zeros(TABLE_BITS // 8, np.uint8)
     bits = set_bits.column("bit").to_numpy()
     np.bitwise_or.at(table, bits >> 3, (1 << (bits & 7)).astype(np.uint8))
     widths = sorted(r["width"] for r in items.select("width").distinct().collect() if r["width"])  # 1 to WIDTH
-    shared = spark.sparkContext.broadcast(table)
+    shared, openers = spark.sparkContext.broadcast(table), spark.sparkContext.broadcast(plain)
 
     def make():
         flat = shared.value
@@ -211,7 +264,7 @@ def find(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text:
         def run(texts):
             out = []
             for t in texts:
-                template, found = Template(t), []
+                template, found = Template(t, openers.value), []
                 for w in widths:
                     if w < WIDTH and len(template.codes) != w:
                         continue
@@ -226,8 +279,8 @@ def find(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text:
     hits = (map_texts(source, make, [T.StructField("windows", T.ArrayType(T.LongType()))])
             .filter(F.size("windows") > 0).select("doc_id", F.explode("windows").alias("window")))
     pairs = (hits.distinct().join(rows, "window").groupBy("doc_id", "item_id")
-             .agg(F.count(F.lit(1)).alias("n"), F.first("n_windows").alias("n_windows"))
-             .filter(F.col("n") >= F.lit(SHARE) * F.col("n_windows")).select("doc_id", "item_id"))
+             .agg(F.count(F.lit(1)).alias("n"), F.first("need").alias("need"))
+             .filter("n >= need").select("doc_id", "item_id"))
     pairs, _ = written(pairs, "leak-candidates")
     ids, _ = bounded_broadcast(pairs.select("doc_id").distinct())
     texts = source.join(ids, "doc_id", "left_semi")
@@ -245,8 +298,8 @@ def find(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text:
             made = []
             for t, i in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 if template is None or t != last:
-                    last, template = t, Template(t)
-                made.append(align(Template(i), template))
+                    last, template = t, Template(t, openers.value)
+                made.append(align(Template(i, openers.value), template))
             cols = list(zip(*made, strict=True)) if made else [[]] * len(_RESULT)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), *[pa.array(c, type=k) for c, k in zip(cols, _ARROW, strict=True)]],
@@ -262,7 +315,10 @@ _ARROW = [pa.float64(), pa.bool_(), pa.int64(), pa.float64()]
 
 
 def align(item: Template, doc: Template) -> tuple[float, bool, int, float]:
-    """(share of the item's windows in the document, same values throughout, slots met, consistent share).
+    """(share of the item in the document, same values throughout, slots met, consistent share).
+
+    The share is that of its windows or, if more, of its tokens met near one
+    place: within the item's length of the commonest shift.
 
     The consistent share is over the slots whose value the item repeats: of
     each value's slots, those with its most frequent counterpart.
@@ -289,11 +345,37 @@ def align(item: Template, doc: Template) -> tuple[float, bool, int, float]:
         shift = spot - int(i)
         for k in range(width):
             met.setdefault(int(i) + k, spot + k)
+    nearby = _filled(item, doc, met)
+    share = max(matched / len(wanted), nearby / len(item.codes)) if len(wanted) else 0.0
     slots = [(item.value(i), doc.value(d)) for i, d in met.items() if not item.literal[i]]
     uses: dict[bytes, Counter] = {}
     for own, other in slots:
         uses.setdefault(own, Counter())[other] += 1
     repeated = [c for c in uses.values() if c.total() > 1]
     agreed, checked = sum(c.most_common(1)[0][1] for c in repeated), sum(c.total() for c in repeated)
-    return (matched / len(wanted) if len(wanted) else 0.0, all(a == b for a, b in slots), len(slots),
+    return (share, all(a == b for a, b in slots), len(slots),
             agreed / checked if checked else 1.0)
+
+
+def _filled(item: Template, doc: Template, met: dict[int, int]) -> int:
+    """Adds to ``met`` equal tokens beside and between the met ones; how many are met near the commonest shift."""
+    if not met:
+        return 0
+    n = len(item.codes)
+    shifts, after = [None] * n, None
+    for i in range(n):  # shift of the next met token before, then of the one behind
+        after = met[i] - i if i in met else after
+        shifts[i] = [after]
+    after = None
+    for i in range(n - 1, -1, -1):
+        after = met[i] - i if i in met else after
+        shifts[i].append(after)
+    common = Counter(d - i for i, d in met.items()).most_common(1)[0][0]
+    for i in range(n):
+        if i not in met:
+            for shift in shifts[i]:
+                d = -1 if shift is None else i + shift
+                if 0 <= d < len(doc.codes) and doc.codes[d] == item.codes[i]:
+                    met[i] = d
+                    break
+    return sum(abs(d - i - common) <= n for i, d in met.items())

@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from profilekit.llm import near_duplicates, stages
+from profilekit.llm import decontamination, near_duplicates, stages
 from tests.llm.test_similar import groups, shingles
 
 SF = "/root/testdata/sf0.01"
@@ -41,3 +41,20 @@ def test_bands_miss_hardly_any_pair_at_the_threshold():
     for percent in (50, 80, 85, 99, 100):
         bands, ranks = near_duplicates.banding(percent)
         assert bands >= 1 and (1 - (percent / 100) ** ranks) ** bands <= near_duplicates.MISS
+
+
+def leaks(spark, docs, items):
+    found = decontamination.find(spark.createDataFrame(docs, "doc_id long, text string"),
+                                 spark.createDataFrame(items, "item_id long, text string"))
+    return {(r.doc_id, r.item_id) for r in found.collect()}
+
+
+def test_copies_with_other_names_at_sentence_starts_or_one_other_word(spark):
+    item = "Tom has 5 apples. Mary has 7 apples. How many apples do they have together?"
+    other = "Our river runs past eleven old mills before it meets the cold sea near the port."
+    docs = [(1, "Well then. Bob has 8 apples. Sue has 9 apples. How many apples do they have together? Yes."),
+            (2, "Here. " + item.replace("many", "numerous")),
+            (3, "Bob has 8 apples. " * 20), (4, "How many apples do they have together? I do not know at all."),
+            (5, other.replace("meets", "joins")), (6, other.replace("cold", "warm").replace("mills", "towns").replace("past", "by")),
+            (7, "Tom Bell has 5 apples. Mary has 7 apples. How many apples do they have together?")]
+    assert leaks(spark, docs, [(1, item), (2, other)]) == {(1, 1), (2, 1), (5, 2), (7, 1)}
