@@ -17,11 +17,14 @@ must match as templates (not only as hashes), tokens between them are held
 against the places that follow on, 80 per cent of the windows, or of the tokens
 near one place, must be met, and the placeholders' values must change
 consistently: one value in the item always stands for one value in the document.
+Beside the templates, windows of the case-folded words themselves (five, or all
+an item has) find the documents that hold an item word for word at any place,
+also items with too few literals or tokens for a template.
 
 Cases: null, empty or short texts: an item with fewer than five tokens is one
-window of all its tokens (at least three or all of them literals) and is found
-only in documents of just as many tokens. Texts without usable windows match
-nothing. Repeated rows give repeated results; rows of null id are not
+template window of all its tokens (at least three or all of them literals),
+looked for in documents of just as many tokens; word for word it is found
+anywhere. An item of placeholders alone matches nothing. Repeated rows give repeated results; rows of null id are not
 reported (a filter keeps them). Empty tables give no rows. All windows of
 whole texts are used; a window in every document is one row per document.
 """
@@ -103,6 +106,8 @@ def _core_bytes(data: np.ndarray) -> np.ndarray:
 
 _PLACES = np.asarray([(k + 1) * 0x9E3779B97F4A7C15 & (2**64 - 1) for k in range(WIDTH)], np.uint64)
 
+_FOLDED = 0x2545F4914F6CDD1D  # sets hashes of words apart from those of templates
+
 
 class Template:
     """Tokens of a text: code (placeholder or literal), whether literal, and the words each covers.
@@ -132,6 +137,7 @@ class Template:
         first = np.ones(len(codes), bool)
         first[1:] = ~(name[1:] & name[:-1] & ~opens[1:])
         literal = ~(number | unit | name)
+        self.folded = codes
         codes = np.where(number, NUM, np.where(unit, UNIT, np.where(name, NAME, codes)))
         self.codes, self.literal, self.starts = codes[first], literal[first], place[first]
 
@@ -155,6 +161,28 @@ class Template:
         at = np.flatnonzero(literals[width:] - literals[:n] >= min(LITERALS, width))
         return h[at] + np.uint64(width), at
 
+    def folded_windows(self, width: int) -> np.ndarray:
+        """Hashes of all windows of ``width`` case-folded words."""
+        n = len(self.folded) - width + 1
+        if n <= 0 or width < 1:
+            return np.empty(0, np.uint64)
+        h = np.full(n, _FOLDED + width, np.uint64)
+        for k in range(width):
+            h += mix(self.folded[k:k + n] + _PLACES[k])
+        return h
+
+    def holds(self, item: Template) -> bool:
+        """Whether the item's case-folded words follow on each other here; they must not be placeholders alone."""
+        n = len(item.folded)
+        if not item.literal.any() or n > len(self.folded):
+            return False
+        spots = np.arange(len(self.folded) - n + 1)
+        for k in range(n):
+            if not len(spots):
+                return False
+            spots = spots[self.folded[spots + k] == item.folded[k]]
+        return len(spots) > 0
+
 
 def _tokens(block: bytes):
     """(words, place of each token, code, all digits, capital, ends a sentence) of one block; bare signs are no tokens."""
@@ -220,18 +248,21 @@ def plain_words(benchmark: DataFrame, text: str = "text") -> np.ndarray:
 
 def item_windows(benchmark: DataFrame, item_id: str = "item_id", text: str = "text",
                  plain: np.ndarray = _OPENERS) -> DataFrame:
-    """(item_id, width, n_tokens, windows): distinct usable window hashes of every item."""
+    """(item_id, width, n_tokens, windows, folded_width, folded): distinct window hashes of every item, of both kinds."""
     def make():
         def run(texts):
             templates = [Template(t, plain) for t in texts]
             widths = [item_width(t) for t in templates]
+            spans = [min(WIDTH, len(t.folded)) if t.literal.any() else 0 for t in templates]
             return [widths, [len(t.codes) for t in templates], [np.unique(t.windows(w)[0]).astype(np.int64)
-                             for t, w in zip(templates, widths, strict=True)]]
+                                                                for t, w in zip(templates, widths, strict=True)],
+                    spans, [np.unique(t.folded_windows(w)).astype(np.int64) for t, w in zip(templates, spans, strict=True)]]
         return run
 
     src = benchmark.select(col(item_id).alias("item_id"), col(text).alias("text")).filter("item_id is not null")
     fields = [T.StructField("width", T.IntegerType()), T.StructField("n_tokens", T.IntegerType()),
-              T.StructField("windows", T.ArrayType(T.LongType()))]
+              T.StructField("windows", T.ArrayType(T.LongType())), T.StructField("folded_width", T.IntegerType()),
+              T.StructField("folded", T.ArrayType(T.LongType()))]
     return map_texts(src, make, fields, keep=("item_id",))
 
 
@@ -249,13 +280,16 @@ def find(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text:
     # windows a candidate must have: a share of them, or all that some changed tokens leave
     changed = F.greatest(F.lit(1), F.floor(F.col("n_tokens") / TOKENS_A_CHANGE))
     need = F.greatest(F.lit(1), F.least(F.ceil(F.lit(SHARE) * n), n - WIDTH * changed))
-    rows = items.select("item_id", need.alias("need"), F.explode("windows").alias("window"))
+    rows = (items.select("item_id", need.alias("need"), F.lit(False).alias("words"), F.explode("windows").alias("window"))
+            .unionByName(items.select("item_id", F.size("folded").cast("long").alias("need"), F.lit(True).alias("words"),
+                                      F.explode("folded").alias("window"))))
     # set bits of the table: at most TABLE_BITS small numbers
     set_bits = rows.select(F.col("window").bitwiseAND(F.lit(TABLE_BITS - 1)).cast("int").alias("bit")).distinct().toArrow()
     table = np.zeros(TABLE_BITS // 8, np.uint8)
     bits = set_bits.column("bit").to_numpy()
     np.bitwise_or.at(table, bits >> 3, (1 << (bits & 7)).astype(np.uint8))
-    widths = sorted(r["width"] for r in items.select("width").distinct().collect() if r["width"])  # 1 to WIDTH
+    widths, spans = (sorted(r[0] for r in items.select(c).distinct().collect() if r[0])  # 1 to WIDTH
+                     for c in ("width", "folded_width"))
     shared, openers = spark.sparkContext.broadcast(table), spark.sparkContext.broadcast(plain)
 
     def make():
@@ -265,10 +299,8 @@ def find(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text:
             out = []
             for t in texts:
                 template, found = Template(t, openers.value), []
-                for w in widths:
-                    if w < WIDTH and len(template.codes) != w:
-                        continue
-                    h = template.windows(w)[0]
+                kinds = [template.windows(w)[0] for w in widths if w == WIDTH or len(template.codes) == w]
+                for h in [*kinds, *map(template.folded_windows, spans)]:
                     bit = _bit(h)
                     found.append(h[(flat[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1])
                 out.append(np.unique(np.concatenate(found)).astype(np.int64) if found else np.empty(0, np.int64))
@@ -278,9 +310,9 @@ def find(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text:
     source = docs.select(col(doc_id).alias("doc_id"), col(text).cast("string").alias("text")).filter("doc_id is not null")
     hits = (map_texts(source, make, [T.StructField("windows", T.ArrayType(T.LongType()))])
             .filter(F.size("windows") > 0).select("doc_id", F.explode("windows").alias("window")))
-    pairs = (hits.distinct().join(rows, "window").groupBy("doc_id", "item_id")
+    pairs = (hits.distinct().join(rows, "window").groupBy("doc_id", "item_id", "words")
              .agg(F.count(F.lit(1)).alias("n"), F.first("need").alias("need"))
-             .filter("n >= need").select("doc_id", "item_id"))
+             .filter("n >= need").select("doc_id", "item_id").distinct())
     pairs, _ = written(pairs, "leak-candidates")
     ids, _ = bounded_broadcast(pairs.select("doc_id").distinct())
     texts = source.join(ids, "doc_id", "left_semi")
@@ -318,7 +350,8 @@ def align(item: Template, doc: Template) -> tuple[float, bool, int, float]:
     """(share of the item in the document, same values throughout, slots met, consistent share).
 
     The share is that of its windows or, if more, of its tokens met near one
-    place: within the item's length of the commonest shift.
+    place: within the item's length of the commonest shift. An item the
+    document holds word for word is met as a whole.
 
     The consistent share is over the slots whose value the item repeats: of
     each value's slots, those with its most frequent counterpart.
@@ -353,8 +386,10 @@ def align(item: Template, doc: Template) -> tuple[float, bool, int, float]:
         uses.setdefault(own, Counter())[other] += 1
     repeated = [c for c in uses.values() if c.total() > 1]
     agreed, checked = sum(c.most_common(1)[0][1] for c in repeated), sum(c.total() for c in repeated)
-    return (share, all(a == b for a, b in slots), len(slots),
-            agreed / checked if checked else 1.0)
+    consistency = agreed / checked if checked else 1.0
+    if (share < SHARE or consistency < CONSISTENT) and doc.holds(item):
+        return 1.0, True, int((~item.literal).sum()), 1.0
+    return share, all(a == b for a, b in slots), len(slots), consistency
 
 
 def _filled(item: Template, doc: Template, met: dict[int, int]) -> int:

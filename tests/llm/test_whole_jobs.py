@@ -58,3 +58,12 @@ def test_copies_with_other_names_at_sentence_starts_or_one_other_word(spark):
             (5, other.replace("meets", "joins")), (6, other.replace("cold", "warm").replace("mills", "towns").replace("past", "by")),
             (7, "Tom Bell has 5 apples. Mary has 7 apples. How many apples do they have together?")]
     assert leaks(spark, docs, [(1, item), (2, other)]) == {(1, 1), (2, 1), (5, 2), (7, 1)}
+
+
+def test_short_and_slot_dense_items_are_found_word_for_word_anywhere(spark):
+    items = [(1, "What is 12 + 7?"), (2, "Ann 5 Bob 7 Carl 9 won 3 Dan 4"), (3, "ok then"), (4, "5 6 7 8 9 10"),
+             (5, "Tom has 5 apples. Mary has 7 apples. How many apples do they have together?")]
+    docs = [(1, "Here it goes on and on: what is 12 + 7? Nobody knows."), (2, "x " * 3000 + items[1][1] + " y"),
+            (3, "what is 13 + 7?  And 12 + 7 is what is"), (4, "Ok. Then."), (5, "ok or then"), (6, items[4][1].lower()),
+            (7, "5 6 7 8 9 10"), (8, "12 + 7 = 19, what is")]
+    assert leaks(spark, docs, items) == {(1, 1), (2, 2), (4, 3), (6, 5)}
