@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from profilekit.llm import (
     decontamination,
     html_text,
+    importance,
     language_id,
+    licenses,
     lm_scoring,
     near_duplicates,
     sentencepieces,
@@ -83,9 +85,22 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and drawing rank of every document against the benchmark's texts."""
+    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License labels of every document by ordered signature rules."""
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_lm_scoring, op2_html_text, op3_near_duplicates, op4_language_id, op5_token_counts, op6_token_files, op7_sentencepiece,
-    op8_vector_duplicates, op9_toxicity, op10_decontamination)}
+    op8_vector_duplicates, op9_toxicity, op10_decontamination, op11_importance_resampling, op12_license_scan)}
 
 # DuckDB SQL where SQL can express an operator
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op11_importance_resampling": importance.resample_sql(),
+    "op12_license_scan": licenses.scan_sql(),
+}
