@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from profilekit.llm.components import written
-from profilekit.llm.text import claim, col, map_texts, slices
+from profilekit.llm.text import claim, col, crc32_sql, map_texts, slices
 from profilekit.operators.ranking import global_index
 
 BUCKETS = 10_000
@@ -200,12 +200,7 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = PERCENT, least_w
 
 
 def resample_sql() -> str:
-    """DuckDB SQL of the resampling, with crc32 spelt out nibble by nibble."""
-    table = []
-    for x in range(16):
-        for _ in range(4):
-            x = (x >> 1) ^ (0xEDB88320 if x & 1 else 0)
-        table.append(x)
+    """DuckDB SQL of the resampling."""
     words = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
              "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', 0)")
     runs = " UNION ALL ".join(
@@ -216,11 +211,7 @@ WITH worded AS (
     SELECT 'd' AS src, row_number() OVER () AS r, doc_id, {words} AS words FROM documents
     UNION ALL SELECT 'b', row_number() OVER (), NULL, {words} FROM benchmark),
 runs AS ({runs}),
--- the low nibble of a byte goes first
-nibbles AS (SELECT f, list_transform(range(0, 2 * octet_length(encode(f))), lambda k:
-    strpos('0123456789ABCDEF', substr(hex(encode(f)), 2 * (k // 2) + 2 - k % 2, 1)) - 1) AS nib FROM (SELECT DISTINCT f FROM runs)),
-buckets AS (SELECT f, xor(list_reduce(nib, lambda c, x: xor(c >> 4, list_extract({table}, (1 + (xor(c, x) & 15))::BIGINT)::BIGINT), 4294967295::BIGINT),
-    4294967295) % {BUCKETS} AS b FROM nibbles),
+buckets AS (SELECT f, {crc32_sql('f')} % {BUCKETS} AS b FROM (SELECT DISTINCT f FROM runs)),
 counts AS (SELECT b, count(*) FILTER (src = 'd') AS s, count(*) FILTER (src = 'b') AS t FROM runs JOIN buckets USING (f) GROUP BY b),
 gains AS (SELECT b, floor(1000 * ln((t + 1)::DOUBLE * (sum(s) OVER () + {BUCKETS})::DOUBLE
     / ((s + 1)::DOUBLE * (sum(t) OVER () + {BUCKETS})::DOUBLE)))::BIGINT AS gain FROM counts),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from profilekit.llm import (
+    conversation_trie,
     decontamination,
     html_text,
     importance,
@@ -95,12 +96,19 @@ def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(_table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return conversation_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_lm_scoring, op2_html_text, op3_near_duplicates, op4_language_id, op5_token_counts, op6_token_files, op7_sentencepiece,
-    op8_vector_duplicates, op9_toxicity, op10_decontamination, op11_importance_resampling, op12_license_scan)}
+    op8_vector_duplicates, op9_toxicity, op10_decontamination, op11_importance_resampling, op12_license_scan,
+    op13_conversation_trie)}
 
 # DuckDB SQL where SQL can express an operator
 SQL: dict[str, str] = {
     "op11_importance_resampling": importance.resample_sql(),
     "op12_license_scan": licenses.scan_sql(),
+    "op13_conversation_trie": conversation_trie.prefix_trie_sql(),
 }

@@ -221,3 +221,16 @@ def window_codes(codes: np.ndarray, width: int) -> np.ndarray:
 def crc32(data) -> int:
     """Unsigned crc32 of a bytes-like value."""
     return zlib.crc32(data) & 0xFFFFFFFF
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL of the unsigned crc32 of a string's UTF-8 bytes, nibble by nibble (the low one of a byte first)."""
+    table = []
+    for x in range(16):
+        for _ in range(4):
+            x = (x >> 1) ^ (0xEDB88320 if x & 1 else 0)
+        table.append(x)
+    nibbles = (f"list_transform(range(0, 2 * octet_length(encode({text}))), lambda k: "
+               f"strpos('0123456789ABCDEF', substr(hex(encode({text})), 2 * (k // 2) + 2 - k % 2, 1)) - 1)")
+    step = f"lambda c, x: xor(c >> 4, list_extract({table}, (1 + (xor(c, x) & 15))::BIGINT)::BIGINT)"
+    return f"xor(list_reduce({nibbles}, {step}, 4294967295::BIGINT), 4294967295)"
