@@ -11,8 +11,8 @@ of which forms text x key pairs:
   text length plus matches, independent of the number of keys. Spark
   scans the texts where they lie, once, and only the matches are deduplicated;
   the key list is shipped only after its size is checked. A larger list never
-  leaves the executors: it meets the texts in a hash join on the keys' first
-  characters, and only pairs that share them are tested (``_anchored``).
+  leaves the executors: tasks write it as shards of compact tries to the shared
+  folder, workers map them, and the texts are scanned once as before (``keytrie``).
 - ``ngram``: for title-sized texts; every substring whose length is a key
   length is exploded and equi-joined with the keys (hash join). The text is
   split into characters once and each gram is a slice, so a text of length L
@@ -33,15 +33,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from profilekit.operators.joins import bounded_broadcast, string_bytes, write_measured
+from profilekit.operators import keytrie
+from profilekit.operators.joins import bounded_broadcast, join_side, string_bytes, write_measured
 from profilekit.session import shared_path
 
 # Bounds of one automaton: a trie node takes tens of bytes in the Python
 # worker, so 16 MB of key text stay around a gigabyte at worst.
 MAX_KEYS = 200_000
 MAX_KEY_BYTES = 16 * 1024 * 1024
-# First characters of a key that a larger key list is joined on.
-ANCHOR = 8
 
 _MATCH_SCHEMA = T.StructType([
     T.StructField("text", T.StringType()),
@@ -107,31 +106,23 @@ def _automaton(texts: DataFrame, keys: DataFrame) -> DataFrame:
     if rows == 0:
         return spark.createDataFrame([], _MATCH_SCHEMA)
     if rows > MAX_KEYS or nbytes > MAX_KEY_BYTES:
-        return _anchored(texts, stored)
+        return _sharded(texts, stored, nbytes)
     found = _scan_with_automaton(texts, [(r["key"], r["priority"]) for r in stored.collect()])
     # texts were scanned where they lie; repeated texts give repeated rows
     return found.distinct()
 
 
-def _anchored(texts: DataFrame, keys: DataFrame) -> DataFrame:
-    """A key list beyond one automaton: keys and texts meet in a hash join on the keys' first characters.
+def _sharded(texts: DataFrame, keys: DataFrame, nbytes: int) -> DataFrame:
+    """A key list beyond one automaton: shards of it as mapped tries, every text scanned once where it lies.
 
-    Each text gives its distinct substrings of the anchors' lengths (at most
-    ``ANCHOR`` lengths), with a digest instead of the text; the pairs that share
-    an anchor get the text back and are tested. No key passes the driver.
+    No key passes the driver; the manifest has one row per shard.
     """
-    anchored = keys.select("key", "priority", F.substring("key", 1, ANCHOR).alias("_anchor"))
-    lengths = sorted(r["n"] for r in anchored.select(F.length("_anchor").alias("n")).distinct().collect())
-    digest = F.sha2("text", 256).alias("_digest")
-    whole = texts.select(digest, "text").distinct()
-    chars, text_len = F.col("_chars"), F.length(F.col("text"))
-    per_length = F.transform(F.array(*[F.lit(n) for n in lengths]), _grams_of_length(chars, text_len))
-    grams = (whole.select("_digest", "text", F.split(F.col("text"), "", -1).alias("_chars"))
-             .select("_digest", F.explode(F.array_distinct(F.flatten(per_length))).alias("_anchor")))
-    pairs = grams.join(anchored, "_anchor").select("_digest", "key", "priority")
-    hits = pairs.join(whole, "_digest").filter(F.contains(F.col("text"), F.col("key")))
-    return (hits.groupBy("text").agg(F.min(F.struct("priority", "key")).alias("_b"))
-            .select("text", "_b.key", "_b.priority"))
+    spark = texts.sparkSession
+    shards = max(1, -(-nbytes // keytrie.SHARD_BYTES))
+    path = shared_path(spark, "key-shards")
+    keytrie.write_shards(keys, shards, shared_path(spark, "key-tries")).write.parquet(path)
+    manifest = [tuple(r) for r in spark.read.parquet(path).collect()]
+    return keytrie.scan_texts(texts, manifest).distinct()
 
 
 def _grams_of_length(chars, text_len):
@@ -144,9 +135,9 @@ def _grams_of_length(chars, text_len):
 
 
 def _ngram(texts: DataFrame, keys: DataFrame) -> DataFrame:
-    side, _ = bounded_broadcast(keys, byte_measure=string_bytes("key"))
+    side, small = bounded_broadcast(keys.withColumnRenamed("key", "_key"), byte_measure=string_bytes("_key"))
     # one row per distinct key length: a handful of values
-    lengths = sorted(r["n"] for r in side.select(F.length("key").alias("n")).distinct().collect())
+    lengths = sorted(r["n"] for r in side.select(F.length("_key").alias("n")).distinct().collect())
     if not lengths:
         return texts.sparkSession.createDataFrame([], _MATCH_SCHEMA)
     # the text is split into characters once; every gram of every key length is
@@ -156,7 +147,7 @@ def _ngram(texts: DataFrame, keys: DataFrame) -> DataFrame:
     per_length = F.transform(F.array(*[F.lit(n) for n in lengths]), _grams_of_length(chars, text_len))
     grams = (texts.select("text", F.split(F.col("text"), "", -1).alias("_chars"))
              .select("text", F.explode(F.array_distinct(F.flatten(per_length))).alias("key")))
-    hits = grams.join(side, "key", "inner")
+    hits = join_side(grams, side, small, "key", "_key")
     return (hits.groupBy("text")
             .agg(F.min(F.struct("priority", "key")).alias("_b"))
             .select("text", "_b.key", "_b.priority"))
