@@ -8,9 +8,9 @@ Input: one row per test example and run, ``(run, label, score)`` or
   macro and support-weighted averages, in the long form of the report files.
 - ``auc``: exact area under the ROC curve with ties counted half. Examples are
   first reduced to one row per (run, distinct score); the count of negatives
-  below each score is a distributed prefix sum: range partitions of the
-  scores, partition totals (a table of runs x partitions), and a running sum
-  inside each partition. No window ever holds a whole run.
+  below each score is a distributed prefix sum over range partitions of
+  (run, score): a running sum inside each partition that starts from its
+  runs' negatives below. No window ever holds more than a partition's share.
 - ``log_loss``: mean negative log-likelihood with the probability clipped.
 - ``format_reports`` / ``read_reports``: the 12-line text block per run and back.
 - ``ablation_compare``: metric deltas of each run against a baseline run.
@@ -19,6 +19,7 @@ Input: one row per test example and run, ``(run, label, score)`` or
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -106,11 +107,25 @@ def _keys(run_col: str | Sequence[str]) -> list[str]:
     return [run_col] if isinstance(run_col, str) else list(run_col)
 
 
-BUCKETS = 64
+# Distinct (run, score) rows one range of the AUC holds, about.
+RANGE_ROWS = 1_000_000
+
+
+def score_ranges(per_score: DataFrame, keys: Sequence[str], rows: int, range_rows: int | None = None) -> DataFrame:
+    """``per_score`` (one row per run and score) cut into ranges of (run, score) of about equal size, as ``_range``.
+
+    The ranges run through all runs in order: a run of many scores, however
+    close together, covers as many ranges as its size asks for, small runs share one.
+    """
+    spark = per_score.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(rows / (range_rows or RANGE_ROWS)))
+    # read twice (carries, rows): the range numbers are fixed by the checkpoint
+    return (per_score.repartitionByRange(parts, *keys, "_score").withColumn("_range", F.spark_partition_id())
+            .checkpoint(eager=True))
 
 
 def ranking_metrics(scored: DataFrame, run_col: str | Sequence[str], label_col: str, score_col: str,
-                    eps: float = 1e-15, buckets: int = BUCKETS) -> DataFrame:
+                    eps: float = 1e-15, range_rows: int | None = None) -> DataFrame:
     """Exact AUC and log-loss per run, with ``n_pos`` and ``n_neg``, from one pass over the rows.
 
     AUC is ``sum(pos * (neg_below + neg_same / 2)) / (P * N)``, NULL if a class
@@ -118,42 +133,40 @@ def ranking_metrics(scored: DataFrame, run_col: str | Sequence[str], label_col:
     ``p`` clipped to ``[eps, 1 - eps]``. Rows with a NULL score or label are
     left out of both. ``run_col`` may be several columns (a run and a segment).
 
-    Rows are reduced to one per run and distinct score; these are cut into
-    score ranges (quantile estimates; they balance the work, the result does
-    not depend on them), so that no window holds a whole run: a running sum
-    inside each range plus the negatives of the ranges below.
+    Rows are reduced to one per run and distinct score; these are range
+    partitioned on (run, score). A running sum inside each range starts from the
+    negatives its run has in the ranges below (its carry: one more row per run
+    and range), so no window holds more than a range, whatever the runs' sizes
+    and the distribution of their scores.
     """
     keys = _keys(run_col)
     y = F.col(label_col).cast("long")
     known = scored.filter(F.col(score_col).isNotNull() & F.col(label_col).isNotNull())
     per_score = (known.groupBy(*keys, F.col(score_col).alias("_score"))
                  .agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")).checkpoint(eager=True))
-    edges = per_score.agg(F.percentile_approx("_score", [i / buckets for i in range(1, buckets)]).alias("e")).first()["e"]
-    borders = F.array(*[F.lit(e) for e in sorted(set(edges or []))]) if edges else F.array()
-    at = F.size(F.filter(borders, lambda e: e < F.col("_score")))
-    ranged = per_score.withColumn("_range", at)
+    zero = F.lit(0).cast("long")
+    ranged = score_ranges(per_score, keys, per_score.count(), range_rows).withColumn("_carry", zero)
     below = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per run and range
-    offsets = (ranged.groupBy(*keys, "_range").agg(F.sum("neg").alias("_n"))
-               .select(*keys, "_range", F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_offset")))
-    inside = Window.partitionBy(*keys, "_range").orderBy("_score").rowsBetween(Window.unboundedPreceding, -1)
-    placed = (ranged.withColumn("_inside", F.coalesce(F.sum("neg").over(inside), F.lit(0)))
-              .join(offsets, [*keys, "_range"]))
-    under = (F.col("_offset") + F.col("_inside")).cast("double")
+    # one row per run and range it reaches: at most the ranges plus the runs
+    carries = ranged.groupBy(*keys, "_range").agg(F.sum("neg").alias("_n")).select(
+        *keys, F.lit(None).cast(per_score.schema["_score"].dataType).alias("_score"), zero.alias("pos"), zero.alias("neg"),
+        "_range", F.coalesce(F.sum("_n").over(below), F.lit(0)).alias("_carry"))
+    inside = (Window.partitionBy(*keys, "_range").orderBy(F.col("_score").asc_nulls_first())
+              .rowsBetween(Window.unboundedPreceding, -1))
+    placed = ranged.unionByName(carries).withColumn("_under", F.sum(F.col("neg") + F.col("_carry")).over(inside))
     p = F.least(F.greatest(F.col("_score").cast("double"), F.lit(eps)), F.lit(1.0 - eps))
     loss = -(F.col("pos") * F.ln(p) + F.col("neg") * F.ln(F.lit(1.0) - p))
     n_pos, n_neg = F.col("n_pos").cast("double"), F.col("n_neg").cast("double")
-    return (placed.groupBy(*keys)
-            .agg(F.sum(F.col("pos").cast("double") * (under + F.col("neg") / F.lit(2.0))).alias("_area"),
+    return (placed.filter(F.col("_score").isNotNull()).groupBy(*keys)
+            .agg(F.sum(F.col("pos").cast("double") * (F.col("_under").cast("double") + F.col("neg") / F.lit(2.0))).alias("_area"),
                  F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"), F.sum(loss).alias("_loss"))
             .select(*keys, F.when((F.col("n_pos") > 0) & (F.col("n_neg") > 0), F.col("_area") / (n_pos * n_neg)).alias("auc"),
                     (F.col("_loss") / (n_pos + n_neg)).alias("logloss"), "n_pos", "n_neg"))
 
 
-def auc(scored: DataFrame, run_col: str | Sequence[str], label_col: str, score_col: str,
-        buckets: int = BUCKETS) -> DataFrame:
+def auc(scored: DataFrame, run_col: str | Sequence[str], label_col: str, score_col: str) -> DataFrame:
     """The AUC part of ``ranking_metrics``."""
-    return ranking_metrics(scored, run_col, label_col, score_col, buckets=buckets).drop("logloss")
+    return ranking_metrics(scored, run_col, label_col, score_col).drop("logloss")
 
 
 def log_loss(scored: DataFrame, run_col: str | Sequence[str], label_col: str, score_col: str,
@@ -216,21 +229,29 @@ def _placed_lines(spark, path: str) -> DataFrame:
 
     The run is the folder's (``field=...``); a file of several blocks outside
     such a folder, as in the original layout, numbers its runs by the block.
+    Files are read in splits, line by line: a block may begin in one task's
+    split and end in another's.
     """
-    raw = spark.read.text(path, wholetext=True).withColumn("file", F.input_file_name())
-    own = [F.col("field").cast("int")] if "field" in raw.columns else []
-    lines = raw.select("file", "value", *own).select(
-        "file", *[c for c in raw.columns if c == "field"], F.posexplode(F.split("value", "\r?\n")).alias("pos", "line"))
+    raw = spark.read.text(path)
+    own = [F.col("field").cast("int").alias("field")] if "field" in raw.columns else []
+    lines = raw.select("value", *own, F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                       F.monotonically_increasing_id().alias("_row"))
+    # a line's place: the lines of the file's earlier splits (one row per split) and of its own split before it
+    earlier = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
+    before = lines.groupBy("file", "start").agg(F.count(F.lit(1)).alias("_n")).select(
+        "file", "start", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("file", "start").orderBy("_row")
+    pos = F.col("_before") + F.row_number().over(inside) - 1
+    placed = lines.join(F.broadcast(before), ["file", "start"]).withColumn("pos", pos)
     block = F.floor(F.col("pos") / BLOCK_LINES).cast("int")
-    return lines.select("file", (F.coalesce("field", block) if own else block).alias("field"),
-                        (F.col("pos") % BLOCK_LINES).alias("at"), F.split("line", ",").alias("f"))
+    return placed.select("file", (F.coalesce("field", block) if own else block).alias("field"),
+                         (F.col("pos") % BLOCK_LINES).alias("at"), F.split("value", ",").alias("f"))
 
 
 def read_reports(spark, path: str) -> DataFrame:
     """Report files -> ``(file, field, label, precision, recall, f1_score, support)``.
 
-    Each file is a series of 12-line blocks (see ``_placed_lines``). A file
-    is read whole (reports are small), split into lines, and each line is
+    Each file is a series of 12-line blocks (see ``_placed_lines``); each line is
     placed by its position in the block. A field that is no number is NULL.
     """
     rows = _placed_lines(spark, path).filter(F.col("at").isin(*CLASS_LINES, *AVERAGE_LINES))

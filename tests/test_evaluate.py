@@ -3,6 +3,7 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from profilekit.operators import evaluate as E
@@ -49,7 +50,7 @@ def test_class_report_identities(spark):
 
 def test_auc_matches_brute_force_pairs(spark):
     df, data = _pred(spark)
-    got = {r["run"]: r["auc"] for r in E.auc(df, "run", "y", "p", buckets=5).collect()}
+    got = {r["run"]: r["auc"] for r in E.auc(df, "run", "y", "p").collect()}
     for run in range(3):
         d = [(y, p) for r, y, p, _ in data if r == run]
         pos = [p for y, p in d if y == 1]
@@ -156,3 +157,52 @@ def test_global_index(spark):
     idx = global_index(df, ["k"], "i", partitions=7)
     got = sorted((r["k"], r["i"]) for r in idx.collect())
     assert got == [(k, k + 1) for k in range(1000)]
+
+
+def test_auc_of_a_narrow_run_among_wide_ones(spark):
+    """One run has most of the scores, all within a millionth; every range still holds its share, and the AUC is exact."""
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    rows = [("narrow", int(y), 0.5 + float(s) * 1e-6) for y, s in zip(rng.integers(0, 2, 12_000), rng.random(12_000), strict=True)]
+    for k in range(6):
+        rows += [(f"wide{k}", int(rng.random() < s), float(s)) for s in rng.random(300).round(2)]
+    df = spark.createDataFrame(rows, "run string, y int, p double")
+    per_score = df.groupBy("run", F.col("p").alias("_score")).agg(F.sum("y").cast("long").alias("pos")).checkpoint()
+    n = per_score.count()
+    sizes = [r["count"] for r in E.score_ranges(per_score, ["run"], n, 500).groupBy("_range").count().collect()]
+    assert len(sizes) > 20 and max(sizes) < 2.5 * n / len(sizes)
+    got = {r["run"]: r["auc"] for r in E.ranking_metrics(df, "run", "y", "p", range_rows=500).collect()}
+    for run in got:
+        mine = sorted((s, y) for r, y, s in rows if r == run)
+        scores, ys = np.array([s for s, _ in mine]), np.array([y for _, y in mine])
+        below = np.searchsorted(scores[ys == 0], scores[ys == 1], "left") + np.searchsorted(scores[ys == 0], scores[ys == 1], "right")
+        assert got[run] == pytest.approx(below.sum() / 2 / ((ys == 1).sum() * (ys == 0).sum()), rel=1e-12)
+
+
+def test_one_large_report_file_is_read_by_several_tasks(spark, tmp_path):
+    """Blocks that cross the borders of splits keep their lines."""
+    def block(k):
+        number = [f"{(k * 7 + i) % 1000 / 1000}" for i in range(3)]
+        lines = [E.REPORT_HEADER, E.REPORT_BLANK, *[f"{c},{','.join(number)},{k + j}" for j, c in enumerate(("exposure", "click"))], E.REPORT_BLANK,
+                 *[f"{a},{','.join(number)},{k}" for a in E.AVERAGE_LABELS], E.REPORT_BLANK, E.AUC_MARKER, f"0.{k + 1},,,,", f"{E.LOGLOSS_PREFIX},0.{k + 2},,"]
+        assert len(lines) == E.BLOCK_LINES
+        return lines
+    runs = 400
+    f = tmp_path / "raw.csv"
+    f.write_text("\r\n".join(x for k in range(runs) for x in block(k)) + "\r\n", newline="")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20001")
+    try:
+        assert spark.read.text(str(f)).rdd.getNumPartitions() > 5
+        got = sorted((r.field, r.label, r.precision, r.support) for r in E.read_reports(spark, str(f)).collect())
+        metrics = {r.field: (r.auc, r.logloss) for r in E.read_report_metrics(spark, str(f)).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    want = []
+    for k in range(runs):
+        for line in (block(k)[i] for i in (*E.CLASS_LINES, *E.AVERAGE_LINES)):
+            label, p, _, _, s = line.split(",")
+            want.append((k, label, float(p), int(s)))
+    assert got == sorted(want)
+    assert metrics == {k: (float(f"0.{k + 1}"), float(f"0.{k + 2}")) for k in range(runs)}
