@@ -22,12 +22,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from profilekit.functions.columns import id_length, to_date
+from profilekit.operators.daystates import flag_day_states, flags_of_days, payload_day_states, scores_of_days
 from profilekit.operators.extract import extract_payloads, trailing_range
 from profilekit.operators.matching import id_coverage, mapped_users, match_ids, match_titles
 from profilekit.operators.profile import code_flag_profile, flag_profile, score_profile
 from profilekit.operators.tagging import code_tags, dict_tags, english_tags
 from profilekit.sources.files import read_id_list, read_pair_dictionary, read_scored_dictionary
-from profilekit.sources.publish import publish
+from profilekit.sources.publish import publish, read_published
 from profilekit.sources.tables import in_days, read_log
 from profilekit.vocab import LABEL_TO_INTEREST, social_code_map
 
@@ -158,6 +159,42 @@ def scored_profile(spark: SparkSession, log_path: str, scores_path: str, out_pat
     return prof
 
 
+def coded_day_states(spark: SparkSession, staging_path: str, states_path: str, as_of: Day, from_i: int, to_i: int,
+                     json_key: str = "usertag", code_map: Sequence[tuple[str, str]] | None = None, code_len: int = 5) -> None:
+    """Packed flags per user and day for the days ``from_i..to_i-1`` back; run for one day, it replaces that day."""
+    pairs = [(code, LABEL_TO_INTEREST.get(tag, tag)) for code, tag in (social_code_map() if code_map is None else code_map)]
+    staging = _window(read_log(spark, staging_path), as_of, from_i, to_i)
+    publish(flag_day_states(staging, "mediadata", json_key, pairs, code_len), states_path, partition_col="etl_dt",
+            covered=_covered(as_of, from_i, to_i))
+
+
+def coded_month_from_days(spark: SparkSession, states_path: str, out_path: str, as_of: Day, month: str,
+                          source: str = "social", columns: Sequence[str] | None = None) -> DataFrame:
+    """The month's flag profile from its day states: the same rows as ``coded_profile(month=...)`` of those days."""
+    prof = flags_of_days(read_published(spark, states_path), *month_days(month), columns=columns, source=source, update_dt=str(as_of))
+    publish(prof, out_path, partition_col="etl_month", partition_value=month)
+    return prof
+
+
+def payload_states(spark: SparkSession, log_path: str, states_path: str, as_of: Day, from_i: int, to_i: int,
+                   channel: int = 3, id_col: str = "idfa", id_rule: Column | None = None) -> None:
+    """Distinct payload digests per user and day for the days ``from_i..to_i-1`` back."""
+    first, last = trailing_range(as_of, from_i, to_i)
+    rule = id_rule if id_rule is not None else id_length(id_col, ">", 10)
+    pairs = extract_payloads(read_log(spark, log_path), id_col=id_col, channel=[channel], channel_col="channelid",
+                             id_rule=rule, first=first, last=last, distinct=False)
+    publish(payload_day_states(pairs), states_path, partition_col="etl_dt", covered=_days(first, last))
+
+
+def scored_month_from_days(spark: SparkSession, states_path: str, scores_path: str, out_path: str, as_of: Day, month: str,
+                           source: str = "video") -> DataFrame:
+    """The month's averaged scores from its day states: the same rows as ``scored_profile(month=...)``."""
+    prof = scores_of_days(read_published(spark, states_path), spark.read.parquet(scores_path), "yktag", *month_days(month),
+                          source=source, update_dt=str(as_of))
+    publish(prof, out_path, partition_col="etl_month", partition_value=month)
+    return prof
+
+
 def match_id_list(spark: SparkSession, ids_path: str, log_path: str, out_path: str, as_of: Day,
                   nearest: int, width: int, count: int, channel: int = 3, id_col: str = "imei",
                   id_rule: Column | None = None, mode: str = "overwrite") -> DataFrame:

@@ -90,6 +90,17 @@ def flag_pivot(tagged: DataFrame, user_col: str, tag_col: str = "tag",
     return out.fillna(0, subset=list(domain))
 
 
+# Scores are summed as decimals of so many places; their magnitude stays below 10 ** 16.
+SCORE_PLACES = 14
+
+
+def _exact(score: str) -> Column:
+    """A score as a decimal; one that is not finite or too large fails the job rather than spoil a sum."""
+    x = F.col(score).cast("double")
+    return (F.when(F.abs(x) < 1e16, x.cast(f"decimal(30,{SCORE_PLACES})"))
+            .when(x.isNotNull(), F.raise_error(F.concat(F.lit(f"score {score} out of range: "), x.cast("string"))).cast(f"decimal(30,{SCORE_PLACES})")))
+
+
 def score_profile(pairs: DataFrame, scores: DataFrame, pair_key: str, score_key: str,
                   score_cols: Sequence[str] = INTERESTS, user_col: str = "userid",
                   by: Sequence[str] = (), user_alias: str | None = None,
@@ -102,11 +113,13 @@ def score_profile(pairs: DataFrame, scores: DataFrame, pair_key: str, score_key:
     per key holding per-score ``sum`` and non-NULL ``count``; the join is then
     many-to-one, and the user average is ``sum(sums) / sum(counts)``, the same
     value as ``avg`` over the fanned-out rows, without materialising the fan-out.
+    Sums are exact (decimals of 14 places), so the averages are the same bits
+    whatever the order and number of tasks.
     With ``distinct`` the pairs are made distinct here, after the scored keys
     have been kept: only rows that can be averaged are shuffled.
     """
     per_key = scores.groupBy(F.col(score_key).alias("_key")).agg(
-        *[F.sum(F.col(c).cast("double")).alias(f"_s_{c}") for c in score_cols],
+        *[F.sum(_exact(c)).alias(f"_s_{c}") for c in score_cols],
         *[F.count(F.col(c).cast("double")).alias(f"_n_{c}") for c in score_cols],
     )
     per_key = per_key.withColumnRenamed("_key", "_skey")
@@ -117,7 +130,7 @@ def score_profile(pairs: DataFrame, scores: DataFrame, pair_key: str, score_key:
         rows = join_side(rows, F.broadcast(keys) if small else keys, small, "_key", "_skey", "left_semi").distinct()
     joined = join_side(rows, side, small, "_key", "_skey")
     exprs = [
-        F.try_divide(F.try_divide(F.sum(f"_s_{c}"), F.sum(f"_n_{c}").cast("double")),
+        F.try_divide(F.try_divide(F.sum(f"_s_{c}").cast("double"), F.sum(f"_n_{c}").cast("double")),
                      F.lit(float(divisor))).alias(c)
         for c in score_cols
     ]
@@ -141,7 +154,14 @@ def code_flag_profile(df: DataFrame, payload_col: str, json_key: str, code_map:
     code. ``code_map`` is an in-code list of (code, tag); a repeated code keeps
     its last tag.
     """
-    columns = list(columns or domain)
+    masks = code_flag_masks(df, payload_col, json_key, code_map, code_len, user_col, by, domain, user_alias, sep)
+    return stamp(masks.select(user_alias, *by, *unpack_flags(F.col("mask"), list(columns or domain))), source, update_dt)
+
+
+def code_flag_masks(df: DataFrame, payload_col: str, json_key: str, code_map: Sequence[tuple[str, str]],
+                    code_len: int | None, user_col: str, by: Sequence[str] = (), domain: Sequence[str] = INTERESTS,
+                    user_alias: str = "userid", sep: str = ",") -> DataFrame:
+    """``(user, *by, mask)``: the flags of ``code_flag_profile`` still packed, one bit per domain value."""
     positions = {t: i for i, t in enumerate(domain)}
     code_bits = {code: 1 << positions[tag] for code, tag in dict(code_map).items() if tag in positions}
     bit_of = (F.create_map(*[x for c, b in code_bits.items() for x in (F.lit(c), F.lit(b).cast("long"))])
@@ -157,5 +177,4 @@ def code_flag_profile(df: DataFrame, payload_col: str, json_key: str, code_map:
             .select(user_alias, *by, codes.alias("_valid"))
             .filter(F.size("_valid") > 0)
             .select(user_alias, *by, mask.alias("_m")))
-    packed = rows.groupBy(user_alias, *by).agg(F.bit_or("_m").alias("_mask"))
-    return stamp(packed.select(user_alias, *by, *unpack_flags(F.col("_mask"), columns)), source, update_dt)
+    return rows.groupBy(user_alias, *by).agg(F.bit_or("_m").alias("mask"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from profilekit.functions.columns import code_list, has_text, id_length, json_field, md5_id
 from profilekit.operators import evaluate as E
+from profilekit.operators.daystates import flag_day_states, flags_of_days, payload_day_states, scores_of_days
 from profilekit.operators.extract import extract_payloads, trailing_range
 from profilekit.operators.joins import checked_join
 from profilekit.operators.matching import (
@@ -346,6 +347,35 @@ def day_publish(spark: SparkSession, base: str) -> DataFrame:
     return read_published(spark, path, with_partition_schema(profile, "etl_dt"))
 
 
+LATE_DAY = "2024-01-17"
+
+
+def _day_states(spark: SparkSession, build: Callable[[DataFrame], DataFrame], log: DataFrame, name: str) -> DataFrame:
+    """Day states as they come about: one day first with half its users, then recomputed alone."""
+    path = shared_path(spark, name)
+    early = build(log.filter((F.col("etl_dt") != LATE_DAY) | (F.col("userid") % 2 == 0)))
+    publish(early, path, partition_col="etl_dt")
+    publish(build(log.filter(F.col("etl_dt") == LATE_DAY)), path, partition_col="etl_dt", covered=[LATE_DAY])
+    return read_published(spark, path, with_partition_schema(early, "etl_dt"))
+
+
+@register("month_from_day_states")
+def month_from_day_states(spark: SparkSession, base: str) -> DataFrame:
+    """X2 + D6: the whole log's flag profile from mergeable day states, one of them recomputed late."""
+    states = _day_states(spark, lambda log: flag_day_states(log, "mediadata", S.EVENT_JSON_KEY, S.event_code_map(), S.EVENT_CODE_LEN),
+                         event_log(spark, base), "flag-states")
+    return flags_of_days(states, source="events", update_dt=S.AS_OF_TEXT)
+
+
+@register("month_scores_from_day_states")
+def month_scores_from_day_states(spark: SparkSession, base: str) -> DataFrame:
+    """X7 + A2: the month's averaged scores from day states of distinct payloads, one of them recomputed late."""
+    pairs = extract_payloads(event_log(spark, base), channel=S.VIDEO_CHANNEL, id_rule=_device_rule(), distinct=False)
+    states = _day_states(spark, payload_day_states, pairs, "payload-states")
+    return scores_of_days(states, S.payload_scores(spark, base), "yktag", "2024-01-01", "2024-01-31",
+                          source="events", update_dt=S.AS_OF_TEXT)
+
+
 @register("append_publish")
 def append_publish(spark: SparkSession, base: str) -> DataFrame:
     """K3 + K4 + K6: create with the first day, append the other days, read back."""

@@ -379,6 +379,8 @@ SQL["month_publish"] = SQL["code_profile"].rstrip().replace(
     "'events' AS source, '" + S.AS_OF_TEXT + "' AS update_dt, '2024-01' AS etl_month") + "\n"
 SQL["day_publish"] = SQL["code_profile_day"]
 SQL["append_publish"] = SQL["extract_payloads"]
+SQL["month_from_day_states"] = SQL["code_profile"]
+SQL["month_scores_from_day_states"] = SQL["score_profile"]
 SQL["stream_day_profile"] = SQL["code_profile_day"]
 
 SQL["stream_closed_days"] = f"""

@@ -151,3 +151,47 @@ def test_one_sided_day_range(spark):
                                 "userid string, mediadata string, etl_dt string")
     assert extract_payloads(log, first="2024-01-05").count() == 2
     assert extract_payloads(log, last="2024-01-04").count() == 1
+
+
+def _published(spark, path):
+    return sorted(map(tuple, read_published(spark, path).drop("etl_month").collect()), key=str)
+
+
+def test_months_from_day_states_equal_whole_months_after_a_late_day(spark, tmp_path):
+    """A late day is recomputed alone; the roll-up equals the profile computed from the month's log."""
+    import random
+
+    rng = random.Random(2)
+    ids = [(f"86000000000{i:04d}", _md5(str(i)), f"IDFA-{i:08d}") for i in range(12)]
+    rows = []
+    for _ in range(600):
+        a, b, c = rng.choice(ids[:1] * 6 + ids)  # one user holds a third
+        codes = ",".join(str(rng.choice((10001, 10002, 10003, 10009, 99999))) for _ in range(rng.randrange(3)))
+        title = f"t{rng.randrange(9)}"
+        rows.append((a, b, c, f'{{"usertag":"{codes}","title":"{title}"}}', rng.choice((3, 4)), f"2024-01-{rng.randrange(1, 31):02d}"))
+    late = "2024-01-12"
+    log, part = str(tmp_path / "log"), str(tmp_path / "part")
+    spark.createDataFrame(rows, SCHEMA).write.partitionBy("etl_dt").parquet(log)
+    spark.createDataFrame([r for i, r in enumerate(rows) if r[5] != late or i % 3 == 0], SCHEMA).write.partitionBy("etl_dt").parquet(part)
+    scores = str(tmp_path / "scores")
+    payloads = sorted({r[3] for r in rows})
+    spark.createDataFrame([(p, *[float((len(p) * 7 + j + k) % 50) / 7 for j in range(len(INTERESTS))]) for k, p in enumerate(payloads[::2])],
+                          "yktag string, " + ", ".join(f"{i} double" for i in INTERESTS)).write.parquet(scores)
+    masks, digests, whole, rolled = (str(tmp_path / n) for n in ("masks", "digests", "whole", "rolled"))
+    for base, (from_i, to_i) in ((part, (1, 31)), (log, (19, 20))):  # the whole month, then the late day alone
+        staging = str(tmp_path / f"staging{from_i}")
+        jobs.extract_staging(spark, base, staging, "2024-01-31", from_i, to_i)
+        jobs.coded_day_states(spark, staging, masks, "2024-01-31", from_i, to_i)
+        jobs.payload_states(spark, base, digests, "2024-01-31", from_i, to_i)
+    jobs.coded_month_from_days(spark, masks, rolled, "2024-01-31", "2024-01")
+    jobs.extract_staging(spark, log, str(tmp_path / "staging"), "2024-01-31", 1, 31)
+    jobs.coded_profile(spark, str(tmp_path / "staging"), whole, "2024-01-31", month="2024-01")
+    assert _published(spark, rolled) == _published(spark, whole) and len(_published(spark, whole)) > 5
+    jobs.scored_month_from_days(spark, digests, scores, rolled + "2", "2024-01-31", "2024-01")
+    jobs.scored_profile(spark, log, scores, whole + "2", "2024-01-31", month="2024-01")
+    assert _published(spark, rolled + "2") == _published(spark, whole + "2") and len(_published(spark, whole + "2")) > 5
+    # the roll-up reads states, not the log
+    from profilekit.operators.daystates import flags_of_days
+    from tests.conftest import plan_text
+    plan = plan_text(flags_of_days(read_published(spark, masks), "2024-01-01", "2024-01-31"))
+    assert "mediadata" not in plan and "mask" in plan

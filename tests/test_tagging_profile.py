@@ -1,5 +1,7 @@
 """Coded-tag and dictionary-tag profiles on hand-made frames (synthetic ids)."""
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from profilekit.operators.profile import (
@@ -164,3 +166,29 @@ def test_code_flag_profile_equals_exploded_form(spark):
     assert rows(fused) == rows(exploded.select(*fused.columns))
     empty_map = code_flag_profile(df, "mediadata", "usertag", [], 5, "userid")
     assert {r["userid"] for r in empty_map.collect()} == {r["userid"] for r in exploded.collect()}
+
+
+def test_averages_are_the_same_bits_in_any_order(spark):
+    """Fractional scores, shuffled rows, other partition counts: equal doubles, not only close ones."""
+    import random
+
+    from profilekit.operators.profile import score_profile
+
+    rng = random.Random(4)
+    scores = [(f"p{k % 40}", rng.uniform(-1, 1) * 10 ** rng.randrange(-6, 6), rng.random() / 3) for k in range(90)] + [("p3", None, 1.0)]
+    pairs = [(f"u{rng.choice((0, 0, 0, 1, 2))}", f"p{rng.randrange(45)}") for _ in range(3000)]
+    found = []
+    for parts, keys in ((1, 1), (7, 3), (13, 8)):
+        rng.shuffle(scores)
+        rng.shuffle(pairs)
+        spark.conf.set("spark.sql.shuffle.partitions", str(keys))
+        try:
+            df = score_profile(spark.createDataFrame(pairs, "userid string, k string").repartition(parts),
+                               spark.createDataFrame(scores, "k string, a double, b double").repartition(parts), "k", "k", ["a", "b"])
+            found.append(sorted((r.userid, r.a.hex(), r.b.hex()) for r in df.collect()))
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert found[0] == found[1] == found[2] and len(found[0]) == 3
+    with pytest.raises(Exception, match="out of range"):
+        score_profile(spark.createDataFrame(pairs, "userid string, k string"),
+                      spark.createDataFrame([("p1", float("nan"))], "k string, a double"), "k", "k", ["a"]).collect()
