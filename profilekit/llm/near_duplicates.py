@@ -18,6 +18,9 @@ as many as the threshold asks for (``banding``): 24 of 6 ranks at 85 per cent,
 29 of 5 at 80, so that a pair at the threshold meets in no bucket with
 probability of about 1.2e-5 at most.
 
+Inside, a class has a number of its own and its text is found by id and text
+hash, so that rows of one id with different texts are documents of their own.
+
 Cases: null, empty or wordless text has an empty set and is linked with
 nothing. A null id gets a null component and is kept. Rows of equal id and
 text are one document. Ties cannot arise: components are named by their
@@ -36,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from profilekit.llm.components import components, written
-from profilekit.llm.text import chain, claim, col, map_texts, mix, window_codes, word_codes
+from profilekit.llm.text import chain, claim, col, map_texts, mix, slices, trimmed, window_codes, word_codes
 from profilekit.operators.joins import bounded_broadcast
 
 WIDTH = 5
@@ -44,7 +47,7 @@ THRESHOLD = 85  # per cent, of the query
 MISS = 1.25e-5    # probability at most that a pair at the threshold meets in no bucket
 MOST_BANDS, MOST_ROWS = 32, 6
 SLOTS = 1 << 22   # of the table of shingle uses, half of them for either hash
-BIT_WORDS = 4     # 64-bit words of a difference's bit map
+BIT_WORDS = 16    # 64-bit words of a difference's bit map
 CROWD = 32        # classes in a bucket up to which all its open pairs are compared
 _BINS = (-1.0, -0.75, -0.5, -0.25, 0.0, 0.25, 0.5, 0.75, 1.0, 1.25, 1.5, 2.0, 3.0, 4.0, 8.0)
 _CHUNK = 150_000  # elements whose permutations are held at once
@@ -125,7 +128,7 @@ def band_keys(signatures: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 def sketches(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
              threshold: int = THRESHOLD) -> DataFrame:
-    """doc_id, n_shingles, set_digest (equal for equal sets) and band keys of every document."""
+    """doc_id, text_hash, n_shingles, set_digest (equal for equal sets) and band keys of every document."""
     fields = [T.StructField("n_shingles", T.LongType()), T.StructField("set_digest", T.BinaryType()),
               T.StructField("bands", T.ArrayType(T.LongType()))]
     n_bands, n_rows = banding(threshold)
@@ -142,7 +145,13 @@ def sketches(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
             return [[len(s) for s in sets], digests, bands]
         return run
 
-    return map_texts(docs.withColumn("doc_id", col(doc_id).cast("long")), make, fields, text=text)
+    keyed = docs.select(col(doc_id).cast("long").alias("doc_id"), _text_hash(text).alias("text_hash"), col(text).alias("text"))
+    return map_texts(keyed, make, fields, keep=("doc_id", "text_hash"))
+
+
+def _text_hash(text: str):
+    """Tells the texts of one id apart."""
+    return F.xxhash64(col(text).cast("string"))
 
 
 def verified(pairs: DataFrame, texts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -151,10 +160,11 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: int = THRESHOLD) ->
            .join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
            .select("a", "b", F.col("ta").cast("binary"), F.col("tb").cast("binary")))
 
+    @trimmed
     def compare(batches):
         claim(__name__)
         last, other = None, None  # neighbouring rows often share b
-        for b in batches:
+        for b in slices(batches, 2):
             keep = []
             for k, ta, tb in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist(),
                                  strict=True):
@@ -222,15 +232,13 @@ def pivot_marks(spokes: DataFrame, texts: DataFrame, threshold: int = THRESHOLD)
     """(id, pivot, near, marks, f, bits, twice) for the rows (id, pivot); a mark belongs to one pivot."""
     held = texts.join(spokes.select("id").distinct(), "id", "left_semi")
 
+    @trimmed
     def slots(batches):
         claim(__name__)
-        for b in batches:
-            seen = np.zeros(SLOTS, np.int64)
-            for t in b.column(0).to_pylist():
-                for slot in _slots(shingle_set(t)):
-                    np.add.at(seen, slot, 1)
-            used = np.flatnonzero(seen)
-            yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(seen[used])], names=["slot", "n"])
+        for b in slices(batches, 0):
+            found = [slot for t in b.column(0).to_pylist() for slot in _slots(shingle_set(t))]
+            used, n = np.unique(np.concatenate(found) if found else np.empty(0, np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(n.astype(np.int64))], names=["slot", "n"])
 
     # a table of fixed size: at most SLOTS pairs of numbers, whatever the corpus
     found = (held.select(F.col("text").cast("binary")).mapInArrow(slots, "slot int, n long")
@@ -242,10 +250,11 @@ def pivot_marks(spokes: DataFrame, texts: DataFrame, threshold: int = THRESHOLD)
            .join(texts.select(F.col("id").alias("pivot"), F.col("text").alias("tp")), "pivot")
            .select("id", "pivot", F.col("t").cast("binary"), F.col("tp").cast("binary")))
 
+    @trimmed
     def mark(batches):
         claim(__name__)
         last, pivot = None, None  # neighbouring rows often share the pivot
-        for b in batches:
+        for b in slices(batches, 2):
             out, near, sums = [], [], []
             for p, t, tp in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
                 if p != last:
@@ -275,10 +284,17 @@ def _can_share(a: str, b: str, threshold: int):
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
                     threshold: int = THRESHOLD) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every document; ``threshold``: similarity of a link in per cent."""
+    found = grouped(docs, doc_id=doc_id, text=text, threshold=threshold).select("doc_id", "n_shingles", "component_id")
+    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def grouped(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+    """doc_id, text_hash, n_shingles, component_id and group (a number; null: linked with nothing) of every document."""
     sketch, _ = written(sketches(docs, doc_id=doc_id, text=text, threshold=threshold), "sketches")
     classes, _ = written(
         sketch.filter("n_shingles > 0 and doc_id is not null").groupBy("set_digest")
-        .agg(F.min("doc_id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")), "classes")
+        .agg(F.min(F.struct("doc_id", "text_hash")).alias("of"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+        .withColumn("id", F.monotonically_increasing_id()), "classes")
     members = classes.select("id", "n", F.explode("bands").alias("key"))
     # first the smallest member of each bucket against the others
     centres = (members.groupBy("key").agg(F.min_by(F.struct("id", "n"), F.col("id")).alias("c"),
@@ -290,9 +306,11 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
     # texts of the documents in buckets of several classes, once
     crowded = members.join(centres.select("key"), "key").select("id").distinct()
     ids, _ = bounded_broadcast(crowded)
-    source = docs.select(col(doc_id).cast("long").alias("id"), col(text).cast("string").alias("text"))
-    # a row per id: repeated rows must not multiply in the joins
-    texts, _ = written(source.join(ids, "id", "left_semi").dropDuplicates(["id"]), "texts")
+    wanted = classes.join(ids, "id", "left_semi").select("id", F.col("of.doc_id").alias("w"), F.col("of.text_hash").alias("h"))
+    source = docs.select(col(doc_id).cast("long").alias("w"), _text_hash(text).alias("h"), col(text).cast("string").alias("text"))
+    side, _ = bounded_broadcast(wanted)
+    # a row per class: repeated rows must not multiply in the joins
+    texts, _ = written(source.join(side, ["w", "h"]).select("id", "text").dropDuplicates(["id"]), "texts")
     links, _ = written(verified(first, texts, threshold), "links")
     group = components(links)
     # buckets still in several components: pairs across them that are not yet compared
@@ -328,8 +346,12 @@ def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "tex
         more_links = found if more_links is None else more_links.unionByName(found)
     if more_links is not None:
         group = components(links.unionByName(more_links))
-    named = (classes.join(group, "id", "left")
-             .select("set_digest", F.coalesce("component", "id").alias("component_id")))
-    return (sketch.join(named, "set_digest", "left")
-            .select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+    placed = classes.select("set_digest", "id", "of.doc_id").join(group, "id", "left").select(
+        "set_digest", "doc_id", F.coalesce("component", "id").alias("group"))
+    # a component is named by the smallest id of all its documents
+    names = placed.groupBy("group").agg(F.min("doc_id").alias("component_id"))
+    named = placed.select("set_digest", "group").join(names, "group")
+    known = F.col("doc_id").isNotNull()
+    return sketch.join(named, "set_digest", "left").select(
+        "doc_id", "text_hash", "n_shingles", F.when(known, F.coalesce("component_id", "doc_id")).alias("component_id"),
+        F.when(known, F.col("group")).alias("group"))

@@ -44,17 +44,32 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of smallest id of every near-duplicate group (similarity of 0.8 or more), and one row of each id."""
-    found, _ = written(near_duplicates.near_duplicates(docs, threshold=SIMILAR), "near-duplicates")
-    kept = _without(docs, found.filter(~F.col("kept")))
-    repeated, seen = written(found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1"),
-                             "repeated-ids", F.count(F.lit(1)).alias("n"))
-    if not seen.get("n"):
-        return kept
-    name = fresh("id")
-    again, _ = bounded_broadcast(repeated.select(F.col("doc_id").alias(name)))
-    twice = kept.join(again, col("doc_id") == F.col(name), "left_semi").dropDuplicates(["doc_id"])
-    return _without(kept, repeated).unionByName(twice)
+    """Keeps the document of smallest id of every near-duplicate group (similarity of 0.8 or more).
+
+    Rows of one id and different texts are documents of their own: of those
+    in one group the one with the smallest text hash stays. Rows of equal id and text
+    are one document, of which one row stays.
+    """
+    found, _ = written(near_duplicates.grouped(docs, threshold=SIMILAR), "near-duplicates")
+    keys = ["doc_id", "text_hash"]
+    first = found.filter("group is not null").groupBy("group").agg(F.min(F.struct(*keys)).alias("first"))
+    marked = found.filter("doc_id is not null").join(first, "group", "left")
+    rows = marked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
+                                     F.bool_or(F.col("first").isNotNull() & (F.struct(*keys) != F.col("first"))).alias("gone"))
+    listed, seen = written(rows.filter("gone or n > 1"), "row-fates", F.count(F.when(~F.col("gone"), 1)).alias("repeated"))
+    mark, h = fresh("id"), fresh("hash")
+    hashed = docs.withColumn(h, F.xxhash64(col("text").cast("string")))
+
+    def side(which):
+        rows, _ = bounded_broadcast(listed.filter(which).select(F.col("doc_id").alias(mark), F.col("text_hash").alias(mark + "h")))
+        return rows
+    same = (col("doc_id") == F.col(mark)) & (F.col(h) == F.col(mark + "h"))
+    kept = hashed.join(side(F.col("gone")), same, "left_anti")
+    if not seen.get("repeated"):
+        return kept.drop(h)
+    again = side(~F.col("gone"))
+    once = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", h])
+    return kept.join(again, same, "left_anti").unionByName(once).drop(h)
 
 
 def free_of_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -39,7 +39,7 @@ def test_run_against_a_plain_version(spark):
     kept = {r.doc_id: r for r in docs.collect() if any(c.isalpha() for c in r.text or "")}
     model = toxicity.learn(docs.filter(F.col("doc_id").isin(list(kept))), spark.read.parquet(f"{SF}/labels.parquet"))
     kept = {i: r for i, r in kept.items() if not plain_toxic(model, r.text)}
-    groups = brute_documents([(i, r.text) for i, r in kept.items()])
+    groups = brute_documents([(i, r.text) for i, r in kept.items()], stages.SIMILAR)
     kept = {i: r for i, r in kept.items() if groups[i][2]}
     kept = {i: r for i, r in kept.items() if not any(x in r.text for x in items)}
     library = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))

@@ -28,11 +28,11 @@ def groups(ids, links):
     return {i: top(i) for i in ids}
 
 
-def brute_documents(rows):
+def brute_documents(rows, percent=85):
     sets = {i: shingles(t) for i, t in rows if i is not None}
     ids = sorted(sets)
     links = [(a, b) for k, a in enumerate(ids) for b in ids[:k] if sets[a] and sets[b]
-             and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+             and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b])]
     top = groups(ids, links)
     return {i: (len(sets[i]), top[i], i == top[i]) for i in ids}
 

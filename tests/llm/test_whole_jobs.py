@@ -67,3 +67,15 @@ def test_short_and_slot_dense_items_are_found_word_for_word_anywhere(spark):
             (3, "what is 13 + 7?  And 12 + 7 is what is"), (4, "Ok. Then."), (5, "ok or then"), (6, items[4][1].lower()),
             (7, "5 6 7 8 9 10"), (8, "12 + 7 = 19, what is")]
     assert leaks(spark, docs, items) == {(1, 1), (2, 2), (4, 3), (6, 5)}
+
+
+def test_rows_of_one_id_with_different_texts_are_documents_of_their_own(spark):
+    """Also when one of them is a copy of another document, or both are of one group."""
+    a, b, c = (" ".join(f"{k}{i}" for i in range(40)) for k in "abc")
+    rows = [(1, a), (5, a + " z"), (5, b), (5, b), (7, c), (7, c + " y"), (9, None), (9, ""), (9, None), (None, a), (None, a)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(((r.doc_id, r.text) for r in stages.one_of_each_group(spark, docs, SF).collect()), key=str)
+    assert [k for k in kept if k[0] == 7] in ([(7, c)], [(7, c + " y")])
+    assert [k for k in kept if k[0] != 7] == sorted([(1, a), (5, b), (9, None), (9, ""), (None, a), (None, a)], key=str)
+    got = sorted(tuple(r) for r in near_duplicates.near_duplicates(docs.filter("doc_id < 9")).select("doc_id", "component_id").collect())
+    assert got == [(1, 1), (5, 1), (5, 5), (5, 5), (7, 7), (7, 7)]
