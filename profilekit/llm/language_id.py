@@ -9,9 +9,9 @@ sum's mean.
 
 The field is fitted by AdaGrad on the conditional likelihood of word sequences
 spliced from labelled documents, so that it sees switches between languages.
-The sample is bounded: ``docs_per_language`` documents of each of at most
-``MAX_LANGUAGES`` languages (smallest id hash), ``SEGMENTS`` runs of words
-from each, spread over the whole text. Prediction reads every whole text.
+The sample is bounded: ``docs_per_language`` documents of each language
+(smallest id hash; more than ``MOST_LANGUAGES`` labels are an error),
+``SEGMENTS`` runs of words from each, spread over the whole text. Prediction reads every whole text.
 
 Cases: null, empty or letterless text gives ``und`` with score 0. Ties go to
 the language first in order. Without any labelled training text all texts are
@@ -21,7 +21,6 @@ the language first in order. Without any labelled training text all texts are
 from __future__ import annotations
 
 import uuid
-import zlib
 from collections import Counter
 
 import numpy as np
@@ -31,37 +30,65 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from profilekit.llm.text import CACHE_ENTRIES, col, crc_mod, map_texts, worker_cache
+from profilekit.llm.text import chain, col, crc_mod, map_texts, mix, worker_cache
 
 UNKNOWN = "und"
-DOCS_PER_LANGUAGE, MAX_LANGUAGES = 400, 200
+DOCS_PER_LANGUAGE = 400
+MOST_LANGUAGES = 1_000  # more distinct labels are an error: the column holds no languages then
 SEGMENTS, SEGMENT_WORDS = 8, 30
 SEQUENCE, BATCH, EPOCHS, RATE = 40, 64, 4, 0.2
 BUCKETS = 1 << 17
 LEXICON_WORDS = 2_000  # characteristic words kept per language
-CHUNK_WORDS = 400_000  # words whose messages are held at once
+CHUNK_WORDS = 200_000  # words whose messages are held at once
+WORD_ENTRIES = 300_000  # memoised words
+FEATURE_WORDS = 50_000  # words whose features are held at once
 _LETTER = regex.compile(r"\p{L}")
 _EDGES = regex.compile(r"^[^\p{L}]+|[^\p{L}]+$")
 
 
 def held_out(doc_id: str = "doc_id"):
     """Documents whose language is never learnt from."""
-    return crc_mod(doc_id, 4) == 2
-
-
-def word_features(word: str, lexicon: dict[str, int]) -> list[int]:
-    """Buckets of a lower-cased word's features; none without letters."""
-    core = word if word.isalpha() else _EDGES.sub("", word)
-    if not core:
-        return []
-    n, crc = len(core), zlib.crc32
-    found = {"w" + core, f"l{lexicon.get(core, -1)}"}
-    for k in range(1, min(4, n) + 1):
-        found.add("^" + core[:k])
-        found.add("$" + core[-k:])
-    found.update([core[i:i + 2] for i in range(n - 1)])
-    found.update([core[i:i + 3] for i in range(n - 2)])
-    return [crc(f.encode()) % BUCKETS for f in found]
+    return F.coalesce(crc_mod(doc_id, 4) == 2, F.lit(False))
+
+
+def _core(word: str) -> str:
+    """A lower-cased word without what is no letter at its ends."""
+    return word if word.isalpha() else _EDGES.sub("", word)
+
+
+def word_features(words: list[str], lexicon: dict[str, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, place of the word) of every feature of lower-cased words; words without letters have none.
+
+    Features are the word itself, its entry in the lexicon, its first and last
+    one to four letters, and its letter pairs and triples, as often as they occur.
+    """
+    cores = [_core(w) for w in words]
+    sizes = np.fromiter(map(len, cores), np.int64, len(cores))
+    letters = np.frombuffer("".join(cores).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    full = np.flatnonzero(sizes)
+    if not len(full):
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    word = np.repeat(np.arange(len(cores)), sizes)
+    place = np.arange(len(letters)) - starts[word]
+    listed = np.fromiter((lexicon.get(cores[i], -1) + 2 for i in full), np.uint64, len(full))
+    whole = np.add.reduceat(chain(letters, place.astype(np.uint64)), starts[full])
+    found = [(1, whole, full), (2, listed, full)]
+    for tag, at, step in ((3, starts, 1), (4, ends - 1, -1)):
+        owner, run = full, np.full(len(full), tag, np.uint64)
+        for k in range(4):
+            live = sizes[owner] > k
+            owner, run = owner[live], run[live]
+            run = chain(run, letters[at[owner] + step * k])
+            found.append((tag + 2 * k, run, owner))
+    run = letters
+    for tag, width in ((11, 2), (12, 3)):
+        run = chain(run[:-1], letters[width - 1:])
+        inside = np.flatnonzero(place[:len(run)] + width <= sizes[word[:len(run)]])
+        found.append((tag, run[inside], word[inside]))
+    buckets = [mix(h + np.uint64(tag << 40)) % np.uint64(BUCKETS) for tag, h, _ in found]
+    return np.concatenate(buckets).astype(np.int64), np.concatenate([o for _, _, o in found])
 
 
 class Field:
@@ -78,24 +105,23 @@ class Field:
     def _emissions(self, words: list[list[str]]) -> None:
         """Make sure that every word has a row of exponentiated emission scores."""
         new = list(set().union(*words).difference(self._rows))
-        if len(self._rows) + len(new) > CACHE_ENTRIES:
+        if len(self._rows) + len(new) > WORD_ENTRIES:
             self._rows, new = {}, list(set().union(*words))
             self._scores, self._lettered = self._scores[:0], self._lettered[:0]
         if not new:
             return
-        found = [word_features(w, self.lexicon) for w in new]
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter((i for f in found for i in f), np.int64, int(sizes.sum()))
-        scores = np.zeros((len(new), len(self.languages)))
-        full = np.flatnonzero(sizes)
-        if len(full):
-            at = (np.cumsum(sizes) - sizes)[full]
-            scores[full] = np.add.reduceat(self.weights[flat], at, axis=0)
-        scores = np.exp(scores - scores.max(axis=1, keepdims=True))
+        n_lang = len(self.languages)
+        scores, lettered = np.zeros((len(new), n_lang), np.float32), np.zeros(len(new), bool)
+        for at in range(0, len(new), FEATURE_WORDS):  # features are many: some words at once
+            part = new[at:at + FEATURE_WORDS]
+            bucket, owner = word_features(part, self.lexicon)
+            sums = np.stack([np.bincount(owner, self.weights[bucket, y], len(part)) for y in range(n_lang)], axis=1)
+            scores[at:at + len(part)] = np.exp(sums - sums.max(axis=1, keepdims=True))
+            lettered[at + owner] = True
         base = len(self._rows)
         self._rows.update((w, base + i) for i, w in enumerate(new))
-        self._scores = np.concatenate([self._scores, scores.astype(np.float32)])
-        self._lettered = np.concatenate([self._lettered, sizes > 0])
+        self._scores = np.concatenate([self._scores, scores])
+        self._lettered = np.concatenate([self._lettered, lettered])
 
     def predict(self, texts: list[bytes | None]) -> tuple[list[str], list[float]]:
         """Language and score of each text."""
@@ -185,19 +211,17 @@ def fit(segments: list[tuple[str, list[str]]], seed: int = 7) -> Field:
     w, gw = np.zeros((BUCKETS, n_lang)), np.full((BUCKETS, n_lang), 1e-2)
     trans, gt = np.zeros((n_lang, n_lang)), np.full((n_lang, n_lang), 1e-2)
     start, gs = np.zeros(n_lang), np.full(n_lang, 1e-2)
-    features: dict[str, list[int]] = {}
+    vocabulary = sorted({word for _, ws in marked for word in ws})
+    bucket, of = word_features(vocabulary, lexicon)
+    ordered = np.split(bucket[np.argsort(of, kind="stable")], np.cumsum(np.bincount(of, minlength=len(vocabulary)))[:-1])
+    features = dict(zip(vocabulary, ordered, strict=True))
     for _ in range(EPOCHS):
         sequences, labels = spliced(marked, rng)
         for at in range(0, len(sequences), BATCH):
             batch, gold = sequences[at:at + BATCH], labels[at:at + BATCH]
-            found = []
-            for ws in batch:
-                for word in ws:
-                    if word not in features:
-                        features[word] = word_features(word, lexicon)
-                    found.append(features[word])
+            found = [features[word] for ws in batch for word in ws]
             sizes = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((i for f in found for i in f), np.int64, int(sizes.sum()))
+            flat = np.concatenate(found)
             owner = np.repeat(np.arange(len(found)), sizes)
             e = np.stack([np.bincount(owner, w[flat, y], len(found)) for y in range(n_lang)], axis=1)
             g, g_trans, g_start = _gradients(e.reshape(len(batch), SEQUENCE, n_lang), gold, trans, start)
@@ -243,7 +267,7 @@ def characteristic_words(marked: list[tuple[int, list[str]]], n_lang: int) -> di
     uses: dict[str, Counter] = {}
     for label, ws in marked:
         for w in ws:
-            uses.setdefault(_EDGES.sub("", w), Counter())[label] += 1
+            uses.setdefault(_core(w), Counter())[label] += 1
     own: dict[int, list[tuple[int, str]]] = {i: [] for i in range(n_lang)}
     for w, c in uses.items():
         (label, n), total = c.most_common(1)[0], sum(c.values())
@@ -257,7 +281,9 @@ def learn(docs: DataFrame, train_on=None, docs_per_language: int = DOCS_PER_LANG
     train_on = F.lit(True) if train_on is None else train_on
     rows = docs.filter(train_on & col("lang").isNotNull() & col("text").isNotNull() & col("doc_id").isNotNull())
     rows = rows.select(col("doc_id").alias("doc_id"), col("lang").cast("string").alias("lang"), col("text").alias("text"))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = rows.groupBy("lang").count().orderBy("lang").limit(MOST_LANGUAGES + 1).collect()
+    if len(counts) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} distinct values of lang")
     if not counts:
         return fit([])
     # a first cut by hash leaves about twice the wanted documents of each language

@@ -66,7 +66,7 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document under the SentencePiece model, decoded again and held against the library."""
-    return sentencepieces.encode_pieces(_table(spark, sf_dir, "documents"), with_ids=False)
+    return sentencepieces.encode_pieces(_table(spark, sf_dir, "documents"))
 
 
 def op8_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,9 +6,9 @@ metaspace marker, the piece scores (a unigram model as it is; a BPE model's
 merges ranked by the scores of the pieces they make) and the byte fallback.
 No piece of such a model has the marker behind another character, so a text's
 ids are the ids of its marker-led segments in order; segments are memoised and
-the unknown ones of a batch are encoded in one multithreaded call. Every new
-segment is also encoded by the sentencepiece library: if the two differ, the
-latter's ids are used and the document's ``parity`` is false.
+the unknown ones of a batch are encoded in one multithreaded call: those ids are
+the result. Every new segment is also encoded by the sentencepiece library: if
+the two differ, the document's ``parity`` is false.
 
 Cases: null and empty text have no ids and decode to the empty text. Very long
 texts are encoded whole. Repeated rows give repeated results; an empty table
@@ -177,10 +177,8 @@ class Pieces:
         led = [s[lead:] if s.startswith(" ") else s for s in segments]
         wanted = self.library.encode(led, num_threads=1)
         for s, x, got, want in zip(segments, led, made, wanted, strict=True):
-            ids = got.ids
-            if not x and s:  # a lone space: the library has no text for it
-                want = ids
-            self._known[s] = (array("I", want).tobytes(), ids == want)
+            # the backend answers; the library only tells whether it agrees (of a lone space it has no opinion)
+            self._known[s] = (array("I", got.ids).tobytes(), got.ids == want or (not x and bool(s)))
 
     def decode(self, ids: np.ndarray) -> bytes:
         """UTF-8 text of ids: pieces joined, byte pieces as bytes, the dummy prefix removed."""

@@ -79,7 +79,7 @@ class WordEncoder:
         # A-Z fall to lower case in the tokenizer anyway; doing it first leaves fewer distinct words
         words = [(t if b"<|" in t else t.lower()).replace(b"\n", b" ").split(b" ") if t else [] for t in texts]
         known = self._known
-        if len(known) > 2 * CACHE_ENTRIES:
+        if len(known) > CACHE_ENTRIES:
             known.clear()
         new = set().union(*words).difference(known)
         # punctuation behind a letter is split off before the merges
@@ -193,5 +193,6 @@ def read_token_files(manifest: DataFrame, with_ids: bool = False) -> DataFrame:
                         cols.append(pa.array([ids[s:e].astype(np.int64) for s, e in span], pa.list_(pa.int64())))
                     yield pa.RecordBatch.from_arrays(cols, names=[c.split()[0] for c in schema.split(", ")])
 
-    # one shard per task: what a task reads is one shard's bytes
-    return src.repartition(F.col("ids")).mapInArrow(read, schema)
+    # as many tasks as shards (a given number is not coalesced, however small the manifest's rows are)
+    shards = manifest.count()
+    return src.repartitionByRange(max(1, shards), "ids").mapInArrow(read, schema)
