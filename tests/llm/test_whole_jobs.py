@@ -79,3 +79,26 @@ def test_rows_of_one_id_with_different_texts_are_documents_of_their_own(spark):
     assert [k for k in kept if k[0] != 7] == sorted([(1, a), (5, b), (9, None), (9, ""), (None, a), (None, a)], key=str)
     got = sorted(tuple(r) for r in near_duplicates.near_duplicates(docs.filter("doc_id < 9")).select("doc_id", "component_id").collect())
     assert got == [(1, 1), (5, 1), (5, 5), (5, 5), (7, 7), (7, 7)]
+
+
+def test_null_ids_are_not_held_out(spark):
+    from profilekit.llm import language_id, lm_scoring, toxicity
+    one = spark.createDataFrame([(None, "a b")], "doc_id long, text string")
+    for module in (language_id, lm_scoring, toxicity):
+        assert one.select(module.held_out()).first()[0] is False
+
+
+def test_every_language_is_learnt(spark):
+    """A language of few documents among many languages can be predicted too."""
+    import random
+    from profilekit.llm import language_id
+    rng = random.Random(2)
+    rows = []
+    for k in range(230):
+        letters = chr(0x4E00 + 20 * k)  # a script of its own
+        for j in range(2 if k else 30):
+            rows.append((len(rows), " ".join(chr(ord(letters) + rng.randrange(15)) * 2 for _ in range(25)), f"l{k:03d}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language_id.predict(docs, language_id.learn(docs)).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert sum(r.lang_pred == r.lang for r in got) >= 0.95 * len(got)
+    assert len({r.lang_pred for r in got}) > 210
