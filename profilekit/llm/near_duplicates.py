@@ -12,7 +12,7 @@ the number of copies). Class signatures are cut into bands; in each bucket the
 members are compared with the smallest one, on full sets. Buckets that the
 links found leave in several components are searched for links across them
 too: small ones pair by pair, crowded ones by an exact prefix filter on their
-members' differences to the smallest one (``delta_marks``), so that loose
+members' differences to what most of them share (``delta_marks``), so that loose
 members of a large group of copies are not compared with all of it. Bands are
 as many as the threshold asks for (``banding``): 24 of 6 ranks at 85 per cent,
 29 of 5 at 80, so that a pair at the threshold meets in no bucket with
@@ -47,7 +47,8 @@ THRESHOLD = 85  # per cent, of the query
 MISS = 1.25e-5    # probability at most that a pair at the threshold meets in no bucket
 MOST_BANDS, MOST_ROWS = 32, 6
 SLOTS = 1 << 22   # of the table of shingle uses, half of them for either hash
-BIT_WORDS = 16    # 64-bit words of a difference's bit map
+BIT_WORDS = 8     # 64-bit words of a difference's bit map
+VOTERS = 64       # members of a hub, about, that make its pivot set
 CROWD = 32        # classes in a bucket up to which all its open pairs are compared
 _BINS = (-1.0, -0.75, -0.5, -0.25, 0.0, 0.25, 0.5, 0.75, 1.0, 1.25, 1.5, 2.0, 3.0, 4.0, 8.0)
 _CHUNK = 150_000  # elements whose permutations are held at once
@@ -186,7 +187,7 @@ def _slots(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def delta_marks(own: np.ndarray, pivot: np.ndarray, uses: np.ndarray,
                 threshold: int = THRESHOLD) -> tuple[np.ndarray, int, np.ndarray, int]:
-    """Marks of a set relative to a pivot set: two sets near each other share one, unless both are near the pivot.
+    """Marks of a set relative to a pivot set: two sets near each other share one, unless f + f' <= 0 (below).
 
     With the marks come f (below), a bit map of the difference's shingles and
     how many of them fell on a bit already set: of two sets with c common
@@ -195,8 +196,8 @@ def delta_marks(own: np.ndarray, pivot: np.ndarray, uses: np.ndarray,
     With d the size of a set's difference to the pivot, n its own and t the
     threshold, let f = (100 + t) d - (100 - t) n. Two sets are near iff their
     difference is at most (100 - t) / (100 + t) of the sum of their sizes; so
-    if f + f' <= 0 they are, and each of them is near the pivot, which has the
-    smallest f there can be. Else their differences to the pivot must have
+    if f + f' <= 0 they are, and each of them is near the set of smallest f,
+    to which such sets are linked. Else their differences to the pivot must have
     (f + f') / (2 (100 + t)) shingles in common:
     a prefix filter over these differences, rare shingles first, finds all
     such pairs. ``uses`` counts, at least, the sets that hold a shingle's slot:
@@ -228,17 +229,44 @@ def delta_marks(own: np.ndarray, pivot: np.ndarray, uses: np.ndarray,
             np.packbits(bits).view(np.int64), len(delta) - int(bits.sum()))
 
 
+def consensus(hubs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(pivot, shared): the shingles that most members of each hub have, as its pivot set; ``hubs``: id, pivot.
+
+    Copies of one text differ from it by their own changes only, so differences to
+    the common text are the smallest there are. About ``VOTERS`` members of a hub are
+    asked: the result of the search does not depend on the pivot set, its work does.
+    """
+    sizes, _ = bounded_broadcast(hubs.groupBy("pivot").agg(F.count(F.lit(1)).alias("members")))
+    every = F.ceil(F.col("members") / VOTERS)
+    asked = hubs.join(sizes, "pivot").filter(F.pmod(F.xxhash64("id"), every) == 0).select("id", "pivot")
+
+    def vote(table: pa.Table) -> pa.Table:
+        sets = [shingle_set(t) for t in table.column("t").to_pylist()]
+        found, n = np.unique(np.concatenate(sets), return_counts=True)
+        common = pa.array([found[2 * n > len(sets)].view(np.int64)], pa.list_(pa.int64()))
+        return pa.table({"pivot": table.column("pivot")[:1], "shared": common})
+
+    voters = asked.join(texts, "id").select("pivot", F.col("text").cast("binary").alias("t"))
+    return voters.groupBy("pivot").applyInArrow(vote, "pivot long, shared array<long>")
+
+
 def pivot_marks(spokes: DataFrame, texts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """(id, pivot, near, marks, f, bits, twice) for the rows (id, pivot); a mark belongs to one pivot."""
+    """(id, pivot, marks, f, bits, twice) for the rows (id, pivot); a mark belongs to one pivot.
+
+    Pivot sets are those of ``consensus``; a hub without one has the empty set.
+    """
     held = texts.join(spokes.select("id").distinct(), "id", "left_semi")
 
     @trimmed
     def slots(batches):
         claim(__name__)
+        seen = np.zeros(SLOTS, np.int32)
         for b in slices(batches, 0):
-            found = [slot for t in b.column(0).to_pylist() for slot in _slots(shingle_set(t))]
-            used, n = np.unique(np.concatenate(found) if found else np.empty(0, np.int64), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(n.astype(np.int64))], names=["slot", "n"])
+            for t in b.column(0).to_pylist():
+                for slot in _slots(shingle_set(t)):
+                    np.add.at(seen, slot, 1)
+        used = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(seen[used].astype(np.int64))], names=["slot", "n"])
 
     # a table of fixed size: at most SLOTS pairs of numbers, whatever the corpus
     found = (held.select(F.col("text").cast("binary")).mapInArrow(slots, "slot int, n long")
@@ -246,32 +274,30 @@ def pivot_marks(spokes: DataFrame, texts: DataFrame, threshold: int = THRESHOLD)
     uses = np.zeros(SLOTS, np.uint16)
     uses[found.column("slot").to_numpy()] = found.column("n").to_numpy()
     shared = texts.sparkSession.sparkContext.broadcast(uses)
-    met = (spokes.join(texts.select("id", F.col("text").alias("t")), "id")
-           .join(texts.select(F.col("id").alias("pivot"), F.col("text").alias("tp")), "pivot")
-           .select("id", "pivot", F.col("t").cast("binary"), F.col("tp").cast("binary")))
+    sets, _ = bounded_broadcast(consensus(spokes, texts))
+    met = (spokes.join(texts.select("id", F.col("text").alias("t")), "id").join(sets, "pivot", "left")
+           .select("id", "pivot", F.col("t").cast("binary"), "shared"))
 
     @trimmed
     def mark(batches):
         claim(__name__)
         last, pivot = None, None  # neighbouring rows often share the pivot
         for b in slices(batches, 2):
-            out, near, sums = [], [], []
-            for p, t, tp in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+            out, sums = [], []
+            for k, (p, t) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)):
                 if p != last:
-                    last, pivot = p, shingle_set(tp)
-                own = shingle_set(t)
-                common = len(np.intersect1d(own, pivot, assume_unique=True))
-                near.append(100 * common >= threshold * (len(own) + len(pivot) - common))
-                marks, *rest = delta_marks(own, pivot, shared.value, threshold)
+                    held = b.column(3)[k].values
+                    last, pivot = p, np.empty(0, np.uint64) if held is None else held.to_numpy().view(np.uint64)
+                marks, *rest = delta_marks(shingle_set(t), pivot, shared.value, threshold)
                 sums.append(rest)
                 out.append(chain(marks, np.full(len(marks), p, np.int64).view(np.uint64)).view(np.int64))
             f, bits, twice = zip(*sums, strict=True) if sums else ([], [], [])
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(near, pa.bool_()), pa.array(out, pa.list_(pa.int64())),
+                [b.column(0), b.column(1), pa.array(out, pa.list_(pa.int64())),
                  pa.array(f, pa.int64()), pa.array(bits, pa.list_(pa.int64())), pa.array(twice, pa.int64())],
-                names=["id", "pivot", "near", "marks", "f", "bits", "twice"])
+                names=["id", "pivot", "marks", "f", "bits", "twice"])
 
-    return met.mapInArrow(mark, "id long, pivot long, near boolean, marks array<long>, f long, bits array<long>, twice long")
+    return met.mapInArrow(mark, "id long, pivot long, marks array<long>, f long, bits array<long>, twice long")
 
 
 def _can_share(a: str, b: str, threshold: int):
@@ -294,7 +320,15 @@ def grouped(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", thre
     classes, _ = written(
         sketch.filter("n_shingles > 0 and doc_id is not null").groupBy("set_digest")
         .agg(F.min(F.struct("doc_id", "text_hash")).alias("of"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
-        .withColumn("id", F.monotonically_increasing_id()), "classes")
+        .withColumn("id", F.col("of.doc_id")), "classes")
+    # a class is known by its smallest id; classes of one id (texts that differ) get numbers of their own
+    twins, seen = written(classes.groupBy("id").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").select(F.col("id").alias("twin")),
+                          "twins", F.count(F.lit(1)).alias("n"))
+    several = bool(seen.get("n"))
+    if several:
+        side, _ = bounded_broadcast(twins)
+        classes, _ = written(classes.join(side, classes["id"] == side["twin"], "left").withColumn(
+            "id", F.when(F.col("twin").isNotNull(), F.xxhash64("set_digest")).otherwise(F.col("id"))).drop("twin"), "classes")
     members = classes.select("id", "n", F.explode("bands").alias("key"))
     # first the smallest member of each bucket against the others
     centres = (members.groupBy("key").agg(F.min_by(F.struct("id", "n"), F.col("id")).alias("c"),
@@ -325,10 +359,17 @@ def grouped(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", thre
     nothing = [F.lit(None).cast(t).alias(c) for c, t in (("f", "long"), ("bits", "array<long>"), ("twice", "long"))]
     shared = loose.filter(F.col("size") <= CROWD).select("key", "id", "n", "g", *nothing)
     if many["n"]:
-        # crowded buckets with common members get one pivot: one difference per document
+        # crowded buckets with common members get one pivot set: one difference per class
         hubs = components(spokes.select(F.col("id").alias("a"), F.col("pivot").alias("b")))
         deltas, _ = written(pivot_marks(hubs.withColumnRenamed("component", "pivot"), texts, threshold), "deltas")
-        more_links = deltas.filter("near and id <> pivot").select(F.col("id").alias("a"), F.col("pivot").alias("b"))
+        best, _ = bounded_broadcast(deltas.groupBy("pivot").agg(F.min(F.struct("f", "id")).alias("r")))
+        sure = deltas.join(best, "pivot").filter((F.col("f") + F.col("r.f") <= 0) & (F.col("id") != F.col("r.id")))
+        more_links, _ = written(sure.select(F.col("id").alias("a"), F.col("r.id").alias("b")), "links")
+        # what those links join needs no more comparing
+        group = components(links.unionByName(more_links))
+        loose, _ = written(loose.drop("g").join(group, "id", "left").select(
+            "key", "id", "n", F.coalesce("component", "id").alias("g"), "pivot", "size"), "open-buckets")
+        shared = loose.filter(F.col("size") <= CROWD).select("key", "id", "n", "g", *nothing)
         marks = (deltas.select("id", "f", "bits", "twice", F.explode(F.array_distinct("marks")).alias("key"))
                  .join(loose.select("id", "n", "g").distinct(), "id"))
         marks, _ = written(marks.select("key", "id", "n", "g", "f", "bits", "twice"), "marks")
@@ -346,11 +387,13 @@ def grouped(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", thre
         more_links = found if more_links is None else more_links.unionByName(found)
     if more_links is not None:
         group = components(links.unionByName(more_links))
-    placed = classes.select("set_digest", "id", "of.doc_id").join(group, "id", "left").select(
+    named = classes.select("set_digest", "id", "of.doc_id").join(group, "id", "left").select(
         "set_digest", "doc_id", F.coalesce("component", "id").alias("group"))
-    # a component is named by the smallest id of all its documents
-    names = placed.groupBy("group").agg(F.min("doc_id").alias("component_id"))
-    named = placed.select("set_digest", "group").join(names, "group")
+    if several:  # a component is named by the smallest id of all its documents
+        names = named.groupBy("group").agg(F.min("doc_id").alias("component_id"))
+        named = named.select("set_digest", "group").join(names, "group")
+    else:
+        named = named.select("set_digest", "group", F.col("group").alias("component_id"))
     known = F.col("doc_id").isNotNull()
     return sketch.join(named, "set_digest", "left").select(
         "doc_id", "text_hash", "n_shingles", F.when(known, F.coalesce("component_id", "doc_id")).alias("component_id"),

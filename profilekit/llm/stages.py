@@ -8,7 +8,7 @@ are learnt from the stage's own input (and the labels beside it).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from profilekit.llm import decontamination, language_id, near_duplicates, sentencepieces, toxicity
@@ -52,10 +52,11 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """
     found, _ = written(near_duplicates.grouped(docs, threshold=SIMILAR), "near-duplicates")
     keys = ["doc_id", "text_hash"]
-    first = found.filter("group is not null").groupBy("group").agg(F.min(F.struct(*keys)).alias("first"))
-    marked = found.filter("doc_id is not null").join(first, "group", "left")
-    rows = marked.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"),
-                                     F.bool_or(F.col("first").isNotNull() & (F.struct(*keys) != F.col("first"))).alias("gone"))
+    rows = found.filter("doc_id is not null").groupBy(*keys, "group", "component_id").agg(F.count(F.lit(1)).alias("n"))
+    # texts of one id and group: the smallest hash stays
+    other = F.row_number().over(Window.partitionBy("group", "doc_id").orderBy("text_hash")) > 1
+    rows = rows.withColumn("other", other).withColumn(
+        "gone", F.col("group").isNotNull() & ((F.col("doc_id") != F.col("component_id")) | F.col("other")))
     listed, seen = written(rows.filter("gone or n > 1"), "row-fates", F.count(F.when(~F.col("gone"), 1)).alias("repeated"))
     mark, h = fresh("id"), fresh("hash")
     hashed = docs.withColumn(h, F.xxhash64(col("text").cast("string")))
