@@ -46,7 +46,7 @@ WIDTH = 5
 THRESHOLD = 85  # per cent, of the query
 MISS = 1.25e-5    # probability at most that a pair at the threshold meets in no bucket
 MOST_BANDS, MOST_ROWS = 32, 6
-SLOTS = 1 << 22   # of the table of shingle uses, half of them for either hash
+SLOTS = 1 << 22   # of the table of shingle uses
 BIT_WORDS = 8     # 64-bit words of a difference's bit map
 VOTERS = 64       # members of a hub, about, that make its pivot set
 CROWD = 32        # classes in a bucket up to which all its open pairs are compared
@@ -179,10 +179,9 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: int = THRESHOLD) ->
     return met.mapInArrow(compare, "a long, b long")
 
 
-def _slots(shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The two slots of each shingle."""
-    half = np.uint64(SLOTS // 2 - 1)
-    return (shingles & half).astype(np.int64), (mix(shingles) & half).astype(np.int64) + SLOTS // 2
+def _slots(shingles: np.ndarray) -> np.ndarray:
+    """The slot of each shingle."""
+    return (mix(shingles) & np.uint64(SLOTS - 1)).astype(np.int64)
 
 
 def delta_marks(own: np.ndarray, pivot: np.ndarray, uses: np.ndarray,
@@ -206,7 +205,7 @@ def delta_marks(own: np.ndarray, pivot: np.ndarray, uses: np.ndarray,
     """
     delta = np.setxor1d(own, pivot, assume_unique=True)
     f = (100 + threshold) * len(delta) - (100 - threshold) * len(own)
-    count = np.minimum(*(uses[slot] for slot in _slots(delta)))
+    count = uses[_slots(delta)]
     order = np.lexsort((delta, count))
     tokens = delta[order]
     shared = (count[order] > 1) | np.isin(tokens, pivot, assume_unique=True)
@@ -263,8 +262,7 @@ def pivot_marks(spokes: DataFrame, texts: DataFrame, threshold: int = THRESHOLD)
         seen = np.zeros(SLOTS, np.int32)
         for b in slices(batches, 0):
             for t in b.column(0).to_pylist():
-                for slot in _slots(shingle_set(t)):
-                    np.add.at(seen, slot, 1)
+                np.add.at(seen, _slots(shingle_set(t)), 1)
         used = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(seen[used].astype(np.int64))], names=["slot", "n"])
 
