@@ -79,7 +79,7 @@ class WordEncoder:
         # A-Z fall to lower case in the tokenizer anyway; doing it first leaves fewer distinct words
         words = [(t if b"<|" in t else t.lower()).replace(b"\n", b" ").split(b" ") if t else [] for t in texts]
         known = self._known
-        if len(known) > CACHE_ENTRIES:
+        if len(known) > 3 * CACHE_ENTRIES:
             known.clear()
         new = set().union(*words).difference(known)
         # punctuation behind a letter is split off before the merges
