@@ -5,7 +5,8 @@ bound. ``bounded_broadcast`` writes the side once, counts its rows (and
 optionally a byte measure) on the written copy, and only then hints
 ``broadcast``; beyond the bound the copy goes to a shuffle join in which the
 hot keys of the big side are salted (``salted_join``), and AQE splits any
-remaining skewed partitions.
+remaining skewed partitions. The hot keys come from a frequent-items sketch
+observed while the big side is written (``write_with_hot_keys``).
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 import math
 import uuid
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +24,11 @@ from profilekit.session import shared_path
 DEFAULT_MAX_ROWS = 2_000_000
 # ... and up to this many bytes of key/value text.
 DEFAULT_MAX_BYTES = 256 * 1024 * 1024
+# Hashed keys the sketch of hot keys follows in each task (some 100 KB), and the least share it is asked for.
+TRACKED = 4096
+LEAST_SHARE = 1 / 512
+# Types whose equal values have equal hashes.
+_HASHED = (T.StringType(), T.BinaryType(), T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.DateType())
 
 
 def row_bytes(df: DataFrame) -> Column:
@@ -106,13 +112,43 @@ def hot_keys(df: DataFrame, key: str, fraction: float = 0.01, share: float | Non
     return {r[key]: r["_n"] / total for r in top if r["_n"] >= share * total}
 
 
+def hot_share(spark: SparkSession) -> float:
+    """The share of the rows from which a key is salted: one shuffle partition's worth, ``LEAST_SHARE`` at least."""
+    return max(1.0 / max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1), LEAST_SHARE)
+
+
+def write_with_hot_keys(df: DataFrame, path: str, key: str) -> dict[int, float]:
+    """Write ``df`` as parquet; the hashes of its hot keys with their shares, observed during the write.
+
+    A frequent-items sketch over hashed keys is built in each task and merged
+    by the observation, so no job reads the rows again and no key's text
+    leaves its task. The sketch follows ``TRACKED`` keys whatever their number;
+    a share may be off by about one in a thousand, which changes how much is
+    salted, never what is joined. Keys of a smaller share stay whole; AQE
+    splits what skew they leave.
+    """
+    share = hot_share(df.sparkSession)
+    obs, name = Observation(f"hot-keys-{uuid.uuid4().hex}"), "`" + key.replace("`", "``") + "`"
+    top = min(TRACKED, math.ceil(1.0 / share))
+    sums = [F.expr(f"approx_top_k(if({name} is null, null, xxhash64({name})), {top}, {TRACKED})").alias("top"),
+            F.count(F.col(name)).alias("n")]
+    df.observe(obs, *sums).write.mode("errorifexists").parquet(path)
+    got = obs.get
+    if "top" not in got or "n" not in got:  # no observation: the copy is asked
+        got = df.sparkSession.read.parquet(path).agg(*sums).first().asDict()
+    n = got["n"] or 0
+    return {r["item"]: min(1.0, r["count"] / n) for r in got["top"] or []
+            if n and r["item"] is not None and r["count"] >= share * n}
+
+
 def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str, how: str = "inner",
-                buckets: int | None = None, hot: dict | list | None = None) -> DataFrame:
+                buckets: int | None = None, hot: dict | list | None = None, hashed: bool = False) -> DataFrame:
     """Shuffle join where each hot key of ``big`` is spread over several salts.
 
     A hot key with share ``s`` of the big side gets about ``s * partitions``
     salts (at least 2), so each salt carries roughly one partition's worth;
-    ``hot`` may also be a plain list (then every hot key gets ``buckets``).
+    ``hot`` may also be a plain list (then every hot key gets ``buckets``), or
+    hold the keys' hashes (``hashed``; both key columns are then of one type).
     Rows of ``big`` with a hot key get a deterministic salt (hash of the row,
     so a retried task sends every row to the same place); the ``small`` rows of
     those keys are replicated once per salt of their key; all other keys use
@@ -129,18 +165,20 @@ def salted_join(big: DataFrame, small: DataFrame, big_key: str, small_key: str,
         salts = {k: max(2, min(parts, math.ceil(v * parts))) for k, v in hot.items()}
     else:
         salts = {k: max(2, buckets or parts) for k in hot}
-    n_salts = (F.create_map(*[F.lit(x) for kv in salts.items() for x in kv]) if salts else
-               F.create_map().cast(T.MapType(big.schema[big_key].dataType, T.IntegerType())))
+    mark = F.xxhash64 if hashed else F.col
+    mark_type = T.LongType() if hashed else big.schema[big_key].dataType
+    n_salts = (F.create_map(*[F.lit(x) for kv in salts.items() for x in kv]) if salts else F.create_map())
+    n_salts = n_salts.cast(T.MapType(mark_type, T.IntegerType())) if hashed or not salts else n_salts
     # Content hash, not a random number: a retried task salts every row the
     # same way. Exact duplicate rows share a salt; AQE's skew-join split still
     # divides such a partition by map output blocks.
     hashable = [F.col(f.name) for f in big.schema.fields if not isinstance(f.dataType, T.MapType)]
     row_hash = F.xxhash64(*hashable)
-    big_n = F.try_element_at(n_salts, F.col(big_key))
+    big_n = F.try_element_at(n_salts, mark(big_key))
     # a null key matches nothing, but a left join keeps its rows: spread them over all partitions
     big_s = big.withColumn("_salt", F.when(F.col(big_key).isNull(), F.pmod(row_hash, F.lit(parts)))
                            .when(big_n.isNotNull(), F.pmod(row_hash, big_n)).otherwise(F.lit(0)))
-    small_n = F.try_element_at(n_salts, F.col(small_key))
+    small_n = F.try_element_at(n_salts, mark(small_key))
     small_salts = F.when(small_n.isNotNull(), F.sequence(F.lit(0), small_n - 1)).otherwise(F.array(F.lit(0)))
     small_s = small.withColumn("_salt_s", F.explode(small_salts))
     cond = (big_s[big_key] == small_s[small_key]) & (big_s["_salt"] == small_s["_salt_s"])
@@ -159,11 +197,16 @@ def join_side(big: DataFrame, side: DataFrame, small: bool, big_key: str, small_
               how: str = "inner") -> DataFrame:
     """Join with a side that ``bounded_broadcast`` has written and judged.
 
-    Beyond the bound ``big`` is written once too: the search for its hot keys
-    and the join both read the copy, so neither side is computed twice.
+    Beyond the bound ``big`` is written once too and its hot keys are observed
+    during that write, so neither side is computed twice. Keys of types that a
+    hash may tell apart though they are equal (floating point, collated or
+    unlike types) are sampled from the copy instead.
     """
     if small:
         return big.join(side, big[big_key] == side[small_key], how)
     path = shared_path(big.sparkSession, "join-big")
+    if big.schema[big_key].dataType == side.schema[small_key].dataType and big.schema[big_key].dataType in _HASHED:
+        hot = write_with_hot_keys(big, path, big_key)
+        return salted_join(big.sparkSession.read.parquet(path), side, big_key, small_key, how, hot=hot, hashed=True)
     big.write.parquet(path)
     return salted_join(big.sparkSession.read.parquet(path), side, big_key, small_key, how)

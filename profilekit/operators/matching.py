@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from profilekit.functions.columns import has_text, json_field, md5_id
+from profilekit.operators.bittable import few_unlisted
 from profilekit.operators.extract import day_windows, window_range
 from profilekit.operators.joins import bounded_broadcast, checked_join, join_side
 from profilekit.operators.substring import first_key_match
@@ -45,7 +46,9 @@ def match_ids(ids: DataFrame, log: DataFrame, as_of: str | _dt.date, nearest: in
     before ``as_of``. ``distinct`` runs over each whole window (a payload seen on
     both days of a two-day window counts once). The id list is not
     deduplicated: a repeated id repeats its matches. Both key columns are kept.
-    Listed ids are kept before ``distinct``, so only their rows are shuffled.
+    Listed ids are kept before ``distinct``, so only their rows are shuffled;
+    with a list past the broadcast bound a bit table of its ids drops most
+    other rows at the scan, before the exact join.
     """
     first, last = window_range(as_of, nearest, width, count)
     df = in_days(log, first, last)
@@ -58,6 +61,8 @@ def match_ids(ids: DataFrame, log: DataFrame, as_of: str | _dt.date, nearest: in
     rows = windows.select(F.col(id_col).cast("string").alias("imei"), F.col(payload_col).alias("mediadata"),
                           "window_start", "window_end")
     side, small = bounded_broadcast(ids.select(list_col))
+    if not small:
+        rows = few_unlisted(rows, "imei", side, list_col)
     dist = join_side(rows, side, small, "imei", list_col, "left_semi").distinct()
     return (join_side(dist, side, small, "imei", list_col)
             .select(list_col, "imei", "mediadata", "window_start", "window_end"))
@@ -68,10 +73,17 @@ def id_coverage(ids: DataFrame, mapping: DataFrame, flag: str = "imei",
     """X11 (first half): every listed id with its mapping id, NULL when not mapped.
 
     The mapping ids of the flag are made distinct first, so each listed id
-    keeps exactly its own rows.
+    keeps exactly its own rows. Mapping ids that are not listed go before that:
+    by a semi join with a list within the broadcast bound, else by a bit table
+    of the list (the join decides).
     """
-    mapped = (mapping.filter(F.col("app_flag") == flag)
-              .select("idfa_imei").distinct())
+    mapped = mapping.filter(F.col("app_flag") == flag).select("idfa_imei")
+    side, small = bounded_broadcast(ids.select(F.col(list_col).alias("_listed")))
+    if small:
+        mapped = mapped.join(side, mapped["idfa_imei"] == side["_listed"], "left_semi")
+    else:
+        mapped = few_unlisted(mapped, "idfa_imei", side, "_listed")
+    mapped = mapped.distinct()
     return checked_join(ids, mapped, list_col, "idfa_imei", "left").select(list_col, "idfa_imei")
 
 

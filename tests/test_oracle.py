@@ -94,6 +94,7 @@ def test_query_matches_oracle_without_broadcasts(spark, duck, name, monkeypatch)
 
     monkeypatch.setattr(joins, "DEFAULT_MAX_ROWS", 0)
     monkeypatch.setattr(joins, "hot_keys", top_keys)
+    monkeypatch.setattr(joins, "hot_share", lambda spark: 0.01)
     monkeypatch.setattr(substring, "MAX_KEYS", 7)
     got = _canon(entry.queries()[name](spark, SF_DIR).toPandas())
     want = _canon(duck.execute(entry.oracle_sql()[name]).df())
