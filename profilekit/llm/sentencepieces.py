@@ -34,6 +34,7 @@ DEFAULT_MODEL = "piece_bpe_32k.model"
 THREADS = 2  # per worker; more only add memory where tasks already use every core
 BATCH = 4_000  # segments encoded in one call
 SEGMENT_ENTRIES = 200_000  # memoised segments; bounds memory, never results
+GROUP_CHARS = 500_000  # text cut into segments at once; bounds memory, never results
 MARKER = "▁"
 # piece types and model types of the format: fixed values
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -127,7 +128,8 @@ class Pieces:
         self.library = sentencepiece.SentencePieceProcessor(model_proto=data)
         inner = regex.compile(f"[^{MARKER}]{MARKER}")
         self.by_segment = not any(inner.search(p) for p, _, _ in m.pieces) and m.kind == BPE
-        self._known: dict[str, tuple[bytes, bool]] = {}
+        self._known: dict[str, bytes] = {}
+        self._apart: set[str] = set()  # memoised segments the libraries do not agree on
         raw = [bytes([int(p[3:5], 16)]) if kind == BYTE else
                b"" if kind == CONTROL else b" \xe2\x81\x87 " if kind == UNKNOWN else
                p.replace(MARKER, " ").encode() for p, _, kind in m.pieces]
@@ -156,17 +158,27 @@ class Pieces:
 
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[bool]]:
         """Ids of each text, and whether both libraries agreed on all of its segments."""
-        cut = [self._segments(self.prepared(t)) for t in texts]
-        if len(self._known) > SEGMENT_ENTRIES:
-            self._known.clear()
-        new = list(set().union(*cut).difference(self._known))
-        for at in range(0, len(new), BATCH):  # encodings are bulky: few at once
-            self._learn(new[at:at + BATCH])
-        ids, same = [], []
-        for segments in cut:
-            found = [self._known[s] for s in segments]
-            ids.append(np.frombuffer(b"".join([f[0] for f in found]), "<u4"))
-            same.append(all([f[1] for f in found]))
+        return self.encode_prepared([self.prepared(t) for t in texts])
+
+    def encode_prepared(self, prepared: list[str]) -> tuple[list[np.ndarray], list[bool]]:
+        """``encode`` of texts that ``prepared`` has made, some at a time (each whole)."""
+        ids, same, at = [], [], 0
+        while at < len(prepared):
+            stop, size = at + 1, len(prepared[at])
+            while stop < len(prepared) and size + len(prepared[stop]) <= GROUP_CHARS:
+                size += len(prepared[stop])
+                stop += 1
+            cut = [self._segments(t) for t in prepared[at:stop]]
+            at = stop
+            if len(self._known) > SEGMENT_ENTRIES:
+                self._known.clear()
+                self._apart.clear()
+            new = list(set().union(*cut).difference(self._known))
+            for k in range(0, len(new), BATCH):  # encodings are bulky: few at once
+                self._learn(new[k:k + BATCH])
+            for segments in cut:
+                ids.append(np.frombuffer(b"".join(map(self._known.__getitem__, segments)), "<u4"))
+                same.append(self._apart.isdisjoint(segments) if self._apart else True)
         return ids, same
 
     def _learn(self, segments: list[str]) -> None:
@@ -178,7 +190,9 @@ class Pieces:
         wanted = self.library.encode(led, num_threads=1)
         for s, x, got, want in zip(segments, led, made, wanted, strict=True):
             # the backend answers; the library only tells whether it agrees (of a lone space it has no opinion)
-            self._known[s] = (array("I", got.ids).tobytes(), got.ids == want or (not x and bool(s)))
+            self._known[s] = array("I", got.ids).tobytes()
+            if got.ids != want and (x or not s):
+                self._apart.add(s)
 
     def decode(self, ids: np.ndarray) -> bytes:
         """UTF-8 text of ids: pieces joined, byte pieces as bytes, the dummy prefix removed."""
@@ -221,8 +235,9 @@ def encode_pieces(docs: DataFrame, model: str | None = None, *, text: str = "tex
 
         def run(texts):
             plain = [t.decode() if t else "" for t in texts]
-            ids, same = p.encode(plain)
-            back = [p.decode(x) == p.prepared(t).encode()[strip:] for x, t in zip(ids, plain, strict=True)]
+            prepared = [p.prepared(t) for t in plain]
+            ids, same = p.encode_prepared(prepared)
+            back = [p.decode(x) == t.encode()[strip:] for x, t in zip(ids, prepared, strict=True)]
             out = [[len(x) for x in ids], [crc32(x.tobytes()) for x in ids], same, back]
             if with_ids:
                 ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
