@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from profilekit.llm.components import written
-from profilekit.llm.text import chain, claim, col, crc_mod, mix, slices, word_codes
+from profilekit.llm.text import batches_of, chain, claim, col, crc_mod, mix, slices, word_codes
 
 CHUNK_BYTES = 12_000_000      # text of one chunk
 RANGE_TOKENS = 1_000_000      # tokens per key range
@@ -283,6 +283,7 @@ def learn_weights(cells: np.ndarray, counts: np.ndarray, rounds: int = EM_ROUNDS
 def score_texts(docs: DataFrame, held: Column | None = None, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every text."""
     held = F.lit(False) if held is None else held
+    batches_of(docs, 64 << 20)  # chunks are cut from batches: small ones would make small chunks
     parts, seen = written(chunks(docs, held, doc_id, text), "lm-chunks", F.sum("n_tokens").alias("n"),
                           F.sum("train_tokens").alias("train"), F.sum("train_docs").alias("docs"))
     n_words, n_docs = int(seen.get("train") or 0), int(seen.get("docs") or 0)

@@ -25,6 +25,9 @@ CACHE_ENTRIES = 400_000
 # Text a function is given at once; bounds memory, never results.
 SLICE_BYTES = 3_000_000
 
+# Text that Spark puts into one Arrow batch of a text column; bounds memory on both sides, never results.
+BATCH_BYTES = 8_000_000
+
 TextFunction = Callable[[list], Sequence]
 
 
@@ -109,6 +112,11 @@ def slices(batches: Iterator[pa.RecordBatch], text: int, most: int = SLICE_BYTES
             at = stop
 
 
+def batches_of(df: DataFrame, most: int = BATCH_BYTES) -> None:
+    """From now on the session's Arrow batches hold about ``most`` bytes (Spark's own bound is 64 MB, or 10,000 rows)."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(most))
+
+
 def map_texts(df: DataFrame, make: Callable[[], TextFunction], fields: list[T.StructField], *,
               text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
     """``keep`` columns plus ``fields``, computed from the UTF-8 bytes of ``text`` batch by batch.
@@ -117,6 +125,7 @@ def map_texts(df: DataFrame, make: Callable[[], TextFunction], fields: list[T.St
     ``bytes | None`` to one sequence per field. Kept columns pass through as
     Arrow arrays untouched. Nothing but ``keep`` and ``text`` is read.
     """
+    batches_of(df)
     # plain names on the way: kept names may hold dots or spaces
     kept = [col(c).alias(f"k{i}") for i, c in enumerate(keep)]
     n_keep = len(kept)
