@@ -1,10 +1,12 @@
 """Operator 2: main text of web pages by wrapper induction.
 
-For every host a bounded sample of its pages is parsed into trees of block
-elements, and the trees are aligned by simple tree matching. Text at one place
-that stays the same on nearly all (``SHARE``) of them, otherwise different, is
+Every page of a host is parsed into a tree of block elements, and the trees are
+aligned by simple tree matching: the host's distinct pages are dealt by hash
+into groups of about ``GROUP``, all pages of a group are aligned with each other, and what they
+prove is added up over the host, so the work grows with the pages, not with their square. Text at one
+place that stays the same on nearly all (``SHARE``) of the host's pages, otherwise different, is
 template; the varying slots are content, and the deepest element path that holds nearly all
-of their text is the host's content region. The wrapper (template texts by path, content path) is
+of their text on all pages is the host's content region. The wrapper (template texts by path, content path) is
 then applied to every page of the host: the region decides what is content, its
 article elements only narrow it or round it off; of that everything stays but template texts and
 what elements, roles and class words mark as menu, header, footer, sidebar,
@@ -21,7 +23,8 @@ is one space; character references are decoded. Cases: null and empty html
 give the empty text, and so do pages without content. Truncated and badly
 nested pages are read as far as they go. A null or odd url has no host: such
 pages are read without a wrapper (template texts need ``LEAST_PAGES`` pages
-of a host).
+of a host). A page counts once in its host's wrapper, however often it occurs; a null
+page_id makes no difference.
 Repeated rows give repeated results; an empty table gives no rows; only
 page_id, url and html are read.
 """
@@ -36,16 +39,16 @@ from collections import Counter
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from profilekit.llm.components import written
-from profilekit.llm.text import col, slices
+from profilekit.llm.text import batches_of, claim, col, slices, trimmed
 from profilekit.operators.joins import bounded_broadcast
 
-PAGES_PER_HOST = 8   # sampled pages a wrapper is induced from
-LEAST_PAGES = 3      # sampled pages that must share a text for it to be template
+GROUP = 6            # pages of a host, about, that are aligned with each other; fewer than twice as many are one group
+LEAST_PAGES = 3      # pages of a host that must share a text for it to be template
 SHARE = 0.8          # ... and the share of them: an odd page does not switch the wrapper off
 MOST_CELLS = 10_000  # child pairs of two nodes that are aligned by dynamic programming
 LONG_PATH = 4_000    # characters of a path kept as they are; longer ones become a digest
@@ -85,12 +88,13 @@ _HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 class Node:
     """A block element, or (tag ``#text``) a run of text in one."""
 
-    __slots__ = ("tag", "path", "soft", "items", "text", "linked", "code", "full")
+    __slots__ = ("tag", "path", "soft", "items", "text", "linked", "code", "full", "plain")
 
     def __init__(self, tag: str, path: str, soft: bool = False, text: str = "", linked: int = 0):
         self.tag, self.soft, self.text, self.linked = tag, soft, text, linked
         self.path = path if len(path) <= LONG_PATH else f"/{xxhash.xxh64_hexdigest(path.encode())}"
         self.items: list[Node] = []
+        self.code: int | None = None
 
     def walk(self, enter=None) -> list[Node]:
         """All nodes below, in page order; nodes that ``enter`` rejects are listed but not entered."""
@@ -248,8 +252,11 @@ def _after_raw(page: str, pos: int, tag: str) -> int:
 
 
 def _prepare(tree: Node) -> None:
-    """Digest of every subtree (equal for equal ones) and its weight in a match with itself."""
+    """Digest of every subtree (equal for equal ones), its weight in a match with itself, whether it is one run of text; once."""
+    if tree.code is not None:
+        return
     for n in reversed([tree, *tree.walk()]):
+        n.plain = len(n.items) == 1 and n.items[0].tag == "#text"
         if n.tag == "#text":
             n.code, n.full = xxhash.xxh3_64_intdigest("#" + n.text), 2.0
         else:
@@ -317,6 +324,8 @@ def match(a: Node, b: Node, pairs: list[tuple[Node, Node]] | None = None) -> flo
             return 0.0
         if p.code == q.code:
             return p.full
+        if p.plain and q.plain:
+            return 2.0
         return 1.0 if p.tag == "#text" else weight.get((id(p), id(q)))
 
     stack = [(a, b)]
@@ -327,17 +336,20 @@ def match(a: Node, b: Node, pairs: list[tuple[Node, Node]] | None = None) -> flo
             continue
         same, x, y = _children(p, q)
         gaps = _gaps(x, y)
-        need = [(c, d) for u, v in gaps for c in u for d in v if known(c, d) is None]
+        weights = [[[known(c, d) for d in v] for c in u] for u, v in gaps]
+        need = [(c, d) for (u, v), rows in zip(gaps, weights, strict=True) for c, row in zip(u, rows, strict=True)
+                for d, w in zip(v, row, strict=True) if w is None]
         if need:
             stack += need
             continue
         total, kept = 1.0 + sum(c.full for c, _ in same), []
-        for u, v in gaps:
+        for (u, v), rows in zip(gaps, weights, strict=True):
             best = [[0.0] * (len(v) + 1)]
-            for c in u:
-                above, row = best[-1], [0.0]
-                for j, d in enumerate(v):
-                    row.append(max(above[j + 1], row[j], above[j] + known(c, d)))
+            for own in rows:
+                above, row, left = best[-1], [0.0], 0.0
+                for j, w in enumerate(own):
+                    left = max(above[j + 1], left, above[j] + w)
+                    row.append(left)
                 best.append(row)
             kept.append((u, v, best))
             total += best[-1][-1]
@@ -355,6 +367,8 @@ def match(a: Node, b: Node, pairs: list[tuple[Node, Node]] | None = None) -> flo
             pairs.append((p, q))
         elif p.code == q.code:
             pairs += zip(p.runs(), q.runs(), strict=True)
+        elif p.plain and q.plain:
+            pairs.append((p.items[0], q.items[0]))
         else:
             same, kept = tables[id(p), id(q)]
             stack += same
@@ -376,21 +390,27 @@ def template_code(run: Node) -> int:
     return xxhash.xxh64_intdigest(f"{run.path}\n{run.text}".encode()) - (1 << 63)
 
 
-def induce(pages: list[str]) -> tuple[list[int], str]:
-    """(template codes, path of the content region) of one host's pages."""
-    trees = [parse(p) for p in dict.fromkeys(pages)]
+def proven(trees: list[Node]) -> Counter:
+    """How many of the pages prove each template text by their alignment with another one of them."""
     proof: dict[int, set[int]] = {}
+    sizes = [t.size() for t in trees]
     for i, a in enumerate(trees):
         for j in range(i + 1, len(trees)):
             pairs: list[tuple[Node, Node]] = []
             match(a, trees[j], pairs)
             same = [(p, q) for p, q in pairs if p.text == q.text and p.path == q.path]
-            if sum(len(p.text) for p, _ in same) <= ALIKE * min(a.size(), trees[j].size()):
+            if sum(len(p.text) for p, _ in same) <= ALIKE * min(sizes[i], sizes[j]):
                 for p, _ in same:
                     proof.setdefault(template_code(p), set()).update((i, j))
-    # a passage that some articles share is content; template is what nearly all sampled pages have
+    return Counter({c: len(seen) for c, seen in proof.items()})
+
+
+def induce(pages: list[str]) -> tuple[list[int], str]:
+    """(template codes, path of the content region) of one host's pages, aligned as one group."""
+    trees = [parse(p) for p in dict.fromkeys(pages)]
+    # a passage that some articles share is content; template is what nearly all pages have
     least = max(LEAST_PAGES, math.ceil(SHARE * len(trees)))
-    codes = sorted(c for c, seen in proof.items() if len(seen) >= least)
+    codes = sorted(c for c, seen in proven(trees).items() if seen >= least)
     fixed, held = set(codes), Counter()
     for tree in trees:
         _varying(tree, fixed, held)
@@ -489,26 +509,80 @@ def _collect(node: Node, codes: frozenset, out: list[str]) -> None:
         out += [n.text for n in node.walk(entered) if n.tag == "#text" and not (codes and template_code(n) in codes)]
 
 
-def wrappers(pages: DataFrame) -> DataFrame:
-    """(host, codes, region) of every host with enough pages; ``pages``: page_id, host, html."""
-    order = Window.partitionBy("host").orderBy(F.xxhash64("page_id"), "page_id")
-    ids = (pages.filter("host is not null and page_id is not null").select("host", "page_id").distinct()
-           .withColumn("r", F.row_number().over(order)).filter(F.col("r") <= PAGES_PER_HOST).select("host", "page_id"))
-    ids, _ = bounded_broadcast(ids)
-    sample = pages.filter("html is not null").join(ids, ["host", "page_id"])
+def template_texts(whole: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(host, codes) of the hosts with template texts; ``whole``: host, d, html of all pages, ``sizes``: host, n distinct pages.
 
-    def build(table: pa.Table) -> pa.Table:
-        found = table.column("html").to_pylist()[:4 * PAGES_PER_HOST]  # repeated rows of one page add nothing
-        codes, region = induce(found)
-        return pa.table({"host": table.column("host")[:1], "codes": pa.array([codes], pa.list_(pa.int64())),
-                         "region": pa.array([region])})
+    Each distinct page is aligned with the others of its group; proofs are added up over the host.
+    """
+    n_groups = F.greatest(F.lit(1).cast("long"), F.floor(F.col("n") / GROUP))
+    # a page's copies meet in one group, and the set of its texts holds it once
+    groups = (whole.join(sizes, "host").groupBy("host", F.pmod("d", n_groups).alias("g"))
+              .agg(F.collect_set("html").alias("pages")).select("host", "pages"))
+
+    @trimmed
+    def align(batches):
+        claim(__name__)
+        for b in batches:
+            for k in range(b.num_rows):
+                found = proven([parse(p) for p in sorted(b.column(1)[k].as_py())])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([b.column(0)[k].as_py()] * len(found), pa.string()), pa.array(found.keys(), pa.int64()),
+                     pa.array(found.values(), pa.int64())], names=["host", "code", "seen"])
+
+    seen = (groups.mapInArrow(align, "host string, code long, seen long").groupBy("host", "code")
+            .agg(F.sum("seen").alias("seen")))
+    # a passage that some articles share is content; template is what nearly all pages have
+    least = F.greatest(F.lit(LEAST_PAGES).cast("long"), F.ceil(F.lit(SHARE) * F.col("n")))
+    return (seen.join(sizes, "host").filter(F.col("seen") >= least).groupBy("host")
+            .agg(F.sort_array(F.collect_list("code")).alias("codes")))
+
+
+def content_regions(whole: DataFrame, codes: DataFrame, repeated: DataFrame) -> DataFrame:
+    """(host, region) of every host; ``repeated``: host, d, k of pages that occur k times, which count once."""
+    src = (whole.join(codes, "host", "left").join(repeated, ["host", "d"], "left")
+           .select("host", F.col("html").cast("binary").alias("html"), "codes", F.coalesce("k", F.lit(1).cast("long")).alias("k")))
+
+    @trimmed
+    def vary(batches):
+        claim(__name__)
+        for b in slices(batches, 1):
+            held: dict[tuple[str, int], Counter] = {}
+            fixed: dict[str, frozenset] = {}
+            for host, page, known, k in zip(*(b.column(i).to_pylist() for i in range(4)), strict=True):
+                if host not in fixed:
+                    fixed[host] = frozenset(known or ())
+                _varying(parse(page.decode()), fixed[host], held.setdefault((host, k), Counter()))
+            rows = [(host, path, k, n) for (host, k), paths in held.items() for path, n in paths.items()]
+            arrays = [pa.array(x, t) for x, t in zip(zip(*rows, strict=True), (pa.string(), pa.string(), pa.int64(), pa.int64()),
+                                                     strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["host", "path", "k", "n"])
+
+    held = (src.mapInArrow(vary, "host string, path string, k long, n long").groupBy("host", "path", "k")
+            .agg(F.sum("n").alias("n")).select("host", "path", F.expr("n div k").alias("n"))
+            .groupBy("host", "path").agg(F.sum("n").alias("n")))
+    held, _ = written(held, "varying-text")
+    total = held.filter("path = ''").select("host", F.col("n").alias("total"))
+    # the deepest element path that holds nearly all of the varying text
+    deep = F.struct(F.length(F.regexp_replace("path", "[^/]", "")), "path")
+    full = (held.join(total, "host").filter((F.col("total") > 0) & (F.col("n") >= F.lit(REGION) * F.col("total")))
+            .groupBy("host").agg(F.max_by("path", deep).alias("region")))
+    return total.join(full, "host", "left").select("host", F.coalesce("region", F.lit("")).alias("region"))
 
-    return (sample.select("host", "html").distinct().groupBy("host")
-            .applyInArrow(build, "host string, codes array<long>, region string"))
+
+def wrappers(pages: DataFrame) -> DataFrame:
+    """(host, codes, region) of every host, from all of its pages; ``pages``: host, html."""
+    whole = pages.filter("host is not null and html is not null").select("host", F.xxhash64("html").alias("d"), "html")
+    copies, _ = written(whole.groupBy("host", "d").agg(F.count(F.lit(1)).alias("k")), "page-copies")
+    sizes, _ = bounded_broadcast(copies.groupBy("host").agg(F.count(F.lit(1)).alias("n")))
+    codes, _ = bounded_broadcast(template_texts(whole, sizes), byte_measure=F.lit(40) + F.lit(8) * F.size("codes"))
+    repeated, _ = bounded_broadcast(copies.filter("k > 1"))
+    regions = content_regions(whole, codes, repeated)
+    return regions.join(codes, "host", "left").select("host", F.coalesce("codes", F.array().cast("array<long>")).alias("codes"), "region")
 
 
 def main_text(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """page_id, url, text and n_chars (code points) of every page."""
+    batches_of(pages)
     src = pages.select(col(page_id).alias("page_id"), col(url).cast("string").alias("url"),
                        col(html).cast("string").alias("html"))
     host = F.lower(F.regexp_extract("url", _HOST, 1))

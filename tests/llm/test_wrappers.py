@@ -95,3 +95,17 @@ def test_one_deep_page_does_not_end_the_query(spark):
     rows = [(1, "http://a.example/1", "<div>" * 3000 + "deep"), (2, "http://a.example/2", "<article>x</article>"), (3, None, None)]
     got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     assert got == {1: "deep", 2: "x", 3: ""}
+
+
+def test_all_pages_of_a_host_vote(spark):
+    """The eight pages of smallest hash share a passage and lack a menu that nearly all of the host's pages have."""
+    ids = spark.range(48).selectExpr("id", "xxhash64(id) as h").orderBy("h").collect()
+    first = [r.id for r in ids[:8]]
+    shared, menu = "<p>This passage is part of eight stories</p>", "<div><p>Find all of our offers here</p></div>"
+
+    def html(k):
+        return page(k, (shared if k in first else "") + story(k), "" if k in first[:3] else menu)
+    rows = [(k, f"http://a.example/{k}", html(k)) for k in range(48)] + [(100 + j, "http://a.example/0", html(0)) for j in range(300)]
+    got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    want = {k: ("This passage is part of eight stories\n" if k in first else "") + texts(k) for k in range(48)}
+    assert got == want | {100 + j: want[0] for j in range(300)}
