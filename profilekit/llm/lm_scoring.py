@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from profilekit.llm.components import written
 from profilekit.llm.text import batches_of, chain, claim, col, crc_mod, mix, slices, word_codes
+from profilekit.session import shuffles_freed
 
 CHUNK_BYTES = 12_000_000      # text of one chunk
 RANGE_TOKENS = 1_000_000      # tokens per key range
@@ -288,12 +289,13 @@ def score_texts(docs: DataFrame, held: Column | None = None, *, doc_id: str = "d
                           F.sum("train_tokens").alias("train"), F.sum("train_docs").alias("docs"))
     n_words, n_docs = int(seen.get("train") or 0), int(seen.get("docs") or 0)
     n_ranges = max(LEAST_RANGES, math.ceil(int(seen.get("n") or 0) / RANGE_TOKENS))
-    totals, known = written(range_totals(parts, n_ranges), "lm-totals",
-                            F.sum(F.when(F.col("size") == 1, F.col("known"))).alias("types"))
-    n_types = int(known.get("types") or 0)
-    ready, _ = written(counted(parts, totals, n_words, n_types, n_docs), "lm-counted")
-    grid = (ready.select(F.explode(F.arrays_zip("cells", "n")).alias("x")).groupBy("x.cells")
-            .agg(F.sum("x.n").alias("n")).toArrow())  # at most 65 x _CELLS x _CELLS cells
+    with shuffles_freed(docs.sparkSession):  # the keys' shuffle is gone before the chunks are shuffled
+        totals, known = written(range_totals(parts, n_ranges), "lm-totals",
+                                F.sum(F.when(F.col("size") == 1, F.col("known"))).alias("types"))
+        n_types = int(known.get("types") or 0)
+        ready, _ = written(counted(parts, totals, n_words, n_types, n_docs), "lm-counted")
+        grid = (ready.select(F.explode(F.arrays_zip("cells", "n")).alias("x")).groupBy("x.cells")
+                .agg(F.sum("x.n").alias("n")).toArrow())  # at most 65 x _CELLS x _CELLS cells
     weights = learn_weights(grid.column("cells").to_numpy(), grid.column("n").to_numpy().astype(float))
     if not n_words:
         weights = np.tile([0.0, 0.0, 1.0], (65, 1))

@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -96,3 +97,20 @@ def scratch(spark: SparkSession) -> Iterator[None]:
         for path in _SCOPES.pop():
             place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
             place.getFileSystem(conf).delete(place, True)
+
+
+@contextlib.contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Scope in which a query's shuffle files go when it ends (Spark 4.1 on), not when the driver next collects its garbage.
+
+    For queries that run once and whose results are written or collected.
+    """
+    before = spark.conf.get(SHUFFLE_CLEANUP_CONF, None)
+    spark.conf.set(SHUFFLE_CLEANUP_CONF, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP_CONF)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP_CONF, before)
