@@ -185,10 +185,11 @@ def _slots(shingles: np.ndarray) -> np.ndarray:
 
 
 def delta_marks(own: np.ndarray, pivot: np.ndarray, uses: np.ndarray,
-                threshold: int = THRESHOLD) -> tuple[np.ndarray, int, np.ndarray, int]:
+                threshold: int = THRESHOLD) -> tuple[np.ndarray, np.ndarray, int, int, np.ndarray, int]:
     """Marks of a set relative to a pivot set: two sets near each other share one, unless f + f' <= 0 (below).
 
-    With the marks come f (below), a bit map of the difference's shingles and
+    With the marks come the bin of partners that each is for, the set's own bin,
+    f (below), a bit map of the difference's shingles and
     how many of them fell on a bit already set: of two sets with c common
     shingles in their differences, at least c less that number of bits are common.
 
@@ -211,7 +212,7 @@ def delta_marks(own: np.ndarray, pivot: np.ndarray, uses: np.ndarray,
     shared = (count[order] > 1) | np.isin(tokens, pivot, assume_unique=True)
     borders = [int(x * (100 - threshold) * len(pivot)) for x in _BINS]
     mine = sum(f >= x for x in borders[1:])
-    out = []
+    out, bins = [], []
     for other, low in enumerate(borders):
         if other + 1 < len(borders) and f + borders[other + 1] <= 0:
             continue
@@ -222,10 +223,11 @@ def delta_marks(own: np.ndarray, pivot: np.ndarray, uses: np.ndarray,
         take = take[shared[:len(take)]]
         if len(take):
             out.append(chain(take, np.full(len(take), min(mine, other) << 8 | max(mine, other), np.uint64)))
+            bins.append(np.full(len(take), other, np.int8))
     bits = np.zeros(BIT_WORDS * 64, np.uint8)
     bits[(mix(delta) % np.uint64(len(bits))).astype(np.int64)] = 1
-    return (np.concatenate(out) if out else np.empty(0, np.uint64), f,
-            np.packbits(bits).view(np.int64), len(delta) - int(bits.sum()))
+    return (np.concatenate(out) if out else np.empty(0, np.uint64), np.concatenate(bins) if bins else np.empty(0, np.int8),
+            mine, f, np.packbits(bits).view(np.int64), len(delta) - int(bits.sum()))
 
 
 def consensus(hubs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -250,7 +252,9 @@ def consensus(hubs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def pivot_marks(spokes: DataFrame, texts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """(id, pivot, marks, f, bits, twice) for the rows (id, pivot); a mark belongs to one pivot.
+    """(id, pivot, marks, others, bin, f, bits, twice) for the rows (id, pivot); a mark belongs to one pivot.
+
+    ``others`` has the bin of partners that each mark is for, ``bin`` is the row's own.
 
     Pivot sets are those of ``consensus``; a hub without one has the empty set.
     """
@@ -281,21 +285,46 @@ def pivot_marks(spokes: DataFrame, texts: DataFrame, threshold: int = THRESHOLD)
         claim(__name__)
         last, pivot = None, None  # neighbouring rows often share the pivot
         for b in slices(batches, 2):
-            out, sums = [], []
+            out, bins, sums = [], [], []
             for k, (p, t) in enumerate(zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)):
                 if p != last:
                     held = b.column(3)[k].values
                     last, pivot = p, np.empty(0, np.uint64) if held is None else held.to_numpy().view(np.uint64)
-                marks, *rest = delta_marks(shingle_set(t), pivot, shared.value, threshold)
+                marks, others, *rest = delta_marks(shingle_set(t), pivot, shared.value, threshold)
                 sums.append(rest)
+                bins.append(others)
                 out.append(chain(marks, np.full(len(marks), p, np.int64).view(np.uint64)).view(np.int64))
-            f, bits, twice = zip(*sums, strict=True) if sums else ([], [], [])
+            own, f, bits, twice = zip(*sums, strict=True) if sums else ([], [], [], [])
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(out, pa.list_(pa.int64())),
-                 pa.array(f, pa.int64()), pa.array(bits, pa.list_(pa.int64())), pa.array(twice, pa.int64())],
-                names=["id", "pivot", "marks", "f", "bits", "twice"])
+                [b.column(0), b.column(1), pa.array(out, pa.list_(pa.int64())), pa.array(bins, pa.list_(pa.int8())),
+                 pa.array(own, pa.int8()), pa.array(f, pa.int64()), pa.array(bits, pa.list_(pa.int64())),
+                 pa.array(twice, pa.int64())],
+                names=["id", "pivot", "marks", "others", "bin", "f", "bits", "twice"])
+
+    return met.mapInArrow(mark, "id long, pivot long, marks array<long>, others array<byte>, bin byte, f long, "
+                                "bits array<long>, twice long")
+
+
+def open_marks(deltas: DataFrame, placed: DataFrame) -> DataFrame:
+    """(key, id, n, g, f, bits, twice): the marks by which a row may meet one of another component; ``placed``: id, n, g.
+
+    A mark is for partners of one bin: it is left out where that bin of the row's pivot holds
+    no row of another component, so what most members of a crowd would have to look for
+    among themselves, though they are linked already, is never written out.
+    """
+    rows = deltas.join(placed, "id")
+    held = (rows.groupBy("pivot", "bin").agg(F.min("g").alias("lo"), F.max("g").alias("hi"))
+            .groupBy("pivot").agg(F.map_from_entries(F.collect_list(F.struct("bin", F.struct("lo", "hi")))).alias("held")))
+    held, _ = bounded_broadcast(held)
+
+    def open_to(mark):
+        found = F.try_element_at("held", mark["others"])
+        return F.coalesce((found["lo"] != F.col("g")) | (found["hi"] != F.col("g")), F.lit(False))
 
-    return met.mapInArrow(mark, "id long, pivot long, marks array<long>, f long, bits array<long>, twice long")
+    kept = F.array_distinct(F.transform(F.filter(F.arrays_zip("marks", "others"), open_to), lambda m: m["marks"]))
+    return (rows.join(held, "pivot").withColumn("kept", kept)
+            .select("id", "n", "g", "f", "bits", "twice", F.explode("kept").alias("key"))
+            .select("key", "id", "n", "g", "f", "bits", "twice"))
 
 
 def _can_share(a: str, b: str, threshold: int):
@@ -368,9 +397,7 @@ def grouped(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", thre
         loose, _ = written(loose.drop("g").join(group, "id", "left").select(
             "key", "id", "n", F.coalesce("component", "id").alias("g"), "pivot", "size"), "open-buckets")
         shared = loose.filter(F.col("size") <= CROWD).select("key", "id", "n", "g", *nothing)
-        marks = (deltas.select("id", "f", "bits", "twice", F.explode(F.array_distinct("marks")).alias("key"))
-                 .join(loose.select("id", "n", "g").distinct(), "id"))
-        marks, _ = written(marks.select("key", "id", "n", "g", "f", "bits", "twice"), "marks")
+        marks, _ = written(open_marks(deltas, loose.select("id", "n", "g").distinct()), "marks")
         split = marks.groupBy("key").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).filter("lo < hi").select("key")
         shared = shared.unionByName(marks.join(split, "key"))
     left, _ = written(shared, "open-marks")

@@ -179,3 +179,13 @@ def test_components(spark, seed):
     got = {r.id: r.component for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
     want = groups({i for p in links for i in p}, links)
     assert got == {i: c for i, c in want.items() if any(i in p and p[0] != p[1] for p in links)}
+
+
+def test_marks_are_written_out_only_for_other_components(spark):
+    rows = [(i, 1, [10 + i, 20], [0, 3], 0) for i in range(1, 6)] + [(9, 1, [20, 30], [0, 3], 3), (11, 11, [40], [0], 0)]
+    deltas = spark.createDataFrame([(*r, 5, [0] * 8, 0) for r in rows], "id long, pivot long, marks array<long>, "
+                                   "others array<byte>, bin byte, f long, bits array<long>, twice long")
+    placed = spark.createDataFrame([(i, 50, 1) for i in range(1, 6)] + [(9, 50, 9), (11, 50, 11)], "id long, n long, g long")
+    got = near_duplicates.open_marks(deltas, placed)
+    assert got.columns == ["key", "id", "n", "g", "f", "bits", "twice"]
+    assert sorted((r.id, r.key) for r in got.collect()) == [(i, 20) for i in range(1, 6)] + [(9, 20)]
