@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from profilekit.session import shared_path
 
 
-def written(df: DataFrame, name: str, *measures) -> tuple[DataFrame, dict]:
-    """``df`` written to the shared folder and reread (its lineage ends there), with measures observed on the way."""
+def written(df: DataFrame, name: str, *measures, path: str | None = None) -> tuple[DataFrame, dict]:
+    """``df`` written to the shared folder (to ``path`` if given) and reread (its lineage ends there), with measures observed on the way."""
     spark = df.sparkSession
-    path = shared_path(spark, name)
+    path = path or shared_path(spark, name)
     got = {}
     if measures:
         seen = Observation(f"{name}-{uuid.uuid4().hex}")
