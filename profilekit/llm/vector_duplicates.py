@@ -65,7 +65,8 @@ FEW = 1_000          # vectors below which labels share a row when dealt
 GROUP = 32_000       # vectors of a component that are compared in one task ...
 GROUP_BYTES = 64_000_000  # ... and their bytes
 BLOCK = 2048
-ROWS = 256           # rows of one matrix product
+ROWS = 256           # rows of one matrix product ...
+PRODUCT = 8_000_000  # ... and its cosines
 SMALL = 512          # rows of small groups that are compared together
 
 
@@ -100,9 +101,9 @@ class Vectors:
             self.unit[at:at + 4096] = unit_rows(self.numbers[at:at + 4096])
         self.error = 1.2e-7 * (self.unit.shape[1] + 8)  # bound of a single-precision cosine's error
 
-    def near(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Which pairs of the rows ``a`` and ``b`` are at the threshold."""
-        cosines = self.unit[a] @ self.unit[b].T
+    def near(self, a: np.ndarray, b: np.ndarray, unit: np.ndarray | None = None) -> np.ndarray:
+        """Which pairs of the rows ``a`` and ``b`` (with their unit vectors, if at hand) are at the threshold."""
+        cosines = self.unit[a] @ (self.unit[b] if unit is None else unit).T
         near = cosines >= COSINE - self.error
         if near.any():
             unsure = np.flatnonzero((near & (cosines < COSINE + self.error)).ravel())
@@ -209,9 +210,11 @@ def hanging(vectors: Vectors, rows: np.ndarray, keys: np.ndarray | None = None)
         sizes = np.bincount(low)
         if sizes.max() >= len(rows) / 4:  # members of one crowd need not meet
             rest, crowd = np.flatnonzero(low != sizes.argmax()), np.flatnonzero(low == sizes.argmax())
-    for at in range(0, len(rest), ROWS):
-        one, other = rest[at:at + ROWS], np.concatenate((rest[at:], crowd))
-        near = vectors.near(rows[one], rows[other])
+    place, some = np.concatenate((rest, crowd)), max(1, min(ROWS, PRODUCT // max(1, len(rows))))
+    unit = vectors.unit[rows[place]] if len(rest) else None
+    for at in range(0, len(rest), some):
+        one, other = rest[at:at + some], place[at:]
+        near = vectors.near(rows[one], rows[other], unit[at:])
         np.fill_diagonal(near, False)
         if keys is not None:
             near &= keys[one][:, None] == keys[other][None, :]
@@ -347,7 +350,7 @@ def group_links(vectors: Vectors, keys: np.ndarray, weights: np.ndarray) -> np.n
         mixed = keys[start] != keys[stop - 1]
         for at in range(start, stop, ROWS):
             one, other = np.arange(at, min(at + ROWS, stop)), np.arange(at, stop)
-            near = vectors.near(one, other)
+            near = vectors.near(one, other, vectors.unit[at:stop])
             if mixed:
                 near &= keys[one][:, None] == keys[other][None, :]
             np.fill_diagonal(near, False)

@@ -31,7 +31,7 @@ def test_labels_past_a_cell_and_components_past_a_group(spark, monkeypatch, boun
 
 
 @pytest.mark.parametrize("bounds", [
-    {}, {"EXACT": 50, "LEAF": 40}, {"FEW": 10, "ROWS": 16}, {"SMALL": 20, "ROWS": 16, "CELL_BYTES": 9_000},
+    {}, {"EXACT": 50, "LEAF": 40}, {"FEW": 10, "ROWS": 16}, {"PRODUCT": 900}, {"SMALL": 20, "ROWS": 16, "CELL_BYTES": 9_000},
     {"CELL": 100, "LEAF": 40}, {"CELL": 15, "LEAST_SAMPLE": 4, "LEAF": 10, "CELL_BYTES": 20_000}])
 def test_cells_of_any_size_show_what_hangs_together(monkeypatch, bounds):
     """All steps of all cells, without Spark (its workers would not see the bounds)."""
@@ -63,9 +63,9 @@ def compared(monkeypatch, x, step=0):
     """(pairs compared, links) of one cell that holds part of a label."""
     done, near = [0], vector_duplicates.Vectors.near
 
-    def count(self, a, b):
+    def count(self, a, b, unit=None):
         done[0] += len(a) * len(b)
-        return near(self, a, b)
+        return near(self, a, b, unit)
     monkeypatch.setattr(vector_duplicates.Vectors, "near", count)
     raw = np.ascontiguousarray(x, np.float32).view(np.uint8)
     a, _ = vector_duplicates.cell_links(np.zeros(len(x), np.int64), np.arange(len(x)), raw, "<f4", 0, step)
@@ -86,6 +86,20 @@ def test_pairs_compared_grow_with_the_rows(monkeypatch):
     assert links == 5_999 and pairs < 20 * 6_000
 
 
+def test_a_crowded_cell_takes_little_memory_at_once(monkeypatch):
+    """Members of a crowd meet all other vectors of the cell a few rows at a time."""
+    rng, most, near = np.random.default_rng(3), [0], vector_duplicates.Vectors.near
+    monkeypatch.setattr(vector_duplicates, "PRODUCT", 20_000)
+
+    def watch(self, a, b, unit=None):
+        most[0] = max(most[0], len(a) * len(b))
+        return near(self, a, b, unit)
+    monkeypatch.setattr(vector_duplicates.Vectors, "near", watch)
+    x = np.concatenate((np.ones((4_000, 32)), np.ones((400, 32)) + 0.2 * rng.standard_normal((400, 32)))).astype(np.float32)
+    a, _ = vector_duplicates.hanging(vector_duplicates.Vectors(x.view(np.uint8), "<f4"), np.arange(len(x)))
+    assert len(a) >= 3_999 and most[0] <= 20_000
+
+
 def test_upper_trees_leave_no_leaf_far_past_a_cell(monkeypatch):
     """Also where the sample is a small part of the table; a crowd that nothing parts is dealt as pairs of parts."""
     rng = np.random.default_rng(2)
